@@ -87,7 +87,7 @@ def _chunk_rows(path: str | None, end_id: int):
         width, end = made.dtype.itemsize, np.array([end_id], made.dtype).tobytes()
         for batch in batches:
             counts, chunks = [], []
-            for raw in made.ids(batch.column("text").to_pylist()):
+            for raw in made.ids(batch.column("text")):
                 raw += end
                 ids = np.frombuffer(raw, made.dtype)
                 at, parts = 0, []

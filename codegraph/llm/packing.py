@@ -98,7 +98,7 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, end_id: int = 1, tokeni
             return batch
 
         for batch in batches:
-            for doc, raw in zip(batch.column("doc_id").to_pylist(), made.ids(batch.column("text").to_pylist()), strict=True):
+            for doc, raw in zip(batch.column("doc_id").to_pylist(), made.ids(batch.column("text")), strict=True):
                 raw += end
                 total = len(raw) // width
                 cut = total - total % capacity

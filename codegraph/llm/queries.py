@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chunkstore, media, packing, tokencounts
+from . import bloomlm, chunkstore, jaccardjoin, linededup, lshforest, media, mixing, packing, tokencounts, toxicity
 from .common import table
 
 
@@ -22,5 +22,55 @@ def op4_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_media_columns, op2_chunk_store, op3_token_counts, op4_packing)}
-ORACLE_SQL: dict[str, str] = {}
+def op5_lm_scoring(spark, sf_dir):
+    return bloomlm.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_jaccard_join(spark, sf_dir):
+    return jaccardjoin.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_line_dedup(spark, sf_dir):
+    return linededup.line_dedup_digest(table(spark, sf_dir, "documents"))
+
+
+def op9_hash_prefix_forest(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return lshforest.nearest(vectors, lshforest.query_rows(vectors, 100))
+
+
+def op10_mixing(spark, sf_dir):
+    return mixing.schedule(table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+OPERATORS = (op1_media_columns, op2_chunk_store, op3_token_counts, op4_packing, op5_lm_scoring, op6_jaccard_join, op7_toxicity, op8_line_dedup, op9_hash_prefix_forest, op10_mixing)
+QUERIES = {f.__name__: f for f in (*OPERATORS, pipeline)}
+
+#: Exact where SQL can say it: components by links between distinct shingle sets.
+ORACLE_SQL = {
+    "op6_jaccard_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles
+  FROM w),
+e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS g FROM s),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS inter FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common WHERE 100 * inter >= 75 * (na + nb - inter)),
+sym AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a AS x, b AS y FROM sym UNION SELECT r.x, t.b FROM reach r JOIN sym t ON r.y = t.a)
+SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, least(s.doc_id, coalesce(min(r.y), s.doc_id)) AS component_id
+FROM s LEFT JOIN reach r ON r.x = s.doc_id GROUP BY s.doc_id, len(s.shingles)""",
+}
