@@ -384,7 +384,7 @@ class Recogniser:
         if "event" in words or "implicit" in words or "explicit" in words:
             kind = "event" if "event" in words else "conversion"
         elif self.is_op(i, "~"):
-            kind = "destructor"
+            kind, name = "destructor", self.t[i + 1].text if self.is_id(i + 1) else ""
         elif "this" in words and paren is None and self.is_op(body, "{") | self.is_op(body, "=>"):
             kind = "indexer"
         elif "operator" in words:
@@ -487,7 +487,10 @@ class Recogniser:
                 break
         before = self.t[first - 1] if first else None
         if before is not None and before.kind == "id" and before.text == "new":
-            return
+            if not nested:
+                return
+            first -= 1
+            before = self.t[first - 1] if first else None
         if before is not None and (before.kind == "id" and before.text not in LEADS or before.kind == "op" and before.text in (">", "]") and first == k and not self.is_op(first - 1, "=>")) and first == k:
             if not (before.kind == "op" and before.text == "]" and self.is_op(first - 1, ".")):
                 return  # a declaration: a type stands before the name

@@ -294,7 +294,7 @@ class Recogniser:
             elif w == "INSERT":
                 j = self.skip_top(i + 1)
                 i = self.written(j + (self.word(j) == "INTO"))
-            elif w == "UPDATE" and before not in ("ON", "FOR", "AFTER", "OF", ",") and self.word(i + 1) != "STATISTICS" and self.mark(i + 1) not in ("(", ",") and self.mark(i - 1) != ",":
+            elif w == "UPDATE" and before not in ("ON", "FOR", "AFTER", "OF", ",") and self.word(i + 1) not in ("STATISTICS", "SET") and self.mark(i + 1) not in ("(", ",") and self.mark(i - 1) != ",":
                 i = self.written(self.skip_top(i + 1))
             elif w == "DELETE" and before not in ("ON", "FOR", "AFTER", "OF", "THEN") and self.mark(i + 1) != "," and self.mark(i - 1) != ",":
                 j = self.skip_top(i + 1)

@@ -13,7 +13,7 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import exprs
 
@@ -50,16 +50,6 @@ class RepoReader(DataSourceReader):
         self.content = options.get("content", "true") == "true"
         self.hashes = options.get("hashes", "false") == "true"
 
-    def pushFilters(self, filters):
-        """Equality on kind narrows the listing."""
-        for f in filters:
-            if isinstance(f, (EqualTo, In)) and f.attribute == ("kind",):
-                kinds = {f.value} if isinstance(f, EqualTo) else set(f.value)
-                self.suffixes &= {f".{str(k).lower()}" for k in kinds}
-                if not self.suffixes:
-                    self.suffixes = {"/"}
-            yield f
-
     def partitions(self):
         found = []
         for root in self.roots:
