@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 import zlib
 from collections.abc import Iterable
@@ -12,17 +13,17 @@ from collections.abc import Iterable
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TOKENIZER = "byte_bpe_50k.json"
-PRETOKEN_CACHE = 1_200_000
+PRETOKEN_CACHE = 800_000
 SPACE_BYTE = "Ġ"  # the space, in the alphabet of byte-level vocabularies
 CLOSING = ".,;:!?"
 #: Fixed value: a space before white space (Unicode's) or the end.
 UNSAFE_SPACE = r" ([\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\z)"
-ROUND_BYTES = 8_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,8 +59,22 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def release(spark: SparkSession) -> None:
     """Let Spark delete shuffle files of finished steps, which it does once the driver has collected its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+
+
+_held: dict[str, object] = {}
+
+
+def worker_state(name: str, make):
+    """What a worker process keeps between tasks: one operator's caches at a time, so that they don't add up."""
+    if name not in _held:
+        _held.clear()
+        gc.collect()
+        _held[name] = make()
+    return _held[name]
 
 
 def fold_hash(column, buckets: int, residue: int):
@@ -109,10 +124,30 @@ def ids_crc32(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def read_blob(path: str) -> bytes:
-    """A file of this machine's Python packages; every worker has the same ones."""
-    with open(path, "rb") as f:
-        return f.read()
+def hashed_words(column: pa.Array, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words between ASCII white space, and each text's number of them. Arrow splits and finds the
+    distinct words; only those are hashed one by one."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(column, ""))
+    counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten()
+    there = pc.greater(pc.binary_length(flat), 0)
+    kept = np.concatenate([[0], np.cumsum(there.to_numpy(zero_copy_only=False))]).astype(np.int64)
+    ends = np.cumsum(counts)
+    coded = flat.filter(there).dictionary_encode()
+    distinct = np.array([xxhash.xxh3_64_intdigest(w, seed) for w in coded.dictionary.cast(pa.binary()).to_pylist()], np.uint64)
+    index = coded.indices.to_numpy(zero_copy_only=False)
+    return distinct[index] if len(index) else np.zeros(0, np.uint64), kept[ends] - kept[ends - counts]
+
+
+def text_rounds(column: pa.Array, size: int = 8_000_000) -> Iterable[tuple[int, pa.Array]]:
+    """(first row, slice) of so many texts that one round's arrays stay small."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield at, column.slice(at, end - at)
+        at = end
 
 
 class Encoder:
@@ -163,16 +198,7 @@ class Encoder:
 
     def ids(self, column: pa.Array) -> list[bytes]:
         """Little-endian ids of each text in `dtype`; a null text has none."""
-        column = pc.fill_null(column, "")
-        ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
-        out: list[bytes] = []
-        at = 0
-        while at < len(column):  # by so much text that one round's arrays stay small
-            before = ends[at - 1] if at else 0
-            end = max(at + 1, int(np.searchsorted(ends, before + ROUND_BYTES, "right")))
-            out += self._round(column.slice(at, end - at))
-            at = end
-        return out
+        return [ids for _, part in text_rounds(pc.fill_null(column, "")) for ids in self._round(part)]
 
     def _round(self, texts: pa.Array) -> list[bytes]:
         unsafe = pc.match_substring_regex(texts, UNSAFE_SPACE)
@@ -211,12 +237,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str | None = None) -> Encoder:
     """One encoder for each worker process."""
     path = path or tokenizer_path()
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return worker_state(f"encoder {path}", lambda: Encoder(path))

@@ -14,7 +14,7 @@ earlier one equals it or is within the bound of its text's earliest occurrence.
 Equal keys prove the distance: the rest of the words is equal at equal places, by a 64-bit hash; `word_distance` is the
 plain definition that tests hold the result against.
 
-Defined results: a null text stays null, an empty one empty; blank lines stay; rows with a null doc_id stay as they are;
+Words are between ASCII white space. Defined results: a null text stays null, an empty one empty; blank lines stay; rows with a null doc_id stay as they are;
 rows that repeat both doc_id and text count as one document and stay both; a document may end up with no lines and an
 empty text; other columns are carried along.
 """
@@ -23,16 +23,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, mix64, release, signed, utf8, widened
+from .common import hashed_words, materialise, mix64, release, signed, text_rounds, widened
 
 NEAR_WORDS = 8
-WORDS_A_ROUND = 1_000_000
-CACHE = 800_000
+ASCII_SPACE = " \t\n\r\x0b\x0c"
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -47,21 +46,6 @@ def word_distance(a: str, b: str) -> int:
     return row[-1]
 
 
-class Words:
-    """64-bit hashes of words, each distinct word hashed once while it is remembered."""
-
-    def __init__(self):
-        self.known: dict[str, int] = {}
-
-    def hashes(self, words: list[str]) -> np.ndarray:
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(utf8(w), 8)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-
 class Spans:
     """Polynomial hashes modulo 2^64 of any run of words."""
 
@@ -92,43 +76,31 @@ def tagged(hashes: np.ndarray, *tags) -> np.ndarray:
     return hashes
 
 
-def rounds(texts: list[str | None]):
-    """(first row, lines of each text) for so many texts that their words fit a round."""
-    at = 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (end == at or size < 6 * WORDS_A_ROUND):
-            size += len(texts[end] or "")
-            end += 1
-        yield at, [(t or "").split("\n") for t in texts[at:end]]
-        at = end
+def split_lines(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """All lines, and of each the row of its text and its number there."""
+    lists = pc.split_pattern(pc.fill_null(texts, ""), "\n")
+    counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(counts)), counts)
+    return lists.flatten(), row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
 LINES = "doc_id long, line_no int, h1 long, h2 long, n_words int, p1 long, p2 long, s1 long, s2 long"
 
 
 def _line_rows(batches):
-    words = Words()
     for batch in batches:
-        ids = batch.column("doc_id").to_pylist()
-        for first, texts in rounds(batch.column("text").to_pylist()):
-            flat, docs, numbers, counts = [], [], [], []
-            for k, lines in enumerate(texts, first):
-                for number, line in enumerate(lines):
-                    if parts := line.split():
-                        flat += parts
-                        docs.append(ids[k])
-                        numbers.append(number)
-                        counts.append(len(parts))
-            if not docs:
+        for first, texts in text_rounds(batch.column("text")):
+            lines, row, number = split_lines(texts)
+            hashed, n = hashed_words(lines, 8)
+            some = n > 0
+            n, row, number = n[some], row[some] + first, number[some]
+            if not len(n):
                 continue
-            n = np.array(counts, np.int64)
             begin = np.cumsum(n) - n
-            hashed = words.hashes(flat)
             one, two = Spans(hashed, BASES[0]), Spans(mix64(hashed), BASES[1])
             near = n >= NEAR_WORDS
             low, high = n // 2, (n + 1) // 2
-            columns = [pa.array(docs, pa.int64()), pa.array(numbers, pa.int32()), pa.array(signed(tagged(one.of(begin, n), n))), pa.array(signed(tagged(two.of(begin, n), n))), pa.array(n, pa.int32())]
+            columns = [batch.column("doc_id").take(pa.array(row)), pa.array(number.astype(np.int32)), pa.array(signed(tagged(one.of(begin, n), n))), pa.array(signed(tagged(two.of(begin, n), n))), pa.array(n.astype(np.int32))]
             for side in (0, 1):
                 for length, there in ((low, near), (high, near & (high > low))):
                     span = one.of(begin if side == 0 else begin + n - length, length)
@@ -141,28 +113,26 @@ VARIANTS = "key long, kind int, doc_id long, line_no int"
 
 def _variant_rows(batches):
     """Self, left-out and replaced-word keys of the lines asked for."""
-    words = Words()
     for batch in batches:
-        ids = batch.column("doc_id").to_pylist()
-        asked = batch.column("asked").to_pylist()
-        for first, texts in rounds(batch.column("text").to_pylist()):
-            flat, docs, numbers, counts, sides = [], [], [], [], []
-            for k, lines in enumerate(texts, first):
-                for a in asked[k]:
-                    parts = lines[a["line_no"]].split() if a["line_no"] < len(lines) else []
-                    if len(parts) < NEAR_WORDS:
-                        continue
-                    flat += parts
-                    docs.append(ids[k])
-                    numbers.append(a["line_no"])
-                    counts.append(len(parts))
-                    sides.append(a["sides"])
-            if not docs:
+        asked = batch.column("asked")
+        for first, texts in text_rounds(batch.column("text")):
+            lines, row, number = split_lines(texts)
+            wanted = asked.slice(first, len(texts))
+            counts = wanted.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = wanted.flatten()
+            line, side = flat.field("line_no").to_numpy(zero_copy_only=False).astype(np.int64), flat.field("sides").to_numpy(zero_copy_only=False).astype(np.int64)
+            of = np.repeat(np.arange(len(counts)), counts)
+            sizes = np.bincount(row, minlength=len(counts))
+            there = line < sizes[of]
+            of, line, side = of[there], line[there], side[there]
+            hashed, n = hashed_words(lines.take(pa.array((np.cumsum(sizes) - sizes)[of] + line)), 8)
+            if not len(n) or (n < NEAR_WORDS).all():
                 continue
-            n, side = np.array(counts, np.int64), np.array(sides, np.int64)
-            docs, numbers = np.array(docs, np.int64), np.array(numbers, np.int32)
             begin = np.cumsum(n) - n
-            spans = Spans(words.hashes(flat), BASES[0])
+            keep = n >= NEAR_WORDS
+            n, begin, side, of, numbers = n[keep], begin[keep], side[keep], of[keep], line[keep].astype(np.int32)
+            docs = batch.column("doc_id").to_numpy(zero_copy_only=False)[of + first]
+            spans = Spans(hashed, BASES[0])
             low = np.where(side & 2, 0, n // 2)
             high = np.where(side & 1, n, (n + 1) // 2)
             size = high - low
@@ -242,17 +212,15 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     joined = documents.join(lists, F.col("doc_id").cast("long") == F.col("__doc"), "left").drop("__doc")
 
     def run(batches):
-        words = Words()
         for batch in batches:
             texts, totals, goes, nears = [], [], [], []
-            for text, gone in zip(batch.column(names.index("text")).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
-                lines = (text or "").split("\n")
-                out = {}
-                for g in gone or ():
-                    if g["line_no"] < len(lines) and _line_hash(words, lines[g["line_no"]]) == g["h1"]:
-                        out[g["line_no"]] = g["near"]
-                texts.append(text if text is None or not out else "\n".join(x for k, x in enumerate(lines) if k not in out))
-                totals.append(sum(1 for x in lines if x.strip()))
+            split = [(t or "").split("\n") for t in batch.column(names.index("text")).to_pylist()]
+            asked = [[g for g in gone or () if g["line_no"] < len(lines)] for lines, gone in zip(split, batch.column(batch.num_columns - 1).to_pylist(), strict=True)]
+            hashes = iter(line_hashes([lines[g["line_no"]] for lines, gone in zip(split, asked, strict=True) for g in gone]))
+            for text, lines, gone in zip(batch.column(names.index("text")), split, asked, strict=True):
+                out = {g["line_no"]: g["near"] for g in gone if next(hashes) == g["h1"]}
+                texts.append(text.as_py() if not out else "\n".join(x for k, x in enumerate(lines) if k not in out))
+                totals.append(sum(1 for x in lines if x.strip(ASCII_SPACE)))
                 goes.append(len(out))
                 nears.append(sum(out.values()))
             arrays = [pa.array(texts, batch.column(k).type) if names[k] == "text" else batch.column(k) for k in range(len(names))]
@@ -261,12 +229,10 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, widened(documents.schema, T.LongType(), "__n_lines", "__n_gone", "__n_near"))
 
 
-def _line_hash(words: Words, line: str) -> int | None:
-    parts = line.split()
-    if not parts:
-        return None
-    n = np.array([len(parts)])
-    return int(signed(tagged(Spans(words.hashes(parts), BASES[0]).of(np.array([0]), n), n))[0])
+def line_hashes(lines: list[str]) -> list[int]:
+    """The first hash of each line, as the line table has it."""
+    hashed, n = hashed_words(pa.array(lines, pa.string()), 8)
+    return signed(tagged(Spans(hashed, BASES[0]).of(np.cumsum(n) - n, n), n)).tolist()
 
 
 def line_dedup_digest(documents: DataFrame) -> DataFrame:

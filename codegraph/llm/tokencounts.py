@@ -20,10 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import worker_state
+
 VOCABULARY = "piece_bpe_32k.model"
 SPACE = "▁"
 BYTE_SCORE = -16.0
-NODE_LIMIT = 1_500_000
+NODE_LIMIT = 600_000
 
 
 def load_scores(path: str | None = None) -> dict[str, float]:
@@ -78,16 +80,11 @@ class Trie:
         return tokens[node]
 
 
-_tries: dict[str | None, Trie] = {}
-
-
 def count_tokens(documents: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_pretokens, n_tokens, n_chars, n_bytes) of every whole text; pre-tokens are the parts between white space, each after a word-start mark."""
 
     def run(batches):
-        trie = _tries.get(path)
-        if trie is None:
-            trie = _tries[path] = Trie(load_scores(path))
+        trie = worker_state(f"trie {path}", lambda: Trie(load_scores(path)))
         for batch in batches:
             out = [[], [], [], []]
             for text in batch.column("text").to_pylist():
