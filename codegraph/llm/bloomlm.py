@@ -23,58 +23,52 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_hash, materialise, mix64, release, utf8
+from .common import fold_hash, hashed_words, materialise, mix64, release
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 FILTER_BYTES = 192 << 20
 BITS, HASHES = 10, 6
 BASE = 1.5
 END = np.uint64(0x5BD1E9955BD1E995)
 PAIR = np.uint64(0x9FB21C651E98DF25)
-CACHE = 1_200_000
+KEY_BYTES = {"u": 8, "b": 6}
 
 PACKED = "shard long, block long, kind string, keys binary, counts binary"
 SHARDS = "kind string, shard long, block long, data binary, n long, v long, once long, pairs long"
 
 
-class Tokens:
-    """Word hashes of whole texts: A-Z lower-cased, words between ASCII white space, then the end."""
-
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all tokens in a row, and each text's number of them."""
-        known, flat, sizes = self.known, [], np.zeros(len(texts), np.int64)
-        hashed = []
-        for k, text in enumerate(texts):
-            words = utf8(text).lower().split()
-            flat += words
-            sizes[k] = len(words) + 1
-            if len(flat) > 1_000_000 or k == len(texts) - 1:
-                if len(known) > CACHE:
-                    known.clear()
-                for w in set(flat).difference(known):
-                    known[w] = xxhash.xxh3_64_intdigest(w, 5)
-                hashed.append(np.fromiter(map(known.__getitem__, flat), np.uint64, len(flat)))
-                flat = []
-        out = np.full(int(sizes.sum()), END, np.uint64)
-        ends = np.zeros(len(out), bool)
-        ends[np.cumsum(sizes) - 1] = True
-        if hashed:
-            out[~ends] = np.concatenate(hashed)
-        return out, sizes
+def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens in a row (A-Z lower-cased words between ASCII white space, then the end), and each text's
+    number of them."""
+    hashed, sizes = hashed_words(pc.ascii_lower(column), 5)
+    sizes = sizes + 1
+    out = np.full(int(sizes.sum()), END, np.uint64)
+    words = np.ones(len(out), bool)
+    words[np.cumsum(sizes) - 1] = False
+    out[words] = hashed
+    return out, sizes
 
 
 def pairs_of(tokens: np.ndarray) -> np.ndarray:
-    """Key of each token with the one before; an end comes before a text's first."""
+    """48-bit key of each token with the one before; an end comes before a text's first."""
     before = np.concatenate([[END], tokens[:-1]]).astype(np.uint64)
     with np.errstate(over="ignore"):
-        return mix64(mix64(before) * PAIR + tokens)
+        return mix64(mix64(before) * PAIR + tokens) >> np.uint64(16)
+
+
+def pack(x: np.ndarray, width: int) -> bytes:
+    """The low bytes of whole numbers, first all lowest ones: sorted keys and small counts then compress."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def unpack(raw: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, -1).T
+    return out.view("<u8").reshape(-1)
 
 
 def add_up(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -113,12 +107,11 @@ class Filter:
         self.start = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.uint64) * np.uint64(8)
 
     @staticmethod
-    def places(keys: np.ndarray, q: int | np.ndarray):
+    def starts(keys: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
+        """First place and step of an entry's probes."""
         with np.errstate(over="ignore"):
-            one = mix64(keys + np.asarray(q).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
-            two = mix64(one ^ np.uint64(0xE7037ED1A0B428DB)) | np.uint64(1)
-            for k in range(HASHES):
-                yield one + np.uint64(k) * two
+            one = mix64(keys + np.uint64(q) * np.uint64(0xA0761D6478BD642F))
+            return one, mix64(one ^ np.uint64(0xE7037ED1A0B428DB)) | np.uint64(1)
 
     @classmethod
     def build(cls, keys: np.ndarray, levels: np.ndarray) -> bytes:
@@ -126,8 +119,10 @@ class Filter:
         size = -(-max(1, entries) * BITS // 8)
         bits = np.zeros(size * 8, bool)
         for q in range(1, int(levels.max(initial=0)) + 1):
-            for place in cls.places(keys[levels >= q], q):
-                bits[place % np.uint64(size * 8)] = True
+            one, two = cls.starts(keys[levels >= q], q)
+            for _ in range(HASHES):
+                bits[one % np.uint64(size * 8)] = True
+                one = one + two
         return np.packbits(bits, bitorder="little").tobytes()
 
     def levels(self, keys: np.ndarray, shards: np.ndarray) -> np.ndarray:
@@ -135,12 +130,14 @@ class Filter:
         found = np.zeros(len(keys), np.int64)
         left = np.arange(len(keys))
         for q in range(1, len(VALUES)):
-            size, start = self.size[shards[left]], self.start[shards[left]]
-            there = np.ones(len(left), bool)
-            for place in self.places(keys[left], q):
-                at = start + place % size
-                there &= (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-            left = left[there]
+            names, size, start = keys[left], self.size[shards[left]], self.start[shards[left]]
+            with np.errstate(over="ignore"):
+                one, two = self.starts(names, q)
+                for _ in range(HASHES):  # a key that misses one bit needs no other
+                    at = start + one % size
+                    there = (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).view(bool)
+                    left, size, start, two = left[there], size[there], start[there], two[there]
+                    one = one[there] + two
             if not len(left):
                 break
             found[left] = q
@@ -161,7 +158,7 @@ def _count_block(shards: int, all_pairs: bool):
     def run(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
         held = np.array(table.column("held_out").to_pylist(), bool)
-        tokens, sizes = Tokens().of(table.column("text").to_pylist())
+        tokens, sizes = tokens_of(table.column("text").combine_chunks())
         trains = np.repeat(~held, sizes)
         rows = []
         for kind, keys in (("u", tokens), ("b", pairs_of(tokens))):
@@ -170,13 +167,14 @@ def _count_block(shards: int, all_pairs: bool):
             else:
                 names, counts = add_up(keys, trains)
             for s, at in _split(names, shards):
-                rows.append((s, block, kind, names[at].tobytes(), counts[at].astype(np.uint32).tobytes()))
+                rows.append((s, block, kind, pack(names[at], KEY_BYTES[kind]), pack(counts[at], 4)))
         # Heaps exponent of followers: least squares of log followers on log count, over this block's words.
         before = np.concatenate([[END], tokens[:-1]]).astype(np.uint64)[trains]
         words, counts = add_up(before)
         if len(words):
-            follow = np.unique(np.stack([np.searchsorted(words, before).astype(np.uint64), tokens[trains]]), axis=1)[0]
-            x, y = np.log(counts), np.log(np.bincount(follow.astype(np.int64), minlength=len(words)))
+            _, once = np.unique(pairs_of(tokens)[trains], return_index=True)
+            followers = np.bincount(np.searchsorted(words, before[once]), minlength=len(words))
+            x, y = np.log(counts), np.log(followers)
             rows.append((0, block, "s", np.array([x @ x, x @ y]).tobytes(), b""))
         return pa.table({n: pa.array([r[k] for r in rows], t) for k, (n, t) in enumerate((("shard", pa.int64()), ("block", pa.int64()), ("kind", pa.string()), ("keys", pa.binary()), ("counts", pa.binary())))})
 
@@ -187,8 +185,8 @@ def _build_shard(answer_levels: bool):
     def run(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         kinds, blocks = table.column("kind").to_pylist(), table.column("block").to_pylist()
-        keys = [np.frombuffer(k.as_py(), np.float64 if kind == "s" else np.uint64) for k, kind in zip(table.column("keys"), kinds, strict=True)]
-        counts = [np.frombuffer(c.as_py(), np.uint32) for c in table.column("counts")]
+        keys = [np.frombuffer(k.as_py(), np.float64) if kind == "s" else unpack(k.as_py(), KEY_BYTES[kind]) for k, kind in zip(table.column("keys"), kinds, strict=True)]
+        counts = [unpack(c.as_py(), 4).astype(np.int64) for c in table.column("counts")]
         rows, filtered = [], []
         stats = dict.fromkeys(("n", "v", "once", "pairs"), 0)
         totals = {}
@@ -232,7 +230,7 @@ def _gather(rows: pa.Table, kind: str, names: np.ndarray, shards: int, dtype) ->
 def _score_block(shards: int, shared, model: dict):
     def run(documents: pa.Table, answers: pa.Table) -> pa.Table:
         n = documents.num_rows
-        tokens, sizes = Tokens().of(documents.column("text").to_pylist()) if n else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        tokens, sizes = tokens_of(documents.column("text").combine_chunks()) if n else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         words, at_word = np.unique(tokens, return_inverse=True)
         pairs, at_pair = np.unique(pairs_of(tokens), return_inverse=True) if n else (words, at_word)
         exact = _gather(answers, "r", words, shards, np.int64)
@@ -271,15 +269,14 @@ def score_documents(documents: DataFrame, filter_bytes: int = FILTER_BYTES, bloc
 
     def build(partitioned: bool) -> DataFrame:
         packed = dealt.groupBy("block").applyInArrow(_count_block(blocks, partitioned), PACKED)
-        made = materialise(packed.groupBy("shard").applyInArrow(_build_shard(partitioned), SHARDS), "lm-shards")
-        release(spark)
-        return made
+        return materialise(packed.groupBy("shard").applyInArrow(_build_shard(partitioned), SHARDS), "lm-shards")
 
     shards = build(False)
     size = shards.filter("kind = 'f'").agg(F.sum(F.length("data")).alias("n")).first().n or 0
     partitioned = size > filter_bytes
     if partitioned:
         shards = build(True)
+    release(spark)
     sums = shards.agg(*(F.sum(c).alias(c) for c in ("n", "v", "once", "pairs"))).first()
     heaps = np.zeros(2)
     for row in shards.filter("kind = 's'").select("data").toLocalIterator():
