@@ -5,14 +5,14 @@ intersection reaches T = ceil(J/(1+J) * (a+b)), so the search for one set is a T
 
 1. Equal sets are one class, named by a 64-bit hash of the set; only classes go on.
 2. Short lists: under an order of shingles that is random (their hashes), each class posts its first PREFIX shingles.
-   Of the first 32 of a linked pair's union each is in both with chance J, so fewer than COMMON = 6 common ones have
-   a chance below 3e-12 at J = 0.75. A class leaves out its 5 most frequent posted shingles, the long lists, and with
-   fewer than 6 that another class posts too it has no partner. Each class is held against the smallest class of each
-   of its lists, exactly, over both whole sets; the links found make provisional components.
+   Of the first 32 of a linked pair's union each is in both with chance J, so fewer than COMMON = 8 common ones have
+   a chance below 3e-9 at J = 0.75, less above. A class leaves out its 7 most frequent posted shingles, the long lists,
+   and with fewer than 8 that another class posts too it has no partner. Each class is held against one class of each
+   of its lists, that with the most shared shingles, exactly, over both whole sets; the links make provisional components.
 3. Lists that still hold classes of several components are searched in blocks: DivideSkip over the posted shingles finds,
-   for each class, the classes of other components with enough posted shingles in common; those go to a second block
-   search, DivideSkip over their whole sets, for the links. A list beyond BLOCK classes is dealt into slices, and each
-   pair of slices is a block, so no list is gathered in one task.
+   for each class, the classes of other components with enough posted shingles in common; these pairs meet again with
+   their whole sets, block by block, for the links. A list is dealt by bands of set sizes that can link, and a band beyond BLOCK
+   classes into slices, each pair of which is a block, so no list is gathered in one task.
 4. Links give components by label propagation with pointer jumping; every document takes its class's component.
 
 Candidate pairs are only looked at in the block of the smallest kept shingle that both have.
@@ -28,64 +28,45 @@ import hashlib
 import heapq
 import math
 from bisect import bisect_left
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, mix64, release, signed, utf8
+from .common import hashed_words, materialise, mix64, release, signed, text_rounds
 
 WORDS = 5
 SIMILARITY = (75, 100)
 PREFIX = 32
-COMMON = 6
+COMMON = 8
 BLOCK = 1024
-CACHE = 800_000
 FACTOR = 0xD1342543DE82EF95
 
 
-class Shingler:
-    """Sorted distinct shingle hashes of whole texts; letters A-Z lower-cased, words between ASCII white space."""
-
-    def __init__(self, words: int = WORDS):
-        self.words = words
-        self.known: dict[bytes, int] = {}
-
-    def sets(self, texts: list[str | None]):
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size < 6_000_000):
-                size += len(texts[end] or "")
-                end += 1
-            yield from self._round(texts[at:end])
-            at = end
-
-    def _round(self, texts):
-        split = [utf8(t).lower().split() for t in texts]
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        flat = [w for words in split for w in words]
-        for w in set(flat).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w, 6)
-        hashed = np.fromiter(map(known.__getitem__, flat), np.uint64, len(flat))
-        k, at = self.words, 0
+def shingle_sets(column: pa.Array, words: int = WORDS):
+    """Sorted distinct shingle hashes of each whole text; letters A-Z lower-cased, words between ASCII white space."""
+    for _, texts in text_rounds(column):
+        hashed, counts = hashed_words(pc.ascii_lower(texts), 6)
         with np.errstate(over="ignore"):
-            rolled = np.zeros(max(0, len(flat) - k + 1), np.uint64)
-            for j in range(k):
-                rolled = mix64(rolled * np.uint64(FACTOR) + hashed[j : len(rolled) + j])
-            for words in split:
-                n = len(words)
-                if n >= k:
-                    yield np.unique(rolled[at : at + n - k + 1])
+            rolled = np.zeros(max(0, len(hashed) - words + 1), np.uint64)
+            for j in range(words):
+                rolled *= np.uint64(FACTOR)
+                rolled += hashed[j : len(rolled) + j]
+                rolled ^= rolled >> np.uint64(32)
+            rolled = mix64(rolled)
+            at = 0
+            for n in counts.tolist():
+                if n >= words:
+                    s = np.sort(rolled[at : at + n - words + 1])
+                    yield s[np.concatenate([[True], s[1:] != s[:-1]])]
                 elif n:
-                    one = np.zeros(1, np.uint64)
+                    one = np.full(1, n, np.uint64)
                     for h in hashed[at : at + n]:
                         one = mix64(one * np.uint64(FACTOR) + h)
-                    yield mix64(one + np.uint64(n))
+                    yield one
                 else:
                     yield np.zeros(0, np.uint64)
                 at += n
@@ -144,62 +125,27 @@ def divide_skip(lists: list[list[int]], least: int, mu: float = 0.02) -> list[tu
     return out
 
 
-def block_search(sets: list[np.ndarray], components: list[int], first: list[bool] | None, least_of, accept) -> list[tuple[int, int]]:
-    """Pairs (i, j) of different components that DivideSkip finds over a block's inverted lists.
-
-    `first`: with two slices, which of the two a set is in; only pairs across are looked at. `least_of(i)`: the least
-    occurrences any partner of set i needs; `accept(i, j, count)`: whether a pair counts. A set found linked joins
-    its partner's component, so one link for each pair of components is enough.
-    """
-    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
-    index: dict[int, list[int]] = {}
-    root = {c: c for c in components}
-
-    def find(c):
-        while root[c] != c:
-            root[c] = root[root[c]]
-            c = root[c]
-        return c
-
-    found = []
-    for rank, i in enumerate(order):
-        own = sets[i].tolist()
-        lists = [index[s] for s in own if s in index]
-        hits = divide_skip(lists, least_of(i)) if lists else []
-        for j_rank, count in hits:
-            j = order[j_rank]
-            if (first is None or first[i] != first[j]) and find(components[i]) != find(components[j]) and accept(i, j, count):
-                found.append((i, j))
-                root[find(components[i])] = find(components[j])
-        for s in own:
-            index.setdefault(s, []).append(rank)
-    return found
-
-
-SKETCHES = "doc_id long, n_shingles long, c1 long, c2 long, sketch array<long>"
+SKETCHES = "doc_id long, n_shingles long, c1 long, sketch array<long>, short binary"
 
 
 def shingle_sketches(documents: DataFrame, words: int = WORDS, prefix: int = PREFIX) -> DataFrame:
-    """Size, 128-bit class hash and posted shingles of every whole text."""
+    """Size, class hash and posted shingles of every whole text, and the upper halves of these as bytes."""
 
     def run(batches):
-        shingler = Shingler(words)
         for batch in batches:
-            sizes, ones, twos, posted = [], [], [], []
-            for s in shingler.sets(batch.column("text").to_pylist()):
-                one, two = class_hash(s)
+            sizes, ones, posted, shorts = [], [], [], []
+            for s in shingle_sets(batch.column("text"), words):
                 sizes.append(len(s))
-                ones.append(one)
-                twos.append(two)
+                ones.append(class_hash(s))
                 posted.append(signed(s[:prefix]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(ones, pa.int64()), pa.array(twos, pa.int64()), pa.array(posted, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "c1", "c2", "sketch"])
+                shorts.append((s[:prefix] >> np.uint64(32)).astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(ones, pa.int64()), pa.array(posted, pa.list_(pa.int64())), pa.array(shorts, pa.binary())], ["doc_id", "n_shingles", "c1", "sketch", "short"])
 
     return documents.select("doc_id", "text").mapInArrow(run, SKETCHES)
 
 
-def class_hash(shingles: np.ndarray) -> tuple[int, int]:
-    one, two = np.frombuffer(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest(), np.int64)
-    return int(one), int(two)
+def class_hash(shingles: np.ndarray) -> int:
+    return int(np.frombuffer(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), np.int64)[0])
 
 
 def whole_sets(documents: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame:
@@ -207,10 +153,9 @@ def whole_sets(documents: DataFrame, ids: DataFrame, words: int = WORDS) -> Data
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids.select("id", "doc_id").distinct(), "doc_id")
 
     def run(batches):
-        shingler = Shingler(words)
         for batch in batches:
-            sets = list(shingler.sets(batch.column("text").to_pylist()))
-            same = pa.array([class_hash(s)[0] == i for s, i in zip(sets, batch.column("id").to_pylist(), strict=True)], pa.bool_())
+            sets = list(shingle_sets(batch.column("text"), words))
+            same = pa.array([class_hash(s) == i for s, i in zip(sets, batch.column("id").to_pylist(), strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("id").filter(same), pa.array([s.tobytes() for s in sets], pa.binary()).filter(same)], ["id", "shingles"])
 
     return texts.mapInArrow(run, "id long, shingles binary").groupBy("id").agg(F.first("shingles").alias("shingles"))
@@ -228,7 +173,7 @@ def linked(pairs: DataFrame) -> DataFrame:
             keep = []
             for a, b in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True):
                 x, y = as_set(a), as_set(b)
-                keep.append(len(np.intersect1d(x, y, assume_unique=True)) >= required(len(x), len(y)))
+                keep.append(overlap(x, y) >= required(len(x), len(y)))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
 
@@ -265,60 +210,138 @@ def enough_common(a: str, b: str, na: str, nb: str):
     return F.size(F.array_intersect(a, b)) >= F.least(F.lit(COMMON), least)
 
 
-def slices_of(size):
-    return F.ceil(size / BLOCK).cast("int")
+def size_class(n: Column) -> Column:
+    """Linked sizes are in the same class or in neighbouring ones."""
+    up, down = SIMILARITY
+    return F.floor(F.log(n.cast("double")) / math.log(down / up) + 1e-9).cast("int")
 
 
-def blocks(rows: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Rows of lists (key, id, ...) with block numbers (key, i, j) and side: each pair of a long list's slices is a block."""
-    dealt = rows.join(sizes.select("key", slices_of(F.col("size")).alias("slices")), "key").withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int"))
-    ranges = F.when(F.col("slices") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("slices") - 1))
-    pairs = dealt.withColumn("other", F.explode(ranges))
-    return pairs.withColumn("i", F.least("slice", "other")).withColumn("j", F.greatest("slice", "other")).withColumn("side", F.col("slice") == F.col("i")).drop("other", "slices")
+def blocks(rows: DataFrame) -> DataFrame:
+    """Rows of lists (key, n, id, ...) with their blocks: (key, band, i, j, side).
 
+    A row is in the bands of its size class and the next, so linked sizes meet in the upper one's band; a band beyond
+    BLOCK rows is dealt into slices and each pair of slices is a block.
+    """
+    c = size_class(F.col("n"))
+    banded = rows.withColumn("low", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("band", c + F.col("low"))
+    sizes = banded.groupBy("key", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("slices"), F.min("low").alias("own"), F.min("component").alias("least"), F.max("component").alias("most"))
+    # A band without its own class, or of one component, has nothing to find.
+    sizes = sizes.filter("own = 0 and least < most").select("key", "band", "slices")
+    dealt = banded.join(sizes, ["key", "band"]).withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int"))
+    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    return pairs.withColumn("i", F.least("slice", "other")).withColumn("j", F.greatest("slice", "other")).withColumn("side", F.col("slice") == F.col("i")).drop("other", "slices", "slice")
 
-def _flag_block(table: pa.Table) -> pa.Table:
-    """Members of a block that have a partner of another component, by the posted shingles."""
-    ids, sizes, comps, key = (table.column(c).to_pylist() for c in ("id", "n", "component", "key"))
-    sets = [np.array(s, np.int64) for s in table.column("sketch").to_pylist()]
-    kept = [set(s) for s in table.column("kept").to_pylist()]
-    across = [bool(s) for s in table.column("side").to_pylist()] if table.column("i")[0] != table.column("j")[0] else None
-    up, down = SIMILARITY
-    flagged = set()
-    index: dict[int, list[int]] = {}
-    for k, s in enumerate(sets):
-        for x in s.tolist():
-            index.setdefault(x, []).append(k)
-    several = set(comps)
-    if len(several) > 1:
-        counts = {c: comps.count(c) for c in several} if len(several) < 50 else None
-        most = max(counts, key=counts.get) if counts else None
-        for k, s in enumerate(sets):
-            if comps[k] == most and most is not None:
-                continue  # found from the other side
-            lists = [[m for m in index[x] if comps[m] != comps[k]] for x in s.tolist()]
-            least = min(COMMON, -(-up * sizes[k] // down))
-            for m, count in divide_skip(lists, least):
-                need = min(COMMON, required(sizes[k], sizes[m]))
-                fits = sizes[k] * down >= sizes[m] * up and sizes[m] * down >= sizes[k] * up
-                if fits and count >= need and (across is None or across[k] != across[m]) and min(kept[k] & kept[m]) == key[k]:
-                    flagged |= {k, m}
-    some = sorted(flagged)
-    return pa.table({"key": pa.array([key[k] for k in some], pa.int64()), "id": pa.array([ids[k] for k in some], pa.int64()), "component": pa.array([comps[k] for k in some], pa.int64())})
-
-
-def _link_block(table: pa.Table) -> pa.Table:
-    """Links between components in a block, by whole sets."""
-    ids, comps = table.column("id").to_pylist(), table.column("component").to_pylist()
-    sets = [as_set(s) for s in table.column("shingles").to_pylist()]
-    across = [bool(s) for s in table.column("side").to_pylist()] if table.column("i")[0] != table.column("j")[0] else None
+
+def runs(batches, keys: list[str]):
+    """Slices of record batches that hold whole groups of rows sorted by some columns, and the groups' bounds.
+
+    One slice holds many groups: most lists are short, and a call for each would cost more than the search.
+    """
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        table = table.combine_chunks()
+        heads = np.zeros(table.num_rows, bool)
+        for k in keys:
+            x = table.column(k).to_numpy()
+            heads[1:] |= x[1:] != x[:-1]
+        heads[:1] = True
+        at = np.flatnonzero(heads)
+        if len(at) > 1:
+            yield table.slice(0, int(at[-1])), at
+        held = table.slice(int(at[-1])) if len(at) else None
+    if held is not None and held.num_rows:
+        yield held.combine_chunks(), np.array([0, held.num_rows])
+
+
+BLOCK_KEYS = ["key", "band", "i", "j"]
+FLAGGED = "key long, band int, i int, j int, id long, component long, partners array<long>"
+
+
+def _flag_blocks(batches):
+    """Of each block the members with a partner of another component by the posted shingles, with these partners."""
     up, down = SIMILARITY
-    found = block_search(sets, comps, across, lambda i: max(1, -(-up * len(sets[i]) // down)), lambda i, j, n: n >= required(len(sets[i]), len(sets[j])))
-    return pa.table({"a": pa.array([ids[i] for i, _ in found], pa.int64()), "b": pa.array([ids[j] for _, j in found], pa.int64())})
+    for table, at in runs(batches, BLOCK_KEYS):
+        cols = {c: table.column(c).to_pylist() for c in ("key", "band", "i", "j", "id", "n", "component", "mask", "side", "low", "short")}
+        found: dict[int, set[int]] = {}
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            comps = cols["component"][a:b]
+            often, times = Counter(comps).most_common(1)[0]
+            if times == b - a:
+                continue
+            sets = [np.frombuffer(x, "<u4").tolist() for x in cols["short"][a:b]]
+            sizes, low, side = cols["n"][a:b], cols["low"][a:b], cols["side"][a:b]
+            across = cols["i"][a] != cols["j"][a]
+            first = (cols["key"][a] % (1 << 64)) >> 32
+            # Of the largest component none looks for partners; they are looked for by the others.
+            order = sorted(range(b - a), key=lambda k: (comps[k] != often, sizes[k]))
+            index: dict[int, list[int]] = {}
+            for rank, k in enumerate(order):
+                if comps[k] != often or times == 1:
+                    lists = [index[x] for x in sets[k] if x in index]
+                    for hit, count in divide_skip(lists, min(COMMON, -(-up * sizes[k] // down))):
+                        m = order[hit]
+                        if (
+                            comps[m] != comps[k] and not (low[k] and low[m]) and (not across or side[k] != side[m]) and sizes[k] * down >= sizes[m] * up and sizes[m] * down >= sizes[k] * up
+                            and count >= min(COMMON, required(sizes[k], sizes[m])) and _first_kept(sets[k], cols["mask"][a + k], sets[m], cols["mask"][a + m]) == first
+                        ):
+                            found.setdefault(a + k, set()).add(cols["id"][a + m])
+                            found.setdefault(a + m, set())
+                for x in sets[k]:
+                    index.setdefault(x, []).append(rank)
+        some = sorted(found)
+        yield pa.RecordBatch.from_arrays([*(pa.array([cols[c][k] for k in some], t) for c, t in (("key", pa.int64()), ("band", pa.int32()), ("i", pa.int32()), ("j", pa.int32()), ("id", pa.int64()), ("component", pa.int64()))), pa.array([sorted(found[k]) for k in some], pa.list_(pa.int64()))], [*BLOCK_KEYS, "id", "component", "partners"])
+
+
+def _first_kept(a: list[int], a_mask: int, b: list[int], b_mask: int) -> int:
+    """The smallest posted shingle that both kept."""
+    there = {x for k, x in enumerate(b) if b_mask >> k & 1}
+    return next((x for k, x in enumerate(a) if a_mask >> k & 1 and x in there), -1)
+
+
+def _link_blocks(batches):
+    """Links between components among a block's flagged pairs, by whole sets; a component found linked needs no more."""
+    for table, at in runs(batches, BLOCK_KEYS):
+        ids, comps, partners = (table.column(c).to_pylist() for c in ("id", "component", "partners"))
+        raw = table.column("shingles")
+        links = []
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            place = {ids[k]: k for k in range(a, b)}
+            sets = {k: as_set(raw[k].as_py()) for k in range(a, b)}
+            root = {c: c for c in comps[a:b]}
+
+            def find(c, root=root):
+                while root[c] != c:
+                    root[c] = root[root[c]]
+                    c = root[c]
+                return c
+
+            for k in range(a, b):
+                for other in partners[k]:
+                    m = place[other]
+                    x, y = sets[k], sets[m]
+                    if find(comps[k]) != find(comps[m]) and overlap(x, y) >= required(len(x), len(y)):
+                        links.append((ids[k], other))
+                        root[find(comps[k])] = find(comps[m])
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+
+def overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """Common entries of two sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    return int((y[at] == x).sum()) if len(y) else 0
+
+
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows of a block side by side."""
+    return rows.repartition(*BLOCK_KEYS).sortWithinPartitions(*BLOCK_KEYS, "id")
 
 
 def posted_lists(classes: DataFrame) -> DataFrame:
-    """(id, doc_id, n, sketch, kept) of the classes that may have a partner.
+    """(id, doc_id, n, sketch, short, shared, kept, mask) of the classes that may have a partner.
 
     Linked classes have T = min(COMMON, least overlap) posted shingles in common, so each leaves out its T - 1 most
     frequent ones, the long lists, and still meets every partner in a shorter one; with fewer than T shared ones it
@@ -329,8 +352,9 @@ def posted_lists(classes: DataFrame) -> DataFrame:
     counts = posted.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     least = F.least(F.lit(COMMON), F.ceil(F.col("n") * up / down)).cast("int")
     shared = posted.join(counts, "key").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("size", "key")), asc=False).alias("keys"))
-    kept = shared.filter(F.size("keys") >= least).select("id", F.slice(F.col("keys.key"), least, F.size("keys")).alias("kept"))
-    return classes.join(kept, "id").select("id", "doc_id", "n", "sketch", "kept")
+    kept = shared.filter(F.size("keys") >= least).select("id", F.size("keys").alias("shared"), F.slice(F.col("keys.key"), least, F.size("keys")).alias("kept"))
+    mask = F.expr("aggregate(transform(sketch, (x, i) -> if(array_contains(kept, x), shiftleft(1L, i), 0L)), 0L, (a, x) -> a | x)")
+    return classes.join(kept, "id").select("id", "doc_id", "n", "sketch", "short", "shared", "kept", mask.alias("mask"))
 
 
 def class_components(documents: DataFrame, classes: DataFrame) -> DataFrame:
@@ -338,8 +362,9 @@ def class_components(documents: DataFrame, classes: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     classes = materialise(posted_lists(classes), "posted")
     release(spark)
-    lists = classes.select("id", F.explode("kept").alias("key"))
-    leaders = lists.groupBy("key").agg(F.min("id").alias("lead"), F.count("*").alias("size")).filter("size > 1").select("key", "lead")
+    lists = classes.select("id", "n", "shared", F.explode("kept").alias("key"))
+    # The class with the most shared shingles is likelier than others the text that the rest were made from.
+    leaders = lists.groupBy("key").agg(F.max_by("id", F.struct(F.col("shared") / F.least("n", F.lit(PREFIX)), "n", "id")).alias("lead"), F.count("*").alias("size")).filter("size > 1").select("key", "lead")
     pairs = lists.join(leaders, "key").filter("id <> lead").select("id", "lead").distinct()
     pairs = pairs.join(classes.select("id", "doc_id", "n", "sketch"), "id").join(classes.select(F.col("id").alias("lead"), F.col("doc_id").alias("ldoc"), F.col("n").alias("ln"), F.col("sketch").alias("ls")), "lead")
     pairs = pairs.filter(within_size("n", "ln") & enough_common("sketch", "ls", "n", "ln")).select(F.col("id").alias("a"), F.col("lead").alias("b"), "doc_id", "ldoc")
@@ -354,17 +379,18 @@ def class_components(documents: DataFrame, classes: DataFrame) -> DataFrame:
     now = materialise(components(classes, first), "first-components")
     release(spark)
 
-    placed = lists.join(now, "id")
-    open_lists = materialise(placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("low < high").select("key", F.col("n").alias("size")), "open-lists")
-    members = placed.join(open_lists.select("key"), "key").join(classes, "id")
-    flagged = blocks(members, open_lists).groupBy("key", "i", "j").applyInArrow(_flag_block, "key long, id long, component long").distinct()
+    placed = lists.select("id", "key").join(now, "id")
+    open_lists = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most").select("key")
+    members = materialise(placed.join(open_lists, "key").join(classes.select("id", "n", "short", "mask"), "id"), "members")
+    release(spark)
+    flagged = in_blocks(blocks(members)).mapInArrow(_flag_blocks, FLAGGED)
     flagged = materialise(flagged, "flagged")
     release(spark)
     if not flagged.take(1):
         return now
-    sizes = flagged.groupBy("key").agg(F.count("*").alias("size"))
     sets = materialise(whole_sets(documents, flagged.select("id").distinct().join(classes.select("id", "doc_id"), "id")), "whole-sets")
-    more = blocks(flagged, sizes).join(sets, "id").groupBy("key", "i", "j").applyInArrow(_link_block, "a long, b long").distinct()
+    release(spark)
+    more = in_blocks(flagged.join(sets, "id")).mapInArrow(_link_blocks, "a long, b long").distinct()
     more = materialise(more, "more-links")
     release(spark)
     return components(classes, first.union(more))
@@ -374,7 +400,7 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     spark = documents.sparkSession
     rows = materialise(shingle_sketches(documents), "sketches")
-    classes = rows.filter("doc_id is not null and n_shingles > 0").groupBy("c1").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")).withColumnRenamed("c1", "id")
+    classes = rows.filter("doc_id is not null and n_shingles > 0").groupBy("c1").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("short").alias("short")).withColumnRenamed("c1", "id")
     classes = materialise(classes, "classes")
     release(spark)
     found = materialise(class_components(documents.filter("doc_id is not null"), classes), "components")
