@@ -1,6 +1,6 @@
 """Operator 7, toxicity: a weighted lexicon matched by Aho-Corasick on folded text.
 
-Folding lower-cases, turns homoglyphs and the digits and signs used for letters into those letters (digits only in
+Folding lower-cases, drops accents, turns homoglyphs and the digits and signs used for letters into those letters (digits only in
 a token that has letters as well) and all that is no letter or digit into one space. Terms are whole folded words,
 and stems that begin a word. The weight of a term is its log odds among toxic and other documents; phrases of a term
 and a neighbour that are found in clean documents are exceptions, whose occurrences count nothing. The sum of weights
@@ -30,7 +30,7 @@ from .common import fold_hash
 
 SAMPLE = 8000
 THRESHOLD = 0.3
-LEAST_DOCUMENTS, LEAST_SHARE, LEAST_ODDS = 5, 0.01, 3.0
+LEAST_DOCUMENTS, LEAST_SHARE, LEAST_ODDS = 5, 0.015, 3.0
 STEM_LENGTHS = range(4, 9)
 TERM_LIMIT = 20_000
 
@@ -51,7 +51,7 @@ class _Fold(dict):
         if char in DIGITS or char in SIGNS or char == "!":
             out = char
         else:
-            base = unicodedata.normalize("NFKC", char).lower()
+            base = unicodedata.normalize("NFKD", char).lower()
             out = "".join(HOMOGLYPHS.get(c, c if c.isalnum() else " ") for c in base if not unicodedata.combining(c)) if base else " "
             if unicodedata.category(char) in ("Cf", "Mn"):
                 out = ""
