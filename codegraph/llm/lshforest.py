@@ -1,6 +1,6 @@
 """Operator 9, approximate nearest neighbours: a hash-prefix forest.
 
-Every vector has one hash string of 48 bits for each tree: the sides of random hyperplanes set at the sample's median
+Every vector has one hash string of 24 bits for each of 64 trees: the sides of random hyperplanes set at the sample's median
 projection. A tree is the sorted array of its strings. A query descends each tree to its longest matching prefix, then
 all trees ascend together, one bit at a time, until their prefixes hold enough candidates; those are ranked by exact
 Euclidean distance in double precision.
@@ -23,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TREES, BITS = 12, 48
-CANDIDATES = 0.12
-LEAST_CANDIDATES = 400
+TREES, BITS = 64, 24
+CANDIDATES = 0.4
+LEAST_CANDIDATES = 1500
+ROWS_A_ROUND = 4096
 SAMPLE = 4096
 BLOCK = 65_536
 QUERY_BYTES = 16 << 20
@@ -52,11 +53,12 @@ class Hyperplanes:
 
     def strings(self, x: np.ndarray) -> np.ndarray:
         """(trees, rows) hash strings, first bit most significant."""
-        sides = (x @ self.planes > self.at).reshape(len(x), self.trees, self.bits)
-        out = np.zeros((len(x), self.trees), np.uint64)
-        for b in range(self.bits):
-            out = (out << np.uint64(1)) | sides[:, :, b].astype(np.uint64)
-        return out.T
+        out = np.zeros((self.trees, len(x)), np.uint64)
+        for k in range(0, len(x), ROWS_A_ROUND):
+            sides = (x[k : k + ROWS_A_ROUND] @ self.planes > self.at).reshape(-1, self.trees, self.bits)
+            for b in range(self.bits):
+                out[:, k : k + ROWS_A_ROUND] = (out[:, k : k + ROWS_A_ROUND] << np.uint64(1)) | sides[:, :, b].T.astype(np.uint64)
+        return out
 
 
 class Forest:
@@ -106,7 +108,7 @@ def search_block(planes: Hyperplanes, ids: np.ndarray, vectors: np.ndarray, quer
     members = ids[order[once]]
     bounds = np.searchsorted(group[order[once]], np.arange(len(first) + 1))
     forest = Forest(planes, vectors[first])
-    least = TREES * max(LEAST_CANDIDATES, int(CANDIDATES * len(first)) // 4)
+    least = max(LEAST_CANDIDATES, int(CANDIDATES * len(first)))
     for own, vector, found in zip(query_ids, queries, forest.candidates(queries, least), strict=True):
         far = np.sqrt(np.square(forest.vectors[found] - vector).sum(axis=1))
         if len(found) > k + 1:
