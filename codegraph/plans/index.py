@@ -99,5 +99,15 @@ def run(spark: SparkSession, config: IndexerConfig, progress=None) -> str | None
     return path
 
 
+def core_counts(spark: SparkSession, config: IndexerConfig) -> dict[str, int]:
+    """Files, hashes, classes, methods and SQL definitions below the configured roots; hashing can be switched off."""
+    roots = [*split_roots(config.ef_root), *split_roots(config.sql_root)]
+    listed = repo.files(spark, roots, content=False, hashes=not config.skip_hashes)
+    items = listed.agg(F.count("*").alias("files"), F.count("sha256").alias("hashes")).first()
+    stats = code.statistics(parse.parse_csharp(repo.model_files(spark, split_roots(config.ef_root))).withColumn("project_name", F.lit(""))).first()
+    found = sql.definition_artifacts(parse.parse_tsql(repo.sql_files(spark, config.sql_root or config.ef_root))).count()
+    return {"files": items.files, "hashes": items.hashes, "classes": stats.class_count or 0, "methods": stats.method_count or 0, "definitions": found}
+
+
 def counts(nodes: DataFrame, column: str) -> DataFrame:
     return nodes.groupBy(column).agg(F.count("*").alias("n"))

@@ -119,3 +119,11 @@ def test_file_scoped_namespaces_have_no_block_form():
 def test_broken_code_does_not_raise():
     for text in ("", "class", "class X {", "class X { void M(", '"never', '$"{', "/*", "#if", "class X { int P { get; ", "namespace", "[A(", "}}}}", "class X : ", '"""'):
         lex_csharp.recognise(text)
+
+
+def test_a_file_that_cannot_be_parsed_keeps_its_quoted_texts(monkeypatch):
+    from codegraph.functions import parse
+
+    monkeypatch.setattr(lex_csharp, "recognise", lambda text: 1 / 0)
+    row = parse.csharp_row('a = "SELECT 1 FROM t";\nb')
+    assert row["error"].startswith("ZeroDivisionError") and [(x["value"], x["line"]) for x in row["literals"]] == [("SELECT 1 FROM t", 1)]

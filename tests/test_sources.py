@@ -82,6 +82,7 @@ def test_a_whole_run(spark, tmp_path):
     put(tmp_path, **{"db/T.sql": 'CREATE TABLE dbo.Customer (Id INT, Name NVARCHAR(10) DEFAULT \'a"b\')', "db/V.sql": "CREATE VIEW dbo.V AS SELECT * FROM Customer", "src/M.cs": "class Customer {} class Ctx : DbContext { public DbSet<Customer> Customers { get; set; } void Go() { Run(); } void Run() { } }",
                      "src/Mig.cs": 'class V1 : Migration { void Up(B b) { b.CreateTable("Blogs"); } }', "src/R.cs": 'class R { void M() { db.SqlQuery("SELECT * FROM dbo.Customer"); } }'})
     made = config.IndexerConfig(temp_root=str(tmp_path / "tmp"), out_root=str(tmp_path / "out"), sql_root=str(tmp_path / "db"), model_root=str(tmp_path / "src"), migrations_root=str(tmp_path / "src"), inline_sql_root=str(tmp_path / "src"))
+    assert index.core_counts(spark, made) == {"files": 5, "hashes": 5, "classes": 4, "methods": 4, "definitions": 2}
     path = index.run(spark, made)
     with zipfile.ZipFile(path) as z:
         names = set(z.namelist())
