@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import os
 import tempfile
@@ -65,6 +66,18 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """For steps whose rows are long: so many rows an Arrow batch, and the session's own number afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 _held: dict[str, object] = {}
 
 

@@ -36,13 +36,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed_words, materialise, mix64, release, signed, text_rounds
+from .common import hashed_words, materialise, mix64, release, signed, small_batches, text_rounds
 
 WORDS = 5
 SIMILARITY = (75, 100)
 PREFIX = 32
 COMMON = 8
 BLOCK = 1024
+PAIRS_A_BATCH = 100_000
+DENSE = 48
 FACTOR = 0xD1342543DE82EF95
 
 
@@ -149,8 +151,11 @@ def class_hash(shingles: np.ndarray) -> int:
 
 
 def whole_sets(documents: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame:
-    """(id, shingles binary) of the classes (id, doc_id) asked for, one row each, from the text of that document."""
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids.select("id", "doc_id").distinct(), "doc_id")
+    """(id, shingles binary) of the classes (id, doc_id) asked for, one row each, from the text of that document.
+
+    The ids grow with the documents, so they are merged with them at every size and never broadcast.
+    """
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids.select("id", "doc_id").distinct().hint("merge"), "doc_id")
 
     def run(batches):
         for batch in batches:
@@ -264,33 +269,113 @@ def _flag_blocks(batches):
     for table, at in runs(batches, BLOCK_KEYS):
         cols = {c: table.column(c).to_pylist() for c in ("key", "band", "i", "j", "id", "n", "component", "mask", "side", "low", "short")}
         found: dict[int, set[int]] = {}
+        pairs = 0
+
+        def flush(cols=cols, found=found):
+            some = sorted(found)
+            return pa.RecordBatch.from_arrays([*(pa.array([cols[c][k] for k in some], t) for c, t in (("key", pa.int64()), ("band", pa.int32()), ("i", pa.int32()), ("j", pa.int32()), ("id", pa.int64()), ("component", pa.int64()))), pa.array([sorted(found[k]) for k in some], pa.list_(pa.int64()))], [*BLOCK_KEYS, "id", "component", "partners"])
+
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
             comps = cols["component"][a:b]
             often, times = Counter(comps).most_common(1)[0]
             if times == b - a:
                 continue
-            sets = [np.frombuffer(x, "<u4").tolist() for x in cols["short"][a:b]]
-            sizes, low, side = cols["n"][a:b], cols["low"][a:b], cols["side"][a:b]
-            across = cols["i"][a] != cols["j"][a]
-            first = (cols["key"][a] % (1 << 64)) >> 32
-            # Of the largest component none looks for partners; they are looked for by the others.
-            order = sorted(range(b - a), key=lambda k: (comps[k] != often, sizes[k]))
-            index: dict[int, list[int]] = {}
-            for rank, k in enumerate(order):
-                if comps[k] != often or times == 1:
-                    lists = [index[x] for x in sets[k] if x in index]
-                    for hit, count in divide_skip(lists, min(COMMON, -(-up * sizes[k] // down))):
-                        m = order[hit]
-                        if (
-                            comps[m] != comps[k] and not (low[k] and low[m]) and (not across or side[k] != side[m]) and sizes[k] * down >= sizes[m] * up and sizes[m] * down >= sizes[k] * up
-                            and count >= min(COMMON, required(sizes[k], sizes[m])) and _first_kept(sets[k], cols["mask"][a + k], sets[m], cols["mask"][a + m]) == first
-                        ):
-                            found.setdefault(a + k, set()).add(cols["id"][a + m])
-                            found.setdefault(a + m, set())
-                for x in sets[k]:
-                    index.setdefault(x, []).append(rank)
-        some = sorted(found)
-        yield pa.RecordBatch.from_arrays([*(pa.array([cols[c][k] for k in some], t) for c, t in (("key", pa.int64()), ("band", pa.int32()), ("i", pa.int32()), ("j", pa.int32()), ("id", pa.int64()), ("component", pa.int64()))), pa.array([sorted(found[k]) for k in some], pa.list_(pa.int64()))], [*BLOCK_KEYS, "id", "component", "partners"])
+            sets = [np.frombuffer(x, "<u4") for x in cols["short"][a:b]]
+            search = _dense_pairs if b - a > DENSE else _sparse_pairs
+            for k, others in search(sets, [cols[c][a:b] for c in ("n", "component", "mask", "low", "side")], cols["i"][a] != cols["j"][a], (cols["key"][a] % (1 << 64)) >> 32, None if times == 1 else often):
+                found.setdefault(a + k, set()).update(cols["id"][a + m] for m in others)
+                for m in others:
+                    found.setdefault(a + m, set())
+                pairs += len(others)
+            if pairs > PAIRS_A_BATCH:
+                yield flush()
+                found.clear()
+                pairs = 0
+        yield flush()
+
+
+def _sparse_pairs(sets, columns, across, first, often):
+    """(k, partners) of a short block, list by list."""
+    up, down = SIMILARITY
+    sizes, comps, masks, low, side = columns
+    sets = [s.tolist() for s in sets]
+    # Of a component of several none looks for partners; they are looked for by the others.
+    order = sorted(range(len(sets)), key=lambda k: (comps[k] != often, sizes[k]))
+    index: dict[int, list[int]] = {}
+    for rank, k in enumerate(order):
+        if often is None or comps[k] != often:
+            lists = [index[x] for x in sets[k] if x in index]
+            others = []
+            for hit, count in divide_skip(lists, min(COMMON, -(-up * sizes[k] // down))):
+                m = order[hit]
+                if (
+                    comps[m] != comps[k] and not (low[k] and low[m]) and (not across or side[k] != side[m]) and sizes[k] * down >= sizes[m] * up and sizes[m] * down >= sizes[k] * up
+                    and count >= min(COMMON, required(sizes[k], sizes[m])) and _first_kept(sets[k], masks[k], sets[m], masks[m]) == first
+                ):
+                    others.append(m)
+            if others:
+                yield k, others
+        for x in sets[k]:
+            index.setdefault(x, []).append(rank)
+
+
+def _inverted(rows: np.ndarray, keys: np.ndarray):
+    """Sorted lists of rows by key: keys, bounds, rows."""
+    order = np.lexsort((rows, keys))
+    names, at = np.unique(keys[order], return_index=True)
+    return names, np.append(at, len(keys)), rows[order].astype(np.int32)
+
+
+def _lists(inverted, keys: np.ndarray) -> list[np.ndarray]:
+    names, bounds, rows = inverted
+    at = np.searchsorted(names, keys)
+    return [rows[bounds[k] : bounds[k + 1]] for k, x in zip(at.tolist(), keys.tolist(), strict=True) if k < len(names) and names[k] == x]
+
+
+def _dense_pairs(sets, columns, across, first, often):
+    """The same in a long block: short lists are merged by counting, long ones probed by binary search, all entries at once."""
+    up, down = SIMILARITY
+    sizes, comps, masks, low, side = (np.array(c) for c in columns)
+    lengths = np.array([len(s) for s in sets])
+    keys, rows = np.concatenate(sets), np.repeat(np.arange(len(sets)), lengths)
+    place = np.arange(len(keys)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    everything = _inverted(rows, keys)
+    # Lists of kept shingles before the block's own: a pair that meets in one of them belongs to another block.
+    earlier = (masks[rows] >> place & 1).astype(bool) & (keys < first)
+    before = _inverted(rows[earlier], keys[earlier])
+    bounds = np.cumsum(lengths) - lengths
+    for k in range(len(sets)):
+        if often is not None and comps[k] == often:
+            continue
+        fits = (comps != comps[k]) & (sizes * down >= sizes[k] * up) & (sizes[k] * down >= sizes * up)
+        if often is None:
+            fits[k:] = False
+        else:
+            fits[k:] &= comps[k:] == often
+        if low[k]:
+            fits &= low == 0
+        if across:
+            fits &= side != side[k]
+        if not fits.any():
+            continue
+        lists = sorted(_lists(everything, sets[k]), key=len)
+        least = min(COMMON, -(-up * int(sizes[k]) // down))
+        aside = lists[len(lists) - (least - 1) :] if least > 1 else []
+        counts = np.bincount(np.concatenate(lists[: len(lists) - len(aside)]), minlength=len(sets)) if len(lists) > len(aside) else np.zeros(len(sets), np.int64)
+        hits = np.flatnonzero((counts > 0) & fits)
+        found = counts[hits]
+        for x in aside:
+            at = np.searchsorted(x, hits)
+            at[at == len(x)] = 0
+            found = found + (x[at] == hits)
+        need = np.minimum(COMMON, -(-up * (sizes[hits] + sizes[k]) // (up + down)))
+        hits = hits[found >= need]
+        own = slice(bounds[k], bounds[k] + lengths[k])
+        smaller = _lists(before, keys[own][earlier[own]])
+        if smaller and len(hits):
+            hits = hits[np.bincount(np.concatenate(smaller), minlength=len(sets))[hits] == 0]
+        if len(hits):
+            yield k, hits.tolist()
 
 
 def _first_kept(a: list[int], a_mask: int, b: list[int], b_mask: int) -> int:
@@ -302,8 +387,10 @@ def _first_kept(a: list[int], a_mask: int, b: list[int], b_mask: int) -> int:
 def _link_blocks(batches):
     """Links between components among a block's flagged pairs, by whole sets; a component found linked needs no more."""
     for table, at in runs(batches, BLOCK_KEYS):
-        ids, comps, partners = (table.column(c).to_pylist() for c in ("id", "component", "partners"))
-        raw = table.column("shingles")
+        ids, comps = (table.column(c).to_pylist() for c in ("id", "component"))
+        raw, listed = table.column("shingles"), table.column("partners").combine_chunks()
+        listed = listed.chunk(0) if isinstance(listed, pa.ChunkedArray) else listed
+        bounds, partners = listed.offsets.to_numpy(), listed.values.to_numpy()
         links = []
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
             place = {ids[k]: k for k in range(a, b)}
@@ -317,7 +404,7 @@ def _link_blocks(batches):
                 return c
 
             for k in range(a, b):
-                for other in partners[k]:
+                for other in partners[bounds[k] : bounds[k + 1]].tolist():
                     m = place[other]
                     x, y = sets[k], sets[m]
                     if find(comps[k]) != find(comps[m]) and overlap(x, y) >= required(len(x), len(y)):
@@ -384,14 +471,16 @@ def class_components(documents: DataFrame, classes: DataFrame) -> DataFrame:
     members = materialise(placed.join(open_lists, "key").join(classes.select("id", "n", "short", "mask"), "id"), "members")
     release(spark)
     flagged = in_blocks(blocks(members)).mapInArrow(_flag_blocks, FLAGGED)
-    flagged = materialise(flagged, "flagged")
+    with small_batches(spark):
+        flagged = materialise(flagged, "flagged")
     release(spark)
     if not flagged.take(1):
         return now
     sets = materialise(whole_sets(documents, flagged.select("id").distinct().join(classes.select("id", "doc_id"), "id")), "whole-sets")
     release(spark)
     more = in_blocks(flagged.join(sets, "id")).mapInArrow(_link_blocks, "a long, b long").distinct()
-    more = materialise(more, "more-links")
+    with small_batches(spark):
+        more = materialise(more, "more-links")
     release(spark)
     return components(classes, first.union(more))
 
