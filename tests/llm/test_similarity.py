@@ -77,6 +77,21 @@ def test_divide_skip():
         assert sorted(jaccardjoin.divide_skip(lists, least)) == sorted((x, n) for x, n in counts.items() if n >= least)
 
 
+def test_long_and_short_blocks_agree():
+    rng = random.Random(1)
+    for _ in range(60):
+        first, base = rng.getrandbits(32), [rng.getrandbits(32) for _ in range(50)]
+        sets = [np.array(sorted({x for x in base if rng.random() < 0.7} | {rng.getrandbits(32) for _ in range(rng.randint(0, 9))})[:31], "<u4") for _ in range(rng.randint(2, 60))]
+        sets = [np.unique(np.append(x, np.uint32(first))) for x in sets]
+        sizes = [len(x) + rng.randint(0, 8) for x in sets]
+        comps = [rng.choice([1, 1, 2, 3, k + 10]) for k in range(len(sets))]
+        masks = [rng.getrandbits(32) & ((1 << len(x)) - 1) | 1 << x.tolist().index(first) for x in sets]
+        columns = [sizes, comps, masks, [rng.randint(0, 1) for _ in sets], [rng.random() < 0.5 for _ in sets]]
+        often, times = Counter(comps).most_common(1)[0]
+        found = [{frozenset((k, m)) for k, others in search(sets, columns, len(sets) % 2 == 0, first, often if times > 1 else None) for m in others} for search in (jaccardjoin._sparse_pairs, jaccardjoin._dense_pairs)]
+        assert found[0] == found[1]
+
+
 def brute_lines(rows):
     """Lines that go, by the definition."""
     at = [((i, k), tuple(line.split())) for i, t in rows for k, line in enumerate((t or "").split("\n")) if line.split()]
