@@ -33,12 +33,12 @@ ROWS_A_PART = 100_000
 
 
 def gear_table() -> np.ndarray:
-    """64 random-looking bits for each residue of an id modulo 4096, from a rule."""
+    """32 random-looking bits for each residue of an id modulo 4096, from a rule."""
     x = np.arange(1, 4097, dtype=np.uint64)
     with np.errstate(over="ignore"):
         for shift, factor in ((33, 0xFF51AFD7ED558CCD), (29, 0xC4CEB9FE1A85EC53), (32, 0x9E3779B97F4A7C15)):
             x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return x
+    return (x >> np.uint64(32)).astype(np.uint32)
 
 
 GEAR = gear_table()
@@ -49,12 +49,12 @@ def cut_points(ids: np.ndarray) -> list[int]:
     n = len(ids)
     ends, start = [], 0
     if n > LEAST:
-        values = GEAR[ids & 4095]
-        rolling = np.zeros(n, np.uint64)
+        rolling, width = GEAR[ids & 4095], 1
         with np.errstate(over="ignore"):
-            for k in range(WINDOW):
-                rolling[WINDOW - 1 :] += values[WINDOW - 1 - k : n - k] << np.uint64(k)
-        hits = np.flatnonzero((rolling >> np.uint64(WINDOW - MASK_BITS)) & np.uint64((1 << MASK_BITS) - 1) == 0) + 1
+            while width < WINDOW:  # hashes of twice as many ids from two of those there are
+                rolling = rolling[width:] + (rolling[:-width] << np.uint32(width))
+                width *= 2
+        hits = np.flatnonzero((rolling >> np.uint32(WINDOW - MASK_BITS)) & np.uint32((1 << MASK_BITS) - 1) == 0) + WINDOW
         at = 0
         while n - start > LEAST:
             at = int(np.searchsorted(hits, start + LEAST, "left"))
