@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import gc
 import os
 import tempfile
@@ -81,15 +82,29 @@ def small_batches(spark: SparkSession, rows: int = 1000):
 _held: dict[str, object] = {}
 
 
+def tidy() -> None:
+    """Give memory that Arrow and the C library keep back to the system, which an executor's other processes need."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def worker_state(name: str, make):
     """What a worker process keeps between tasks: one operator's caches at a time, so that they don't add up."""
     if name not in _held:
-        _held.clear()
-        gc.collect()
+        if _held:
+            _held.clear()
+            gc.collect()
+            tidy()
         _held[name] = make()
     return _held[name]
 
 
+def forget() -> None:
+    """For operators that keep nothing: drop what an earlier one left in this worker."""
+    worker_state("nothing", lambda: None)
+
+
 def fold_hash(column, buckets: int, residue: int):
     """crc32 of an id as text, modulo `buckets`, equals `residue`; a null id is on the training side."""
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % buckets == residue, F.lit(False))
@@ -140,6 +155,7 @@ def ids_crc32(ids: np.ndarray) -> int:
 def hashed_words(column: pa.Array, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words between ASCII white space, and each text's number of them. Arrow splits and finds the
     distinct words; only those are hashed one by one."""
+    forget()
     lists = pc.ascii_split_whitespace(pc.fill_null(column, ""))
     counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     flat = lists.flatten()
@@ -161,6 +177,7 @@ def text_rounds(column: pa.Array, size: int = 8_000_000) -> Iterable[tuple[int,
         end = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
         yield at, column.slice(at, end - at)
         at = end
+    tidy()
 
 
 class Encoder:

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed_words, materialise, mix64, release, signed, small_batches, text_rounds
+from .common import forget, hashed_words, materialise, mix64, release, signed, small_batches, text_rounds
 
 WORDS = 5
 SIMILARITY = (75, 100)
@@ -266,6 +266,7 @@ FLAGGED = "key long, band int, i int, j int, id long, component long, partners a
 def _flag_blocks(batches):
     """Of each block the members with a partner of another component by the posted shingles, with these partners."""
     up, down = SIMILARITY
+    forget()
     for table, at in runs(batches, BLOCK_KEYS):
         cols = {c: table.column(c).to_pylist() for c in ("key", "band", "i", "j", "id", "n", "component", "mask", "side", "low", "short")}
         found: dict[int, set[int]] = {}
@@ -386,6 +387,7 @@ def _first_kept(a: list[int], a_mask: int, b: list[int], b_mask: int) -> int:
 
 def _link_blocks(batches):
     """Links between components among a block's flagged pairs, by whole sets; a component found linked needs no more."""
+    forget()
     for table, at in runs(batches, BLOCK_KEYS):
         ids, comps = (table.column(c).to_pylist() for c in ("id", "component"))
         raw, listed = table.column("shingles"), table.column("partners").combine_chunks()

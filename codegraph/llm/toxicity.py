@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_hash
+from .common import fold_hash, forget
 
 SAMPLE = 8000
 THRESHOLD = 0.3
@@ -220,6 +220,7 @@ def score_documents(documents: DataFrame, model: Model, threshold: float = THRES
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        forget()
         matcher = Matcher(shared.value)
         for batch in batches:
             scores, weights, words = [], [], []
@@ -247,6 +248,7 @@ def keep_clean(documents: DataFrame, labels: DataFrame) -> DataFrame:
     names = documents.columns
 
     def run(batches):
+        forget()
         matcher = Matcher(shared.value)
         for batch in batches:
             keep = [matcher.score(t) < THRESHOLD for t in batch.column(names.index("text")).to_pylist()]
