@@ -1,8 +1,9 @@
 """Operator 8, line dedup: a deletion-neighbourhood join over the words of lines.
 
-Lines that are equal but for white space are copies; lines of NEAR_WORDS words or more are near copies within one edit,
-that is one word put in, left out or replaced. The earliest line, by (doc_id, line number), stays; a line goes when an
-earlier one equals it or is within the bound of its text's earliest occurrence.
+Lines that are equal but for white space are copies; lines of `near_words` words or more are near copies within a bound
+of edits, that is words put in, left out or replaced: one, or `share` of the shorter line's words where that is more. The
+earliest line, by (doc_id, line number), stays; a line goes when an earlier one equals it or is within the bound of its
+text's earliest occurrence.
 
 1. Each line gets a 128-bit hash and hashes of its halves; equal lines meet in one aggregation, for their earliest.
 2. One edit leaves a half as it is, so a distinct line that shares no half with another has no partner.
@@ -11,8 +12,14 @@ earlier one equals it or is within the bound of its text's earliest occurrence.
    Rows are sorted by key and streamed: the first of a run is the earliest, which takes the others. Lines equal in a
    replaced-word key within a task meet there already, so a frequent key sends one row a batch.
 
-Equal keys prove the distance: the rest of the words is equal at equal places, by a 64-bit hash; `word_distance` is the
-plain definition that tests hold the result against.
+4. Lines that may differ in k = 2 words or more post the first 2k + 1 of their distinct pairs of neighbouring words, in
+   one order for all: k edits touch 2k pairs at most, so two lines within the bound share a posted one. The order puts
+   pairs of rare words first, by a sample's counts; any order gives the same result. Of the lines that share a posted
+   pair each is held against the earlier ones, first by bits of their words and then by the words themselves. A pair
+   posted by more than BLOCK lines is dealt into slices, each two of which are a block.
+
+In step 3 equal keys prove the distance: the rest of the words is equal at equal places, by a 64-bit hash;
+`word_distance` is the plain definition that tests hold the result against.
 
 Words are between ASCII white space. Defined results: a null text stays null, an empty one empty; blank lines stay; rows with a null doc_id stay as they are;
 rows that repeat both doc_id and text count as one document and stay both; a document may end up with no lines and an
@@ -28,9 +35,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hashed_words, materialise, mix64, release, signed, text_rounds, widened
+from .common import hashed_words, materialise, mix64, release, signed, text_rounds, utf8, widened
 
 NEAR_WORDS = 8
+#: Of a line's words, what may differ in op8 and in the pipeline; more than MOST_SHARE leaves no pair of words in common.
+SHARE = 0.1
+MOST_SHARE = 0.25
+BLOCK = 2048
+BITS = 256
+SAMPLE = (2000, 4000)  # documents, characters of each
+WEIGHTS = 1 << 20
 ASCII_SPACE = " \t\n\r\x0b\x0c"
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -46,6 +60,82 @@ def word_distance(a: str, b: str) -> int:
     return row[-1]
 
 
+def bounds(n, near_words: int, share: float):
+    """Edits within which a line of n words is a near copy of one that isn't shorter."""
+    return np.where(n >= near_words, np.maximum(1, np.floor(np.asarray(n) * share + 1e-9)), 0).astype(np.int64)
+
+
+def within(x: list[str], y: list[str], limit: int) -> bool:
+    """Whether word_distance is at most `limit`: the furthest place on each diagonal, edit by edit."""
+    if len(x) == len(y) and sum(p != q for p, q in zip(x, y, strict=True)) <= limit:
+        return True
+    n, m = len(x), len(y)
+    last: dict[int, int] = {}
+    for edits in range(limit + 1):
+        far = {}
+        for d in range(max(-min(edits, n), m - n - limit + edits), min(edits, m, m - n + limit - edits) + 1):
+            i = max(last.get(d, -2) + 1, last.get(d - 1, -2), last.get(d + 1, -2) + 1, 0 if not edits else -2)
+            if i < 0:
+                continue
+            i = min(i, n, m - d)
+            while i < n and i + d < m and x[i] == y[i + d]:
+                i += 1
+            far[d] = i
+        if far.get(m - n, -1) >= n:
+            return True
+        last = far
+    return False
+
+
+def common_words(documents: DataFrame) -> np.ndarray:
+    """Logarithms of the counts of a sample's words, by the low bits of their hashes."""
+    count, size = SAMPLE
+    texts = [r[0] for r in documents.select(F.substring("text", 1, size)).limit(count).collect()]
+    words, times = np.unique(hashed_words(pa.array(texts, pa.string()), 8)[0], return_counts=True)
+    weights = np.zeros(WEIGHTS, np.uint8)
+    np.maximum.at(weights, (words % np.uint64(WEIGHTS)).astype(np.int64), (1 + np.log2(times)).astype(np.uint8))
+    return weights
+
+
+def posted_pairs(hashed: np.ndarray, n: np.ndarray, limit: np.ndarray, weights: np.ndarray) -> pa.Array:
+    """Of each line with a limit of 2 or more, the first 2 * limit + 1 distinct pairs of neighbouring words, as numbers
+    of 44 bits: their weight and a hash."""
+    many = limit > 1
+    begin, size = (np.cumsum(n) - n)[many], np.where(many, n - 1, 0)[many]
+    line = np.repeat(np.arange(len(size)), size)
+    at = np.arange(len(line)) - np.repeat(np.cumsum(size) - size, size) + begin[line]
+    weight = weights[(hashed % np.uint64(len(weights))).astype(np.int64)].astype(np.uint64)
+    with np.errstate(over="ignore"):
+        pair = mix64(hashed[at] * np.uint64(BASES[1]) + hashed[at + 1]) >> np.uint64(26)
+    # A round of text_rounds has fewer than 2^20 such lines, but for one text alone: then the order is found in two steps.
+    pair |= (weight[at] + weight[at + 1]) << np.uint64(38)
+    if len(size) < 1 << 20:
+        both = np.sort(line.astype(np.uint64) << np.uint64(44) | pair)
+        line, pair = (both >> np.uint64(44)).astype(np.int64), both & np.uint64((1 << 44) - 1)
+    else:
+        order = np.lexsort((pair, line))
+        pair, line = pair[order], line[order]
+    new = np.ones(len(pair), bool)
+    new[1:] = (pair[1:] != pair[:-1]) | (line[1:] != line[:-1])
+    pair, line = pair[new], line[new]
+    counts = np.bincount(line, minlength=len(size))
+    rank = np.arange(len(line)) - np.repeat(np.cumsum(counts) - counts, counts)
+    kept = rank < 2 * limit[many][line] + 1
+    ends = np.zeros(len(n) + 1, np.int32)
+    ends[1:][many] = np.bincount(line[kept], minlength=len(size))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(ends).astype(np.int32)), pa.array(signed(pair[kept])))
+
+
+def word_bits(hashed: np.ndarray, n: np.ndarray, some: np.ndarray) -> pa.Array:
+    """Of some lines, BITS bits in which each word sets one; null for the others."""
+    there = np.repeat(some, n)
+    bits = np.zeros((int(some.sum()), BITS), bool)
+    bits[np.repeat(np.arange(len(bits)), n[some]), (hashed[there] % np.uint64(BITS)).astype(np.int64)] = True
+    packed = pa.py_buffer(np.packbits(bits, axis=1).tobytes())
+    made = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITS // 8), len(bits), [None, packed]).cast(pa.binary())
+    return made.take(pa.array(np.cumsum(some) - 1, mask=~some))
+
+
 class Spans:
     """Polynomial hashes modulo 2^64 of any run of words."""
 
@@ -84,10 +174,10 @@ def split_lines(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return lists.flatten(), row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-LINES = "doc_id long, line_no int, h1 long, h2 long, n_words int, p1 long, p2 long, s1 long, s2 long"
+LINES = "doc_id long, line_no int, h1 long, h2 long, n_words int, p1 long, p2 long, s1 long, s2 long, pairs array<long>, bits binary"
 
 
-def _line_rows(batches):
+def _line_rows(batches, near_words, share, weights):
     for batch in batches:
         for first, texts in text_rounds(batch.column("text")):
             lines, row, number = split_lines(texts)
@@ -98,20 +188,22 @@ def _line_rows(batches):
                 continue
             begin = np.cumsum(n) - n
             one, two = Spans(hashed, BASES[0]), Spans(mix64(hashed), BASES[1])
-            near = n >= NEAR_WORDS
+            near = n >= near_words
             low, high = n // 2, (n + 1) // 2
             columns = [batch.column("doc_id").take(pa.array(row)), pa.array(number.astype(np.int32)), pa.array(signed(tagged(one.of(begin, n), n))), pa.array(signed(tagged(two.of(begin, n), n))), pa.array(n.astype(np.int32))]
             for side in (0, 1):
                 for length, there in ((low, near), (high, near & (high > low))):
                     span = one.of(begin if side == 0 else begin + n - length, length)
                     columns.append(pa.array(signed(tagged(span, length, np.full(len(n), side))), mask=~there))
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "h1", "h2", "n_words", "p1", "p2", "s1", "s2"])
+            limit = bounds(n, near_words, share)
+            columns += [posted_pairs(hashed, n, limit, weights), word_bits(hashed, n, limit > 1)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "h1", "h2", "n_words", "p1", "p2", "s1", "s2", "pairs", "bits"])
 
 
 VARIANTS = "key long, kind int, doc_id long, line_no int"
 
 
-def _variant_rows(batches):
+def _variant_rows(batches, near_words):
     """Self, left-out and replaced-word keys of the lines asked for."""
     for batch in batches:
         asked = batch.column("asked")
@@ -126,10 +218,10 @@ def _variant_rows(batches):
             there = line < sizes[of]
             of, line, side = of[there], line[there], side[there]
             hashed, n = hashed_words(lines.take(pa.array((np.cumsum(sizes) - sizes)[of] + line)), 8)
-            if not len(n) or (n < NEAR_WORDS).all():
+            if not len(n) or (n < near_words).all():
                 continue
             begin = np.cumsum(n) - n
-            keep = n >= NEAR_WORDS
+            keep = n >= near_words
             n, begin, side, of, numbers = n[keep], begin[keep], side[keep], of[keep], line[keep].astype(np.int32)
             docs = batch.column("doc_id").to_numpy(zero_copy_only=False)[of + first]
             spans = Spans(hashed, BASES[0])
@@ -180,11 +272,121 @@ def _run_rows(batches):
         yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in gone], pa.int64()), pa.array([g[1] for g in gone], pa.int32())], ["doc_id", "line_no"])
 
 
-def dropped_lines(documents: DataFrame) -> DataFrame:
+FLAGGED = "key long, i int, j int, side boolean, doc_id long, line_no int, n int, bits binary"
+POSTED = FLAGGED + ", line string"
+BLOCKED = ["key", "i", "j", "side", "doc_id", "line_no", "n", "bits"]
+
+
+def _flagged_rows(batches, near_words, share):
+    """Of each block the rows that may be near another one by their numbers of words and bits."""
+    block, alone, known = None, [], []
+    for batch in batches:
+        out = []
+        limits = bounds(batch.column("n").to_numpy(), near_words, share).tolist()
+        for limit, *row in zip(limits, *(batch.column(c).to_pylist() for c in BLOCKED), strict=True):
+            key, i, j, side, _, _, n, packed = row
+            if (key, i, j) != block:
+                block, alone, known = (key, i, j), [], []
+            bits = int.from_bytes(packed, "big")
+
+            def fits(other, limit=limit, n=n, bits=bits, side=side, within_one=i == j):
+                at_most, m, more, of, _ = other
+                least = min(limit, at_most)
+                return (within_one or of != side) and abs(n - m) <= least and (bits & ~more).bit_count() <= least and (more & ~bits).bit_count() <= least
+
+            me = (limit, n, bits, side, row)
+            found = [k for k, other in enumerate(alone) if fits(other)]
+            for k in reversed(found):
+                known.append(alone.pop(k))
+                out.append(known[-1][4])
+            if found or any(map(fits, known)):
+                known.append(me)
+                out.append(row)
+            else:
+                alone.append(me)
+        schema = pa.schema(list(zip(BLOCKED, (pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
+
+
+def _posted_rows(batches):
+    """The flagged rows with their lines."""
+    for batch in batches:
+        asked = batch.column("asked")
+        for first, texts in text_rounds(batch.column("text")):
+            lines, row, _ = split_lines(texts)
+            wanted = asked.slice(first, len(texts))
+            counts = wanted.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = wanted.flatten()
+            number = flat.field("line_no").to_numpy(zero_copy_only=False)
+            of = np.repeat(np.arange(len(counts)), counts)
+            sizes = np.bincount(row, minlength=len(counts))
+            there = np.flatnonzero(number < sizes[of])
+            held = (np.cumsum(sizes) - sizes)[of[there]] + number[there]
+            docs = batch.column("doc_id").take(pa.array(of[there] + first))
+            for k in range(0, len(there), 10_000):
+                which = flat.take(pa.array(there[k : k + 10_000]))
+                columns = [docs.slice(k, 10_000) if c == "doc_id" else which.field(c) for c in BLOCKED]
+                yield pa.RecordBatch.from_arrays([*columns, lines.take(pa.array(held[k : k + 10_000]))], [*BLOCKED, "line"])
+
+
+def _near_rows(batches, near_words, share):
+    """Lines within the bound of an earlier one of their block, from rows sorted by block, doc_id and line_no."""
+    block, earlier = None, []
+    for batch in batches:
+        gone = []
+        columns = (batch.column(c).to_pylist() for c in ("key", "i", "j", "side", "doc_id", "line_no", "n", "bits", "line"))
+        limits = bounds(batch.column("n").to_numpy(), near_words, share).tolist()
+        for limit, key, i, j, side, doc, number, n, bits, line in zip(limits, *columns, strict=True):
+            if (key, i, j) != block:
+                block, earlier = (key, i, j), []
+            bits, words = int.from_bytes(bits, "big"), None
+            for other, at_most, more, of, text in earlier:
+                least = min(limit, at_most)
+                if (i == j or of != side) and abs(n - other) <= least and (bits & ~more).bit_count() <= least and (more & ~bits).bit_count() <= least:
+                    words = words or line_words(line)
+                    if within(line_words(text), words, least):
+                        gone.append((doc, number))
+                        break
+            earlier.append((n, limit, bits, side, line))
+        yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in gone], pa.int64()), pa.array([g[1] for g in gone], pa.int32())], ["doc_id", "line_no"])
+
+
+def line_words(line: str) -> list[bytes]:
+    """Words between ASCII white space, as bytes."""
+    return utf8(line).split()
+
+
+def far_lines(documents: DataFrame, lines: DataFrame, distinct: DataFrame, near_words: int, share: float) -> DataFrame:
+    """(doc_id, line_no) of the lines that may differ in two words or more and are near an earlier one."""
+    spark = documents.sparkSession
+    posted = lines.select("h1", "doc_id", "line_no", F.col("n_words").alias("n"), "bits", F.explode("pairs").alias("key"))
+    # Equal lines are one, and a pair that only they post is of no use.
+    shared = posted.groupBy("key").agg(F.count("*").alias("times"), F.min("h1").alias("least"), F.max("h1").alias("most")).filter("least < most").select("key", F.ceil(F.col("times") / BLOCK).cast("int").alias("slices"))
+    firsts = distinct.select("first.doc_id", "first.line_no")
+    asked = materialise(posted.select("key", "doc_id", "line_no").join(shared, "key").join(firsts, ["doc_id", "line_no"]), "shared-pairs")
+    release(spark)
+    rows = asked.join(lines.select("doc_id", "line_no", F.col("n_words").alias("n"), "bits").filter("bits is not null"), ["doc_id", "line_no"])
+    rows = rows.withColumn("slice", F.pmod(F.xxhash64("doc_id", "line_no"), F.col("slices")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    rows = rows.select("key", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"), (F.col("slice") <= F.col("other")).alias("side"), "doc_id", "line_no", "n", "bits")
+    in_blocks = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc_id", "line_no")
+    flagged = materialise(in_blocks.mapInArrow(lambda batches: _flagged_rows(batches, near_words, share), FLAGGED), "flagged-lines")
+    release(spark)
+    asked = materialise(flagged.groupBy("doc_id").agg(F.collect_list(F.struct(*(c for c in BLOCKED if c != "doc_id"))).alias("asked")), "asked-pairs")
+    rows = documents.join(asked, "doc_id").select("doc_id", "text", "asked").mapInArrow(_posted_rows, POSTED)
+    sorted_rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc_id", "line_no")
+    gone = materialise(sorted_rows.mapInArrow(lambda batches: _near_rows(batches, near_words, share), "doc_id long, line_no int"), "far-lines")
+    release(spark)
+    return gone
+
+
+def dropped_lines(documents: DataFrame, near_words: int = NEAR_WORDS, share: float = 0.0) -> DataFrame:
     """(doc_id, line_no, h1, near): the lines that go."""
+    if near_words < 2 or not 0 <= share <= MOST_SHARE:
+        raise ValueError(f"near_words must be 2 or more and share from 0 to {MOST_SHARE}")
     spark = documents.sparkSession
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("doc_id").isNotNull())
-    lines = materialise(documents.mapInArrow(_line_rows, LINES), "lines")
+    weights = common_words(documents) if share else np.zeros(1, np.uint8)
+    lines = materialise(documents.mapInArrow(lambda batches: _line_rows(batches, near_words, share, weights), LINES), "lines")
     distinct = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), *(F.first(c).alias(c) for c in ("p1", "p2", "s1", "s2")))
     distinct = materialise(distinct, "distinct-lines")
     release(spark)
@@ -193,20 +395,24 @@ def dropped_lines(documents: DataFrame) -> DataFrame:
     found = halves.join(shared, "half").groupBy("first.doc_id", "first.line_no").agg(F.bit_or("side").alias("sides"))
     asked = materialise(found.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "sides")).alias("asked")), "asked-lines")
     release(spark)
-    variants = documents.join(asked, "doc_id").mapInArrow(_variant_rows, VARIANTS)
+    variants = documents.join(asked, "doc_id").mapInArrow(lambda batches: _variant_rows(batches, near_words), VARIANTS)
     kinds = F.when(F.col("kind") == 3, F.xxhash64("doc_id", "line_no")).otherwise(F.col("key"))
     gone = variants.repartition(kinds).sortWithinPartitions("key", "kind", "doc_id", "line_no").mapInArrow(_run_rows, "doc_id long, line_no int")
-    gone = materialise(gone.distinct(), "near-lines").select("doc_id", "line_no", F.lit(True).alias("near"))
+    gone = materialise(gone.distinct(), "near-lines")
+    release(spark)
+    if share:
+        gone = gone.union(far_lines(documents, lines, distinct, near_words, share)).distinct()
+    gone = gone.select("doc_id", "line_no", F.lit(True).alias("near"))
     release(spark)
     firsts = distinct.select("h1", "h2", F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no")).join(gone, ["doc_id", "line_no"], "left").select("h1", "h2", F.col("doc_id").alias("first_doc"), F.col("line_no").alias("first_line"), F.coalesce("near", F.lit(False)).alias("near"))
     marked = lines.select("doc_id", "line_no", "h1", "h2").join(firsts, ["h1", "h2"])
     return marked.filter(F.col("near") | (F.col("doc_id") != F.col("first_doc")) | (F.col("line_no") != F.col("first_line"))).select("doc_id", "line_no", "h1", "near")
 
 
-def dedup_lines(documents: DataFrame) -> DataFrame:
+def dedup_lines(documents: DataFrame, near_words: int = NEAR_WORDS, share: float = 0.0) -> DataFrame:
     """The documents, all columns, with `__n_lines`, `__n_gone` and `__n_near`, and text without the lines that go."""
     spark = documents.sparkSession
-    lists = materialise(dropped_lines(documents).groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list(F.struct("line_no", "h1", "near")).alias("__gone")), "gone-lines")
+    lists = materialise(dropped_lines(documents, near_words, share).groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list(F.struct("line_no", "h1", "near")).alias("__gone")), "gone-lines")
     release(spark)
     names = documents.columns
     joined = documents.join(lists, F.col("doc_id").cast("long") == F.col("__doc"), "left").drop("__doc")
@@ -235,7 +441,7 @@ def line_hashes(lines: list[str]) -> list[int]:
     return signed(tagged(Spans(hashed, BASES[0]).of(np.cumsum(n) - n, n), n)).tolist()
 
 
-def line_dedup_digest(documents: DataFrame) -> DataFrame:
+def line_dedup_digest(documents: DataFrame, near_words: int = NEAR_WORDS, share: float = SHARE) -> DataFrame:
     """doc_id, n_lines (not blank), n_gone, n_near, n_kept, text_sha256 of what stays."""
-    rows = dedup_lines(documents.select("doc_id", "text"))
+    rows = dedup_lines(documents.select("doc_id", "text"), near_words, share)
     return rows.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_gone").alias("n_gone"), F.col("__n_near").alias("n_near"), (F.col("__n_lines") - F.col("__n_gone")).alias("n_kept"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))

@@ -20,7 +20,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated and nearly repeated lines go from texts but for their earliest place; every document stays."""
-    rows = linededup.dedup_lines(docs).select(*docs.columns)
+    rows = linededup.dedup_lines(docs, share=linededup.SHARE).select(*docs.columns)
     return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else rows
 
 

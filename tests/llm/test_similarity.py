@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -125,6 +126,34 @@ def test_lines(spark):
         assert r["__n_gone"] == sum((r.doc_id, k) in gone for k in range(len(lines)))
 
 
+def test_line_bound_grows_with_the_line(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "BLOCK", 4)
+    rng = random.Random(16)
+    pool = [[rng.choice("abcdef") + str(rng.randint(0, 60)) for _ in range(n)] for n in (8, 12, 19, 20, 21, 27, 35, 60, 99)]
+
+    def edited():
+        words = list(rng.choice(pool))
+        for _ in range(rng.choice([0, 1, len(words) // 10, len(words) // 10 + 1])):
+            k = rng.randrange(len(words))
+            words[k : k + rng.choice([0, 1, 1])] = rng.choice([[], ["new" + str(rng.randint(0, 9))]])
+        return " ".join(words)
+
+    rows = [(d, "\n".join(edited() for _ in range(rng.randint(0, 6)))) for d in range(60)]
+    first = {}
+    for place, words in sorted(((d, k), tuple(line.split())) for d, t in rows for k, line in enumerate(t.split("\n")) if line):
+        first.setdefault(words, place)
+    near = set()
+    for (a, x), (b, y) in combinations(first.items(), 2):
+        least = min(len(a), len(b))
+        if least >= 8 and linededup.word_distance(" ".join(a), " ".join(b)) <= max(1, least // 10):
+            near.add(max(x, y))
+    found = linededup.line_dedup_digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = {d: "\n".join(x for k, x in enumerate(t.split("\n")) if not x or (first[tuple(x.split())] not in near and first[tuple(x.split())] == (d, k))) for d, t in rows}
+    assert {r.doc_id: r.text_sha256 for r in found} == {d: hashlib.sha256(t.encode()).hexdigest() for d, t in want.items()}
+    one = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(r["__n_near"] for r in one) < sum(r.n_near for r in found)
+
+
 def test_line_odd_documents(spark, odd):
     rows = linededup.dedup_lines(odd).collect()
     assert len(rows) == odd.count() and set(odd.columns) < set(rows[0].asDict())
