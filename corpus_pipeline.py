@@ -30,13 +30,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order that keeps sources within a block of their target weights; packing follows it."""
+    """All documents, in the order that keeps sources within a block of their target weights. Files read again don't keep the order of rows."""
     return mixing.mix(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 2048 tokens."""
-    return packing.pack(docs)
+    """Pieces of sequences of 2048 tokens. The places of the mix are taken again, since the files don't keep them:
+    partitions are ranges of places, packed in their order and numbered by it."""
+    return packing.pack(mixing.mix(docs))
 
 
 STAGES = [("toxicity", drop_toxic), ("line_dedup", dedup_lines), ("jaccard_join", drop_near_duplicates), ("mixing", mix_sources), ("packing", pack_sequences)]

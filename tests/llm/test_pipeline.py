@@ -4,7 +4,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 import corpus_pipeline
-from codegraph.llm import common
+from codegraph.llm import common, mixing
 
 
 def test_pipeline_on_a_small_corpus(spark, tmp_path):
@@ -31,6 +31,21 @@ def test_pipeline_on_a_small_corpus(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == seen["packing"].count()
 
 
+def test_packing_follows_the_mix_over_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(mixing, "BYTES_A_PART", 60_000)
+    words = lambda d: " ".join(f"w{d}x{k}" for k in range(20 + d))
+    docs = spark.createDataFrame([(d, words(d), "en", "many" if d % 4 else "few", 0) for d in range(400)], "doc_id long, text string, lang string, source string, n_chars long")
+    place = {r.doc_id: r.position for r in mixing.schedule(docs).collect()}
+    stages = dict(corpus_pipeline.STAGES)
+    mixed = common.materialise(stages["mixing"](spark, docs, ""), "mixing", f"{tmp_path}/mixed")
+    assert len(list((tmp_path / "mixed").glob("*.parquet"))) > 3
+    parts = {}
+    for r in stages["packing"](spark, mixed, "").select("doc_id", "sequence_id").collect():
+        parts.setdefault(r.sequence_id >> 40, set()).add(place[r.doc_id])
+    ranges = [(min(p), max(p)) for _, p in sorted(parts.items())]
+    assert len(ranges) > 3 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
 def test_the_entry_module_goes_without_the_subpackage(monkeypatch):
     import __spark_entry__ as entry
 
