@@ -8,7 +8,9 @@ a document's slot follows from its place in its source by arithmetic, in paralle
 go on with their shares scaled up: every document gets exactly one place.
 
 Driver and broadcast: counts of sources and one period for each phase: SHARES + 16 * sources entries, times the number
-of sources. Past MOST_SOURCES sources, the rarest share one entry, called "(other)", so the bound holds.
+of sources. That grows with the square of the sources, so past MOST_SOURCES of them FluidPlan has the windows of every
+source in one phase, by exact fractions, and the slot of each block: 24 bytes a block and a count for each source and
+partition.
 
 Defined results: a null source is a source of its own; documents with a null doc_id come first in their source;
 repeated rows each get a place; an empty table gives no rows; other columns are carried along by `mix` and not read by
@@ -18,6 +20,7 @@ repeated rows each get a place; an empty table gives no rows; other columns are
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +36,7 @@ BLOCK = 16
 SHARES = 2048
 ALPHA = 0.7
 MOST_SOURCES = 1000
-OTHER = "(other)"
+WEIGHT_BITS = 31
 ROWS_A_PART = 100_000
 BYTES_A_PART = 32 << 20
 
@@ -121,6 +124,54 @@ class Plan:
         return out[0], out[1], out[2]
 
 
+class FluidPlan:
+    """A schedule of any number of sources: block i of a source with weight w has its window where the fluid mix gives
+    the source its share from i to i + 1.
+
+    In the fluid mix each source has w * v blocks at the virtual time v, until it runs out; the slot of v is what all
+    have by then. Release (rounded down) and deadline (rounded up) of unit blocks that a fluid mix meets are met by
+    earliest deadline first, so every source is less than one block from its share at any slot.
+    """
+
+    def __init__(self, blocks: dict, weights: dict):
+        left = {s: n for s, n in blocks.items() if n > 0}
+        scale = sum(weights[s] for s in left)
+        whole = [max(1, int(weights[s] / scale * (1 << WEIGHT_BITS))) for s in left]
+        counts = list(left.values())
+        # Different fractions of such weights differ in this many bits.
+        bits = 2 * WEIGHT_BITS + 1
+        ends = sorted(((n << bits) // w, n, w) for n, w in zip(counts, whole, strict=True))
+        keys, done, active = [k for k, _, _ in ends], [0], [sum(whole)]
+        for _, n, w in ends:
+            done.append(done[-1] + n)
+            active.append(active[-1] - w)
+        self.first = dict(zip(left, np.cumsum([0, *counts[:-1]]).tolist(), strict=True))
+        self.windows = np.zeros((3, sum(counts)), np.int64)
+        release, deadline, slots = self.windows
+        at = 0
+        for n, w in zip(counts, whole, strict=True):
+            for i in range(n + 1):
+                p = bisect_right(keys, (i << bits) // w)
+                if i < n:
+                    release[at + i] = done[p] + i * active[p] // w
+                if i:
+                    deadline[at + i - 1] = done[p] - (-i * active[p] // w)
+            at += n
+        order = np.argsort(release, kind="stable")
+        coming = zip(release[order].tolist(), deadline[order].tolist(), order.tolist(), strict=True)
+        ready: list[tuple[int, int]] = []
+        following = next(coming, None)
+        for t in range(at):
+            while following and following[0] <= t:
+                heapq.heappush(ready, following[1:])
+                following = next(coming, None)
+            slots[heapq.heappop(ready)[1]] = t
+
+    def place(self, source, block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Release, deadline and slot of blocks of one source."""
+        return tuple(self.windows[:, self.first[source] + block])
+
+
 def parts_of(documents: DataFrame) -> int:
     """Partitions of at most about BYTES_A_PART of text and ROWS_A_PART rows."""
     size = F.sum(F.octet_length("text").cast("long")) if "text" in documents.columns else F.lit(0).cast("long")
@@ -164,10 +215,7 @@ def scheduled(documents: DataFrame, weights: dict | None = None, alpha: float =
     `alpha`, scaled so that both kinds have the share of their rows.
     """
     spark = documents.sparkSession
-    counted = documents.groupBy("source").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "source")
-    top = [r.source for r in counted.limit(MOST_SOURCES + 1).collect()]
-    few = F.lit(True) if len(top) <= MOST_SOURCES else F.col("source").isNull() | F.col("source").isin([s for s in top[:MOST_SOURCES] if s is not None])
-    rows = documents.withColumn("__source", F.when(few, F.col("source").cast("string")).otherwise(F.lit(OTHER)))
+    rows = documents.withColumn("__source", F.col("source").cast("string"))
     numbered, counts = number_within(rows, ["__source"], parts_of(documents))
     total = counts["total"]
     target = {s: float(n) ** alpha for s, n in total.items()}
@@ -176,7 +224,7 @@ def scheduled(documents: DataFrame, weights: dict | None = None, alpha: float =
         rest = {s: w for s, w in target.items() if s not in named}
         share = sum(total[s] for s in named) / max(1, sum(total.values()))
         target = {s: w / sum(named.values()) * share for s, w in named.items()} | {s: w / sum(rest.values()) * (1 - share) for s, w in rest.items()}
-    plan = Plan({s: -(-n // block) for s, n in total.items()}, target)
+    plan = (Plan if len(total) <= MOST_SOURCES else FluidPlan)({s: -(-n // block) for s, n in total.items()}, target)
     shared = spark.sparkContext.broadcast((plan, counts["before"]))
     names = numbered.columns
     extra = ["__block", "__release", "__deadline", "__slot", "__position"]
@@ -184,15 +232,14 @@ def scheduled(documents: DataFrame, weights: dict | None = None, alpha: float =
     def run(batches):
         plan, before = shared.value
         for batch in batches:
-            source = np.array(batch.column(names.index("__source")).to_pylist(), object)
-            part = batch.column(names.index("__part")).to_numpy(zero_copy_only=False)
             local = batch.column(names.index("__local")).to_numpy(zero_copy_only=False)
+            of = list(zip(*(batch.column(names.index(c)).to_pylist() for c in ("__source", "__part")), strict=True))
+            heads = [k for k in range(len(of)) if not k or of[k] != of[k - 1]]
             out = np.zeros((5, len(local)), np.int64)
-            for s, p in {(s, int(p)) for s, p in zip(source, part, strict=True)}:
-                at = np.array([x == s for x in source], bool) & (part == p)
-                i = local[at] + before[s, p]
-                release, deadline, slot = plan.place(s, i // block)
-                out[:, at] = (i // block, release, deadline, slot, slot * block + i % block)
+            for a, b in zip(heads, [*heads[1:], len(of)], strict=True):
+                i = local[a:b] + before[of[a]]
+                release, deadline, slot = plan.place(of[a][0], i // block)
+                out[:, a:b] = (i // block, release, deadline, slot, slot * block + i % block)
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(o, pa.int64()) for o in out)], [*names, *extra])
 
     return numbered.mapInArrow(run, widened(numbered.schema, T.LongType(), *extra))

@@ -144,3 +144,46 @@ def test_many_sources_share_an_entry(spark, monkeypatch):
     monkeypatch.setattr(mixing, "MOST_SOURCES", 3)
     rows = spark.createDataFrame([(d, f"s{d % 9}") for d in range(300)], "doc_id long, source string")
     assert len({r.position for r in mixing.schedule(rows).collect()}) == 300
+
+
+def test_every_source_past_the_first_ones_keeps_its_share(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 3)
+    rows = spark.createDataFrame([(d, f"s{d % 40 if d % 3 else d % 5}") for d in range(6000)], "doc_id long, source string")
+    found = mixing.schedule(rows).collect()
+    assert sorted(r.slot for r in found if r.position % mixing.BLOCK == 0) == list(range(len({r.slot for r in found})))
+    assert len({r.position for r in found}) == 6000 and all(r.release <= r.slot < r.deadline for r in found)
+    counts = Counter(r.source for r in found)
+    assert {(r.source, r.block) for r in found} == {(s, k) for s, n in counts.items() for k in range(-(-n // mixing.BLOCK))}
+    for s in counts:
+        mine = sorted((r for r in found if r.source == s), key=lambda r: r.position)
+        assert [r.doc_id for r in mine] == sorted(r.doc_id for r in mine)
+    named = mixing.schedule(rows, {"s39": 30.0, "s38": 10.0}).collect()
+    head = Counter(r.source for r in named if r.slot < 200)
+    plain = Counter(r.source for r in found if r.slot < 200)
+    assert len(counts) == 40 and plain["s39"] == plain["s38"] and head["s39"] >= 2 * head["s38"]
+
+
+@pytest.mark.parametrize("counts", [{"a": 5}, {"a": 9, "b": 9, None: 9}, {f"s{k}": 1 + k * k % 29 for k in range(60)}])
+def test_fluid_windows_and_deviation(counts):
+    weights = {s: 1.0 + k % 4 for k, s in enumerate(counts)}
+    plan, slots = mixing.FluidPlan(dict(counts), weights), {}
+    for s, n in counts.items():
+        release, deadline, slot = plan.place(s, np.arange(n))
+        assert (release <= slot).all() and (slot < deadline).all()
+        slots.update({int(t): s for t in slot})
+    total = sum(counts.values())
+    assert sorted(slots) == list(range(total))
+    got, seen = dict.fromkeys(counts, 0.0), Counter()
+    for t in range(total):
+        room = 1.0
+        while room > 1e-9:
+            live = [s for s in counts if got[s] < counts[s] - 1e-9]
+            if not live:
+                break
+            weight = sum(weights[s] for s in live)
+            step = min(room, *((counts[s] - got[s]) * weight / weights[s] for s in live))
+            for s in live:
+                got[s] += step * weights[s] / weight
+            room -= step
+        seen[slots[t]] += 1
+        assert all(abs(seen[s] - got[s]) < 1 + 1e-5 for s in counts)
