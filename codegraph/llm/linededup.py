@@ -18,7 +18,7 @@ text's earliest occurrence.
    pair each is held against the earlier ones, first by bits of their words and then by the words themselves. A pair
    posted by more than BLOCK lines is dealt into slices, each two of which are a block.
 
-In step 3 equal keys prove the distance: the rest of the words is equal at equal places, by a 64-bit hash;
+In step 3 equal keys prove the distance: the rest of the words is equal at equal places, by two 64-bit hashes;
 `word_distance` is the plain definition that tests hold the result against.
 
 Words are between ASCII white space. Defined results: a null text stays null, an empty one empty; blank lines stay; rows with a null doc_id stay as they are;
@@ -200,7 +200,7 @@ def _line_rows(batches, near_words, share, weights):
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "h1", "h2", "n_words", "p1", "p2", "s1", "s2", "pairs", "bits"])
 
 
-VARIANTS = "key long, kind int, doc_id long, line_no int"
+VARIANTS = "key long, check long, kind int, doc_id long, line_no int"
 
 
 def _variant_rows(batches, near_words):
@@ -224,38 +224,38 @@ def _variant_rows(batches, near_words):
             keep = n >= near_words
             n, begin, side, of, numbers = n[keep], begin[keep], side[keep], of[keep], line[keep].astype(np.int32)
             docs = batch.column("doc_id").to_numpy(zero_copy_only=False)[of + first]
-            spans = Spans(hashed, BASES[0])
+            both = Spans(hashed, BASES[0]), Spans(mix64(hashed), BASES[1])
             low = np.where(side & 2, 0, n // 2)
             high = np.where(side & 1, n, (n + 1) // 2)
             size = high - low
             line = np.repeat(np.arange(len(n)), size)
             at = np.arange(len(line)) - np.repeat(np.cumsum(size) - size, size) + low[line]
-            less = spans.without(begin[line], n[line], at)
-            whole = tagged(spans.of(begin, n), n)
-            left = tagged(less, n[line] - 1)
-            once = np.ones(len(left), bool)  # equal neighbours leave the same words
-            once[1:] = (left[1:] != left[:-1]) | (line[1:] != line[:-1])
-            swapped = tagged(less, n[line], at, np.full(len(at), 7))
+            less = [spans.without(begin[line], n[line], at) for spans in both]
+            whole = [tagged(spans.of(begin, n), n) for spans in both]
+            left = [tagged(x, n[line] - 1) for x in less]
+            once = np.ones(len(line), bool)  # equal neighbours leave the same words
+            once[1:] = (left[0][1:] != left[0][:-1]) | (left[1][1:] != left[1][:-1]) | (line[1:] != line[:-1])
+            swapped = [tagged(x, n[line], at, np.full(len(at), 7)) for x in less]
             yield _variants(whole, 0, docs, numbers)
-            yield _variants(left[once], 1, docs[line[once]], numbers[line[once]])
-            order = np.lexsort((numbers[line], docs[line], swapped))
-            key, line = swapped[order], line[order]
-            head = np.ones(len(key), bool)
-            head[1:] = key[1:] != key[:-1]
-            yield _variants(key[head], 2, docs[line[head]], numbers[line[head]])
-            yield _variants(key[~head], 3, docs[line[~head]], numbers[line[~head]])
+            yield _variants([x[once] for x in left], 1, docs[line[once]], numbers[line[once]])
+            order = np.lexsort((numbers[line], docs[line], swapped[1], swapped[0]))
+            keys, line = [x[order] for x in swapped], line[order]
+            head = np.ones(len(line), bool)
+            head[1:] = (keys[0][1:] != keys[0][:-1]) | (keys[1][1:] != keys[1][:-1])
+            yield _variants([x[head] for x in keys], 2, docs[line[head]], numbers[line[head]])
+            yield _variants([x[~head] for x in keys], 3, docs[line[~head]], numbers[line[~head]])
 
 
-def _variants(key, kind, docs, numbers):
-    return pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(np.full(len(key), kind), pa.int32()), pa.array(docs), pa.array(numbers)], ["key", "kind", "doc_id", "line_no"])
+def _variants(keys, kind, docs, numbers):
+    return pa.RecordBatch.from_arrays([*(pa.array(signed(x)) for x in keys), pa.array(np.full(len(docs), kind), pa.int32()), pa.array(docs), pa.array(numbers)], ["key", "check", "kind", "doc_id", "line_no"])
 
 
 def _run_rows(batches):
-    """Lines that go, from rows sorted by key, kind, doc_id and line_no."""
+    """Lines that go, from rows sorted by key, check, kind, doc_id and line_no. A key is equal if its second hash is too."""
     key, self_at, taken = None, None, False
     for batch in batches:
         gone = []
-        for k, kind, doc, line in zip(*(batch.column(c).to_pylist() for c in ("key", "kind", "doc_id", "line_no")), strict=True):
+        for *k, kind, doc, line in zip(*(batch.column(c).to_pylist() for c in ("key", "check", "kind", "doc_id", "line_no")), strict=True):
             new = k != key
             if new:
                 key, self_at, taken = k, None, False
@@ -397,7 +397,7 @@ def dropped_lines(documents: DataFrame, near_words: int = NEAR_WORDS, share: flo
     release(spark)
     variants = documents.join(asked, "doc_id").mapInArrow(lambda batches: _variant_rows(batches, near_words), VARIANTS)
     kinds = F.when(F.col("kind") == 3, F.xxhash64("doc_id", "line_no")).otherwise(F.col("key"))
-    gone = variants.repartition(kinds).sortWithinPartitions("key", "kind", "doc_id", "line_no").mapInArrow(_run_rows, "doc_id long, line_no int")
+    gone = variants.repartition(kinds).sortWithinPartitions("key", "check", "kind", "doc_id", "line_no").mapInArrow(_run_rows, "doc_id long, line_no int")
     gone = materialise(gone.distinct(), "near-lines")
     release(spark)
     if share:

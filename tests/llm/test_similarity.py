@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from codegraph.llm import jaccardjoin, linededup, lshforest
@@ -162,6 +163,12 @@ def test_line_odd_documents(spark, odd):
     assert linededup.line_dedup_digest(odd.limit(0)).count() == 0
 
 
+def test_lines_whose_keys_are_equal_by_one_hash_only_stay():
+    rows = [(5, 1, 2, 1, 0), (5, 1, 2, 2, 0), (5, 9, 2, 3, 0), (6, 1, 0, 4, 0), (6, 2, 1, 5, 0)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows]) for k in range(5)], ["key", "check", "kind", "doc_id", "line_no"])
+    assert [g for out in linededup._run_rows([batch]) for g in out.column("doc_id").to_pylist()] == [2]
+
+
 def test_word_distance():
     assert [linededup.word_distance(*x.split("|")) for x in ("a b c|a b c", "a b c|a c", "a b c|a x c", "a b|b a", "|a")] == [0, 1, 1, 2, 1]
 
