@@ -10,13 +10,14 @@ Folders of a store (Parquet, so any file system Spark reads will do):
 
 Defined results: a null text is the empty one (its end id remains); a null doc_id is kept and comes first; repeated
 rows are stored as so many documents that share chunks; an empty table makes an empty store; other columns are not
-read. A chunk whose bytes don't give its hash, or a document whose root differs, fails the read.
+read. Rows with one doc_id are in the order of their chunks' hashes. A chunk whose bytes don't give its hash, or a document whose root differs, fails the read.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -44,30 +45,31 @@ def gear_table() -> np.ndarray:
 GEAR = gear_table()
 
 
-def cut_points(ids: np.ndarray) -> list[int]:
-    """Ends of the chunks: where the rolling hash of the last 16 ids has 8 zero bits, 96 ids at least and 1024 at most."""
-    n = len(ids)
-    ends, start = [], 0
-    if n > LEAST:
+def cut_points(ids: np.ndarray, ends: np.ndarray | None = None) -> list[int]:
+    """Ends of the chunks of documents that lie one after the other and end at `ends`: where the rolling hash of the last
+    16 ids has 8 zero bits, 96 ids at least and 1024 at most. A document is cut as it is alone: a hash that reaches into
+    the one before is within the first 96 ids."""
+    hits = [len(ids)]
+    if len(ids) > LEAST:
         rolling, width = GEAR[ids & 4095], 1
         with np.errstate(over="ignore"):
             while width < WINDOW:  # hashes of twice as many ids from two of those there are
                 rolling = rolling[width:] + (rolling[:-width] << np.uint32(width))
                 width *= 2
-        hits = np.flatnonzero((rolling >> np.uint32(WINDOW - MASK_BITS)) & np.uint32((1 << MASK_BITS) - 1) == 0) + WINDOW
-        at = 0
-        while n - start > LEAST:
-            at = int(np.searchsorted(hits, start + LEAST, "left"))
-            end = int(hits[at]) if at < len(hits) else n
-            end = min(end, start + MOST, n)
-            ends.append(end)
+        hits = (np.flatnonzero((rolling >> np.uint32(WINDOW - MASK_BITS)) & np.uint32((1 << MASK_BITS) - 1) == 0) + WINDOW).tolist() + hits
+    out, start, at = [], 0, 0
+    for end in [len(ids)] if ends is None else ends.tolist():
+        while end - start > LEAST:
+            at = bisect_left(hits, start + LEAST, at)
+            start = min(hits[at], start + MOST, end)
+            out.append(start)
+        if start < end:
+            out.append(end)
             start = end
-    if start < n:
-        ends.append(n)
-    return ends
+    return out
 
 
-def chunk_hash(ids: bytes) -> bytes:
+def chunk_hash(ids) -> bytes:
     return hashlib.blake2b(ids, digest_size=DIGEST, person=b"chunk").digest()
 
 
@@ -84,35 +86,42 @@ def merkle_root(leaves: list[bytes]) -> bytes:
 def _chunk_rows(path: str | None, end_id: int):
     def run(batches):
         made = encoder(path)
-        width, end = made.dtype.itemsize, np.array([end_id], made.dtype).tobytes()
+        width = made.dtype.itemsize
         for batch in batches:
-            counts, chunks = [], []
-            for raw in made.ids(batch.column("text")):
-                raw += end
-                ids = np.frombuffer(raw, made.dtype)
-                at, parts = 0, []
-                for stop in cut_points(ids):
-                    piece = raw[at * width : stop * width]
-                    parts.append({"hash": chunk_hash(piece), "n_ids": stop - at, "ids": piece})
-                    at = stop
-                counts.append(len(ids))
-                chunks.append(parts)
-            kind = pa.list_(pa.struct([("hash", pa.binary()), ("n_ids", pa.int32()), ("ids", pa.binary())]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(chunks, kind)], ["doc_id", "n_tokens", "chunks"])
+            at = 0
+            for ids, ends in made.rounds(batch.column("text")):
+                ids, ends = np.insert(ids, ends, end_id), ends + np.arange(1, len(ends) + 1)
+                stops = np.array([0, *cut_points(ids, ends)])
+                places = (stops * width).tolist()
+                raw = memoryview(ids).cast("B")
+                hashes = [chunk_hash(raw[i:j]) for i, j in zip(places, places[1:])]
+                data = pa.BinaryArray.from_buffers(pa.binary(), len(hashes), [None, pa.py_buffer(np.array(places, np.int32)), pa.py_buffer(ids)])
+                rows = pa.StructArray.from_arrays([pa.array(hashes, pa.binary()), pa.array(np.diff(stops).astype(np.int32)), data], ["hash", "n_ids", "ids"])
+                chunks = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.searchsorted(stops, ends)]).astype(np.int32)), rows)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(ends)).cast(pa.int64()), pa.array(np.diff(ends, prepend=0)), chunks], ["doc_id", "n_tokens", "chunks"])
+                at += len(ends)
 
     return run
 
 
+def _lists(column: pa.Array, name: str | None = None) -> list[list]:
+    """A list column as Python lists, by way of one flat array."""
+    flat = column.flatten()
+    flat = (flat.field(name) if name else flat).to_numpy(zero_copy_only=False).tolist()
+    ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+    return [flat[i:j] for i, j in zip([0, *ends], ends)]
+
+
 def _number_rows(batches):
     """Rows of a sorted partition: its number, the row's, and the ids before it in there."""
     part, row, start = TaskContext.get().partitionId(), 0, 0
     for batch in batches:
-        counts = np.array(batch.column("n_tokens").to_pylist(), np.int64)
+        counts = batch.column("n_tokens").to_numpy()
         before = start + np.cumsum(counts) - counts
         hashes = batch.column("hashes")
-        roots = [merkle_root(h) for h in hashes.to_pylist()]
+        roots = [merkle_root(h) for h in _lists(hashes)]
         n = len(counts)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), pa.array([part] * n, pa.int32()), pa.array(np.arange(row, row + n), pa.int64()), pa.array(before, pa.int64()), hashes, pa.array(roots, pa.binary())], ["doc_id", "n_tokens", "part", "row", "local_start", "hashes", "root"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), pa.array(np.full(n, part, np.int32)), pa.array(np.arange(row, row + n)), pa.array(before), hashes, pa.array(roots, pa.binary())], ["doc_id", "n_tokens", "part", "row", "local_start", "hashes", "root"])
         row, start = row + n, start + int(counts.sum())
 
 
@@ -127,7 +136,7 @@ def write_store(documents: DataFrame, path: str, end_id: int = 2, tokenizer: str
     unique = staged.select(F.inline("chunks")).groupBy("hash").agg(F.first("n_ids").alias("n_ids"), F.first("ids").alias("ids"))
     unique.write.option("compression", "zstd").parquet(f"{path}/chunks")
     rows = staged.count()
-    recipes = staged.select("doc_id", "n_tokens", F.col("chunks.hash").alias("hashes")).repartitionByRange(max(1, rows // ROWS_A_PART + 1), "doc_id").sortWithinPartitions("doc_id").mapInArrow(_number_rows, RECIPE)
+    recipes = staged.select("doc_id", "n_tokens", F.col("chunks.hash").alias("hashes")).repartitionByRange(max(1, rows // ROWS_A_PART + 1), "doc_id").sortWithinPartitions("doc_id", "hashes").mapInArrow(_number_rows, RECIPE)
     recipes.write.option("compression", "zstd").parquet(f"{path}/recipes")
     remove(spark, staged_path)
     read = spark.read.schema(RECIPE).parquet(f"{path}/recipes")
@@ -145,12 +154,19 @@ def chunk_digests(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            crcs = []
-            for name, count, raw in zip(*(batch.column(c).to_pylist() for c in ("hash", "n_ids", "ids")), strict=True):
-                if chunk_hash(raw) != name or len(raw) % count:
-                    raise ValueError(f"chunk {name.hex()} is damaged")
-                crcs.append(zlib.crc32(np.frombuffer(raw, f"<u{len(raw) // count}").astype("<u4").tobytes()))
-            yield pa.RecordBatch.from_arrays([batch.column("hash"), batch.column("n_ids"), pa.array(crcs, pa.int64())], ["hash", "n_ids", "crc"])
+            names, raws = (batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("hash", "ids"))
+            counts = batch.column("n_ids").to_numpy()
+            sizes = np.fromiter(map(len, raws), np.int64, len(raws))
+            bad = [k for k, raw in enumerate(raws) if chunk_hash(raw) != names[k]] or np.flatnonzero(sizes % counts).tolist()
+            if bad:
+                raise ValueError(f"chunk {names[bad[0]].hex()} is damaged")
+            crcs = np.zeros(len(raws), np.int64)
+            for width in np.unique(sizes // counts).tolist():
+                which = np.flatnonzero(sizes == counts * width)
+                wide = memoryview(np.frombuffer(b"".join([raws[k] for k in which]), f"<u{width}").astype("<u4")).cast("B")
+                ends = (np.cumsum(counts[which].astype(np.int64)) * 4).tolist()
+                crcs[which] = [zlib.crc32(wide[i:j]) for i, j in zip([0, *ends], ends)]
+            yield pa.RecordBatch.from_arrays([batch.column("hash"), batch.column("n_ids"), pa.array(crcs)], ["hash", "n_ids", "crc"])
 
     return spark.read.schema("hash binary, n_ids int, ids binary").parquet(f"{path}/chunks").mapInArrow(run, "hash binary, n_ids int, crc long")
 
@@ -161,7 +177,7 @@ def starts(spark: SparkSession, path: str) -> DataFrame:
     from pyspark.sql import Window
 
     sums = recipes.groupBy("part").agg(F.sum("n_tokens").alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
-    return recipes.join(F.broadcast(sums.select("part", F.coalesce("before", F.lit(0)).alias("before"))), "part").withColumn("start", F.col("before") + F.col("local_start"))
+    return recipes.join(sums.select("part", F.coalesce("before", F.lit(0)).alias("before")), "part").withColumn("start", F.col("before") + F.col("local_start"))
 
 
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
@@ -173,12 +189,14 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             crcs, sizes = [], []
-            for chunks, count, root in zip(*(batch.column(c).to_pylist() for c in ("chunks", "n_tokens", "root")), strict=True):
-                if sum(c["n_ids"] for c in chunks) != count or merkle_root([c["hash"] for c in chunks]) != root:
+            roots = batch.column("root").to_pylist()
+            parts = (_lists(batch.column("chunks"), c) for c in ("hash", "n_ids", "crc"))
+            for hashes, lengths, sums, count, root in zip(*parts, batch.column("n_tokens").to_pylist(), roots, strict=True):
+                if sum(lengths) != count or merkle_root(hashes) != root:
                     raise ValueError("a document's chunks don't give its root")
-                crcs.append(crc32_join((c["crc"], 4 * c["n_ids"]) for c in chunks))
-                sizes.append(len(chunks))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), batch.column("n_tokens"), pa.array(crcs, pa.int64()), pa.array(sizes, pa.int64()), pa.array([r.hex() for r in batch.column("root").to_pylist()], pa.string())], ["doc_id", "start", "n_tokens", "ids_crc32", "n_chunks", "root"])
+                crcs.append(crc32_join((c, 4 * n) for c, n in zip(sums, lengths, strict=True)))
+                sizes.append(len(hashes))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), batch.column("n_tokens"), pa.array(crcs, pa.int64()), pa.array(sizes, pa.int64()), pa.array([r.hex() for r in roots], pa.string())], ["doc_id", "start", "n_tokens", "ids_crc32", "n_chunks", "root"])
 
     return recipes.select("part", "row", "doc_id", "start", "n_tokens", "root").join(found, ["part", "row"]).select("doc_id", "start", "n_tokens", "root", "chunks").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, n_chunks long, root string")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import itertools
 import os
 import tempfile
 import time
@@ -21,11 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TOKENIZER = "byte_bpe_50k.json"
-PRETOKEN_CACHE = 800_000
+PRETOKEN_CACHE = 2_000_000
 SPACE_BYTE = "Ġ"  # the space, in the alphabet of byte-level vocabularies
 CLOSING = ".,;:!?"
-#: Fixed value: a space before white space (Unicode's) or the end.
-UNSAFE_SPACE = r" ([\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\z)"
+LINE_END_BYTE = "Ċ"
+ROUND = 16_000_000
+#: Fixed value: a space or line end before white space (Unicode's) or the end.
+UNSAFE_SPACE = r"[ \n]([\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\z)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -135,13 +138,16 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+ZEROS = memoryview(bytes(1 << 16))
+
+
 def crc32_join(parts: Iterable[tuple[int, int]]) -> int:
     """crc32 of a concatenation from (crc32, bytes) of its parts."""
     total = 0
     for crc, n in parts:
         while n > 0:
-            step = min(n, 1 << 16)
-            zeros = b"\0" * step
+            step = min(n, len(ZEROS))
+            zeros = ZEROS[:step]
             total = zlib.crc32(zeros, total) ^ zlib.crc32(zeros)
             n -= step
         total ^= crc
@@ -181,11 +187,11 @@ def text_rounds(column: pa.Array, size: int = 8_000_000) -> Iterable[tuple[int,
 
 
 class Encoder:
-    """Token ids of whole texts by the tokenizers library, each distinct space-delimited piece encoded once.
+    """Token ids of whole texts by the tokenizers library, each distinct piece encoded once.
 
-    In a byte-level pre-tokeniser a space directly before a visible character always starts a new
-    pre-token, so a text is cut there and the ids of its pieces are joined. A text in which some space
-    is followed by white space or by nothing is encoded in one go instead.
+    In a byte-level pre-tokeniser a space or line end directly before a visible character always starts a new
+    pre-token, so a text is cut there and the ids of its pieces are joined. A text in which one of them is followed by
+    white space or by nothing is encoded in one go instead. Pieces keep a line end and go without their space.
     """
 
     def __init__(self, path: str):
@@ -196,31 +202,33 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.begins = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        self.begins[[i for token, i in self.tokenizer.get_vocab().items() if token[0] == SPACE_BYTE]] = True
+        self.begins[[i for token, i in self.tokenizer.get_vocab().items() if token[0] in (SPACE_BYTE, LINE_END_BYTE)]] = True
         self.cache: dict[str, bytes] = {}
 
-    def _fill(self, pieces: set[str]) -> None:
-        new = pieces.difference(self.cache)
+    def _fill(self, pieces: list[str]) -> None:
+        new = [p for p in pieces if p not in self.cache]
         if len(self.cache) + len(new) > PRETOKEN_CACHE:
             self.cache.clear()
             new = pieces
         # Closing marks after a letter or digit are a pre-token of their own.
-        ends = {p: len(bare) for p in new if (bare := p.rstrip(CLOSING)) != p and bare and bare[-1].isalnum()}
-        words = list(new.difference(ends).union(p[:n] for p, n in ends.items()))
+        bare = [p.rstrip(CLOSING) for p in new]
+        cut = [b is not p and len(b) < len(p) and b[-1:].isalnum() for p, b in zip(new, bare, strict=True)]
+        words = list({b if c else p for p, b, c in zip(new, bare, cut, strict=True)})
         made = dict(zip(words, self._words(words), strict=True))
-        marks = list({p[n:] for p, n in ends.items()})
-        closing = {m: np.array(e.ids, self.dtype).tobytes() for m, e in zip(marks, self.tokenizer.encode_batch_fast(marks, add_special_tokens=False), strict=True)}
+        ends = {p[len(b) :] for p, b, c in zip(new, bare, cut, strict=True) if c}
+        closing = {m: np.array(e.ids, self.dtype).tobytes() for m, e in zip(ends, self.tokenizer.encode_batch_fast([*ends], add_special_tokens=False), strict=True)}
         self.cache.update(made)
-        self.cache.update((p, made[p[:n]] + closing[p[n:]]) for p, n in ends.items())
+        self.cache.update((p, made[b] + closing[p[len(b) :]]) for p, b, c in zip(new, bare, cut, strict=True) if c)
 
     def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words with a space before each: encoded side by side and cut before the tokens that begin with a space."""
+        """Ids of words with their space or line end: encoded side by side and cut before the tokens that begin with one."""
         out: list[bytes] = []
         width = self.dtype.itemsize
         for k in range(0, len(words), 20_000):
-            part = words[k : k + 20_000]
-            texts = [" " + " ".join(part[j : j + 200]) for j in range(0, len(part), 200)]
-            ids = np.array([i for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) for i in e.ids], self.dtype)
+            part = [w if w[:1] == "\n" else f" {w}" for w in words[k : k + 20_000]]
+            texts = ["".join(part[j : j + 200]) for j in range(0, len(part), 200)]
+            made = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ids = np.fromiter(itertools.chain.from_iterable(made), self.dtype, sum(map(len, made)))
             raw = ids.tobytes()
             begins = (np.flatnonzero(self.begins[ids]) * width).tolist()
             out += [raw[i:j] for i, j in zip(begins, [*begins[1:], len(raw)], strict=True)]
@@ -228,37 +236,43 @@ class Encoder:
 
     def ids(self, column: pa.Array) -> list[bytes]:
         """Little-endian ids of each text in `dtype`; a null text has none."""
-        return [ids for _, part in text_rounds(pc.fill_null(column, "")) for ids in self._round(part)]
+        return [ids for part in self.rounds(column) for ids in self._cut(*part)]
+
+    def rounds(self, column: pa.Array) -> Iterable[tuple[np.ndarray, np.ndarray]]:
+        """For so many texts as one round takes: all their ids one after the other, and the places where texts end."""
+        for _, part in text_rounds(pc.fill_null(column, ""), ROUND):
+            yield self._round(part)
 
-    def _round(self, texts: pa.Array) -> list[bytes]:
+    @staticmethod
+    def _cut(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        raw = ids.tobytes()
+        bounds = (np.concatenate([[0], ends]) * ids.itemsize).tolist()
+        return [raw[i:j] for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
+
+    def _round(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         unsafe = pc.match_substring_regex(texts, UNSAFE_SPACE)
-        safe = texts.filter(pc.invert(unsafe))
-        split = pc.split_pattern(safe, " ")
-        first = split.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64).cumsum()
-        heads = np.concatenate([[0], first[:-1]]).astype(np.int64) if len(first) else first
+        kept = pc.if_else(unsafe, "", texts)
+        split = pc.split_pattern(pc.replace_substring(kept, "\n", " \n"), " ")
+        after_last = split.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64).cumsum()
+        heads = np.concatenate([[0], after_last[:-1]]).astype(np.int64)
         coded = split.flatten().dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         starts = [words[i] for i in index[heads]]
-        self._fill(set(words))
-        whole = [*starts, *texts.filter(unsafe).to_pylist()]
-        alone = [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
-        values = [*map(self.cache.__getitem__, words), *alone[: len(starts)]]
+        self._fill(words)
+        whole = unsafe.to_numpy(zero_copy_only=False)
+        for k in np.flatnonzero(whole):
+            starts[k] = texts[k].as_py()
+        alone = [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(starts, add_special_tokens=False)]
+        values = [*map(self.cache.__getitem__, words), *alone]
         index[heads] = np.arange(len(words), len(values))
-        width = self.dtype.itemsize
-        sizes = np.fromiter(map(len, values), np.int64, len(values)) // width
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.dtype.itemsize
         begins = np.cumsum(sizes) - sizes
         each = sizes[index]
         after = np.cumsum(each)
-        raw = b""
-        if len(after):
-            take = np.repeat((begins[index] - (after - each)).astype(np.int32), each)
-            take += np.arange(len(take), dtype=np.int32)
-            raw = np.frombuffer(b"".join(values), self.dtype)[take].tobytes()
-        bounds = np.concatenate([[0], after[first - 1]]) * width if len(first) else np.zeros(1, np.int64)
-        made = iter([raw[i:j] for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)])
-        rest = iter(alone[len(starts) :])
-        return [next(rest) if u else next(made) for u in unsafe.to_pylist()]
+        take = np.repeat((begins[index] - (after - each)).astype(np.int32), each)
+        take += np.arange(len(take), dtype=np.int32)
+        return np.frombuffer(b"".join(values), self.dtype)[take], after[after_last - 1]
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
