@@ -158,9 +158,14 @@ def ids_crc32(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def hashed_words(column: pa.Array, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words between ASCII white space, and each text's number of them. Arrow splits and finds the
-    distinct words; only those are hashed one by one."""
+def clear_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table with columns called c0, c1, ... and what each name became: no name clashes or needs quoting then."""
+    return df.toDF(*(f"c{k}" for k in range(len(df.columns)))), {name: f"c{k}" for k, name in enumerate(df.columns)}
+
+
+def hashed_words(column: pa.Array, seed: int, lengths: bool = False) -> tuple[np.ndarray, ...]:
+    """Hashes of all words between ASCII white space, each text's number of them and, if asked, the words' lengths in
+    bytes. Arrow splits and finds the distinct words; only those are hashed one by one."""
     forget()
     lists = pc.ascii_split_whitespace(pc.fill_null(column, ""))
     counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -169,9 +174,11 @@ def hashed_words(column: pa.Array, seed: int) -> tuple[np.ndarray, np.ndarray]:
     kept = np.concatenate([[0], np.cumsum(there.to_numpy(zero_copy_only=False))]).astype(np.int64)
     ends = np.cumsum(counts)
     coded = flat.filter(there).dictionary_encode()
-    distinct = np.array([xxhash.xxh3_64_intdigest(w, seed) for w in coded.dictionary.cast(pa.binary()).to_pylist()], np.uint64)
+    words = coded.dictionary.cast(pa.binary())
+    distinct = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words.to_numpy(zero_copy_only=False)), np.uint64, len(words))
     index = coded.indices.to_numpy(zero_copy_only=False)
-    return distinct[index] if len(index) else np.zeros(0, np.uint64), kept[ends] - kept[ends - counts]
+    found = (distinct[index] if len(index) else np.zeros(0, np.uint64)), kept[ends] - kept[ends - counts]
+    return (*found, pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)[index]) if lengths else found
 
 
 def text_rounds(column: pa.Array, size: int = 8_000_000) -> Iterable[tuple[int, pa.Array]]:

@@ -3,27 +3,25 @@
 Lines that are equal but for white space are copies; lines of `near_words` words or more are near copies within a bound
 of edits, that is words put in, left out or replaced: one, or `share` of the shorter line's words where that is more. The
 earliest line, by (doc_id, line number), stays; a line goes when an earlier one equals it or is within the bound of its
-text's earliest occurrence.
-
-1. Each line gets a 128-bit hash and hashes of its halves; equal lines meet in one aggregation, for their earliest.
-2. One edit leaves a half as it is, so a distinct line that shares no half with another has no partner.
-3. The others emit all their variants: hash of the line without word i, for each i in the half that may differ, with i
-   (equal keys: one word replaced at i) and without it (equal to a whole line's hash: one word put in or left out).
-   Rows are sorted by key and streamed: the first of a run is the earliest, which takes the others. Lines equal in a
-   replaced-word key within a task meet there already, so a frequent key sends one row a batch.
-
-4. Lines that may differ in k = 2 words or more post the first 2k + 1 of their distinct pairs of neighbouring words, in
-   one order for all: k edits touch 2k pairs at most, so two lines within the bound share a posted one. The order puts
-   pairs of rare words first, by a sample's counts; any order gives the same result. Of the lines that share a posted
-   pair each is held against the earlier ones, first by bits of their words and then by the words themselves. A pair
-   posted by more than BLOCK lines is dealt into slices, each two of which are a block.
-
-In step 3 equal keys prove the distance: the rest of the words is equal at equal places, by two 64-bit hashes;
-`word_distance` is the plain definition that tests hold the result against.
+text's earliest occurrence. No line goes as a near copy before its words have been held against the other's.
+
+1. Each line gets a 128-bit hash; equal lines meet in one aggregation, for their earliest, which posts keys:
+   - Where one edit is the bound, hashes of its halves: one edit leaves a half as it is.
+   - Where k = 2 edits or more are, the first 2k + 1 of its distinct pairs of neighbouring words, in one order for all:
+     k edits touch 2k pairs at most, so two lines within the bound share a posted one. The order puts pairs of long
+     words first, which are rare; any order gives the same result. All variants of a line within k edits would be
+     n over k many, so the neighbourhood is that of single words in step 3 and pairs of words find the other lines.
+2. Keys that two lines post are counted and joined. Lines that share a pair are held against each other by the parities
+   of their words (BITS bits, of which an edit turns two at most); a pair posted by more than BLOCK lines is dealt into
+   slices, each two of which are a block. Lines that share a half, or a pair and nearly all bits, are fetched once.
+3. Lines that share a half emit all their variants: a hash of the line without word i, for each i in the half that may
+   differ, with i (equal to another's: one word replaced at i) and without (equal to a whole line's hash: one word put
+   in or left out). Equal variants join and give pairs of a line and an earlier one.
+4. The words of the lines of each pair, and of the lines that share a pair of words, decide.
 
 Words are between ASCII white space. Defined results: a null text stays null, an empty one empty; blank lines stay; rows with a null doc_id stay as they are;
-rows that repeat both doc_id and text count as one document and stay both; a document may end up with no lines and an
-empty text; other columns are carried along.
+rows that repeat both doc_id and text count as one document and stay both; of rows that repeat a doc_id with other texts each has lines of its own;
+a document may end up with no lines and an empty text; other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,18 +33,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hashed_words, materialise, mix64, release, signed, text_rounds, utf8, widened
+from .common import clear_names, hashed_words, materialise, mix64, release, signed, text_rounds, utf8, widened
 
 NEAR_WORDS = 8
 #: Of a line's words, what may differ in op8 and in the pipeline; more than MOST_SHARE leaves no pair of words in common.
 SHARE = 0.1
 MOST_SHARE = 0.25
-BLOCK = 2048
-BITS = 256
-SAMPLE = (2000, 4000)  # documents, characters of each
-WEIGHTS = 1 << 20
+BLOCK = 4096
+BITS = 128
 ASCII_SPACE = " \t\n\r\x0b\x0c"
-BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+#: A pair's number has so many bits below its order by length.
+PAIR_BITS = 41
+#: What names a line: its document's id, its place there and a hash of the text, for ids that come with several texts.
+PLACE = ["doc_id", "line_no", "t"]
 
 
 def word_distance(a: str, b: str) -> int:
@@ -87,83 +87,90 @@ def within(x: list[str], y: list[str], limit: int) -> bool:
     return False
 
 
-def common_words(documents: DataFrame) -> np.ndarray:
-    """Logarithms of the counts of a sample's words, by the low bits of their hashes."""
-    count, size = SAMPLE
-    texts = [r[0] for r in documents.select(F.substring("text", 1, size)).limit(count).collect()]
-    words, times = np.unique(hashed_words(pa.array(texts, pa.string()), 8)[0], return_counts=True)
-    weights = np.zeros(WEIGHTS, np.uint8)
-    np.maximum.at(weights, (words % np.uint64(WEIGHTS)).astype(np.int64), (1 + np.log2(times)).astype(np.uint8))
-    return weights
+def placed(words: np.ndarray, at: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of each word at its place; the sum over a run of words is the run's hash."""
+    with np.errstate(over="ignore"):
+        return mix64(mix64(words + np.uint64(seed)) ^ ((at + 1).astype(np.uint64) * np.uint64(SEEDS[1])))
+
+
+def tagged(hashes: np.ndarray, *tags) -> np.ndarray:
+    """A hash that differs with the tags as well."""
+    with np.errstate(over="ignore"):
+        for t in tags:
+            hashes = mix64(hashes + (np.asarray(t).astype(np.uint64) + np.uint64(1)) * np.uint64(SEEDS[1]))
+    return hashes
+
+
+def sums(values: np.ndarray) -> np.ndarray:
+    """Sums modulo 2^64 of what is before each place."""
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values, out=out[1:])
+    return out
+
+
+class Lines:
+    """Words of lines and their hashes by place."""
+
+    def __init__(self, lines: pa.Array):
+        self.words, self.n, self.lengths = hashed_words(lines, 8, lengths=True)
+        some = self.n > 0
+        self.some, self.n = some, self.n[some]
+        self.begin = np.cumsum(self.n) - self.n
+        self.at = np.arange(len(self.words)) - np.repeat(self.begin, self.n)
+        self.front = [placed(self.words, self.at, seed) for seed in SEEDS[:2]]
+        self.before = [sums(x) for x in self.front]
+
+    def whole(self, k: int) -> np.ndarray:
+        """Hash k of each line."""
+        return tagged(self.before[k][self.begin + self.n] - self.before[k][self.begin], self.n)
 
 
-def posted_pairs(hashed: np.ndarray, n: np.ndarray, limit: np.ndarray, weights: np.ndarray) -> pa.Array:
-    """Of each line with a limit of 2 or more, the first 2 * limit + 1 distinct pairs of neighbouring words, as numbers
-    of 44 bits: their weight and a hash."""
-    many = limit > 1
-    begin, size = (np.cumsum(n) - n)[many], np.where(many, n - 1, 0)[many]
-    line = np.repeat(np.arange(len(size)), size)
+def posted_pairs(lines: Lines, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key): of each line with a limit of 2 or more the first 2 * limit + 1 distinct pairs of neighbouring words."""
+    many = np.flatnonzero(limit > 1)
+    begin, size = lines.begin[many], lines.n[many] - 1
+    line = np.repeat(np.arange(len(many)), size)
     at = np.arange(len(line)) - np.repeat(np.cumsum(size) - size, size) + begin[line]
-    weight = weights[(hashed % np.uint64(len(weights))).astype(np.int64)].astype(np.uint64)
     with np.errstate(over="ignore"):
-        pair = mix64(hashed[at] * np.uint64(BASES[1]) + hashed[at + 1]) >> np.uint64(26)
-    # A round of text_rounds has fewer than 2^20 such lines, but for one text alone: then the order is found in two steps.
-    pair |= (weight[at] + weight[at + 1]) << np.uint64(38)
-    if len(size) < 1 << 20:
-        both = np.sort(line.astype(np.uint64) << np.uint64(44) | pair)
-        line, pair = (both >> np.uint64(44)).astype(np.int64), both & np.uint64((1 << 44) - 1)
+        pair = mix64(lines.words[at] * np.uint64(SEEDS[1]) + lines.words[at + 1]) >> np.uint64(64 - PAIR_BITS)
+    short = 31 - np.minimum(lines.lengths[at] + lines.lengths[at + 1], 31)
+    pair |= short.astype(np.uint64) << np.uint64(PAIR_BITS)
+    width = np.uint64(PAIR_BITS + 5)
+    # A round of text_rounds has fewer such lines than this, but for one text alone: then the order is found in two steps.
+    if len(many) < 1 << (64 - int(width)):
+        both = np.sort(line.astype(np.uint64) << width | pair)
+        line, pair = (both >> width).astype(np.int64), both & np.uint64((1 << int(width)) - 1)
     else:
         order = np.lexsort((pair, line))
         pair, line = pair[order], line[order]
     new = np.ones(len(pair), bool)
     new[1:] = (pair[1:] != pair[:-1]) | (line[1:] != line[:-1])
     pair, line = pair[new], line[new]
-    counts = np.bincount(line, minlength=len(size))
-    rank = np.arange(len(line)) - np.repeat(np.cumsum(counts) - counts, counts)
-    kept = rank < 2 * limit[many][line] + 1
-    ends = np.zeros(len(n) + 1, np.int32)
-    ends[1:][many] = np.bincount(line[kept], minlength=len(size))
-    return pa.ListArray.from_arrays(pa.array(np.cumsum(ends).astype(np.int32)), pa.array(signed(pair[kept])))
-
-
-def word_bits(hashed: np.ndarray, n: np.ndarray, some: np.ndarray) -> pa.Array:
-    """Of some lines, BITS bits in which each word sets one; null for the others."""
-    there = np.repeat(some, n)
-    bits = np.zeros((int(some.sum()), BITS), bool)
-    bits[np.repeat(np.arange(len(bits)), n[some]), (hashed[there] % np.uint64(BITS)).astype(np.int64)] = True
-    packed = pa.py_buffer(np.packbits(bits, axis=1).tobytes())
-    made = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITS // 8), len(bits), [None, packed]).cast(pa.binary())
-    return made.take(pa.array(np.cumsum(some) - 1, mask=~some))
-
-
-class Spans:
-    """Polynomial hashes modulo 2^64 of any run of words."""
-
-    def __init__(self, words: np.ndarray, base: int):
-        n = len(words) + 1
-        with np.errstate(over="ignore"):
-            self.power, self.inverse = np.full(n + 1, base, np.uint64), np.full(n + 1, pow(base, -1, 1 << 64), np.uint64)
-            self.power[0] = self.inverse[0] = 1
-            self.power, self.inverse = np.multiply.accumulate(self.power), np.multiply.accumulate(self.inverse)
-            self.sums = np.zeros(n, np.uint64)
-            np.cumsum(words * self.power[: n - 1], out=self.sums[1:])
-
-    def of(self, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return (self.sums[begin + length] - self.sums[begin]) * self.inverse[begin]
-
-    def without(self, begin: np.ndarray, length: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Hash of a run of words without the one at `at`."""
-        with np.errstate(over="ignore"):
-            return self.of(begin, at) + self.power[at] * self.of(begin + at + 1, length - at - 1)
+    counts = np.bincount(line, minlength=len(many))
+    kept = np.arange(len(line)) - np.repeat(np.cumsum(counts) - counts, counts) < 2 * limit[many][line] + 1
+    return many[line[kept]], mix64(pair[kept]) & ~np.uint64(3)
 
 
-def tagged(hashes: np.ndarray, *tags) -> np.ndarray:
-    """A hash that differs with the tags as well."""
-    with np.errstate(over="ignore"):
-        for t in tags:
-            hashes = mix64(hashes + (np.asarray(t).astype(np.uint64) + np.uint64(1)) * np.uint64(BASES[1]))
-    return hashes
+def half_keys(lines: Lines, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key): hashes of halves; the lowest bits of a key are 1 for a first and 2 for a second half."""
+    which = np.flatnonzero(near)
+    n, begin = lines.n[which], lines.begin[which]
+    back = sums(placed(lines.words, np.repeat(lines.n, lines.n) - 1 - lines.at, SEEDS[2]))
+    found = []
+    for length, there in ((n // 2, n > 1), ((n + 1) // 2, n % 2 == 1)):
+        for side, spans, start in ((1, lines.before[0], begin), (2, back, begin + n - length)):
+            key = tagged(spans[start + length] - spans[start], length, np.full(len(n), side)) & ~np.uint64(3) | np.uint64(side)
+            found.append((which[there], key[there]))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def word_bits(lines: Lines) -> list[np.ndarray]:
+    """Of each line BITS bits in two numbers, each the parity of how many of its words fall on it."""
+    bit = mix64(lines.words) & np.uint64(BITS - 1)
+    one = np.uint64(1) << (bit & np.uint64(63))
+    if not len(lines.n):
+        return [np.zeros(0, np.uint64)] * 2
+    return [np.bitwise_xor.reduceat(np.where((bit < 64) == low, one, np.uint64(0)), lines.begin) for low in (True, False)]
 
 
 def split_lines(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -174,181 +181,196 @@ def split_lines(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return lists.flatten(), row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-LINES = "doc_id long, line_no int, h1 long, h2 long, n_words int, p1 long, p2 long, s1 long, s2 long, pairs array<long>, bits binary"
+LINES = "doc_id long, line_no int, t long, h1 long, h2 long, n int, s1 long, s2 long, keys array<long>"
 
 
-def _line_rows(batches, near_words, share, weights):
+def _line_rows(batches, near_words, share):
     for batch in batches:
         for first, texts in text_rounds(batch.column("text")):
-            lines, row, number = split_lines(texts)
-            hashed, n = hashed_words(lines, 8)
-            some = n > 0
-            n, row, number = n[some], row[some] + first, number[some]
-            if not len(n):
+            held, row, number = split_lines(texts)
+            lines = Lines(held)
+            if not len(lines.n):
                 continue
-            begin = np.cumsum(n) - n
-            one, two = Spans(hashed, BASES[0]), Spans(mix64(hashed), BASES[1])
-            near = n >= near_words
-            low, high = n // 2, (n + 1) // 2
-            columns = [batch.column("doc_id").take(pa.array(row)), pa.array(number.astype(np.int32)), pa.array(signed(tagged(one.of(begin, n), n))), pa.array(signed(tagged(two.of(begin, n), n))), pa.array(n.astype(np.int32))]
-            for side in (0, 1):
-                for length, there in ((low, near), (high, near & (high > low))):
-                    span = one.of(begin if side == 0 else begin + n - length, length)
-                    columns.append(pa.array(signed(tagged(span, length, np.full(len(n), side))), mask=~there))
-            limit = bounds(n, near_words, share)
-            columns += [posted_pairs(hashed, n, limit, weights), word_bits(hashed, n, limit > 1)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "h1", "h2", "n_words", "p1", "p2", "s1", "s2", "pairs", "bits"])
+            rows = pa.array(row[lines.some] + first)
+            limit = bounds(lines.n, near_words, share)
+            near = (limit == 1) | (bounds(lines.n - 1, near_words, share) == 1)
+            found = half_keys(lines, near), posted_pairs(lines, limit)
+            line, key = (np.concatenate(x) for x in zip(*found, strict=True))
+            key = key[np.argsort(line, kind="stable")]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(line, minlength=len(lines.n)))])
+            keys = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(signed(key)))
+            columns = [batch.column("doc_id").take(rows), pa.array(number[lines.some].astype(np.int32)), batch.column("t").take(rows)]
+            columns += [pa.array(signed(lines.whole(k))) for k in (0, 1)]
+            columns += [pa.array(lines.n.astype(np.int32)), *(pa.array(signed(x)) for x in word_bits(lines)), keys]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "t", "h1", "h2", "n", "s1", "s2", "keys"])
+
+
+def _asked_lines(batches):
+    """The lines asked for, with their words."""
+    for batch in batches:
+        asked = batch.column("asked")
+        for first, texts in text_rounds(batch.column("text")):
+            lines, row, _ = split_lines(texts)
+            wanted = asked.slice(first, len(texts))
+            flat = wanted.flatten()
+            of = np.repeat(np.arange(len(texts)), wanted.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+            sizes = np.bincount(row, minlength=len(texts))
+            held = (np.cumsum(sizes) - sizes)[of] + flat.field("line_no").to_numpy(zero_copy_only=False)
+            for k in range(0, len(held), 10_000):
+                which, rows = flat.slice(k, 10_000), pa.array(of[k : k + 10_000] + first)
+                columns = [batch.column("doc_id").take(rows), which.field("line_no"), batch.column("t").take(rows), which.field("sides"), lines.take(pa.array(held[k : k + 10_000]))]
+                yield pa.RecordBatch.from_arrays(columns, [*PLACE, "sides", "line"])
 
 
-VARIANTS = "key long, check long, kind int, doc_id long, line_no int"
+VARIANTS = "key long, check long, kind int, doc_id long, line_no int, t long, w_doc_id long, w_line_no int, w_t long"
 
 
 def _variant_rows(batches, near_words):
-    """Self, left-out and replaced-word keys of the lines asked for."""
+    """Whole (0), left-out (1) and replaced-word (2) keys of lines; of lines with one replaced-word key in a batch the
+    earliest has it, and the others are its later partners (3)."""
     for batch in batches:
-        asked = batch.column("asked")
-        for first, texts in text_rounds(batch.column("text")):
-            lines, row, number = split_lines(texts)
-            wanted = asked.slice(first, len(texts))
-            counts = wanted.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = wanted.flatten()
-            line, side = flat.field("line_no").to_numpy(zero_copy_only=False).astype(np.int64), flat.field("sides").to_numpy(zero_copy_only=False).astype(np.int64)
-            of = np.repeat(np.arange(len(counts)), counts)
-            sizes = np.bincount(row, minlength=len(counts))
-            there = line < sizes[of]
-            of, line, side = of[there], line[there], side[there]
-            hashed, n = hashed_words(lines.take(pa.array((np.cumsum(sizes) - sizes)[of] + line)), 8)
-            if not len(n) or (n < near_words).all():
+        for first, texts in text_rounds(batch.column("line")):
+            lines = Lines(texts)
+            keep = np.flatnonzero(lines.n >= near_words)
+            if not len(keep):
                 continue
-            begin = np.cumsum(n) - n
-            keep = n >= near_words
-            n, begin, side, of, numbers = n[keep], begin[keep], side[keep], of[keep], line[keep].astype(np.int32)
-            docs = batch.column("doc_id").to_numpy(zero_copy_only=False)[of + first]
-            both = Spans(hashed, BASES[0]), Spans(mix64(hashed), BASES[1])
-            low = np.where(side & 2, 0, n // 2)
-            high = np.where(side & 1, n, (n + 1) // 2)
+            n, begin = lines.n[keep], lines.begin[keep]
+            rows = np.flatnonzero(lines.some)[keep] + first
+            place = [batch.column(c).take(pa.array(rows)) for c in PLACE]
+            order = np.lexsort([p.to_numpy() for p in reversed(place)])
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            side = batch.column("sides").to_numpy(zero_copy_only=False)[rows]
+            low, high = np.where(side & 2, 0, n // 2), np.where(side & 1, n, (n + 1) // 2)
             size = high - low
             line = np.repeat(np.arange(len(n)), size)
             at = np.arange(len(line)) - np.repeat(np.cumsum(size) - size, size) + low[line]
-            less = [spans.without(begin[line], n[line], at) for spans in both]
-            whole = [tagged(spans.of(begin, n), n) for spans in both]
-            left = [tagged(x, n[line] - 1) for x in less]
+            word = begin[line] + at
+            left, swapped = [], []
+            for k in (0, 1):
+                before, end = lines.before[k], begin + n
+                one_less = sums(placed(lines.words, lines.at - 1, SEEDS[k]))
+                left.append(tagged(before[word] - before[begin[line]] + one_less[end[line]] - one_less[word + 1], n[line] - 1))
+                swapped.append(tagged(before[end[line]] - before[begin[line]] - lines.front[k][word], n[line], at, np.full(len(at), 7)))
             once = np.ones(len(line), bool)  # equal neighbours leave the same words
             once[1:] = (left[0][1:] != left[0][:-1]) | (left[1][1:] != left[1][:-1]) | (line[1:] != line[:-1])
-            swapped = [tagged(x, n[line], at, np.full(len(at), 7)) for x in less]
-            yield _variants(whole, 0, docs, numbers)
-            yield _variants([x[once] for x in left], 1, docs[line[once]], numbers[line[once]])
-            order = np.lexsort((numbers[line], docs[line], swapped[1], swapped[0]))
+            yield _variants([lines.whole(k)[keep] for k in (0, 1)], 0, place, np.arange(len(n)))
+            yield _variants([x[once] for x in left], 1, place, line[once])
+            order = np.lexsort((rank[line], swapped[1], swapped[0]))
             keys, line = [x[order] for x in swapped], line[order]
             head = np.ones(len(line), bool)
             head[1:] = (keys[0][1:] != keys[0][:-1]) | (keys[1][1:] != keys[1][:-1])
-            yield _variants([x[head] for x in keys], 2, docs[line[head]], numbers[line[head]])
-            yield _variants([x[~head] for x in keys], 3, docs[line[~head]], numbers[line[~head]])
+            yield _variants([x[head] for x in keys], 2, place, line[head])
+            yield _variants([x[~head] for x in keys], 3, place, line[~head], line[head][np.cumsum(head) - 1][~head])
 
 
-def _variants(keys, kind, docs, numbers):
-    return pa.RecordBatch.from_arrays([*(pa.array(signed(x)) for x in keys), pa.array(np.full(len(docs), kind), pa.int32()), pa.array(docs), pa.array(numbers)], ["key", "check", "kind", "doc_id", "line_no"])
+def _variants(keys, kind, place, line, witness=None):
+    mine = [p.take(pa.array(line)) for p in place]
+    other = [pa.nulls(len(line), p.type) for p in place] if witness is None else [p.take(pa.array(witness)) for p in place]
+    return pa.RecordBatch.from_arrays([*(pa.array(signed(x)) for x in keys), pa.array(np.full(len(line), kind, np.int32)), *mine, *other], [x.split()[0] for x in VARIANTS.split(", ")])
 
 
-def _run_rows(batches):
-    """Lines that go, from rows sorted by key, check, kind, doc_id and line_no. A key is equal if its second hash is too."""
-    key, self_at, taken = None, None, False
+def variant_pairs(variants: DataFrame) -> DataFrame:
+    """(place, w_place): lines with an earlier one that has an equal variant, as two hashes tell."""
+    key, place = ["key", "check"], F.struct(*PLACE)
+    rows = lambda kind, name: variants.filter(F.col("kind") == kind).select(*key, place.alias(name))
+    heads = rows(2, "mine")
+    swapped = heads.join(heads.groupBy(*key).agg(F.min("mine").alias("other")), key).filter("mine > other")
+    moved = rows(1, "long").join(rows(0, "short"), key)
+    longer = moved.filter("long > short").select(F.col("long").alias("mine"), F.col("short").alias("other"))
+    shorter = moved.filter("long < short").groupBy(F.col("short").alias("mine")).agg(F.min("long").alias("other"))
+    near = variants.filter("kind = 3").select(place.alias("mine"), F.struct(*(F.col(f"w_{c}").alias(c) for c in PLACE)).alias("other"))
+    return near.union(swapped.select("mine", "other")).union(longer).union(shorter).select("mine.*", *(F.col(f"other.{c}").alias(f"w_{c}") for c in PLACE))
+
+
+def _checked_rows(batches, near_words, share):
+    """Of lines and their partners those whose words are within the bound."""
     for batch in batches:
-        gone = []
-        for *k, kind, doc, line in zip(*(batch.column(c).to_pylist() for c in ("key", "check", "kind", "doc_id", "line_no")), strict=True):
-            new = k != key
-            if new:
-                key, self_at, taken = k, None, False
-            if kind == 3 or (kind == 2 and not new):
-                gone.append((doc, line))
-            elif kind == 0:
-                self_at = (doc, line)
-            elif kind == 1 and self_at is not None:
-                if (doc, line) > self_at:
-                    gone.append((doc, line))
-                elif not taken:
-                    gone.append(self_at)
-                    taken = True
-        yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in gone], pa.int64()), pa.array([g[1] for g in gone], pa.int32())], ["doc_id", "line_no"])
-
-
-FLAGGED = "key long, i int, j int, side boolean, doc_id long, line_no int, n int, bits binary"
-POSTED = FLAGGED + ", line string"
-BLOCKED = ["key", "i", "j", "side", "doc_id", "line_no", "n", "bits"]
+        kept = []
+        for k, (x, y) in enumerate(zip(batch.column("line").to_pylist(), batch.column("w_line").to_pylist(), strict=True)):
+            x, y = line_words(x), line_words(y)
+            if within(x, y, int(bounds(min(len(x), len(y)), near_words, share))):
+                kept.append(k)
+        yield batch.select(PLACE).take(pa.array(kept, pa.int64()))
+
+
+BLOCKED = ["key", "i", "j", "side", *PLACE, "n", "s1", "s2"]
+FLAGGED = "key long, i int, j int, side boolean, doc_id long, line_no int, t long, n int, s1 long, s2 long"
+
+
+class Block:
+    """Numbers of words and bits of the lines of a block so far, in arrays that grow."""
+
+    def __init__(self, name):
+        self.name, self.size = name, 0
+        self.held = {c: np.zeros(64, kind) for c, kind in (("n", np.int64), ("limit", np.int64), ("s1", np.uint64), ("s2", np.uint64), ("side", bool))}
+        self.items: list = []
+
+    def fits(self, row) -> np.ndarray:
+        """Which of the lines may be within the bound of this one."""
+        n, limit, s1, s2, side = row
+        h = {c: v[: self.size] for c, v in self.held.items()}
+        least = np.minimum(h["limit"], limit)
+        ok = (np.abs(h["n"] - n) <= least) & (np.bitwise_count(h["s1"] ^ s1).astype(np.int64) + np.bitwise_count(h["s2"] ^ s2) <= 2 * least)
+        return np.flatnonzero(ok if self.name[1] == self.name[2] else ok & (h["side"] != side))
+
+    def add(self, row, item) -> None:
+        if self.size == len(self.held["n"]):
+            self.held = {c: np.concatenate([v, np.zeros_like(v)]) for c, v in self.held.items()}
+        for c, v in zip(self.held, row, strict=True):
+            self.held[c][self.size] = v
+        self.items.append(item)
+        self.size += 1
+
+
+def _block_rows(batch, near_words, share):
+    """(block, row of Block) for each row."""
+    n = batch.column("n").to_numpy().astype(np.int64)
+    limit = bounds(n, near_words, share)
+    bits = [batch.column(c).to_numpy().view(np.uint64) for c in ("s1", "s2")]
+    names = zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j")), strict=True)
+    return zip(names, zip(n, limit, *bits, batch.column("side").to_pylist(), strict=True), strict=True)
 
 
 def _flagged_rows(batches, near_words, share):
-    """Of each block the rows that may be near another one by their numbers of words and bits."""
-    block, alone, known = None, [], []
-    for batch in batches:
-        out = []
-        limits = bounds(batch.column("n").to_numpy(), near_words, share).tolist()
-        for limit, *row in zip(limits, *(batch.column(c).to_pylist() for c in BLOCKED), strict=True):
-            key, i, j, side, _, _, n, packed = row
-            if (key, i, j) != block:
-                block, alone, known = (key, i, j), [], []
-            bits = int.from_bytes(packed, "big")
-
-            def fits(other, limit=limit, n=n, bits=bits, side=side, within_one=i == j):
-                at_most, m, more, of, _ = other
-                least = min(limit, at_most)
-                return (within_one or of != side) and abs(n - m) <= least and (bits & ~more).bit_count() <= least and (more & ~bits).bit_count() <= least
-
-            me = (limit, n, bits, side, row)
-            found = [k for k, other in enumerate(alone) if fits(other)]
-            for k in reversed(found):
-                known.append(alone.pop(k))
-                out.append(known[-1][4])
-            if found or any(map(fits, known)):
-                known.append(me)
-                out.append(row)
-            else:
-                alone.append(me)
-        schema = pa.schema(list(zip(BLOCKED, (pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)))
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
-
-
-def _posted_rows(batches):
-    """The flagged rows with their lines."""
+    """Of each block, whose rows lie together, the rows that may be near another one by their numbers of words and bits."""
+    block = Block(None)
     for batch in batches:
-        asked = batch.column("asked")
-        for first, texts in text_rounds(batch.column("text")):
-            lines, row, _ = split_lines(texts)
-            wanted = asked.slice(first, len(texts))
-            counts = wanted.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = wanted.flatten()
-            number = flat.field("line_no").to_numpy(zero_copy_only=False)
-            of = np.repeat(np.arange(len(counts)), counts)
-            sizes = np.bincount(row, minlength=len(counts))
-            there = np.flatnonzero(number < sizes[of])
-            held = (np.cumsum(sizes) - sizes)[of[there]] + number[there]
-            docs = batch.column("doc_id").take(pa.array(of[there] + first))
-            for k in range(0, len(there), 10_000):
-                which = flat.take(pa.array(there[k : k + 10_000]))
-                columns = [docs.slice(k, 10_000) if c == "doc_id" else which.field(c) for c in BLOCKED]
-                yield pa.RecordBatch.from_arrays([*columns, lines.take(pa.array(held[k : k + 10_000]))], [*BLOCKED, "line"])
+        own, out = batch.select(BLOCKED), []  # rows of this batch, and earlier ones that were held back
+        keep, late = [], []
+        for k, (name, row) in enumerate(_block_rows(own, near_words, share)):
+            if name != block.name:
+                block = Block(name)
+            found = block.fits(row)
+            for f in found.tolist():
+                item = block.items[f]
+                if item is not None:  # not out yet
+                    keep.append(item) if isinstance(item, int) else late.append(item)
+                    block.items[f] = None
+            if len(found):
+                keep.append(k)
+            block.add(row, None if len(found) else k)
+        if keep:
+            out.append(own.take(pa.array(sorted(keep), pa.int64())))
+        out += late
+        # What may still be asked for is kept as rows of its own; the batch itself goes.
+        block.items = [own.slice(x, 1).take(pa.array([0])) if isinstance(x, int) else x for x in block.items]
+        yield from out
 
 
 def _near_rows(batches, near_words, share):
-    """Lines within the bound of an earlier one of their block, from rows sorted by block, doc_id and line_no."""
-    block, earlier = None, []
+    """Lines within the bound of an earlier one of their block, from rows sorted by block and place."""
+    block = Block(None)
     for batch in batches:
         gone = []
-        columns = (batch.column(c).to_pylist() for c in ("key", "i", "j", "side", "doc_id", "line_no", "n", "bits", "line"))
-        limits = bounds(batch.column("n").to_numpy(), near_words, share).tolist()
-        for limit, key, i, j, side, doc, number, n, bits, line in zip(limits, *columns, strict=True):
-            if (key, i, j) != block:
-                block, earlier = (key, i, j), []
-            bits, words = int.from_bytes(bits, "big"), None
-            for other, at_most, more, of, text in earlier:
-                least = min(limit, at_most)
-                if (i == j or of != side) and abs(n - other) <= least and (bits & ~more).bit_count() <= least and (more & ~bits).bit_count() <= least:
-                    words = words or line_words(line)
-                    if within(line_words(text), words, least):
-                        gone.append((doc, number))
-                        break
-            earlier.append((n, limit, bits, side, line))
-        yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in gone], pa.int64()), pa.array([g[1] for g in gone], pa.int32())], ["doc_id", "line_no"])
+        for k, ((name, row), line) in enumerate(zip(_block_rows(batch, near_words, share), batch.column("line").to_pylist(), strict=True)):
+            if name != block.name:
+                block = Block(name)
+            words = line_words(line)
+            if any(within(line_words(block.items[f]), words, int(min(block.held["limit"][f], row[1]))) for f in block.fits(row).tolist()):
+                gone.append(k)
+            block.add(row, line)
+        yield batch.select(PLACE).take(pa.array(gone, pa.int64()))
 
 
 def line_words(line: str) -> list[bytes]:
@@ -356,92 +378,96 @@ def line_words(line: str) -> list[bytes]:
     return utf8(line).split()
 
 
-def far_lines(documents: DataFrame, lines: DataFrame, distinct: DataFrame, near_words: int, share: float) -> DataFrame:
-    """(doc_id, line_no) of the lines that may differ in two words or more and are near an earlier one."""
+PLACES = "doc_id long, line_no int, t long"
+
+
+def near_lines(documents: DataFrame, distinct: DataFrame, near_words: int, share: float) -> DataFrame:
+    """(doc_id, line_no, t) of the distinct lines that are within the bound of an earlier one."""
     spark = documents.sparkSession
-    posted = lines.select("h1", "doc_id", "line_no", F.col("n_words").alias("n"), "bits", F.explode("pairs").alias("key"))
-    # Equal lines are one, and a pair that only they post is of no use.
-    shared = posted.groupBy("key").agg(F.count("*").alias("times"), F.min("h1").alias("least"), F.max("h1").alias("most")).filter("least < most").select("key", F.ceil(F.col("times") / BLOCK).cast("int").alias("slices"))
-    firsts = distinct.select("first.doc_id", "first.line_no")
-    asked = materialise(posted.select("key", "doc_id", "line_no").join(shared, "key").join(firsts, ["doc_id", "line_no"]), "shared-pairs")
+    posted = distinct.select("h1", F.explode("keys").alias("key"))
+    shared = posted.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("slices"), F.count("*").alias("times")).filter("times > 1").drop("times")
+    found = materialise(posted.join(shared, "key").join(distinct.select("h1", *(F.col(f"first.{c}").alias(c) for c in PLACE), "n", "s1", "s2"), "h1").drop("h1"), "shared-keys")
     release(spark)
-    rows = asked.join(lines.select("doc_id", "line_no", F.col("n_words").alias("n"), "bits").filter("bits is not null"), ["doc_id", "line_no"])
-    rows = rows.withColumn("slice", F.pmod(F.xxhash64("doc_id", "line_no"), F.col("slices")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-    rows = rows.select("key", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"), (F.col("slice") <= F.col("other")).alias("side"), "doc_id", "line_no", "n", "bits")
-    in_blocks = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc_id", "line_no")
-    flagged = materialise(in_blocks.mapInArrow(lambda batches: _flagged_rows(batches, near_words, share), FLAGGED), "flagged-lines")
+    halves = found.filter("key & 3 > 0").groupBy(*PLACE).agg(F.bit_or(F.expr("cast(key & 3 as int)")).alias("sides"))
+    rows = found.filter("key & 3 = 0").withColumn("slice", F.pmod(F.xxhash64(*PLACE), F.col("slices")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    rows = rows.select("key", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"), (F.col("slice") <= F.col("other")).alias("side"), *PLACE, "n", "s1", "s2")
+    block = ["key", "i", "j"]
+    flagged = materialise(rows.repartition(*block).sortWithinPartitions(*block).mapInArrow(lambda batches: _flagged_rows(batches, near_words, share), FLAGGED), "flagged-lines")
+    asked = halves.union(flagged.select(*PLACE, F.lit(0).alias("sides"))).groupBy(*PLACE).agg(F.bit_or("sides").alias("sides"))
+    asked = materialise(asked.groupBy("doc_id", "t").agg(F.collect_list(F.struct("line_no", "sides")).alias("asked")), "asked-lines")
     release(spark)
-    asked = materialise(flagged.groupBy("doc_id").agg(F.collect_list(F.struct(*(c for c in BLOCKED if c != "doc_id"))).alias("asked")), "asked-pairs")
-    rows = documents.join(asked, "doc_id").select("doc_id", "text", "asked").mapInArrow(_posted_rows, POSTED)
-    sorted_rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc_id", "line_no")
-    gone = materialise(sorted_rows.mapInArrow(lambda batches: _near_rows(batches, near_words, share), "doc_id long, line_no int"), "far-lines")
+    texts = documents.join(asked, ["doc_id", "t"]).select("doc_id", "t", "text", "asked").mapInArrow(_asked_lines, f"{PLACES}, sides int, line string")
+    texts = materialise(texts, "texts-of-lines").dropDuplicates(PLACE)  # a document may be there twice
+    variants = materialise(texts.filter("sides > 0").mapInArrow(lambda batches: _variant_rows(batches, near_words), VARIANTS), "variants")
+    held = texts.select(*PLACE, "line")
+    other = held.select(*(F.col(c).alias(f"w_{c}") for c in (*PLACE, "line")))
+    pairs = variant_pairs(variants).join(held, PLACE).join(other, [f"w_{c}" for c in PLACE]).select(*PLACE, "line", "w_line")
+    gone = pairs.mapInArrow(lambda batches: _checked_rows(batches, near_words, share), PLACES)
+    blocks = flagged.join(held, PLACE).select(*BLOCKED, "line").repartition(*block).sortWithinPartitions(*block, *PLACE)
+    gone = gone.union(blocks.mapInArrow(lambda batches: _near_rows(batches, near_words, share), PLACES)).distinct()
+    gone = materialise(gone, "near-lines")
     release(spark)
     return gone
 
 
-def dropped_lines(documents: DataFrame, near_words: int = NEAR_WORDS, share: float = 0.0) -> DataFrame:
-    """(doc_id, line_no, h1, near): the lines that go."""
+def kept_lines(documents: DataFrame, near_words: int = NEAR_WORDS, share: float = 0.0) -> DataFrame:
+    """(doc_id, t, lines): of each text that has any, its lines that are the earliest of their words: line_no, and
+    whether an earlier line is near, so that it goes."""
     if near_words < 2 or not 0 <= share <= MOST_SHARE:
         raise ValueError(f"near_words must be 2 or more and share from 0 to {MOST_SHARE}")
-    spark = documents.sparkSession
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("doc_id").isNotNull())
-    weights = common_words(documents) if share else np.zeros(1, np.uint8)
-    lines = materialise(documents.mapInArrow(lambda batches: _line_rows(batches, near_words, share, weights), LINES), "lines")
-    distinct = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), *(F.first(c).alias(c) for c in ("p1", "p2", "s1", "s2")))
+    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("t")).filter(F.col("doc_id").isNotNull())
+    lines = documents.select("doc_id", "t", "text").mapInArrow(lambda batches: _line_rows(batches, near_words, share), LINES)
+    distinct = lines.groupBy("h1", "h2").agg(F.min(F.struct(*PLACE)).alias("first"), *(F.first(c).alias(c) for c in ("n", "s1", "s2", "keys")))
     distinct = materialise(distinct, "distinct-lines")
-    release(spark)
-    halves = distinct.select("first", F.explode(F.array(*(F.struct(F.col(c).alias("half"), F.lit(1 if c[0] == "p" else 2).alias("side")) for c in ("p1", "p2", "s1", "s2")))).alias("e")).select("first", "e.half", "e.side").filter(F.col("half").isNotNull())
-    shared = halves.groupBy("half").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("half")
-    found = halves.join(shared, "half").groupBy("first.doc_id", "first.line_no").agg(F.bit_or("side").alias("sides"))
-    asked = materialise(found.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "sides")).alias("asked")), "asked-lines")
-    release(spark)
-    variants = documents.join(asked, "doc_id").mapInArrow(lambda batches: _variant_rows(batches, near_words), VARIANTS)
-    kinds = F.when(F.col("kind") == 3, F.xxhash64("doc_id", "line_no")).otherwise(F.col("key"))
-    gone = variants.repartition(kinds).sortWithinPartitions("key", "check", "kind", "doc_id", "line_no").mapInArrow(_run_rows, "doc_id long, line_no int")
-    gone = materialise(gone.distinct(), "near-lines")
-    release(spark)
-    if share:
-        gone = gone.union(far_lines(documents, lines, distinct, near_words, share)).distinct()
-    gone = gone.select("doc_id", "line_no", F.lit(True).alias("near"))
-    release(spark)
-    firsts = distinct.select("h1", "h2", F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no")).join(gone, ["doc_id", "line_no"], "left").select("h1", "h2", F.col("doc_id").alias("first_doc"), F.col("line_no").alias("first_line"), F.coalesce("near", F.lit(False)).alias("near"))
-    marked = lines.select("doc_id", "line_no", "h1", "h2").join(firsts, ["h1", "h2"])
-    return marked.filter(F.col("near") | (F.col("doc_id") != F.col("first_doc")) | (F.col("line_no") != F.col("first_line"))).select("doc_id", "line_no", "h1", "near")
-
-
-def dedup_lines(documents: DataFrame, near_words: int = NEAR_WORDS, share: float = 0.0) -> DataFrame:
-    """The documents, all columns, with `__n_lines`, `__n_gone` and `__n_near`, and text without the lines that go."""
-    spark = documents.sparkSession
-    lists = materialise(dropped_lines(documents, near_words, share).groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list(F.struct("line_no", "h1", "near")).alias("__gone")), "gone-lines")
-    release(spark)
-    names = documents.columns
-    joined = documents.join(lists, F.col("doc_id").cast("long") == F.col("__doc"), "left").drop("__doc")
+    release(documents.sparkSession)
+    gone = near_lines(documents, distinct, near_words, share).withColumn("near", F.lit(True))
+    marked = distinct.select("first.*").join(gone, PLACE, "left").select(*PLACE, F.coalesce("near", F.lit(False)).alias("near"))
+    lists = materialise(marked.groupBy("doc_id", "t").agg(F.collect_list(F.struct("line_no", "near")).alias("lines")), "kept-lines")
+    release(documents.sparkSession)
+    return lists
+
+
+def _without_lines(plain: DataFrame, names: dict[str, str], near_words: int, share: float) -> DataFrame:
+    """A table of clear names, its text without the lines that go, and n_lines, n_gone and n_near."""
+    id_name, text_name = names["doc_id"], names["text"]
+    lists = kept_lines(plain.select(F.col(id_name).alias("doc_id"), F.col(text_name).alias("text")), near_words, share).withColumnsRenamed({"doc_id": "kept_doc", "t": "kept_t", "lines": "kept_lines"})
+    columns = plain.columns
+    at = columns.index(text_name)
+    joined = plain.join(lists, (F.col(id_name).cast("long") == F.col("kept_doc")) & (F.xxhash64(text_name) == F.col("kept_t")), "left").select(*columns, F.col(id_name).isNull().alias("kept_whole"), "kept_lines")
 
     def run(batches):
         for batch in batches:
             texts, totals, goes, nears = [], [], [], []
-            split = [(t or "").split("\n") for t in batch.column(names.index("text")).to_pylist()]
-            asked = [[g for g in gone or () if g["line_no"] < len(lines)] for lines, gone in zip(split, batch.column(batch.num_columns - 1).to_pylist(), strict=True)]
-            hashes = iter(line_hashes([lines[g["line_no"]] for lines, gone in zip(split, asked, strict=True) for g in gone]))
-            for text, lines, gone in zip(batch.column(names.index("text")), split, asked, strict=True):
-                out = {g["line_no"]: g["near"] for g in gone if next(hashes) == g["h1"]}
-                texts.append(text.as_py() if not out else "\n".join(x for k, x in enumerate(lines) if k not in out))
-                totals.append(sum(1 for x in lines if x.strip(ASCII_SPACE)))
-                goes.append(len(out))
-                nears.append(sum(out.values()))
-            arrays = [pa.array(texts, batch.column(k).type) if names[k] == "text" else batch.column(k) for k in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*arrays, *(pa.array(v, pa.int64()) for v in (totals, goes, nears))], [*names, "__n_lines", "__n_gone", "__n_near"])
+            for text, whole, kept in zip(batch.column(at).to_pylist(), batch.column("kept_whole").to_pylist(), batch.column("kept_lines").to_pylist(), strict=True):
+                lines = (text or "").split("\n")
+                near = {x["line_no"]: x["near"] for x in kept or ()}
+                there = [k for k, x in enumerate(lines) if x.strip(ASCII_SPACE)]
+                gone = set() if whole else {k for k in there if near.get(k, True)}
+                texts.append(text if not gone else "\n".join([x for k, x in enumerate(lines) if k not in gone]))
+                totals.append(len(there))
+                goes.append(len(gone))
+                nears.append(0 if whole else sum(near.values()))
+            arrays = [pa.array(texts, batch.column(k).type) if k == at else batch.column(k) for k in range(len(columns))]
+            yield pa.RecordBatch.from_arrays([*arrays, *(pa.array(v, pa.int64()) for v in (totals, goes, nears))], [*columns, "n_lines", "n_gone", "n_near"])
+
+    return joined.mapInArrow(run, widened(plain.schema, T.LongType(), "n_lines", "n_gone", "n_near"))
 
-    return joined.mapInArrow(run, widened(documents.schema, T.LongType(), "__n_lines", "__n_gone", "__n_near"))
+
+def dedup_lines(documents: DataFrame, near_words: int = NEAR_WORDS, share: float = 0.0) -> DataFrame:
+    """The documents, all columns, with `__n_lines`, `__n_gone` and `__n_near` after them, and text without the lines that go."""
+    return _without_lines(*clear_names(documents), near_words, share).toDF(*documents.columns, "__n_lines", "__n_gone", "__n_near")
 
 
-def line_hashes(lines: list[str]) -> list[int]:
-    """The first hash of each line, as the line table has it."""
-    hashed, n = hashed_words(pa.array(lines, pa.string()), 8)
-    return signed(tagged(Spans(hashed, BASES[0]).of(np.cumsum(n) - n, n), n)).tolist()
+def dedup_texts(documents: DataFrame, near_words: int = NEAR_WORDS, share: float = SHARE) -> DataFrame:
+    """The documents, all columns, text without the lines that go and n_chars, where there is one, of what stays."""
+    plain, names = clear_names(documents)
+    rows = _without_lines(plain, names, near_words, share)
+    if count := names.get("n_chars"):
+        rows = rows.withColumn(count, F.length(names["text"]).cast(plain.schema[count].dataType))
+    return rows.select(*plain.columns).toDF(*documents.columns)
 
 
 def line_dedup_digest(documents: DataFrame, near_words: int = NEAR_WORDS, share: float = SHARE) -> DataFrame:
-    """doc_id, n_lines (not blank), n_gone, n_near, n_kept, text_sha256 of what stays."""
+    """doc_id, n_lines (not blank), n_gone, n_near (of these the earliest of their words), n_kept, text_sha256 of what stays."""
     rows = dedup_lines(documents.select("doc_id", "text"), near_words, share)
     return rows.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_gone").alias("n_gone"), F.col("__n_near").alias("n_near"), (F.col("__n_lines") - F.col("__n_gone")).alias("n_kept"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))

@@ -163,10 +163,31 @@ def test_line_odd_documents(spark, odd):
     assert linededup.line_dedup_digest(odd.limit(0)).count() == 0
 
 
-def test_lines_whose_keys_are_equal_by_one_hash_only_stay():
-    rows = [(5, 1, 2, 1, 0), (5, 1, 2, 2, 0), (5, 9, 2, 3, 0), (6, 1, 0, 4, 0), (6, 2, 1, 5, 0)]
-    batch = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows]) for k in range(5)], ["key", "check", "kind", "doc_id", "line_no"])
-    assert [g for out in linededup._run_rows([batch]) for g in out.column("doc_id").to_pylist()] == [2]
+def test_lines_whose_keys_are_equal_by_one_hash_only_stay(spark):
+    rows = [(5, 1, 2, 1), (5, 1, 2, 2), (5, 9, 2, 3), (6, 1, 0, 4), (6, 2, 1, 5)]
+    variants = spark.createDataFrame([(*r, 0, 0, None, None, None) for r in rows], linededup.VARIANTS)
+    assert [(r.doc_id, r.w_doc_id) for r in linededup.variant_pairs(variants).collect()] == [(2, 1)]
+
+
+def test_lines_with_equal_keys_but_other_words_stay(spark, monkeypatch):
+    pairs = [("a b c d e f g h", "a b c d e f g x", True), ("a b c d e f g h", "a b c d x f g y", False), ("a b c d e f g", "a b c d e f x", False)]
+    batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in enumerate(pairs)]), pa.array([0] * 3), pa.array([0] * 3), *(pa.array([p[k] for p in pairs]) for k in (0, 1))], [*linededup.PLACE, "line", "w_line"])
+    kept = [i for out in linededup._checked_rows([batch], 8, 0.1) for i in out.column("doc_id").to_pylist()]
+    assert kept == [k for k, p in enumerate(pairs) if p[2]]
+
+
+def test_lines_of_regular_patterns_are_no_copies(spark):
+    morse = ["ab"[bin(k).count("1") % 2] for k in range(1024)]
+    rows = [(1, " ".join(morse)), (2, " ".join("ba"[w == "b"] for w in morse)), (3, " ".join(["a", "b"] * 40)), (4, " ".join(["b", "a"] * 40))]
+    found = {r.doc_id: r["__n_gone"] for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), share=0.1).collect()}
+    assert found == {1: 0, 2: 0, 3: 0, 4: 1}
+
+
+def test_ids_with_several_texts_keep_their_own_lines(spark):
+    rows = [(1, "first line of one\nshared"), (1, "other\nshared"), (1, "other\nshared"), (2, "shared\nfirst line of one\nonly here")]
+    found = Counter((r.doc_id, r.text) for r in linededup.dedup_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert found[1, "first line of one"] + found[1, "first line of one\nshared"] == 1 and found[2, "only here"] == 1
+    assert sum(n * t.split("\n").count("shared") for (_, t), n in found.items()) in (1, 2)
 
 
 def test_word_distance():
