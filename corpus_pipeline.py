@@ -7,7 +7,6 @@ as the next one's docs. Stages keep the columns of documents; the last returns t
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from codegraph.llm import jaccardjoin, linededup, mixing, packing, toxicity
 from codegraph.llm.common import materialise, table
@@ -20,8 +19,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated and nearly repeated lines go from texts but for their earliest place; every document stays."""
-    rows = linededup.dedup_lines(docs, share=linededup.SHARE).select(*docs.columns)
-    return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else rows
+    return linededup.dedup_texts(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
