@@ -11,13 +11,14 @@ text's earliest occurrence. No line goes as a near copy before its words have be
      k edits touch 2k pairs at most, so two lines within the bound share a posted one. The order puts pairs of long
      words first, which are rare; any order gives the same result. All variants of a line within k edits would be
      n over k many, so the neighbourhood is that of single words in step 3 and pairs of words find the other lines.
-2. Keys that two lines post are counted and joined. Lines that share a pair are held against each other by the parities
-   of their words (BITS bits, of which an edit turns two at most); a pair posted by more than BLOCK lines is dealt into
-   slices, each two of which are a block. Lines that share a half, or a pair and nearly all bits, are fetched once.
+2. Rows sorted by key are held against each other as they come: lines that share a half are asked for; of the earlier
+   lines with the same pair of words each takes the one with the nearest parities of words (BITS bits, of which an edit
+   turns two at most). A pair posted by more than BLOCK lines is dealt into slices, each two of which are a block.
 3. Lines that share a half emit all their variants: a hash of the line without word i, for each i in the half that may
    differ, with i (equal to another's: one word replaced at i) and without (equal to a whole line's hash: one word put
-   in or left out). Equal variants join and give pairs of a line and an earlier one.
-4. The words of the lines of each pair, and of the lines that share a pair of words, decide.
+   in or left out). Equal variants join and give pairs of a line and an earlier one, as step 2 does.
+4. The words of both lines of a pair decide. A line that its nearest ones don't take, and that has further ones with
+   near parities, is held against all of these in its blocks, by their words.
 
 Words are between ASCII white space. Defined results: a null text stays null, an empty one empty; blank lines stay; rows with a null doc_id stay as they are;
 rows that repeat both doc_id and text count as one document and stay both; of rows that repeat a doc_id with other texts each has lines of its own;
@@ -39,10 +40,11 @@ NEAR_WORDS = 8
 #: Of a line's words, what may differ in op8 and in the pipeline; more than MOST_SHARE leaves no pair of words in common.
 SHARE = 0.1
 MOST_SHARE = 0.25
-BLOCK = 4096
-BITS = 128
-ASCII_SPACE = " \t\n\r\x0b\x0c"
-SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+BLOCK = 2048
+BITS = 64
+#: Keys with so many rows that they are dealt into slices are broadcast up to this number, 16 bytes each.
+HOT_KEYS = 1_000_000
+SEEDS = (0x1E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 #: A pair's number has so many bits below its order by length.
 PAIR_BITS = 41
 #: What names a line: its document's id, its place there and a hash of the text, for ids that come with several texts.
@@ -90,7 +92,7 @@ def within(x: list[str], y: list[str], limit: int) -> bool:
 def placed(words: np.ndarray, at: np.ndarray, seed: int) -> np.ndarray:
     """A hash of each word at its place; the sum over a run of words is the run's hash."""
     with np.errstate(over="ignore"):
-        return mix64(mix64(words + np.uint64(seed)) ^ ((at + 1).astype(np.uint64) * np.uint64(SEEDS[1])))
+        return mix64(words ^ ((at + 1).astype(np.uint64) * np.uint64(SEEDS[1]) + np.uint64(seed)))
 
 
 def tagged(hashes: np.ndarray, *tags) -> np.ndarray:
@@ -164,13 +166,10 @@ def half_keys(lines: Lines, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
-def word_bits(lines: Lines) -> list[np.ndarray]:
-    """Of each line BITS bits in two numbers, each the parity of how many of its words fall on it."""
-    bit = mix64(lines.words) & np.uint64(BITS - 1)
-    one = np.uint64(1) << (bit & np.uint64(63))
-    if not len(lines.n):
-        return [np.zeros(0, np.uint64)] * 2
-    return [np.bitwise_xor.reduceat(np.where((bit < 64) == low, one, np.uint64(0)), lines.begin) for low in (True, False)]
+def word_bits(lines: Lines) -> np.ndarray:
+    """Of each line BITS bits, each the parity of how many of its words fall on it."""
+    one = np.uint64(1) << (mix64(lines.words) & np.uint64(BITS - 1))
+    return np.bitwise_xor.reduceat(one, lines.begin) if len(lines.n) else one
 
 
 def split_lines(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -181,7 +180,7 @@ def split_lines(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return lists.flatten(), row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-LINES = "doc_id long, line_no int, t long, h1 long, h2 long, n int, s1 long, s2 long, keys array<long>"
+LINES = "doc_id long, line_no int, t long, h1 long, h2 long, n int, bits long, keys array<long>"
 
 
 def _line_rows(batches, near_words, share):
@@ -201,8 +200,8 @@ def _line_rows(batches, near_words, share):
             keys = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(signed(key)))
             columns = [batch.column("doc_id").take(rows), pa.array(number[lines.some].astype(np.int32)), batch.column("t").take(rows)]
             columns += [pa.array(signed(lines.whole(k))) for k in (0, 1)]
-            columns += [pa.array(lines.n.astype(np.int32)), *(pa.array(signed(x)) for x in word_bits(lines)), keys]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "t", "h1", "h2", "n", "s1", "s2", "keys"])
+            columns += [pa.array(lines.n.astype(np.int32)), pa.array(signed(word_bits(lines))), keys]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "t", "h1", "h2", "n", "bits", "keys"])
 
 
 def _asked_lines(batches):
@@ -294,83 +293,98 @@ def _checked_rows(batches, near_words, share):
         yield batch.select(PLACE).take(pa.array(kept, pa.int64()))
 
 
-BLOCKED = ["key", "i", "j", "side", *PLACE, "n", "s1", "s2"]
-FLAGGED = "key long, i int, j int, side boolean, doc_id long, line_no int, t long, n int, s1 long, s2 long"
+#: A posted key's row: place and size share one number, line_no above the lowest 31 bits and n in them.
+POSTED = ["key", "doc_id", "t", "at", "bits"]
+FOUND = "key long, doc_id long, line_no int, t long, sides int, w_doc_id long, w_line_no int, w_t long, more boolean"
 
 
-class Block:
-    """Numbers of words and bits of the lines of a block so far, in arrays that grow."""
-
-    def __init__(self, name):
-        self.name, self.size = name, 0
-        self.held = {c: np.zeros(64, kind) for c, kind in (("n", np.int64), ("limit", np.int64), ("s1", np.uint64), ("s2", np.uint64), ("side", bool))}
-        self.items: list = []
-
-    def fits(self, row) -> np.ndarray:
-        """Which of the lines may be within the bound of this one."""
-        n, limit, s1, s2, side = row
-        h = {c: v[: self.size] for c, v in self.held.items()}
-        least = np.minimum(h["limit"], limit)
-        ok = (np.abs(h["n"] - n) <= least) & (np.bitwise_count(h["s1"] ^ s1).astype(np.int64) + np.bitwise_count(h["s2"] ^ s2) <= 2 * least)
-        return np.flatnonzero(ok if self.name[1] == self.name[2] else ok & (h["side"] != side))
-
-    def add(self, row, item) -> None:
-        if self.size == len(self.held["n"]):
-            self.held = {c: np.concatenate([v, np.zeros_like(v)]) for c, v in self.held.items()}
-        for c, v in zip(self.held, row, strict=True):
-            self.held[c][self.size] = v
-        self.items.append(item)
-        self.size += 1
-
-
-def _block_rows(batch, near_words, share):
-    """(block, row of Block) for each row."""
-    n = batch.column("n").to_numpy().astype(np.int64)
-    limit = bounds(n, near_words, share)
-    bits = [batch.column(c).to_numpy().view(np.uint64) for c in ("s1", "s2")]
-    names = zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j")), strict=True)
-    return zip(names, zip(n, limit, *bits, batch.column("side").to_pylist(), strict=True), strict=True)
-
-
-def _flagged_rows(batches, near_words, share):
-    """Of each block, whose rows lie together, the rows that may be near another one by their numbers of words and bits."""
-    block = Block(None)
+def whole_runs(batches, name: str):
+    """Tables of whole runs of equal values of a column, a run or more each."""
+    held = []
     for batch in batches:
-        own, out = batch.select(BLOCKED), []  # rows of this batch, and earlier ones that were held back
-        keep, late = [], []
-        for k, (name, row) in enumerate(_block_rows(own, near_words, share)):
-            if name != block.name:
-                block = Block(name)
-            found = block.fits(row)
-            for f in found.tolist():
-                item = block.items[f]
-                if item is not None:  # not out yet
-                    keep.append(item) if isinstance(item, int) else late.append(item)
-                    block.items[f] = None
-            if len(found):
-                keep.append(k)
-            block.add(row, None if len(found) else k)
-        if keep:
-            out.append(own.take(pa.array(sorted(keep), pa.int64())))
-        out += late
-        # What may still be asked for is kept as rows of its own; the batch itself goes.
-        block.items = [own.slice(x, 1).take(pa.array([0])) if isinstance(x, int) else x for x in block.items]
-        yield from out
+        if not batch.num_rows:
+            continue
+        x = batch.column(name).to_numpy()
+        if held and held[-1].column(name)[-1].as_py() != x[0]:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+        last = int(np.searchsorted(x, x[-1])) if (np.diff(x) >= 0).all() else int(np.flatnonzero(np.diff(x))[-1]) + 1 if (x != x[-1]).any() else 0
+        if last:
+            yield pa.Table.from_batches([*held, batch.slice(0, last)]).combine_chunks()
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def near_bits(table: pa.Table, near_words: int, share: float):
+    """(later, earlier, distance) of rows of one key that may be within the bound by their numbers of words and bits:
+    all rows next to each other first, then those two apart, and so on."""
+    key, bits = table.column("key").to_numpy(), table.column("bits").to_numpy().view(np.uint64)
+    n = table.column("at").to_numpy() & 0x7FFFFFFF
+    limit = bounds(n, near_words, share)
+    pairs = (key & 3) == 0
+    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    place = np.arange(len(key)) - np.repeat(heads, np.diff(np.append(heads, len(key))))
+    rows, apart = np.flatnonzero(pairs & (place > 0)), 1
+    while len(rows):
+        other = rows - apart
+        least = np.minimum(limit[rows], limit[other])
+        far = np.bitwise_count(bits[rows] ^ bits[other]).astype(np.int64)
+        fits = (far <= 2 * least) & (np.abs(n[rows] - n[other]) <= least)
+        yield rows[fits], other[fits], far[fits]
+        apart += 1
+        rows = rows[place[rows] >= apart]
+
+
+def _found_rows(batches, near_words, share):
+    """Lines that share a half with others, and pairs of a line and the earlier one with the nearest bits in its block."""
+    for table in whole_runs(batches, "key"):
+        key = table.column("key").to_numpy()
+        size = len(key)
+        best, witness, times = np.full(size, 1 << 20), np.full(size, -1), np.zeros(size, np.int64)
+        for rows, other, far in near_bits(table, near_words, share):
+            times[rows] += 1
+            closer = far <= best[rows]  # of equals the earliest
+            best[rows[closer]], witness[rows[closer]] = far[closer], other[closer]
+        same = np.zeros(size + 1, bool)
+        same[1:-1] = key[1:] == key[:-1]
+        halves = np.flatnonzero((key & 3 > 0) & (same[:-1] | same[1:]))
+        some = np.flatnonzero(witness >= 0)
+        doc, t, at = (table.column(c).to_numpy() for c in ("doc_id", "t", "at"))
+        line = (at >> 31).astype(np.int32)
+        for rows, other, sides, more in ((halves, None, (key[halves] & 3).astype(np.int32), np.zeros(len(halves), bool)), (some, witness[some], np.zeros(len(some), np.int32), times[some] > 1)):
+            if len(rows):
+                mine = [pa.array(key[rows]), pa.array(doc[rows]), pa.array(line[rows]), pa.array(t[rows]), pa.array(sides)]
+                theirs = [pa.nulls(len(rows), k) for k in (pa.int64(), pa.int32(), pa.int64())] if other is None else [pa.array(doc[other]), pa.array(line[other]), pa.array(t[other])]
+                yield pa.RecordBatch.from_arrays([*mine, *theirs, pa.array(more)], [c.split()[0] for c in FOUND.split(", ")])
+
+
+def _left_rows(batches, near_words, share):
+    """Of blocks with lines that are still open, these and the earlier lines whose bits are near theirs."""
+    for table in whole_runs(batches, "key"):
+        still = table.column("open").to_numpy(zero_copy_only=False)
+        wanted = np.zeros(table.num_rows, bool)
+        for rows, other, _ in near_bits(table, near_words, share):
+            asks = still[rows]
+            wanted[rows[asks]] = wanted[other[asks]] = True
+        yield from table.filter(pa.array(wanted)).to_batches()
 
 
 def _near_rows(batches, near_words, share):
-    """Lines within the bound of an earlier one of their block, from rows sorted by block and place."""
-    block = Block(None)
-    for batch in batches:
-        gone = []
-        for k, ((name, row), line) in enumerate(zip(_block_rows(batch, near_words, share), batch.column("line").to_pylist(), strict=True)):
-            if name != block.name:
-                block = Block(name)
-            words = line_words(line)
-            if any(within(line_words(block.items[f]), words, int(min(block.held["limit"][f], row[1]))) for f in block.fits(row).tolist()):
-                gone.append(k)
-            block.add(row, line)
-        yield batch.select(PLACE).take(pa.array(gone, pa.int64()))
+    """Open lines within the bound of an earlier one of their block, from rows sorted by block and place."""
+    for table in whole_runs(batches, "key"):
+        words = [line_words(x) for x in table.column("line").to_pylist()]
+        sets = [set(w) for w in words]
+        limit = bounds(table.column("at").to_numpy() & 0x7FFFFFFF, near_words, share)
+        still, gone = table.column("open").to_numpy(zero_copy_only=False), set()
+        for rows, other, _ in near_bits(table, near_words, share):
+            for k, m in zip(rows.tolist(), other.tolist(), strict=True):
+                least = int(min(limit[k], limit[m]))
+                # An edit changes one word of each line's set at most.
+                if still[k] and k not in gone and len(sets[k] - sets[m]) <= least and len(sets[m] - sets[k]) <= least and within(words[k], words[m], least):
+                    gone.add(k)
+        yield from table.select(PLACE).take(pa.array(sorted(gone), pa.int64())).to_batches()
 
 
 def line_words(line: str) -> list[bytes]:
@@ -379,35 +393,60 @@ def line_words(line: str) -> list[bytes]:
 
 
 PLACES = "doc_id long, line_no int, t long"
+WITNESS = [f"w_{c}" for c in PLACE]
+
+
+def posted_rows(distinct: DataFrame) -> DataFrame:
+    """A row for each posted key and block, blocks side by side and in order of place."""
+    posted = distinct.select(F.explode("keys").alias("key"), "first.doc_id", "first.t", (F.shiftleft(F.col("first.line_no").cast("long"), 31) + F.col("n")).alias("at"), "bits")
+    hot = posted.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("slices")).filter("slices > 1")
+    hot = materialise(hot, "hot-keys")
+    sliced = posted.join(F.broadcast(hot) if hot.count() <= HOT_KEYS else hot, "key", "left")
+    slice_ = F.pmod(F.xxhash64("doc_id", "at", "t"), F.col("slices")).cast("int")
+    # Pairs of words: all other slices, since each two lines must meet. Halves: the next one, so that no line is alone.
+    others = F.when(F.col("slices").isNull(), F.array(F.lit(-1))).when(F.expr("key & 3 = 0"), F.sequence(F.lit(0), F.col("slices") - 1)).otherwise(F.array(F.col("slice"), (F.col("slice") + 1) % F.col("slices")))
+    block = F.when(F.col("other") < 0, F.col("key")).otherwise(F.expr("xxhash64(key, least(slice, other), greatest(slice, other)) & -4L | key & 3L"))
+    rows = sliced.withColumn("slice", slice_).withColumn("other", F.explode(others)).withColumn("key", block).select(*POSTED)
+    return rows.repartition("key").sortWithinPartitions("key", "doc_id", "at", "t")
 
 
 def near_lines(documents: DataFrame, distinct: DataFrame, near_words: int, share: float) -> DataFrame:
     """(doc_id, line_no, t) of the distinct lines that are within the bound of an earlier one."""
     spark = documents.sparkSession
-    posted = distinct.select("h1", F.explode("keys").alias("key"))
-    shared = posted.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("slices"), F.count("*").alias("times")).filter("times > 1").drop("times")
-    found = materialise(posted.join(shared, "key").join(distinct.select("h1", *(F.col(f"first.{c}").alias(c) for c in PLACE), "n", "s1", "s2"), "h1").drop("h1"), "shared-keys")
+    rows = posted_rows(distinct)
+    found = materialise(rows.mapInArrow(lambda batches: _found_rows(batches, near_words, share), FOUND), "found-lines")
     release(spark)
-    halves = found.filter("key & 3 > 0").groupBy(*PLACE).agg(F.bit_or(F.expr("cast(key & 3 as int)")).alias("sides"))
-    rows = found.filter("key & 3 = 0").withColumn("slice", F.pmod(F.xxhash64(*PLACE), F.col("slices")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-    rows = rows.select("key", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"), (F.col("slice") <= F.col("other")).alias("side"), *PLACE, "n", "s1", "s2")
-    block = ["key", "i", "j"]
-    flagged = materialise(rows.repartition(*block).sortWithinPartitions(*block).mapInArrow(lambda batches: _flagged_rows(batches, near_words, share), FLAGGED), "flagged-lines")
-    asked = halves.union(flagged.select(*PLACE, F.lit(0).alias("sides"))).groupBy(*PLACE).agg(F.bit_or("sides").alias("sides"))
-    asked = materialise(asked.groupBy("doc_id", "t").agg(F.collect_list(F.struct("line_no", "sides")).alias("asked")), "asked-lines")
+    nearest = found.filter("sides = 0").select(*PLACE, *WITNESS).distinct()
+    lines = found.select(*PLACE, "sides").union(nearest.select(*(F.col(c) for c in WITNESS), F.lit(0)))
+    texts = fetched(documents, lines)
     release(spark)
-    texts = documents.join(asked, ["doc_id", "t"]).select("doc_id", "t", "text", "asked").mapInArrow(_asked_lines, f"{PLACES}, sides int, line string")
-    texts = materialise(texts, "texts-of-lines").dropDuplicates(PLACE)  # a document may be there twice
     variants = materialise(texts.filter("sides > 0").mapInArrow(lambda batches: _variant_rows(batches, near_words), VARIANTS), "variants")
     held = texts.select(*PLACE, "line")
     other = held.select(*(F.col(c).alias(f"w_{c}") for c in (*PLACE, "line")))
-    pairs = variant_pairs(variants).join(held, PLACE).join(other, [f"w_{c}" for c in PLACE]).select(*PLACE, "line", "w_line")
-    gone = pairs.mapInArrow(lambda batches: _checked_rows(batches, near_words, share), PLACES)
-    blocks = flagged.join(held, PLACE).select(*BLOCKED, "line").repartition(*block).sortWithinPartitions(*block, *PLACE)
-    gone = gone.union(blocks.mapInArrow(lambda batches: _near_rows(batches, near_words, share), PLACES)).distinct()
-    gone = materialise(gone, "near-lines")
+    pairs = variant_pairs(variants).union(nearest).join(held, PLACE).join(other, WITNESS).select(*PLACE, "line", "w_line")
+    gone = materialise(pairs.mapInArrow(lambda batches: _checked_rows(batches, near_words, share), PLACES).distinct(), "near-lines")
+    release(spark)
+    left = materialise(found.filter("more").select("key", *PLACE).join(gone, PLACE, "left_anti").withColumn("open", F.lit(True)), "open-lines")
+    if not left.take(1):
+        return gone
+    line_no = F.expr("cast(shiftright(at, 31) as int)")
+    again = posted_rows(distinct).join(left.select("key").distinct(), "key", "left_semi").withColumn("line_no", line_no).join(left, ["key", *PLACE], "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    order = ["key", "doc_id", "at", "t"]
+    blocks = again.select("key", *PLACE, "at", "bits", "open")
+    blocks = materialise(blocks.repartition("key").sortWithinPartitions(*order).mapInArrow(lambda batches: _left_rows(batches, near_words, share), blocks.schema), "open-blocks")
     release(spark)
-    return gone
+    held = fetched(documents, blocks.select(*PLACE, F.lit(0).alias("sides"))).select(*PLACE, "line")
+    rows = blocks.join(held, PLACE).repartition("key").sortWithinPartitions(*order)
+    more = materialise(gone.union(rows.mapInArrow(lambda batches: _near_rows(batches, near_words, share), PLACES)).distinct(), "more-near-lines")
+    release(spark)
+    return more
+
+
+def fetched(documents: DataFrame, lines: DataFrame) -> DataFrame:
+    """(doc_id, line_no, t, sides, line) of the lines (doc_id, line_no, t, sides), which may repeat."""
+    asked = lines.groupBy(*PLACE).agg(F.bit_or("sides").alias("sides")).groupBy("doc_id", "t").agg(F.collect_list(F.struct("line_no", "sides")).alias("asked"))
+    texts = documents.join(asked, ["doc_id", "t"]).select("doc_id", "t", "text", "asked").mapInArrow(_asked_lines, f"{PLACES}, sides int, line string")
+    return materialise(texts, "texts-of-lines").dropDuplicates(PLACE)  # a document may be there twice
 
 
 def kept_lines(documents: DataFrame, near_words: int = NEAR_WORDS, share: float = 0.0) -> DataFrame:
@@ -417,7 +456,7 @@ def kept_lines(documents: DataFrame, near_words: int = NEAR_WORDS, share: float
         raise ValueError(f"near_words must be 2 or more and share from 0 to {MOST_SHARE}")
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("t")).filter(F.col("doc_id").isNotNull())
     lines = documents.select("doc_id", "t", "text").mapInArrow(lambda batches: _line_rows(batches, near_words, share), LINES)
-    distinct = lines.groupBy("h1", "h2").agg(F.min(F.struct(*PLACE)).alias("first"), *(F.first(c).alias(c) for c in ("n", "s1", "s2", "keys")))
+    distinct = lines.groupBy("h1", "h2").agg(F.min(F.struct(*PLACE)).alias("first"), *(F.first(c).alias(c) for c in ("n", "bits", "keys")))
     distinct = materialise(distinct, "distinct-lines")
     release(documents.sparkSession)
     gone = near_lines(documents, distinct, near_words, share).withColumn("near", F.lit(True))
@@ -437,18 +476,25 @@ def _without_lines(plain: DataFrame, names: dict[str, str], near_words: int, sha
 
     def run(batches):
         for batch in batches:
-            texts, totals, goes, nears = [], [], [], []
-            for text, whole, kept in zip(batch.column(at).to_pylist(), batch.column("kept_whole").to_pylist(), batch.column("kept_lines").to_pylist(), strict=True):
-                lines = (text or "").split("\n")
-                near = {x["line_no"]: x["near"] for x in kept or ()}
-                there = [k for k, x in enumerate(lines) if x.strip(ASCII_SPACE)]
-                gone = set() if whole else {k for k in there if near.get(k, True)}
-                texts.append(text if not gone else "\n".join([x for k, x in enumerate(lines) if k not in gone]))
-                totals.append(len(there))
-                goes.append(len(gone))
-                nears.append(0 if whole else sum(near.values()))
-            arrays = [pa.array(texts, batch.column(k).type) if k == at else batch.column(k) for k in range(len(columns))]
-            yield pa.RecordBatch.from_arrays([*arrays, *(pa.array(v, pa.int64()) for v in (totals, goes, nears))], [*columns, "n_lines", "n_gone", "n_near"])
+            lines, row, _ = split_lines(batch.column(at))
+            sizes = np.bincount(row, minlength=batch.num_rows)
+            there = pc.greater(pc.binary_length(pc.ascii_trim_whitespace(lines)), 0).to_numpy(zero_copy_only=False)
+            kept = batch.column("kept_lines")
+            counts = pc.fill_null(kept.value_lengths(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = kept.flatten()
+            of = np.repeat(np.arange(batch.num_rows), counts)
+            near = flat.field("near").to_numpy(zero_copy_only=False).astype(bool)
+            stay = np.zeros(len(row), bool)
+            stay[((np.cumsum(sizes) - sizes)[of] + flat.field("line_no").to_numpy(zero_copy_only=False))[~near]] = True
+            whole = batch.column("kept_whole").to_numpy(zero_copy_only=False)
+            gone = there & ~stay & ~whole[row]
+            goes = np.bincount(row[gone], minlength=batch.num_rows)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row[~gone], minlength=batch.num_rows))])
+            left = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), lines.filter(pa.array(~gone)))
+            texts = pc.if_else(pa.array(goes > 0), pc.binary_join(left, "\n"), batch.column(at))
+            counted = np.bincount(row[there], minlength=batch.num_rows), goes, np.bincount(of[near], minlength=batch.num_rows)
+            arrays = [texts if k == at else batch.column(k) for k in range(len(columns))]
+            yield pa.RecordBatch.from_arrays([*arrays, *(pa.array(v.astype(np.int64)) for v in counted)], [*columns, "n_lines", "n_gone", "n_near"])
 
     return joined.mapInArrow(run, widened(plain.schema, T.LongType(), "n_lines", "n_gone", "n_near"))
 

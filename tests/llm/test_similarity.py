@@ -107,7 +107,9 @@ def brute_lines(rows):
     return {place for place, words in at if first[words] in near or place != first[words]}
 
 
-def test_lines(spark):
+@pytest.mark.parametrize("block", [2048, 3])
+def test_lines(spark, monkeypatch, block):
+    monkeypatch.setattr(linededup, "BLOCK", block)
     rng = random.Random(6)
     pool = [" ".join(rng.choice("abcdef") + str(rng.randint(0, 20)) for _ in range(rng.choice([2, 7, 8, 9, 15, 16, 40]))) for _ in range(40)]
 
