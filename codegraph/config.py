@@ -9,11 +9,14 @@ from dataclasses import dataclass, field
 
 PATH_KEYS = ("solution", "tempRoot", "outRoot", "sqlRoot", "modelRoot", "migrationsRoot", "inlineSqlRoot")
 #: Older names of the same settings.
-ALIASES = {"sqlRoot": "sql", "modelRoot": "ef", "migrationsRoot": "migrations", "inlineSqlRoot": "inlineSql"}
+ALIASES = {"sqlRoot": "sql", "modelRoot": "ef", "migrationsRoot": "migrations", "inlineSqlRoot": "inlineSql", "outRoot": "out"}
+#: Further names on the command line, and names in the environment.
+OPTIONS = {"tempRoot": ("temp-root",), "modelRoot": ("model",), "inlineSqlRoot": ("inline-sql",)}
+VARIABLES = {"solution": "INDEXER_SOLUTION", "tempRoot": "INDEXER_TEMP_ROOT", "modelRoot": "EF_PATH", "migrationsRoot": "MIGRATIONS_PATH"}
 
 
 def parse_args(argv: list[str]) -> dict[str, str]:
-    """--k v, -k v, --flag (true) and k=v; keys without case."""
+    """--k v, -k v, --flag (true) and k=v; keys without case, values without quotes around them."""
     out, i = {}, 0
     while i < len(argv):
         word = argv[i]
@@ -26,10 +29,10 @@ def parse_args(argv: list[str]) -> dict[str, str]:
                 value = argv[i]
             else:
                 value = "true"
-            out[name.lower()] = value
+            out[name.lower()] = value.strip('"')
         elif "=" in word:
             name, value = word.split("=", 1)
-            out[name.lower()] = value
+            out[name.lower()] = value.strip('"')
         i += 1
     return out
 
@@ -102,7 +105,7 @@ class IndexerConfig:
         for key in PATH_KEYS:
             alias = ALIASES.get(key, key)
             listed = first_non_empty(text(paths, key), text(paths, alias), text(config, key), text(config, alias))
-            given = first_non_empty(args.get(key.lower()), args.get(alias.lower()))
+            given = first_non_empty(*(args.get(name.lower()) for name in (key, alias, *OPTIONS.get(key, ()))))
             joined = ";".join(map(place, split_roots(listed))) if key == "inlineSqlRoot" else place(listed)
-            found[key] = first_non_empty(given, joined, env.get(f"INDEXER_{key.upper()}"))
+            found[key] = first_non_empty(given, joined, env.get(VARIABLES.get(key, f"INDEXER_{key.upper()}")))
         return cls(found["solution"], found["tempRoot"], found["outRoot"], found["sqlRoot"], found["modelRoot"], found["migrationsRoot"], found["inlineSqlRoot"], tuple(entity_base_types(config)), tuple(extra_hot_methods(config)), env.get("INDEXER_NOHASH") == "1")

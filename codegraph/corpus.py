@@ -21,7 +21,7 @@ def text_of(template: str, **values: Column) -> Column:
 
 
 def _files(rows: DataFrame, path: Column, text: Column) -> DataFrame:
-    return rows.select(path.alias("path"), path.alias("rel_path"), text.alias("text"))
+    return rows.select(F.concat(F.lit("/w/"), path).alias("path"), path.alias("rel_path"), text.alias("text"))
 
 
 TABLE_SQL = """CREATE TABLE [dbo].[Part_{{k}}] (
@@ -64,6 +64,32 @@ def sql_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.unionByName(views).unionByName(procs)
 
 
+KINDS_SQL = (
+    "CREATE PROC dbo.U_{{k}} AS UPDATE sales.T_{{k}} SET a = 1 WHERE b = 2;",
+    "CREATE PROC dbo.D_{{k}} AS DELETE FROM sales.T_{{k}} WHERE a = 1;",
+    "CREATE PROC dbo.M_{{k}} AS MERGE INTO sales.T_{{k}} AS t USING stage.S_{{k}} AS s ON t.Id = s.Id WHEN MATCHED THEN UPDATE SET a = s.a WHEN NOT MATCHED THEN INSERT (a) VALUES (s.a);",
+    "CREATE FUNCTION dbo.F_{{k}} (@x INT) RETURNS TABLE AS RETURN SELECT Id FROM sales.T_{{k}} WHERE Id = @x;",
+    "CREATE TYPE dbo.Y_{{k}} AS TABLE (Id INT NOT NULL);",
+    "CREATE TYPE dbo.Z_{{k}} FROM NVARCHAR(10) NOT NULL;",
+    "CREATE SEQUENCE dbo.Q_{{k}} START WITH 1 INCREMENT BY 1;",
+    "CREATE TRIGGER dbo.G_{{k}} ON sales.T_{{k}} AFTER UPDATE AS INSERT INTO dbo.Log_{{k}} (a) VALUES (1);",
+    "CREATE SYNONYM dbo.N_{{k}} FOR sales.T_{{k}};",
+    "ALTER TABLE sales.T_{{k}} ADD CONSTRAINT FK_{{k}} FOREIGN KEY (a) REFERENCES ref.P_{{k}} (Id);",
+    "ALTER VIEW dbo.W_{{k}} AS SELECT Id FROM sales.T_{{k}};",
+    "INSERT INTO dbo.Seed_{{k}} (a) VALUES (1);",
+)
+
+
+def kinds_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A script for each supplier, of one of twelve kinds of statements; the last are deployment scripts."""
+    k = F.col("k")
+    text = text_of(KINDS_SQL[0], k=k)
+    for n, template in enumerate(KINDS_SQL[1:], 1):
+        text = F.when(k % 12 == n, text_of(template, k=k)).otherwise(text)
+    path = F.when(k % 12 == 11, F.concat(F.lit("Kinds/"), k, F.lit("/PostDeployment.sql"))).otherwise(F.concat(F.lit("Kinds/K_"), k, F.lit(".sql")))
+    return _files(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k")), path, text)
+
+
 MODEL_CS = """using System;
 namespace Shop.Model
 {

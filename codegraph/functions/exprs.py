@@ -17,7 +17,7 @@ BODY_KINDS = ("PROC", "FUNC", "VIEW", "TRIGGER", "TABLE", "SEQUENCE", "TYPE")
 SQL_SKIP = ("change scripts", "changescripts", "initial data", "initialdata", "snapshots", "tools", ".git", ".vs", "bin", "obj")
 CS_SKIP = (".git", ".svn", ".hg", "bin", "obj", "packages")
 TEST_SEGMENTS = ("test", "tests", "example", "examples", "sample", "samples", "dev", "client", "tools", "bin", "obj")
-SQLCMD = r"(?im)^\s*:(r|setvar|connect|on\s+error\s+exit)\b[^\n]*\n?"
+SQLCMD = r"(?im)^[^\S\n]*:(r|setvar|connect|on[^\S\n]+error[^\S\n]+exit)\b[^\n]*\n?"
 #: Fixed patterns: a table after a clause word; the table after FOREIGN KEY ... REFERENCES.
 TABLE_REF = r"(?i)\b(?:FROM|JOIN|INTO|UPDATE|MERGE|DELETE\s+FROM)\s+(?:(\[[^\]]+\]|\w+)\.)?(\[[^\]]+\]|\w+)"
 FK_TARGET = r"(?is)\bFOREIGN\s+KEY\b[^;]*?\bREFERENCES\b\s+((?:\[[^\]]+\]|[A-Za-z_][A-Za-z0-9_]*)(?:\s*\.\s*(?:\[[^\]]+\]|[A-Za-z_][A-Za-z0-9_]*))?)"
@@ -66,7 +66,7 @@ def fk_targets(body: Column, schema: Column | None = None) -> Column:
 
 def sqlcmd_preprocess(text: Column) -> Column:
     """Without sqlcmd directive lines; $(Variable) as 0."""
-    return F.regexp_replace(F.regexp_replace(text, SQLCMD, ""), r"\$\([^)]*\)", "0")
+    return F.regexp_replace(F.regexp_replace(text, SQLCMD, ""), r"\$\([^)]+\)", "0")
 
 
 def object_key(schema: Column, name: Column, kind: Column, db: Column | None = None) -> Column:
@@ -136,6 +136,12 @@ def domain_of(rel_path: Column) -> Column:
     return F.when(F.size(p) > 1, F.get(p, F.lit(0))).otherwise(F.lit(""))
 
 
+def folders_of(path: Column) -> Column:
+    """All folders above a path, without their last slash; to join paths with folders by equality."""
+    p = F.split(path, "/")
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(p) - 1, F.lit(1))), lambda n: F.array_join(F.slice(p, 1, n), "/"))
+
+
 def base_name(path: Column) -> Column:
     return F.substring_index(slashes(path), "/", -1)
 

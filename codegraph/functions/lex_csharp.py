@@ -409,13 +409,19 @@ class Recogniser:
             name = self.t[k].text
             type_text = self.span(i, k)
             kind = "property" if self.is_op(body, "{") or self.is_op(body, "=>") else "field"
+        # What comes before on lines of its own is the member's, and what follows on its last line.
         lead = self.t[start - 1].end if start else 0
+        line_end = self.text.find("\n", lead, self.t[start].at)
+        opens = (line_end + 1 if line_end >= 0 else self.t[start].at) if start else 0
+        follows = self.t[end + 1].at if end + 1 < len(self.t) else len(self.text)
+        line_end = self.text.find("\n", self.t[end].end, follows)
+        closes = line_end + 1 if line_end >= 0 else follows
         docs = [d for at, d in self.docs if lead <= at < self.t[start].at]
         params = len(self.split(paren + 1, self.close(paren, stop))) if paren is not None else 0
         accessors = bool(kind == "property" and self.is_op(body, "{"))
         self.out.members.append({
             "ord": len(self.out.members), "kind": kind, "name": name, "class_ord": owner["ord"], "class": owner["name"], "class_kind": owner["kind"], "ns": owner["ns"], "ns_block": owner["ns_block"], "type_text": type_text.strip(), "params": params, "param_text": self.span(paren + 1, self.close(paren, stop)) if paren is not None else "",
-            "start_line": self.t[start].line, "end_line": self.line_of(self.t[end].end - 1), "doc": "".join(docs), "text": self.span(start, end + 1), "full_text": self.text[lead : self.t[end].end].lstrip("\r\n"), "accessors": accessors, "_at": (body, end),
+            "start_line": self.t[start].line, "end_line": self.line_of(self.t[end].end - 1), "doc": "".join(docs), "text": self.span(start, end + 1), "full_text": self.text[opens:closes], "accessors": accessors, "_at": (body, end),
         })
         return end + 1
 

@@ -6,6 +6,8 @@ Edges: from, to, relation, to_kind, file, batch, seq.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +22,17 @@ def seq(stage: int, path: Column, batch: Column | None = None, ord_: Column | No
     return F.struct(F.lit(stage).alias("stage"), path.alias("path"), whole(batch).alias("batch"), whole(ord_).alias("ord"))
 
 
+def cut(rows: DataFrame) -> DataFrame:
+    """The rows from a copy in the folder of spark.checkpoint.dir; a session on one machine may have a temporary one."""
+    context = rows.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        root = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not root and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="codegraph-"))
+    return rows.checkpoint()
+
+
 def first_by(rows: DataFrame, keys: list[Column], order: str = "seq") -> DataFrame:
     """One row a key, the first by an order. An aggregation, so hot keys are cut down before the shuffle."""
     names = rows.columns

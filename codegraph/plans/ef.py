@@ -19,7 +19,6 @@ def null_text() -> Column:
     return F.lit(None).cast("string")
 
 
-
 def classes(syntax: DataFrame) -> DataFrame:
     return syntax.select("path", "rel_path", F.inline("classes").alias("ord", "class_kind", "name", "ns", "ns_block", "bases", "attrs", "start", "end", "text")).filter("class_kind = 'class'")
 
@@ -99,7 +98,7 @@ def entity_classes(syntax: DataFrame, base_types: Sequence[str] = ()) -> DataFra
 
 
 def entity_graph(syntax: DataFrame, mapping: DataFrame, tables: DataFrame, base_types: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """ENTITY nodes with the tables they map to, MapsTo edges, and entity bodies.
+    """ENTITY nodes with the tables they map to, MapsTo edges, and entity bodies, whose file is the whole path.
 
     `tables`: TABLE nodes of the scripts (name, schema, seq). A class maps to its own mapping, one of a like name, its
     [Table] attribute, a table of its name give or take an s, or, from a DbSet, dbo and its own name.
@@ -113,14 +112,14 @@ def entity_graph(syntax: DataFrame, mapping: DataFrame, tables: DataFrame, base_
     convention = F.struct(F.lit("dbo").alias("schema"), F.col("name").alias("table"))
     rows = rows.withColumn("to", F.when(F.col("__map").isNotNull(), F.col("__map")).when(present, own).when(F.col("__m").isNotNull(), F.col("__m")).when(F.col("from_dbset"), convention))
     key = F.concat(F.lit("csharp:"), "name", F.lit("|ENTITY"))
-    body_path = F.concat(F.lit("bodies/Poco."), exprs.safe_name(F.concat_ws(".", F.nullif("ns", F.lit("")), "name")), F.lit(".ENTITY.cs"))
+    body_path = F.concat(F.lit("docs/bodies/Poco."), exprs.safe_name(F.concat_ws(".", F.nullif("ns", F.lit("")), "name")), F.lit(".ENTITY.cs"))
     order, file = graph.seq(1, F.col("path"), F.lit(1), F.col("ord")).alias("seq"), exprs.slashes(F.col("rel_path")).alias("file")
     nodes = rows.select(key.alias("key"), F.lit("ENTITY").alias("kind"), "name", F.lit("csharp").alias("schema"), file, null_int().alias("batch"), F.lit("code").alias("domain"), body_path.alias("body_path"), order)
     mapped = rows.filter("to is not null")
     target = F.concat("to.schema", F.lit("."), "to.table", F.lit("|TABLE"))
     made = mapped.select(target.alias("key"), F.lit("TABLE").alias("kind"), F.col("to.table").alias("name"), F.col("to.schema").alias("schema"), file, null_int().alias("batch"), F.lit("ef").alias("domain"), null_text().alias("body_path"), order)
     edges = mapped.select(key.alias("from"), target.alias("to"), F.lit("MapsTo").alias("relation"), F.lit("TABLE").alias("to_kind"), file, null_int().alias("batch"), order)
-    first = graph.first_by(rows.select(key.alias("key"), "name", "ns", "text", body_path.alias("bodyPath"), file, order), [F.lower("key")])
+    first = graph.first_by(rows.select(key.alias("key"), "name", "ns", "text", body_path.alias("bodyPath"), F.col("path").alias("file"), order), [F.lower("key")])
     body_rows = first.select("key", F.lit("ENTITY").alias("kind"), "name", F.col("ns").alias("namespace"), F.concat_ws(".", F.nullif("ns", F.lit("")), "name").alias("typeFullName"), "file", "bodyPath", F.col("text").alias("body"))
     return nodes.unionByName(made), edges, body_rows
 

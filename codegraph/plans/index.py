@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import os
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -16,6 +17,8 @@ from ..sources import bundle, repo, solution
 from . import chunks as code
 from . import ef, inline, migrations, sql
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class Graph:
@@ -26,6 +29,7 @@ class Graph:
     migration_bodies: DataFrame
     inline_bodies: DataFrame
     closed: DataFrame  # nodes with the tables that edges name
+    held: tuple = ()  # relations that executors keep for it
 
 
 def build(batches: DataFrame, models: DataFrame, migration_syntax: DataFrame, inline_syntax: DataFrame, base_types: Sequence[str] = (), extra_hot: Sequence[str] = (), migration_files: DataFrame | None = None) -> Graph:
@@ -44,13 +48,13 @@ def build(batches: DataFrame, models: DataFrame, migration_syntax: DataFrame, in
     moves, move_edges = migrations.migration_graph(found)
     if migration_files is not None and not migrations.migration_classes(migration_syntax).take(1):
         moves, move_edges = migrations.fallback(migration_files)
-    facts = inline.artifacts(inline_syntax, extra_hot)
+    facts = inline.artifacts(inline_syntax, extra_hot).persist()
     nodes = graph.upsert_nodes(known.nodes, sets, entities, fluent, moves, inline.method_nodes(facts))
     edges = known.edges
     for part in (set_edges, entity_edges, fluent_edges, move_edges, inline.method_edges(facts), inline.foreign_key_edges(facts)):
         edges = edges.unionByName(part)
     closed = nodes.unionByName(graph.missing_tables(edges, nodes))
-    return Graph(nodes, edges, known.bodies, entity_bodies, migrations.summaries(found), inline.bodies(facts), closed)
+    return Graph(nodes, edges, known.bodies, entity_bodies, migrations.summaries(found), inline.bodies(facts), closed, (facts,))
 
 
 def run(spark: SparkSession, config: IndexerConfig, progress=None) -> str | None:
@@ -68,6 +72,9 @@ def run(spark: SparkSession, config: IndexerConfig, progress=None) -> str | None
     other = [r for r in extra if r.lower() not in {m.lower() for m in model_roots}]
     moved = (models.unionByName(parse.parse_csharp(repo.model_files(spark, other))) if other else models).persist()
     inlined = parse.parse_csharp(repo.inline_files(spark, split_roots(config.inline_sql_root))).persist()
+    for rows in (batches, models, inlined):
+        for r in parse_errors(rows).collect():
+            log.warning("%s: %s", r.path, r.error)
     say("graph", 2, 4)
     built = build(batches, models, moved, inlined, config.entity_base_types, config.extra_hot_methods, repo.model_files(spark, [*model_roots, *other]))
     out = os.path.join(config.temp_root or config.out_root, "bundle")
@@ -80,7 +87,7 @@ def run(spark: SparkSession, config: IndexerConfig, progress=None) -> str | None
     bundle.write_graph_json(built.closed, built.edges, os.path.join(data, "graph", "graph.json"))
     bundle.write_bodies_jsonl([built.script_bodies.drop("body_path"), built.entity_bodies, built.migration_bodies, built.inline_bodies], os.path.join(data, "docs", "sql_bodies.jsonl"))
     for rows, column in ((built.script_bodies, "body_path"), (built.entity_bodies, "bodyPath"), (built.migration_bodies, "bodyPath"), (built.inline_bodies, "bodyPath")):
-        bundle.write_body_files(rows, os.path.join(data, "docs"), column)
+        bundle.write_body_files(rows, data, column)
     bundle.write_json(bundle.manifest(built.nodes, built.edges, built.script_bodies, sql_root, model_roots), os.path.join(data, "manifest.json"))
     state = solution.git_state(config.solution or model_roots[0] if model_roots else sql_root)
     syntax = models
@@ -94,11 +101,16 @@ def run(spark: SparkSession, config: IndexerConfig, progress=None) -> str | None
     bundle.write_json(state, os.path.join(out, "repo_meta.json"))
     say("archive", 4, 4)
     path = bundle.archive(out, state["branch"], config.out_root or None)
-    for held in (batches, models, moved, inlined, found):
+    for held in (batches, models, moved, inlined, found, *built.held):
         held.unpersist()
     return path
 
 
+def parse_errors(parsed: DataFrame, n: int = 2) -> DataFrame:
+    """(path, error) of the first n files, by path, that couldn't be read whole."""
+    return parsed.filter("error is not null").groupBy("path").agg(F.min("error").alias("error")).orderBy("path").limit(n)
+
+
 def core_counts(spark: SparkSession, config: IndexerConfig) -> dict[str, int]:
     """Files, hashes, classes, methods and SQL definitions below the configured roots; hashing can be switched off."""
     roots = [*split_roots(config.ef_root), *split_roots(config.sql_root)]

@@ -52,9 +52,8 @@ def artifacts(syntax: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     hot = hot_calls(syntax, extra)
     found = snippet_targets(hot.unionByName(sql_literals(syntax, hot)))
     s = spans(syntax)
-    held = graph.method_at_line(found, s)
-    outside = graph.nearest_method(held.filter("method is null").drop("ns", "type", "method"), s)
-    return held.filter("method is not null").unionByName(outside).select(F.col("path").alias("source_path"), F.lit("InlineSQL").alias("artifact_kind"), "identifier", "ns", F.col("type").alias("type_full_name"), F.col("method").alias("method_full_name"), F.col("line").alias("line_number"), F.col("rel_path").alias("relative_path"), "body", F.col("origin").alias("body_origin"), "ord", "n")
+    held = graph.nearest_method(found, s)  # a method that holds the line is at no distance from it
+    return held.select(F.col("path").alias("source_path"), F.lit("InlineSQL").alias("artifact_kind"), "identifier", "ns", F.col("type").alias("type_full_name"), F.col("method").alias("method_full_name"), F.col("line").alias("line_number"), F.col("rel_path").alias("relative_path"), "body", F.col("origin").alias("body_origin"), "ord", "n")
 
 
 def method_nodes(facts: DataFrame) -> DataFrame:
@@ -81,7 +80,8 @@ def foreign_key_edges(facts: DataFrame) -> DataFrame:
 
 
 def bodies(facts: DataFrame) -> DataFrame:
-    """One row a fact, with the path of its body file."""
-    name = exprs.safe_name(F.coalesce("method_full_name", F.lit("unknown")))
-    path = F.concat(F.lit("bodies/InlineSql."), name, F.lit(".L"), F.col("line_number"), F.lit(".sql"))
-    return facts.select(F.concat(F.lit("csharp:"), "method_full_name", F.lit("|METHOD")).alias("key"), F.lit("InlineSQL").alias("kind"), F.col("method_full_name").alias("methodFullName"), F.col("body_origin").alias("bodyOrigin"), F.col("ns").alias("namespace"), F.col("type_full_name").alias("typeFullName"), F.col("relative_path").alias("relativePath"), exprs.slashes(F.col("relative_path")).alias("file"), F.col("line_number").alias("lineNumber"), path.alias("bodyPath"), "body")
+    """One row a fact with a method: its key is the method's name, its file the whole path; an empty body has no file."""
+    name = exprs.safe_name(F.col("method_full_name"))
+    path = F.concat(F.lit("docs/bodies/InlineSql."), name, F.lit(".L"), F.coalesce("line_number", F.lit(0)), F.lit(".sql"))
+    rows = facts.filter(F.trim("method_full_name") != "").withColumn("body", F.coalesce("body", F.lit("")))
+    return rows.select(F.col("method_full_name").alias("key"), F.lit("InlineSQL").alias("kind"), F.col("method_full_name").alias("methodFullName"), F.col("body_origin").alias("bodyOrigin"), F.col("ns").alias("namespace"), F.col("type_full_name").alias("typeFullName"), F.col("relative_path").alias("relativePath"), F.col("source_path").alias("file"), F.col("line_number").alias("lineNumber"), F.when(F.col("body") != "", path).alias("bodyPath"), "body")

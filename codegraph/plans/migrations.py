@@ -48,7 +48,7 @@ def recognised(calls: DataFrame) -> DataFrame:
     builder, data = last.isin(*BUILDER_CALLS), last.isin(*DATA_CALLS)
     operation = (
         F.when(two("Create", "Table"), "CreateTable").when(two("Create", "Index"), "CreateIndex").when(two("Delete", "Table"), "DropTable").when(two("Delete", "Index"), "DropIndex").when(two("Schema", "Table"), "TouchTable")
-        .when(builder, last).when(data, last).when(last == "Sql", "Sql")
+        .when(builder, last).when(data, last).when(last == "Sql", "RawSql")
     )
     fluent = (two("Create", "Table") | two("Delete", "Table") | two("Schema", "Table"))
     indexes = two("Create", "Index") | two("Delete", "Index")
@@ -57,10 +57,12 @@ def recognised(calls: DataFrame) -> DataFrame:
     whole = builder & ~fluent & ~indexes
     table = F.when(fluent, _first()).when(whole & last.isin("CreateTable", "DropTable"), F.coalesce(_named("name"), _first())).when(whole, _named("table")).when(data & ~fluent & ~indexes, entity_of(F.get("args", F.lit(0))["text"]))
     keyed = whole & last.isin("AddForeignKey", "DropForeignKey")
-    rows = calls.withColumn("operation", operation).filter("operation is not null")
+    # A data call without a recognisable entity is none.
+    rows = calls.withColumn("operation", operation).withColumn("table", table).filter(F.col("operation").isNotNull() & ~(data & ~fluent & ~indexes & (F.trim(F.coalesce("table", F.lit(""))) == "")))
+    raw = F.when((F.col("operation") == "RawSql") & (F.size("args") > 0), F.coalesce(F.get("args", F.lit(0))["literal"], F.get("args", F.lit(0))["text"])).otherwise(F.col("raw"))
     return rows.select(
-        *[c for c in calls.columns if c not in ("args", "chain", "raw")], kind.alias("kind"), "operation", table.alias("table"), F.when(whole, _named("schema")).alias("schema"), F.when(indexes, _first()).alias("index"),
-        F.when(whole & last.isin("AddColumn", "DropColumn", "RenameColumn"), _named("name")).alias("column"), F.when(whole & (last == "RenameColumn"), F.coalesce(_named("newName"), _named("newColumnName"))).alias("new_column"), F.when(keyed, _named("name")).alias("foreign_key"), "raw",
+        *[c for c in calls.columns if c not in ("args", "chain", "raw")], kind.alias("kind"), "operation", "table", F.when(whole, _named("schema")).alias("schema"), F.when(indexes, _first()).alias("index"),
+        F.when(whole & last.isin("AddColumn", "DropColumn", "RenameColumn"), _named("name")).alias("column"), F.when(whole & (last == "RenameColumn"), F.coalesce(_named("newName"), _named("newColumnName"))).alias("new_column"), F.when(keyed, _named("name")).alias("foreign_key"), raw.alias("raw"),
     )
 
 
@@ -90,7 +92,7 @@ def migration_graph(migrations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """MIGRATION nodes; SchemaChange edges to dbo.<table>, whatever schema is named; keys of AddForeignKey, dependent to principal."""
     name = F.coalesce(F.nullif("type_full_name", F.lit("")), "class_name")
     file = exprs.slashes(F.col("rel_path")).alias("file")
-    body = F.concat(F.lit("bodies/Migration."), exprs.safe_name(name), F.lit(".MIGRATION.cs"))
+    body = F.concat(F.lit("docs/bodies/Migration."), exprs.safe_name(name), F.lit(".MIGRATION.cs"))
     nodes = migrations.select(_key(name).alias("key"), F.lit("MIGRATION").alias("kind"), F.col("class_name").alias("name"), F.lit("csharp").alias("schema"), file, null_int().alias("batch"), F.lit("code").alias("domain"), body.alias("body_path"), graph.seq(2, F.col("path"), F.lit(0), F.col("class_ord")).alias("seq"))
     ops = operations(migrations).filter(F.col("kind").isin(*GRAPH_KINDS) & (F.trim("table") != ""))
     table = F.concat(F.lit("dbo."), "table", F.lit("|TABLE"))
@@ -102,7 +104,7 @@ def migration_graph(migrations: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def fallback(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """By patterns alone, for when no migration was recognised anywhere: each class named ...Migration of a file with each table of the file."""
+    """By patterns alone (fixed values), for when no migration was recognised anywhere: each class named ...Migration of a file with each table of the file."""
     rows = files.select("path", "rel_path", F.regexp_extract_all("text", F.lit(r"class\s+(\w*Migration)\b"), 1).alias("names"), F.array_union(F.regexp_extract_all("text", F.lit(r"Schema\.Table\(\s*nameof\(\s*(\w+)\s*\)\s*\)"), 1), F.regexp_extract_all("text", F.lit(r'Schema\.Table\(\s*"([^"]+)"\s*\)'), 1)).alias("tables"))
     file = exprs.slashes(F.col("rel_path")).alias("file")
     named = rows.select("path", file, "tables", F.posexplode("names").alias("n", "class_name"))
@@ -130,7 +132,7 @@ def summaries(migrations: DataFrame) -> DataFrame:
     key = lambda o: F.struct(table(o).alias("table"), o["foreign_key"].alias("foreignKey"))
     name = F.coalesce(F.nullif("type_full_name", F.lit("")), "class_name")
     return migrations.select(
-        _key(name).alias("key"), F.lit("MIGRATION").alias("kind"), F.col("class_name").alias("name"), "namespace", F.col("type_full_name").alias("typeFullName"), exprs.slashes(F.col("rel_path")).alias("file"), F.concat(F.lit("bodies/Migration."), exprs.safe_name(name), F.lit(".MIGRATION.cs")).alias("bodyPath"),
+        _key(name).alias("key"), F.lit("MIGRATION").alias("kind"), F.col("class_name").alias("name"), "namespace", F.col("type_full_name").alias("typeFullName"), F.col("path").alias("file"), F.concat(F.lit("docs/bodies/Migration."), exprs.safe_name(name), F.lit(".MIGRATION.cs")).alias("bodyPath"),
         pick("CreateTable", table).alias("createsTables"), pick("DropTable", table).alias("dropsTables"), pick("AddColumn", column, "column").alias("addsColumns"), pick("DropColumn", column, "column").alias("dropsColumns"),
         pick("RenameColumn", lambda o: F.struct(table(o).alias("table"), o["column"].alias("from"), o["new_column"].alias("to")), "column", "new_column").alias("renamesColumns"), pick("AddForeignKey", key, "foreign_key").alias("addsForeignKeys"), pick("DropForeignKey", key, "foreign_key").alias("dropsForeignKeys"), F.col("up_body").alias("body"),
     )

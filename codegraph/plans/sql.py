@@ -46,7 +46,8 @@ def define_ref_edges(found: DataFrame, refs: DataFrame) -> DataFrame:
 
 def script_nodes(found: DataFrame) -> DataFrame:
     has_body = F.col("kind").isin(*exprs.BODY_KINDS)
-    path = F.concat(F.lit("bodies/"), exprs.safe_name(F.concat_ws(".", exprs.key_name(F.col("key")), F.col("kind"))), F.lit(".sql"))
+    name = F.concat_ws(".", "schema", F.coalesce("name", F.lit("(anon)")), "kind")
+    path = F.concat(F.lit("docs/bodies/"), F.regexp_replace(name, r"[/\\\x00]", "_"), F.lit(".sql"))
     return found.select("key", "kind", "name", "schema", exprs.slashes(F.col("rel_path")).alias("file"), "batch", F.col("domain"), F.when(has_body, path).alias("body_path"), graph.seq(0, F.col("path"), F.col("batch"), F.col("ord")).alias("seq"))
 
 

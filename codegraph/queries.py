@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +20,24 @@ EXTRA_HOT = ("RunAdHoc",)
 BASE_TYPES = ("Shop.Model.BaseEntity",)
 
 
+_held: list[DataFrame] = []
+
+
+def once(rows: DataFrame) -> DataFrame:
+    """Parsed rows that a query starts from several times: kept by the executors until the next query is asked for."""
+    _held.append(rows.persist())
+    return rows
+
+
 def query(oracle: str | None = None):
     def add(f):
-        QUERIES[f.__name__] = f
+        @functools.wraps(f)
+        def run(spark, sf_dir):
+            while _held:
+                _held.pop().unpersist()
+            return f(spark, sf_dir)
+
+        QUERIES[f.__name__] = run
         if oracle:
             ORACLE_SQL[f.__name__] = oracle.strip()
         return f
@@ -29,23 +46,27 @@ def query(oracle: str | None = None):
 
 
 def batches(spark, sf_dir) -> DataFrame:
-    return parse.parse_tsql(corpus.sql_files(spark, sf_dir))
+    return once(parse.parse_tsql(corpus.sql_files(spark, sf_dir)))
 
 
 def models(spark, sf_dir) -> DataFrame:
-    return parse.parse_csharp(corpus.model_files(spark, sf_dir))
+    return once(parse.parse_csharp(corpus.model_files(spark, sf_dir)))
 
 
 def data_code(spark, sf_dir) -> DataFrame:
-    return parse.parse_csharp(corpus.repository_files(spark, sf_dir))
+    return once(parse.parse_csharp(corpus.repository_files(spark, sf_dir)))
+
+
+def migration_code(spark, sf_dir) -> DataFrame:
+    return once(parse.parse_csharp(corpus.migration_files(spark, sf_dir)))
 
 
 def moves(spark, sf_dir) -> DataFrame:
-    return migrations.analysed(parse.parse_csharp(corpus.migration_files(spark, sf_dir)))
+    return migrations.analysed(migration_code(spark, sf_dir))
 
 
 def facts(spark, sf_dir) -> DataFrame:
-    return inline.artifacts(data_code(spark, sf_dir), EXTRA_HOT)
+    return once(inline.artifacts(data_code(spark, sf_dir), EXTRA_HOT))
 
 
 # Files, hashes, names
@@ -270,6 +291,45 @@ def sql_definition_artifacts(spark, sf_dir):
     return sql.definition_artifacts(batches(spark, sf_dir)).select("identifier", "artifact_kind")
 
 
+# Scripts of all kinds of statements
+
+
+KINDS = """
+d AS (SELECT replace(key, '#', s_suppkey::VARCHAR) AS key, CASE WHEN m = 11 THEN 'Kinds/' || s_suppkey || '/PostDeployment.sql' ELSE 'Kinds/K_' || s_suppkey || '.sql' END AS file FROM supplier JOIN (VALUES
+ (0, 'dbo.U_#|PROC'), (1, 'dbo.D_#|PROC'), (2, 'dbo.M_#|PROC'), (3, 'dbo.F_#|FUNC'), (4, 'dbo.Y_#|TYPE'), (5, 'dbo.Z_#|TYPE'), (6, 'dbo.Q_#|SEQUENCE'), (7, 'dbo.G_#|TRIGGER'), (8, 'dbo.N_#|SYNONYM'), (9, 'sales.T_#|TABLE'),
+ (10, 'dbo.__batch__:Kinds/K_#.sql:0|BATCH'), (11, 'dbo.__deploy__:Kinds/#/PostDeployment.sql:0|DEPLOY')) v(m, key) ON m = s_suppkey % 12),
+e AS (SELECT d.key AS "from", replace(t, '#', s_suppkey::VARCHAR) AS "to", relation, d.file FROM supplier JOIN (VALUES
+ (0, 'sales.T_#|TABLE_OR_VIEW', 'ReadsFrom'), (0, 'sales.T_#|TABLE', 'WritesTo'), (1, 'sales.T_#|TABLE_OR_VIEW', 'ReadsFrom'), (1, 'sales.T_#|TABLE', 'WritesTo'), (2, 'sales.T_#|TABLE_OR_VIEW', 'ReadsFrom'), (2, 'sales.T_#|TABLE', 'WritesTo'), (2, 'stage.S_#|TABLE_OR_VIEW', 'ReadsFrom'),
+ (3, 'sales.T_#|TABLE_OR_VIEW', 'ReadsFrom'), (7, 'sales.T_#|UNKNOWN', 'On'), (7, 'dbo.Log_#|TABLE_OR_VIEW', 'ReadsFrom'), (7, 'dbo.Log_#|TABLE', 'WritesTo'), (8, 'sales.T_#|UNKNOWN', 'SynonymFor'), (9, 'ref.P_#|TABLE', 'ForeignKey'), (10, 'sales.T_#|TABLE_OR_VIEW', 'ReadsFrom'),
+ (11, 'dbo.Seed_#|TABLE_OR_VIEW', 'ReadsFrom'), (11, 'dbo.Seed_#|TABLE', 'WritesTo')) v(m, t, relation) ON m = s_suppkey % 12 JOIN d ON d.file IN ('Kinds/K_' || s_suppkey || '.sql', 'Kinds/' || s_suppkey || '/PostDeployment.sql'))"""
+
+
+def kinds(spark, sf_dir) -> DataFrame:
+    return once(parse.parse_tsql(corpus.kinds_files(spark, sf_dir)))
+
+
+@query(f"WITH {KINDS} SELECT key, file FROM d")
+def statement_defines(spark, sf_dir):
+    return sql.defines(kinds(spark, sf_dir)).select("key", F.col("rel_path").alias("file"))
+
+
+@query(f"""WITH {KINDS} SELECT '"' || concat_ws('","', "from", "to", relation, split_part("to", '|', 2), file, '0') || '"' AS line FROM e""")
+def statement_edges_csv(spark, sf_dir):
+    return bundle.csv_lines(sql.knowledge(kinds(spark, sf_dir)).edges, bundle.EDGE_HEADER)
+
+
+@query(f"""WITH {KINDS}, n AS (SELECT key, file, '0' AS batch, 'Kinds' AS domain, CASE WHEN key LIKE '%|BATCH' OR key LIKE '%|DEPLOY' OR key LIKE '%|SYNONYM' THEN '' ELSE 'docs/bodies/' || replace(key, '|', '.') || '.sql' END AS body FROM d UNION ALL SELECT DISTINCT "to", '', '', '(external)', '' FROM e)
+SELECT '"' || concat_ws('","', key, split_part(key, '|', 2), regexp_extract(key, '^[^.]*[.](.*)[|]', 1), split_part(key, '.', 1), file, batch, domain, body) || '"' AS line FROM n""")
+def statement_nodes_csv(spark, sf_dir):
+    return bundle.csv_lines(sql.knowledge(kinds(spark, sf_dir)).nodes, bundle.NODE_HEADER)
+
+
+@query(f"""WITH {KINDS} SELECT split_part(key, '|', 1) || '|' || split_part(key, '|', 2) AS identifier, split_part(key, '|', 2) AS artifact_kind FROM d WHERE key NOT LIKE '%|BATCH' AND key NOT LIKE '%|DEPLOY' AND key NOT LIKE '%|SYNONYM'
+UNION ALL SELECT 'dbo.W_' || s_suppkey || '|VIEW', 'VIEW' FROM supplier WHERE s_suppkey % 12 = 10""")
+def statement_artifacts(spark, sf_dir):
+    return sql.definition_artifacts(kinds(spark, sf_dir)).select("identifier", "artifact_kind")
+
+
 # Graph algebra on plain relations
 
 
@@ -287,13 +347,14 @@ def dedupe_edges(spark, sf_dir):
 
 
 def _nodes(spark, sf_dir):
-    p = corpus.table(spark, sf_dir, "part").filter("p_partkey % 2 = 0")
+    p = corpus.table(spark, sf_dir, "part")
     k = F.col("p_partkey") % 300
+    letter = F.when(k % 2 == 0, "T").otherwise("U")  # edges name T only, so that some targets are not defined
     kind = F.when(k % 4 == 0, "VIEW").otherwise("TABLE")
-    return p.select(F.concat(F.lit("DBO.T"), k, F.lit("|"), kind).alias("key"), kind.alias("kind"), F.concat(F.lit("T"), k).alias("name"), F.lit("DBO").alias("schema"), F.concat(F.lit("p"), "p_partkey").alias("file"), F.lit(0).alias("batch"), F.lit("x").alias("domain"), F.lit(None).cast("string").alias("body_path"), graph.seq(0, F.lpad("p_partkey", 12, "0")).alias("seq"))
+    return p.select(F.concat(F.lit("DBO."), letter, k, F.lit("|"), kind).alias("key"), kind.alias("kind"), F.concat(letter, k).alias("name"), F.lit("DBO").alias("schema"), F.concat(F.lit("p"), "p_partkey").alias("file"), F.lit(0).alias("batch"), F.lit("x").alias("domain"), F.lit(None).cast("string").alias("body_path"), graph.seq(0, F.lpad("p_partkey", 12, "0")).alias("seq"))
 
 
-KNOWN = "k AS (SELECT DISTINCT p_partkey % 300 AS m, CASE WHEN p_partkey % 300 % 4 = 0 THEN 'VIEW' ELSE 'TABLE' END AS kind FROM part WHERE p_partkey % 2 = 0)"
+KNOWN = "k AS (SELECT DISTINCT p_partkey % 300 AS m, CASE WHEN p_partkey % 300 % 4 = 0 THEN 'VIEW' ELSE 'TABLE' END AS kind FROM part WHERE p_partkey % 300 % 2 = 0)"
 
 
 @query(f"""WITH {KNOWN}, g AS (SELECT 'dbo.t' || (l_partkey % 300) AS base, l_partkey % 300 AS m FROM lineitem)
@@ -303,7 +364,7 @@ def resolve_edge_kinds(spark, sf_dir):
     return graph.resolve_kinds(_edges(spark, sf_dir), kinds).groupBy("to", "to_kind").agg(F.count("*").alias("n"))
 
 
-@query("SELECT 'DBO.T' || (p_partkey % 300) || '|' || CASE WHEN p_partkey % 300 % 4 = 0 THEN 'VIEW' ELSE 'TABLE' END AS key, 'p' || min(p_partkey) AS file FROM part WHERE p_partkey % 2 = 0 GROUP BY 1")
+@query("SELECT CASE WHEN p_partkey % 300 % 2 = 0 THEN 'DBO.T' ELSE 'DBO.U' END || (p_partkey % 300) || '|' || CASE WHEN p_partkey % 300 % 4 = 0 THEN 'VIEW' ELSE 'TABLE' END AS key, 'p' || min(p_partkey) AS file FROM part GROUP BY 1")
 def upsert_nodes(spark, sf_dir):
     return graph.upsert_nodes(_nodes(spark, sf_dir)).select("key", "file")
 
@@ -350,7 +411,7 @@ ENTITY_EDGES = """SELECT 'csharp:Cust_' || n_nationkey || '|ENTITY' AS "from", C
 
 def _entities(spark, sf_dir):
     m = models(spark, sf_dir)
-    tables = corpus.table(spark, sf_dir, "nation").filter("n_nationkey % 3 = 0").select(F.concat(F.lit("extra_"), "n_nationkey", F.lit("S")).alias("name"), F.lit("ware").alias("schema"), graph.seq(0, F.lit("x")).alias("seq"))
+    tables = corpus.table(spark, sf_dir, "nation").select(F.concat(F.when(F.col("n_nationkey") % 3 == 0, "extra_").otherwise("other_"), "n_nationkey", F.lit("S")).alias("name"), F.lit("ware").alias("schema"), graph.seq(0, F.lit("x")).alias("seq"))
     return ef.entity_graph(m, ef.entity_map(m), tables, BASE_TYPES)
 
 
@@ -382,7 +443,7 @@ def fluent_fk_edges(spark, sf_dir):
 OPS = """
 SELECT 'Shop.Migrations.V' || s_suppkey AS type_full_name, o.operation, o.kind, CASE WHEN o.t IS NULL THEN NULL ELSE o.t || s_suppkey END AS "table", o.schema FROM supplier JOIN (VALUES
  (0, 'CreateTable', 'CreateTable', 'T_', 'sales'), (1, 'DropTable', 'DropTable', 'T_', NULL), (2, 'AddColumn', 'TouchTable', 'T_', 'sales'), (3, 'DropColumn', 'TouchTable', 'T_', NULL), (4, 'RenameColumn', 'TouchTable', 'T_', NULL), (5, 'AddForeignKey', 'TouchTable', 'T_', NULL),
- (6, 'DropForeignKey', 'TouchTable', 'T_', NULL), (6, 'Sql', 'RawSql', NULL, NULL), (7, 'TouchTable', 'TouchTable', 'T_', NULL), (7, 'CreateTable', 'CreateTable', 'N_', NULL), (7, 'CreateIndex', 'CreateIndex', NULL, NULL), (7, 'InsertEntity', 'DataChange', 'Post_', NULL)) o(m, operation, kind, t, schema) ON o.m = s_suppkey % 8"""
+ (6, 'DropForeignKey', 'TouchTable', 'T_', NULL), (6, 'RawSql', 'RawSql', NULL, NULL), (7, 'TouchTable', 'TouchTable', 'T_', NULL), (7, 'CreateTable', 'CreateTable', 'N_', NULL), (7, 'CreateIndex', 'CreateIndex', NULL, NULL), (7, 'InsertEntity', 'DataChange', 'Post_', NULL)) o(m, operation, kind, t, schema) ON o.m = s_suppkey % 8"""
 
 
 @query(OPS)
@@ -415,14 +476,23 @@ def migration_fallback(spark, sf_dir):
 # Chunks
 
 
-MEMBERS = "(VALUES ('BaseEntity', 'Id', 'property'), ('Ctx_', 'Custs', 'property'), ('Ctx_', 'Ords', 'property'), ('Ctx_', 'OnModelCreating', 'method'), ('Ctx_', 'Prepare', 'method'), ('Ctx_', 'Check', 'method'), ('Cust_', 'Name', 'property'), ('Ord_', 'CustId', 'property')) v(c, m, t)"
+MEMBERS = "(VALUES ('BaseEntity', 'Id', 'Property'), ('Ctx_', 'Custs', 'Property'), ('Ctx_', 'Ords', 'Property'), ('Ctx_', 'OnModelCreating', 'Method'), ('Ctx_', 'Prepare', 'Method'), ('Ctx_', 'Check', 'Method'), ('Cust_', 'Name', 'Property'), ('Ord_', 'CustId', 'Property')) v(c, m, t)"
 
 
-@query(f"""SELECT 'Model/Ctx_' || n_nationkey || '.cs' AS file, c || CASE WHEN c = 'BaseEntity' THEN '' ELSE n_nationkey::VARCHAR END AS class, m AS member, t AS type, CASE c WHEN 'Ctx_' THEN 'DbContext' WHEN 'Cust_' THEN 'BaseEntity' ELSE 'object' END AS base_type FROM nation, {MEMBERS}""")
+@query(f"""SELECT 'Ctx_' || n_nationkey || '.cs' AS file, c || CASE WHEN c = 'BaseEntity' THEN '' ELSE n_nationkey::VARCHAR END AS class, m AS member, t AS type, CASE c WHEN 'Ctx_' THEN 'DbContext' WHEN 'Cust_' THEN 'BaseEntity' ELSE 'object' END AS base_type FROM nation, {MEMBERS}""")
 def code_chunks(spark, sf_dir):
     return code.chunks(models(spark, sf_dir)).select("file", "class", "member", "type", "base_type")
 
 
+@query("""SELECT signature, '// Namespace: Shop.Model // Class: ' || class || ' // Type: ' || type || '  ' || body AS text, interfaces FROM (
+ SELECT 'Shop.Model.Ctx_' || n_nationkey || '.void Ctx_' || n_nationkey || '.Prepare(ModelBuilder b)' AS signature, 'Ctx_' || n_nationkey AS class, 'Method' AS type, '        private void Prepare(ModelBuilder b) { Check("ready"); }' || chr(10) AS body, '' AS interfaces FROM nation UNION ALL
+ SELECT 'Shop.Model.Ord_' || n_nationkey || '.int Ord_' || n_nationkey || '.CustId', 'Ord_' || n_nationkey, 'Property', 'public int CustId { get; set; } ', '' FROM nation UNION ALL
+ SELECT 'Shop.Model.Ctx_' || n_nationkey || '.void Ctx_' || n_nationkey || '.Check(string what)', 'Ctx_' || n_nationkey, 'Method', '        private void Check(string what) => Console.WriteLine(what);' || chr(10), '' FROM nation)""")
+def chunk_texts(spark, sf_dir):
+    rows = code.chunks(models(spark, sf_dir)).filter("member in ('Prepare', 'CustId', 'Check')")
+    return rows.select("signature", "text", F.array_join("implemented_interfaces", ",").alias("interfaces"))
+
+
 @query("""SELECT 'Ctx_' || n_nationkey AS class, 'OnModelCreating' AS caller, 'Prepare' AS callee FROM nation UNION ALL SELECT 'Ctx_' || n_nationkey, 'Prepare', 'Check' FROM nation""")
 def chunk_dependencies(spark, sf_dir):
     m = models(spark, sf_dir)
@@ -470,13 +540,19 @@ def nodes_csv_rows(spark, sf_dir):
     return lines.select(F.concat_ws('","', part[0], F.concat(part[1], F.lit('"'))).alias("line"), F.concat(F.lit('"'), part[4], F.lit('","'), part[5], F.lit('"')).alias("place"))
 
 
+@query(f"""WITH {DEFINES}, n AS (SELECT *, split_part(key, '|', 2) AS kind, regexp_extract(key, '^[^.]*[.](.*)[|]', 1) AS name FROM d)
+SELECT '"' || concat_ws('","', key, kind, name, 'dbo', file, batch::VARCHAR, split_part(file, '/', 1), CASE WHEN kind = 'BATCH' THEN '' ELSE 'docs/bodies/dbo.' || name || '.' || kind || '.sql' END) || '"' AS line FROM n""")
+def nodes_csv_lines(spark, sf_dir):
+    return bundle.csv_lines(graph.upsert_nodes(sql.script_nodes(sql.defines(batches(spark, sf_dir)))), bundle.NODE_HEADER)
+
+
 @query(f"""WITH {EDGES} SELECT '"' || "from" || '","' || "to" || '","' || relation || '","' || split_part("to", '|', 2) || '"' AS line FROM e""")
 def edges_csv_rows(spark, sf_dir):
     edges = sql.knowledge(batches(spark, sf_dir)).edges
     return bundle.csv_lines(edges, ["from", "to", "relation", "to_kind"]).select("line")
 
 
-@query(f"""WITH {DEFINES} SELECT key, split_part(key, '|', 2) AS kind, 'bodies/' || replace(replace(key, '|', '.'), ':', '_') || '.sql' AS body_path FROM d WHERE key NOT LIKE '%BATCH'""")
+@query(f"""WITH {DEFINES} SELECT key, split_part(key, '|', 2) AS kind, 'docs/bodies/' || replace(key, '|', '.') || '.sql' AS body_path FROM d WHERE key NOT LIKE '%BATCH'""")
 def sql_bodies(spark, sf_dir):
     return sql.knowledge(batches(spark, sf_dir)).bodies.select("key", "kind", "body_path")
 
@@ -486,6 +562,32 @@ def bodies_jsonl(spark, sf_dir):
     return bundle.json_lines(migrations.summaries(moves(spark, sf_dir)).select("key", "kind", "name", "namespace")).select(F.col("value").alias("line"))
 
 
+@query("""SELECT json_object('key', 'dbo.vCustomer_' || c_custkey || '|VIEW', 'kind', 'VIEW', 'schema', 'dbo', 'name', 'vCustomer_' || c_custkey, 'domain', 'Views', 'file', 'Views/vCustomer_' || c_custkey || '.sql', 'body', 'CREATE VIEW dbo.vCustomer_' || c_custkey || chr(10) || 'AS             SELECT c.Id, n.Name FROM dbo.Customer_' || c_custkey || ' AS c JOIN Nation_' || c_nationkey || ' n ON c.NationId = n.Id WHERE c.Name <> ' || chr(39) || 'FROM nowhere' || chr(39))::VARCHAR AS line FROM customer""")
+def script_body_lines(spark, sf_dir):
+    return bundle.json_lines(sql.knowledge(batches(spark, sf_dir)).bodies.filter("kind = 'VIEW'").drop("body_path")).select(F.col("value").alias("line"))
+
+
+@query("""SELECT json_object('key', 'csharp:' || x || n_nationkey || '|ENTITY', 'kind', 'ENTITY', 'name', x || n_nationkey, 'namespace', 'Shop.Model', 'typeFullName', 'Shop.Model.' || x || n_nationkey, 'file', '/w/Model/Ctx_' || n_nationkey || '.cs', 'bodyPath', 'docs/bodies/Poco.Shop.Model.' || x || n_nationkey || '.ENTITY.cs',
+ 'body', CASE x WHEN 'Cust_' THEN CASE WHEN n_nationkey % 2 = 0 THEN '[Table("CustTable_' || n_nationkey || '", Schema = "crm")]' || chr(10) || '    ' ELSE '' END || 'public class Cust_' || n_nationkey || ' : BaseEntity { public string Name { get; set; } }' WHEN 'Ord_' THEN 'public class Ord_' || n_nationkey || ' { public int CustId { get; set; } }' ELSE 'public class Extra_' || n_nationkey || ' : Shop.Model.BaseEntity, IThing { }' END)::VARCHAR AS line
+ FROM nation, (VALUES ('Cust_'), ('Ord_'), ('Extra_')) v(x)""")
+def entity_body_lines(spark, sf_dir):
+    return bundle.json_lines(_entities(spark, sf_dir)[2]).select(F.col("value").alias("line"))
+
+
+@query("""SELECT json_object('key', 'csharp:Shop.Migrations.V' || k || '|MIGRATION', 'kind', 'MIGRATION', 'name', 'V' || k, 'namespace', 'Shop.Migrations', 'typeFullName', 'Shop.Migrations.V' || k, 'file', '/w/Migrations/V' || k || '.cs', 'bodyPath', 'docs/bodies/Migration.Shop.Migrations.V' || k || '.MIGRATION.cs',
+ 'dropsForeignKeys', CASE WHEN k % 8 = 6 THEN [{'table': 'dbo.T_' || k, 'foreignKey': 'FK_' || k}] ELSE [] END)::VARCHAR AS line FROM (SELECT s_suppkey AS k FROM supplier)""")
+def migration_body_lines(spark, sf_dir):
+    return bundle.json_lines(migrations.summaries(moves(spark, sf_dir)).select("key", "kind", "name", "namespace", "typeFullName", "file", "bodyPath", "dropsForeignKeys")).select(F.col("value").alias("line"))
+
+
+@query("""WITH r AS (SELECT c_custkey AS k, 'Exec' AS m, 'HotMethod' AS origin, 14 AS line, 'EXEC dbo.Refresh_' || c_custkey || ' 1' AS body FROM customer WHERE c_custkey % 5 = 0 UNION ALL SELECT c_custkey, 'Load', 'HeuristicRoslyn', 8, 'SELECT * FROM dbo.Customer_' || c_custkey || ' WHERE Id = 1' FROM customer UNION ALL
+ SELECT c_custkey, 'Save', 'HeuristicRoslyn', 10, 'INSERT INTO seg.Seg_' || regexp_replace(lower(c_mktsegment), '[^a-z0-9_]', '_', 'g') || chr(10) || '            VALUES (1)' FROM customer)
+SELECT json_object('key', 'Shop.Data.Repo_' || k || '.' || m, 'kind', 'InlineSQL', 'methodFullName', 'Shop.Data.Repo_' || k || '.' || m, 'bodyOrigin', origin, 'namespace', 'Shop.Data', 'typeFullName', 'Shop.Data.Repo_' || k, 'relativePath', 'Data/Repo_' || k || '.cs', 'file', '/w/Data/Repo_' || k || '.cs', 'lineNumber', line, 'bodyPath', 'docs/bodies/InlineSql.Shop.Data.Repo_' || k || '.' || m || '.L' || line || '.sql', 'body', body)::VARCHAR AS line FROM r""")
+def inline_body_lines(spark, sf_dir):
+    rows = inline.bodies(facts(spark, sf_dir)).filter(F.substring_index("key", ".", -1).isin("Exec", "Save") | F.col("body").startswith("SELECT * FROM"))
+    return bundle.json_lines(rows).select(F.col("value").alias("line"))
+
+
 @query(f"""WITH {EDGES}, n AS (SELECT lower(key) AS key FROM d UNION SELECT lower("to") FROM e)
 SELECT (SELECT count(*) FROM n) AS nodes, (SELECT count(*) FROM e) AS edges, (SELECT count(*) FROM d WHERE key NOT LIKE '%BATCH') AS docs""")
 def bundle_manifest(spark, sf_dir):
@@ -496,5 +598,6 @@ def bundle_manifest(spark, sf_dir):
 
 @query("SELECT kind, count(*) AS n FROM (SELECT 'DBSET' AS kind FROM nation, range(2) UNION ALL SELECT 'ENTITY' FROM nation, range(3) UNION ALL SELECT 'MIGRATION' FROM supplier UNION ALL SELECT 'METHOD' FROM customer, range(2) UNION ALL SELECT 'METHOD' FROM customer WHERE c_custkey % 5 = 0 UNION ALL SELECT 'METHOD' FROM customer WHERE c_custkey % 7 = 0 AND c_custkey % 5 <> 0 UNION ALL SELECT 'METHOD' FROM customer) GROUP BY 1")
 def whole_graph_code_kinds(spark, sf_dir):
-    built = index.build(batches(spark, sf_dir), models(spark, sf_dir), parse.parse_csharp(corpus.migration_files(spark, sf_dir)), data_code(spark, sf_dir), BASE_TYPES, EXTRA_HOT)
+    built = index.build(batches(spark, sf_dir), models(spark, sf_dir), migration_code(spark, sf_dir), data_code(spark, sf_dir), BASE_TYPES, EXTRA_HOT)
+    _held.extend(built.held)
     return index.counts(built.closed.filter("domain in ('code', 'code-inline-sql')"), "kind")

@@ -99,7 +99,7 @@ def write_json(value, path: str) -> None:
 def write_code(chunks: DataFrame, adjacency: DataFrame, meta: dict, folder: str) -> None:
     """chunks.json, dependencies.json, repo_meta.json and README_WSL.txt."""
     os.makedirs(folder, exist_ok=True)
-    public = chunks.drop("member_ord", "params").orderBy("id")
+    public = chunks.drop("member_ord", "params", "path").orderBy("id")
     for name, rows, opener, closer in (("chunks.json", json_lines(public), "[", "]"), ("dependencies.json", adjacency.orderBy("src").select(F.concat(F.lit('"'), "src", F.lit('": '), F.to_json("callees")).alias("value")), "{", "}")):
         with open(os.path.join(folder, name), "w", encoding="utf-8") as f:
             f.write(opener)

@@ -121,6 +121,10 @@ def with_text_hash(rows: DataFrame, column: str = "text") -> DataFrame:
     return rows.withColumn("sha256", F.sha2(F.coalesce(column, F.lit("")), 256))
 
 
+#: Fixed value: a class whose first base is a context.
+CONTEXT_CLASS = r"class\s+\w+\s*:\s*(\w+\.)*(Identity)?DbContext\b"
+
+
 def code_roots(listing: DataFrame, n: int = 300) -> DataFrame:
     """Project folders whose first n C# files, by path, hold a context class or a DbSet property.
 
@@ -130,11 +134,11 @@ def code_roots(listing: DataFrame, n: int = 300) -> DataFrame:
     excluded = F.exists(F.split(F.lower("path"), "/"), lambda s: s.isin(*exprs.TEST_SEGMENTS))
     projects = listing.filter(F.lower("path").endswith(".csproj") & ~excluded).select(folder.alias("root")).distinct()
     code = listing.filter(F.lower("path").endswith(".cs")).select("path", "text")
-    under = code.join(projects, F.startswith("path", F.concat("root", F.lit("/"))))
+    under = code.withColumn("root", F.explode(exprs.folders_of(F.col("path")))).join(projects, "root")
     from ..operators.graph import first_per_group
 
     first = first_per_group(under, ["root"], ["path"], n)
-    hit = F.col("text").rlike(r"class\s+\w+\s*:\s*[\w.<>, ]*DbContext\b") | F.col("text").contains(" DbSet<") | F.col("text").contains("\tDbSet<")
+    hit = F.col("text").rlike(CONTEXT_CLASS) | F.col("text").contains(" DbSet<") | F.col("text").contains("\tDbSet<")
     return first.groupBy("root").agg(F.bool_or(hit).alias("hit")).filter("hit").select("root")
 
 

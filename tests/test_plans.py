@@ -4,7 +4,7 @@ import pytest
 
 from codegraph.functions import exprs, parse
 from codegraph.operators import graph
-from codegraph.plans import ef, index, inline, migrations, sql
+from codegraph.plans import chunks, ef, index, inline, migrations, sql
 from pyspark.sql import functions as F
 
 FILES = "path string, rel_path string, text string"
@@ -36,7 +36,7 @@ def test_views_and_procedures_resolve_kinds_and_close(spark):
     assert edges_of(k.edges) == {("dbo.V|VIEW", "dbo.order|TABLE", "ReadsFrom"), ("dbo.V|VIEW", "dbo.Gone|TABLE_OR_VIEW", "ReadsFrom"), ("dbo.P|PROC", "dbo.V|VIEW", "ReadsFrom")}
     nodes = {r.key: r for r in k.nodes.collect()}
     assert set(nodes) == {"dbo.Order|TABLE", "dbo.V|VIEW", "dbo.P|PROC", "dbo.__batch__:d:0|BATCH", "dbo.Gone|TABLE_OR_VIEW"}
-    assert nodes["dbo.Gone|TABLE_OR_VIEW"].domain == "(external)" and nodes["dbo.V|VIEW"].body_path == "bodies/dbo.V.VIEW.sql"
+    assert nodes["dbo.Gone|TABLE_OR_VIEW"].domain == "(external)" and nodes["dbo.V|VIEW"].body_path == "docs/bodies/dbo.V.VIEW.sql"
     assert {r.key for r in k.bodies.collect()} == {"dbo.Order|TABLE", "dbo.V|VIEW", "dbo.P|PROC"}
 
 
@@ -134,6 +134,48 @@ def test_whole_build_closes_tables(spark):
     assert keys["csharp:Ctx.Customers|DBSET"] == "code"
 
 
+def test_interfaces_of_any_depth_and_cycles(spark):
+    chain = " ".join(f"class C{k} : C{k + 1} {{ public int P{k} {{ get; set; }} }}" for k in range(12))
+    s = code(spark, f"{chain} class C12 : IDeep, Odd {{ }} interface Odd : ILast {{ }} class X : Y {{ }} class Y : X, IKnot {{ }} class IClass {{ }} class Z : IClass {{ }}")
+    found = {r["class"]: r.implemented_interfaces for r in chunks.interfaces(s).collect()}
+    assert found["C0"] == found["C12"] == ["IDeep", "ILast", "Odd"] and found["X"] == ["IKnot"] and "Z" not in found
+
+
+def test_files_belong_to_the_deepest_project(spark):
+    s = parse.parse_csharp(files(spark, **{"/r/a/b/x.cs": "class X { }", "/r/a/y.cs": "class Y { }", "/r/z.cs": "class Z { }"}))
+    projects = spark.createDataFrame([("/r/a/A.csproj",), ("/r/a/b/B.csproj",)], "project_path string")
+    assert {(r.path, r.project_name) for r in chunks.with_projects(s, projects).collect()} == {("/r/a/b/x.cs", "B"), ("/r/a/y.cs", "A")}
+
+
+def test_chunk_text_has_what_stands_before_and_after(spark):
+    s = code(spark, "class A {\n  int f;\n\n  /// <summary>x</summary>\n  public static int M(int a,\n    int b) => a; // end\n  A() { } }")
+    found = {r.member: r for r in chunks.chunks(s).collect()}
+    assert found["M"].signature == "NoNamespace.A.int A.M(int a, int b)" and found["A"].signature == "NoNamespace.A.A.A()"
+    assert found["M"].text == "// Namespace: NoNamespace // Class: A // Type: Method /// <summary>x</summary> \n  /// <summary>x</summary>\n  public static int M(int a,\n    int b) => a; // end\n"
+
+
+def test_errors_are_told(spark):
+    parsed = spark.createDataFrame([("b", "y"), ("a", "x"), ("c", "z"), ("d", None)], "path string, error string")
+    assert [(r.path, r.error) for r in index.parse_errors(parsed).collect()] == [("a", "x"), ("b", "y")]
+
+
+def test_raw_statements_and_data_calls(spark):
+    s = code(spark, 'class V : Migration { void Up(B b) { b.Sql("UPDATE t SET a = 1"); b.Sql(Text()); Data.InsertEntity(Make()); Data.DeleteEntity(old); } }')
+    ops = {(r.operation, r.table, r.raw if r.operation == "RawSql" else None) for r in migrations.operations(migrations.analysed(s)).collect()}
+    assert ops == {("RawSql", None, "UPDATE t SET a = 1"), ("RawSql", None, "Text()"), ("DeleteEntity", "old", None)}
+
+
+def test_inline_rows_without_a_body_have_no_file(spark):
+    facts = spark.createDataFrame([("/r/a.cs", "a.cs", "N.R.M", ""), ("/r/a.cs", "a.cs", "N.R.M", "SELECT 1"), ("/r/a.cs", "a.cs", None, "SELECT 2")], "source_path string, relative_path string, method_full_name string, body string")
+    facts = facts.selectExpr("*", "3 AS line_number", "'HotMethod' AS body_origin", "'N' AS ns", "'N.R' AS type_full_name")
+    assert {(r.key, r.file, r.bodyPath) for r in inline.bodies(facts).collect()} == {("N.R.M", "/r/a.cs", None), ("N.R.M", "/r/a.cs", "docs/bodies/InlineSql.N.R.M.L3.sql")}
+
+
+def test_sqlcmd_lines(spark):
+    rows = spark.createDataFrame([("a\n\n  :r x.sql\nb $(V) $()\n:setvar q\n:other\n",)], "t string")
+    assert rows.select(exprs.sqlcmd_preprocess(F.col("t"))).first()[0] == "a\n\nb 0 $()\n:other\n"
+
+
 def test_first_wins_without_case_and_edges_with_case(spark):
     rows = spark.createDataFrame([("DBO.T|TABLE", 2), ("dbo.t|TABLE", 1)], "key string, n int").withColumn("seq", graph.seq(0, F.lit("p"), F.col("n")))
     assert [r.key for r in graph.first_by(rows, [F.lower("key")]).collect()] == ["dbo.t|TABLE"]

@@ -6,6 +6,7 @@ import zipfile
 
 import pytest
 
+from codegraph import __main__ as command
 from codegraph import config
 from codegraph.plans import index
 from codegraph.sources import bundle, repo, solution
@@ -69,6 +70,13 @@ def test_config(tmp_path):
     assert config.split_roots(" a ;b|| c") == ["a", "b", "c"]
 
 
+def test_command_line(tmp_path, capsys):
+    put(tmp_path, **{"c/index.json": '{ "paths": { "solution": "S.sln", "inlineSqlRoot": "a;b" } }'})
+    made = command.settings(["--config", str(tmp_path / "c" / "index.json"), "--temp-root", '"/t"', "sql=/db"])
+    assert (made.solution, made.temp_root, made.sql_root, made.inline_sql_root) == (str(tmp_path / "c" / "S.sln"), "/t", "/db", f"{tmp_path}/c/a;{tmp_path}/c/b")
+    assert command.main(["--solution", "x"]) == 2 and "--temp-root" in capsys.readouterr().err
+
+
 def test_archive(tmp_path):
     put(tmp_path / "in", **{"a.txt": "1", "d/b.txt": "2"})
     path = bundle.archive(str(tmp_path / "in"), "feature/x", str(tmp_path / "out"))
