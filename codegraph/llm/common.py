@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import gc
 import itertools
 import os
@@ -37,9 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset a session on one machine has
+    a temporary one, and any other is refused."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = f"file://{tempfile.mkdtemp(prefix='codegraph-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -163,22 +167,41 @@ def clear_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return df.toDF(*(f"c{k}" for k in range(len(df.columns)))), {name: f"c{k}" for k, name in enumerate(df.columns)}
 
 
+WORD_BYTES = 64
+
+
+@functools.cache
+def byte_table(seed: int) -> np.ndarray:
+    """64 random-looking bits for each place of a word and byte there."""
+    with np.errstate(over="ignore"):
+        return mix64(mix64(np.arange(WORD_BYTES << 8, dtype=np.uint64)) + np.uint64(seed + 1) * np.uint64(0x9FB21C651E98DF25))
+
+
 def hashed_words(column: pa.Array, seed: int, lengths: bool = False) -> tuple[np.ndarray, ...]:
     """Hashes of all words between ASCII white space, each text's number of them and, if asked, the words' lengths in
-    bytes. Arrow splits and finds the distinct words; only those are hashed one by one."""
+    bytes. A word's hash is the mixed sum of its bytes' entries in a table by place, all words at once; longer words
+    than the table has places for are hashed one by one."""
     forget()
     lists = pc.ascii_split_whitespace(pc.fill_null(column, ""))
     counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     flat = lists.flatten()
-    there = pc.greater(pc.binary_length(flat), 0)
-    kept = np.concatenate([[0], np.cumsum(there.to_numpy(zero_copy_only=False))]).astype(np.int64)
+    wide = pa.types.is_large_string(flat.type)
+    offsets = np.frombuffer(flat.buffers()[1], np.int64 if wide else np.int32, len(flat) + 1, flat.offset * (8 if wide else 4)) if len(flat) else np.zeros(1, np.int32)
+    sizes = np.diff(offsets)
+    kept = np.concatenate([[0], np.cumsum(sizes > 0)])
     ends = np.cumsum(counts)
-    coded = flat.filter(there).dictionary_encode()
-    words = coded.dictionary.cast(pa.binary())
-    distinct = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words.to_numpy(zero_copy_only=False)), np.uint64, len(words))
-    index = coded.indices.to_numpy(zero_copy_only=False)
-    found = (distinct[index] if len(index) else np.zeros(0, np.uint64)), kept[ends] - kept[ends - counts]
-    return (*found, pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)[index]) if lengths else found
+    n_words = kept[ends] - kept[ends - counts]
+    data = np.frombuffer(flat.buffers()[2], np.uint8, int(offsets[-1] - offsets[0]), int(offsets[0])) if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+    starts, sizes = (offsets[:-1] - offsets[0])[sizes > 0], sizes[sizes > 0]
+    if not len(sizes):
+        return (np.zeros(0, np.uint64), n_words, np.zeros(0, np.int64)) if lengths else (np.zeros(0, np.uint64), n_words)
+    place = np.arange(len(data), dtype=offsets.dtype) - np.repeat(starts, sizes)
+    cell = (np.minimum(place, WORD_BYTES - 1).astype(np.uint16) << np.uint16(8)) | data
+    with np.errstate(over="ignore"):
+        hashed = mix64(np.add.reduceat(byte_table(seed)[cell], starts) + sizes.astype(np.uint64))
+    for k in np.flatnonzero(sizes > WORD_BYTES).tolist():
+        hashed[k] = xxhash.xxh3_64_intdigest(data[starts[k] : starts[k] + sizes[k]].tobytes(), seed)
+    return (hashed, n_words, sizes.astype(np.int64)) if lengths else (hashed, n_words)
 
 
 def text_rounds(column: pa.Array, size: int = 8_000_000) -> Iterable[tuple[int, pa.Array]]:

@@ -11,9 +11,10 @@ text's earliest occurrence. No line goes as a near copy before its words have be
      k edits touch 2k pairs at most, so two lines within the bound share a posted one. The order puts pairs of long
      words first, which are rare; any order gives the same result. All variants of a line within k edits would be
      n over k many, so the neighbourhood is that of single words in step 3 and pairs of words find the other lines.
-2. Rows sorted by key are held against each other as they come: lines that share a half are asked for; of the earlier
-   lines with the same pair of words each takes the one with the nearest parities of words (BITS bits, of which an edit
-   turns two at most). A pair posted by more than BLOCK lines is dealt into slices, each two of which are a block.
+2. Rows sorted by key are held against each other as they come: lines that share a half are asked for, and so are those
+   with the same pair of words whose parities of words (64 bits, of which an edit turns two at most) are near. These come
+   together again with 512 such bits of the longer ones; of the earlier lines that still fit each takes the nearest. A
+   key posted by more than BLOCK lines is dealt into slices, each two of which are a block.
 3. Lines that share a half emit all their variants: a hash of the line without word i, for each i in the half that may
    differ, with i (equal to another's: one word replaced at i) and without (equal to a whole line's hash: one word put
    in or left out). Equal variants join and give pairs of a line and an earlier one, as step 2 does.
@@ -41,7 +42,8 @@ NEAR_WORDS = 8
 SHARE = 0.1
 MOST_SHARE = 0.25
 BLOCK = 2048
-BITS = 64
+#: Lines that may differ in so many words have LONG_BITS further parities, since 64 are too few to tell them apart.
+LONG_LIMIT, LONG_BITS = 8, 512
 #: Keys with so many rows that they are dealt into slices are broadcast up to this number, 16 bytes each.
 HOT_KEYS = 1_000_000
 SEEDS = (0x1E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -166,10 +168,24 @@ def half_keys(lines: Lines, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
-def word_bits(lines: Lines) -> np.ndarray:
-    """Of each line BITS bits, each the parity of how many of its words fall on it."""
-    one = np.uint64(1) << (mix64(lines.words) & np.uint64(BITS - 1))
-    return np.bitwise_xor.reduceat(one, lines.begin) if len(lines.n) else one
+def word_bits(lines: Lines, limit: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Of each line 64 bits, and of those with LONG_LIMIT or more LONG_BITS, each the parity of how many of its words fall on it."""
+    where = mix64(lines.words)
+    one = np.uint64(1) << (where & np.uint64(63))
+    if not len(lines.n):
+        return one, pa.nulls(0, pa.binary())
+    many = limit >= LONG_LIMIT
+    row, there = np.repeat(np.cumsum(many) - 1, lines.n), np.repeat(many, lines.n)
+    cell = row[there] * (LONG_BITS // 64) + (where[there] >> np.uint64(6)).astype(np.int64) % (LONG_BITS // 64)
+    order = np.argsort(cell, kind="stable")
+    cell, ones = cell[order], one[there][order]
+    long = np.zeros(int(many.sum()) * (LONG_BITS // 64), np.uint64)
+    if len(cell):
+        heads = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+        long[cell[heads]] = np.bitwise_xor.reduceat(ones, heads)
+    ends = np.concatenate([[0], np.cumsum(many)]) * (LONG_BITS // 8)
+    packed = pa.BinaryArray.from_buffers(pa.binary(), len(many), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(long)])
+    return np.bitwise_xor.reduceat(one, lines.begin), packed
 
 
 def split_lines(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -180,7 +196,7 @@ def split_lines(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return lists.flatten(), row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-LINES = "doc_id long, line_no int, t long, h1 long, h2 long, n int, bits long, keys array<long>"
+LINES = "doc_id long, line_no int, t long, h1 long, h2 long, n int, bits long, long_bits binary, keys array<long>"
 
 
 def _line_rows(batches, near_words, share):
@@ -198,10 +214,11 @@ def _line_rows(batches, near_words, share):
             key = key[np.argsort(line, kind="stable")]
             ends = np.concatenate([[0], np.cumsum(np.bincount(line, minlength=len(lines.n)))])
             keys = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(signed(key)))
+            bits, long_bits = word_bits(lines, limit)
             columns = [batch.column("doc_id").take(rows), pa.array(number[lines.some].astype(np.int32)), batch.column("t").take(rows)]
             columns += [pa.array(signed(lines.whole(k))) for k in (0, 1)]
-            columns += [pa.array(lines.n.astype(np.int32)), pa.array(signed(word_bits(lines))), keys]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "t", "h1", "h2", "n", "bits", "keys"])
+            columns += [pa.array(lines.n.astype(np.int32)), pa.array(signed(bits)), long_bits, keys]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "t", "h1", "h2", "n", "bits", "long_bits", "keys"])
 
 
 def _asked_lines(batches):
@@ -288,14 +305,18 @@ def _checked_rows(batches, near_words, share):
         kept = []
         for k, (x, y) in enumerate(zip(batch.column("line").to_pylist(), batch.column("w_line").to_pylist(), strict=True)):
             x, y = line_words(x), line_words(y)
-            if within(x, y, int(bounds(min(len(x), len(y)), near_words, share))):
+            limit = int(bounds(min(len(x), len(y)), near_words, share))
+            a, b = set(x), set(y)
+            # An edit changes one word of each line's set at most.
+            if len(a - b) <= limit and len(b - a) <= limit and within(x, y, limit):
                 kept.append(k)
         yield batch.select(PLACE).take(pa.array(kept, pa.int64()))
 
 
 #: A posted key's row: place and size share one number, line_no above the lowest 31 bits and n in them.
 POSTED = ["key", "doc_id", "t", "at", "bits"]
-FOUND = "key long, doc_id long, line_no int, t long, sides int, w_doc_id long, w_line_no int, w_t long, more boolean"
+FOUND = "key long, doc_id long, t long, at long, bits long, sides int"
+PAIRED = "key long, doc_id long, line_no int, t long, at long, bits long, w_doc_id long, w_line_no int, w_t long, more boolean, long_bits binary"
 
 
 def whole_runs(batches, name: str):
@@ -324,6 +345,12 @@ def near_bits(table: pa.Table, near_words: int, share: float):
     n = table.column("at").to_numpy() & 0x7FFFFFFF
     limit = bounds(n, near_words, share)
     pairs = (key & 3) == 0
+    long = None
+    if "long_bits" in table.column_names:
+        long = np.zeros((len(key), LONG_BITS // 64), np.uint64)
+        wide = limit >= LONG_LIMIT
+        if wide.any():
+            long[wide] = np.frombuffer(b"".join(table.column("long_bits").filter(pa.array(wide)).to_pylist()), np.uint64).reshape(-1, LONG_BITS // 64)
     heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
     place = np.arange(len(key)) - np.repeat(heads, np.diff(np.append(heads, len(key))))
     rows, apart = np.flatnonzero(pairs & (place > 0)), 1
@@ -332,32 +359,48 @@ def near_bits(table: pa.Table, near_words: int, share: float):
         least = np.minimum(limit[rows], limit[other])
         far = np.bitwise_count(bits[rows] ^ bits[other]).astype(np.int64)
         fits = (far <= 2 * least) & (np.abs(n[rows] - n[other]) <= least)
-        yield rows[fits], other[fits], far[fits]
+        later, earlier, far, least = rows[fits], other[fits], far[fits], least[fits]
+        if long is not None and len(later):
+            both = np.flatnonzero(wide[later] & wide[earlier])
+            far[both] = np.bitwise_count(long[later[both]] ^ long[earlier[both]]).sum(axis=1, dtype=np.int64)
+            fits = far <= 2 * least
+            later, earlier, far = later[fits], earlier[fits], far[fits]
+        yield later, earlier, far
         apart += 1
         rows = rows[place[rows] >= apart]
 
 
 def _found_rows(batches, near_words, share):
-    """Lines that share a half with others, and pairs of a line and the earlier one with the nearest bits in its block."""
+    """Lines that share a half with others, and those with an earlier or a later one near in its block by 64 bits."""
     for table in whole_runs(batches, "key"):
         key = table.column("key").to_numpy()
-        size = len(key)
-        best, witness, times = np.full(size, 1 << 20), np.full(size, -1), np.zeros(size, np.int64)
+        same = np.zeros(len(key) + 1, bool)
+        same[1:-1] = key[1:] == key[:-1]
+        wanted = (key & 3 > 0) & (same[:-1] | same[1:])
+        for rows, other, _ in near_bits(table, near_words, share):
+            wanted[rows] = wanted[other] = True
+        kept = table.filter(pa.array(wanted))
+        yield from kept.append_column("sides", pa.array((key[wanted] & 3).astype(np.int32))).to_batches()
+
+
+def _paired_rows(batches, near_words, share):
+    """Of each block the rows with a line near by all bits, each with the nearest earlier one, if there is any."""
+    for table in whole_runs(batches, "key"):
+        size = table.num_rows
+        best, witness, times, wanted = np.full(size, 1 << 40), np.full(size, -1), np.zeros(size, np.int64), np.zeros(size, bool)
         for rows, other, far in near_bits(table, near_words, share):
             times[rows] += 1
+            wanted[rows] = wanted[other] = True
             closer = far <= best[rows]  # of equals the earliest
             best[rows[closer]], witness[rows[closer]] = far[closer], other[closer]
-        same = np.zeros(size + 1, bool)
-        same[1:-1] = key[1:] == key[:-1]
-        halves = np.flatnonzero((key & 3 > 0) & (same[:-1] | same[1:]))
-        some = np.flatnonzero(witness >= 0)
-        doc, t, at = (table.column(c).to_numpy() for c in ("doc_id", "t", "at"))
-        line = (at >> 31).astype(np.int32)
-        for rows, other, sides, more in ((halves, None, (key[halves] & 3).astype(np.int32), np.zeros(len(halves), bool)), (some, witness[some], np.zeros(len(some), np.int32), times[some] > 1)):
-            if len(rows):
-                mine = [pa.array(key[rows]), pa.array(doc[rows]), pa.array(line[rows]), pa.array(t[rows]), pa.array(sides)]
-                theirs = [pa.nulls(len(rows), k) for k in (pa.int64(), pa.int32(), pa.int64())] if other is None else [pa.array(doc[other]), pa.array(line[other]), pa.array(t[other])]
-                yield pa.RecordBatch.from_arrays([*mine, *theirs, pa.array(more)], [c.split()[0] for c in FOUND.split(", ")])
+        some = np.flatnonzero(wanted)
+        if len(some):
+            doc, t, at = (table.column(c).to_numpy() for c in ("doc_id", "t", "at"))
+            line, of, none = (at >> 31).astype(np.int32), witness[some], witness[some] < 0
+            theirs = [pa.array(x[of], mask=none) for x in (doc, line, t)]
+            mine = table.take(pa.array(some)).combine_chunks()
+            columns = {c: mine.column(c) for c in mine.column_names} | {"line_no": pa.array(line[some]), **dict(zip(WITNESS, theirs, strict=True)), "more": pa.array(times[some] > 1)}
+            yield from pa.table({c.split()[0]: columns[c.split()[0]] for c in PAIRED.split(", ")}).to_batches()
 
 
 def _left_rows(batches, near_words, share):
@@ -401,6 +444,7 @@ def posted_rows(distinct: DataFrame) -> DataFrame:
     posted = distinct.select(F.explode("keys").alias("key"), "first.doc_id", "first.t", (F.shiftleft(F.col("first.line_no").cast("long"), 31) + F.col("n")).alias("at"), "bits")
     hot = posted.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("slices")).filter("slices > 1")
     hot = materialise(hot, "hot-keys")
+    release(hot.sparkSession)
     sliced = posted.join(F.broadcast(hot) if hot.count() <= HOT_KEYS else hot, "key", "left")
     slice_ = F.pmod(F.xxhash64("doc_id", "at", "t"), F.col("slices")).cast("int")
     # Pairs of words: all other slices, since each two lines must meet. Halves: the next one, so that no line is alone.
@@ -413,11 +457,15 @@ def posted_rows(distinct: DataFrame) -> DataFrame:
 def near_lines(documents: DataFrame, distinct: DataFrame, near_words: int, share: float) -> DataFrame:
     """(doc_id, line_no, t) of the distinct lines that are within the bound of an earlier one."""
     spark = documents.sparkSession
-    rows = posted_rows(distinct)
-    found = materialise(rows.mapInArrow(lambda batches: _found_rows(batches, near_words, share), FOUND), "found-lines")
+    order = ["key", "doc_id", "at", "t"]
+    found = materialise(posted_rows(distinct).mapInArrow(lambda batches: _found_rows(batches, near_words, share), FOUND), "found-lines")
     release(spark)
-    nearest = found.filter("sides = 0").select(*PLACE, *WITNESS).distinct()
-    lines = found.select(*PLACE, "sides").union(nearest.select(*(F.col(c) for c in WITNESS), F.lit(0)))
+    line_no = F.expr("cast(shiftright(at, 31) as int)")
+    wide = distinct.filter("long_bits is not null").select(*(F.col(f"first.{c}").alias(c) for c in PLACE), "long_bits")
+    rows = found.filter("sides = 0").withColumn("line_no", line_no).join(wide, PLACE, "left").select(*order, "bits", "long_bits")
+    paired = materialise(rows.repartition("key").sortWithinPartitions(*order).mapInArrow(lambda batches: _paired_rows(batches, near_words, share), PAIRED), "paired-lines")
+    nearest = paired.filter("w_t is not null").select(*PLACE, *WITNESS).distinct()
+    lines = found.filter("sides > 0").select("doc_id", line_no.alias("line_no"), "t", "sides").union(nearest.select(*PLACE, F.lit(0))).union(nearest.select(*WITNESS, F.lit(0)))
     texts = fetched(documents, lines)
     release(spark)
     variants = materialise(texts.filter("sides > 0").mapInArrow(lambda batches: _variant_rows(batches, near_words), VARIANTS), "variants")
@@ -426,13 +474,10 @@ def near_lines(documents: DataFrame, distinct: DataFrame, near_words: int, share
     pairs = variant_pairs(variants).union(nearest).join(held, PLACE).join(other, WITNESS).select(*PLACE, "line", "w_line")
     gone = materialise(pairs.mapInArrow(lambda batches: _checked_rows(batches, near_words, share), PLACES).distinct(), "near-lines")
     release(spark)
-    left = materialise(found.filter("more").select("key", *PLACE).join(gone, PLACE, "left_anti").withColumn("open", F.lit(True)), "open-lines")
+    left = materialise(paired.filter("more").select("key", *PLACE).join(gone, PLACE, "left_anti").withColumn("open", F.lit(True)), "open-lines")
     if not left.take(1):
         return gone
-    line_no = F.expr("cast(shiftright(at, 31) as int)")
-    again = posted_rows(distinct).join(left.select("key").distinct(), "key", "left_semi").withColumn("line_no", line_no).join(left, ["key", *PLACE], "left").withColumn("open", F.coalesce("open", F.lit(False)))
-    order = ["key", "doc_id", "at", "t"]
-    blocks = again.select("key", *PLACE, "at", "bits", "open")
+    blocks = paired.drop(*WITNESS, "more").join(left.select("key").distinct(), "key", "left_semi").join(left, ["key", *PLACE], "left").withColumn("open", F.coalesce("open", F.lit(False)))
     blocks = materialise(blocks.repartition("key").sortWithinPartitions(*order).mapInArrow(lambda batches: _left_rows(batches, near_words, share), blocks.schema), "open-blocks")
     release(spark)
     held = fetched(documents, blocks.select(*PLACE, F.lit(0).alias("sides"))).select(*PLACE, "line")
@@ -456,7 +501,7 @@ def kept_lines(documents: DataFrame, near_words: int = NEAR_WORDS, share: float
         raise ValueError(f"near_words must be 2 or more and share from 0 to {MOST_SHARE}")
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("t")).filter(F.col("doc_id").isNotNull())
     lines = documents.select("doc_id", "t", "text").mapInArrow(lambda batches: _line_rows(batches, near_words, share), LINES)
-    distinct = lines.groupBy("h1", "h2").agg(F.min(F.struct(*PLACE)).alias("first"), *(F.first(c).alias(c) for c in ("n", "bits", "keys")))
+    distinct = lines.groupBy("h1", "h2").agg(F.min(F.struct(*PLACE)).alias("first"), *(F.first(c).alias(c) for c in ("n", "bits", "long_bits", "keys")))
     distinct = materialise(distinct, "distinct-lines")
     release(documents.sparkSession)
     gone = near_lines(documents, distinct, near_words, share).withColumn("near", F.lit(True))
