@@ -1,9 +1,10 @@
 """Operator 1, media columns: Netpbm and BMP as numpy arrays, area-resized by integral images, NPY tiles, difference hashes.
 
 `decode_images` takes any DataFrame with an id and a binary column and adds what it finds in the image;
-`store_texts` is the digest query over documents, which keeps each text as the samples of an image.
+`store_texts` is the digest query over documents, which keeps each text as the samples of an image, in a table of the
+shared folder that is read again for the features; `write_tiles` keeps the tiles as a table of NPY files.
 
-Defined results: a null or undecodable image has null results; a null text is the empty one; equal bytes have
+Defined results: a null or undecodable image, one without pixels and one with samples above its maximum have null results; a null text is the empty one; equal bytes have
 equal results; no rows have no rows; other columns are not looked at.
 """
 
@@ -19,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import utf8
+from .common import materialise, utf8
 
 UNIT = 576
 BAND_SAMPLES = 1 << 20
@@ -41,9 +42,11 @@ def decode_netpbm(data: bytes) -> np.ndarray:
         at = m.end()
     width, height = fields[:2]
     top = fields[2] if len(fields) > 2 else 1
+    if not (width and height and 0 < top < 1 << 16):
+        raise ValueError("netpbm sizes")
     if plain:
         body = re.sub(rb"#[^\n\r]*", b"", data[at:])
-        flat = np.array([int(x) for x in (re.findall(rb"[01]", body) if kind == "bit" else body.split())][: width * height * channels], np.uint16)
+        flat = np.array([int(x) for x in (re.findall(rb"[01]", body) if kind == "bit" else body.split())[: width * height * channels]], np.int64)
     elif kind == "bit":
         rows = np.frombuffer(data, np.uint8, (width + 7) // 8 * height, at + 1).reshape(height, -1)
         flat = np.unpackbits(rows, axis=1)[:, :width].reshape(-1).astype(np.uint16)
@@ -51,6 +54,8 @@ def decode_netpbm(data: bytes) -> np.ndarray:
         flat = np.frombuffer(data, ">u2" if top > 255 else np.uint8, width * height * channels, at + 1)
     if flat.size != width * height * channels:
         raise ValueError("netpbm samples")
+    if flat.max() > top:
+        raise ValueError("a sample is above the maximum")
     if kind == "bit":
         flat = (1 - flat) * 255
     return flat.astype(np.uint16 if top > 255 else np.uint8).reshape(height, width, channels)
@@ -60,7 +65,7 @@ def decode_bmp(data: bytes) -> np.ndarray:
     """Uncompressed 8-bit palette and 24- or 32-bit BMP, bottom-up or top-down, as (height, width, 1 or 3) uint8."""
     head = struct.unpack_from(BMP_HEADER, data)
     offset, size, width, rows, bits, packed, used = head[4], head[5], head[6], head[7], head[9], head[10], head[14]
-    if head[0] != b"BM" or packed or bits not in (8, 24, 32):
+    if head[0] != b"BM" or packed or bits not in (8, 24, 32) or width < 1 or not rows:
         raise ValueError("bmp kind")
     height, stride = abs(rows), (width * bits // 8 + 3) // 4 * 4
     lines = np.frombuffer(data, np.uint8, stride * height, offset).reshape(height, stride)[:, : width * bits // 8]
@@ -159,7 +164,7 @@ def decode_images(images: DataFrame, id_column: str, data_column: str, side: int
                     image = decode(data)
                     gray = luma(image)
                     rows.append((*image.shape, f"{difference_hash(gray):016x}", npy_tile(gray, side)))
-                except (ValueError, TypeError, KeyError, struct.error, IndexError):
+                except (ValueError, TypeError, KeyError, struct.error, IndexError, OverflowError):
                     rows.append((None,) * 5)
             cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.binary()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], [id_column, "height", "width", "channels", "dhash", "tile"])
@@ -208,4 +213,9 @@ def store_texts(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *(pa.array(v, t) for v, t in zip(out, kinds, strict=True))], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tile"])
 
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile binary"
-    return encode_texts(documents).mapInArrow(run, schema)
+    return materialise(encode_texts(documents), "media").mapInArrow(run, schema)
+
+
+def write_tiles(rows: DataFrame, path: str, id_column: str = "doc_id", hash_column: str = "feature") -> None:
+    """The tiles that rows of `store_texts` or `decode_images` have, with their ids and hashes, as a table at `path`."""
+    rows.filter("tile is not null").select(id_column, hash_column, "tile").write.option("compression", "zstd").parquet(path)

@@ -75,6 +75,18 @@ def test_texts(spark, odd):
     assert media.store_texts(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("data", [b"P2 1 1 255 70000", b"P2 1 1 255 300", b"P3 1 1 255 1 2 300", b"P2 99999999999999999999 99999999999999999999 255 1", b"P5 0 0 255 ", b"P5 0 5 255 ", b"P5 1 1 0 A", b"P5 1 1 70000 AB", b"P5 4000000000 4000000000 255 A", b"P2 1 1 255 x", b"BM", b"P7 1 1", b"", b"BM" + bytes(60)])
+def test_broken_images_have_nulls(spark, data):
+    row = media.decode_images(spark.createDataFrame([(1, bytearray(data))], "n int, data binary"), "n", "data").first()
+    assert (row.height, row.width, row.channels, row.dhash, row.tile) == (None,) * 5
+
+
+def test_tiles_are_written(spark, odd, tmp_path):
+    media.write_tiles(media.store_texts(odd), str(tmp_path / "tiles"))
+    rows = spark.read.parquet(str(tmp_path / "tiles")).collect()
+    assert len(rows) == odd.count() and all(np.load(io.BytesIO(r.tile)).shape == (32, 32) for r in rows)
+
+
 def test_other_columns_and_broken_images(spark):
     rows = media.decode_images(spark.createDataFrame([(1, bytearray(b"P5 1 1 255 A"), 5), (2, bytearray(b"no image"), 6), (3, None, 7)], "n int, data binary, height int"), "n", "data").collect()
     assert [(r.n, r.height) for r in rows] == [(1, 1), (2, None), (3, None)]
