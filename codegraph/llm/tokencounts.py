@@ -14,6 +14,7 @@ columns are not read. Of equally scored segmentations the one with fewer tokens
 from __future__ import annotations
 
 import math
+from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ VOCABULARY = "piece_bpe_32k.model"
 SPACE = "▁"
 BYTE_SCORE = -16.0
 NODE_LIMIT = 600_000
+LONG_WORD = 4096
 
 
 def load_scores(path: str | None = None) -> dict[str, float]:
@@ -55,6 +57,8 @@ class Trie:
         """Number of tokens of a word."""
         if word in self.terminal:
             return self.terminal[word]
+        if len(word) > LONG_WORD:
+            return self.streamed(word)
         if len(self.score) > NODE_LIMIT:
             self.clear()
         path, node = [0], 0
@@ -80,6 +84,22 @@ class Trie:
         return tokens[node]
 
 
+    def streamed(self, word: str) -> int:
+        """The same for a word too long for nodes of its own: only scores within the longest piece's reach are held."""
+        reach, get = deque([(0.0, 0)], self.longest), self.scores.get
+        for end, char in enumerate(word, 1):
+            size = len(char.encode("utf-8", "surrogatepass"))
+            score, tokens = reach[-1]
+            best = (score + BYTE_SCORE * size, tokens - size)
+            for back in range(1, min(self.longest, end) + 1):
+                piece = get(word[end - back : end])
+                if piece is not None:
+                    score, tokens = reach[-back]
+                    best = max(best, (score + piece, tokens - 1))
+            reach.append(best)
+        return -reach[-1][1]
+
+
 def count_tokens(documents: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_pretokens, n_tokens, n_chars, n_bytes) of every whole text; pre-tokens are the parts between white space, each after a word-start mark."""
 

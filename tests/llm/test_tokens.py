@@ -47,6 +47,12 @@ def test_store_round_trip(spark, odd, plain):
     assert spark.read.parquet(f"{path}/manifest/level=store").count() == 1
 
 
+def test_rows_of_one_id_have_a_fixed_order(spark):
+    rows = [(1, "b b b"), (1, "a"), (1, None), (0, "z")]
+    found = [{(r.start, r.n_tokens, r.ids_crc32) for r in chunkstore.store_documents(spark.createDataFrame(x, "doc_id long, text string").repartition(n)).collect()} for x, n in ((rows, 1), (rows[::-1], 3))]
+    assert found[0] == found[1] and len(found[0]) == 4
+
+
 def test_a_damaged_chunk_fails_the_read(spark, odd):
     path = common.store_path(spark, "test-damage")
     chunkstore.write_store(odd, path)
@@ -128,12 +134,23 @@ def best_split(word, scores):
     return -best[-1][1]
 
 
+def test_long_words_are_counted_without_nodes(monkeypatch):
+    trie = tokencounts.Trie(tokencounts.load_scores())
+    rng = random.Random(1)
+    for _ in range(200):
+        word = "▁" + "".join(rng.choice(["the", "ing", "a", "é", "日", "q"]) for _ in range(rng.randint(0, 30)))
+        assert trie.streamed(word) == trie.insert(word)
+    nodes = len(trie.score)
+    monkeypatch.setattr(tokencounts, "LONG_WORD", 20)
+    assert trie.insert("▁" + "ab" * 50_000) > 0 and len(trie.score) == nodes
+
+
 def test_trie_counts(spark, odd):
     scores = tokencounts.load_scores()
     trie = tokencounts.Trie(scores)
     words = ["▁hello", "▁hell", "▁help", "▁日本語", "▁x", "▁" + "ab" * 30, "▁hello"]
     assert [trie.insert(w) for w in words] == [best_split(w, scores) for w in words]
     assert len(trie.score) - 1 == len({w[:k] for w in words for k in range(1, len(w) + 1)})
-    for r in tokencounts.count_tokens(odd.filter("doc_id <> 5")).join(odd.filter("doc_id <> 5").select("doc_id", "text").distinct(), "doc_id").collect():
+    for r in tokencounts.count_tokens(odd).join(odd.select("doc_id", "text").distinct(), "doc_id").collect():
         assert r.n_tokens == sum(best_split("▁" + w, scores) for w in (r.text or "").split())
     assert tokencounts.token_budget(odd).count() > 0
