@@ -16,6 +16,7 @@ are scored each; other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import math
 import unicodedata
 from collections import Counter
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from .common import fold_hash, forget
 
 SAMPLE = 8000
+SAMPLE_BYTES = 64 << 20
 THRESHOLD = 0.3
 LEAST_DOCUMENTS, LEAST_SHARE, LEAST_ODDS = 5, 0.015, 3.0
 STEM_LENGTHS = range(4, 9)
@@ -203,15 +205,21 @@ def learn(rows: list[tuple[str | None, int]]) -> Model:
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple[str | None, int]]:
-    """At most `sample` labelled rows outside the held-out fold, ordered by a hash of doc_id; ids are picked before any text is read."""
+    """At most `sample` labelled rows outside the held-out fold, in the order of a hash of doc_id, and SAMPLE_BYTES of text:
+    ids are picked, and texts measured, before any text goes to the driver."""
     picked = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~fold_hash(F.col("doc_id"), 4, 2))
     picked = picked.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     ids = [(r.doc_id, r.toxic) for r in picked.collect()]
     if not ids:
         return []
     spark = documents.sparkSession
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    asked = F.broadcast(spark.createDataFrame(ids, "doc_id long, toxic int"))
+    size = {r.doc_id: r.n or 0 for r in texts.select("doc_id", F.octet_length("text").alias("n")).join(asked, "doc_id").groupBy("doc_id").agg(F.max("n").alias("n")).collect()}
+    fits = itertools.accumulate(size.get(i, 0) for i, _ in ids)
+    ids = [row for row, total in zip(ids, fits, strict=True) if total <= SAMPLE_BYTES]
     bounded = F.broadcast(spark.createDataFrame(ids, "doc_id long, toxic int"))
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(bounded, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic")).collect()
+    rows = texts.join(bounded, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic")).collect()
     return [(r.text, r.toxic) for r in sorted(rows, key=lambda r: r.doc_id)]
 
 
