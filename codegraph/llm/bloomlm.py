@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from .common import fold_hash, hashed_words, materialise, mix64, release
 
 BLOCK_BYTES = 8 << 20
+#: Blocks to a shard of the keys: a row for each block and shard, so rows grow slower, and no more of them than keys.
+BLOCKS_A_SHARD = 4
 FILTER_BYTES = 192 << 20
 BITS, HASHES = 10, 6
 BASE = 1.5
@@ -265,10 +267,11 @@ def score_documents(documents: DataFrame, filter_bytes: int = FILTER_BYTES, bloc
     if not total:
         return spark.createDataFrame([], result)
     blocks = max(1, -(-total // block_bytes))
+    parts = -(-blocks // BLOCKS_A_SHARD)
     dealt = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", fold_hash(F.col("doc_id"), 7, 2).alias("held_out"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"))
 
     def build(partitioned: bool) -> DataFrame:
-        packed = dealt.groupBy("block").applyInArrow(_count_block(blocks, partitioned), PACKED)
+        packed = dealt.groupBy("block").applyInArrow(_count_block(parts, partitioned), PACKED)
         return materialise(packed.groupBy("shard").applyInArrow(_build_shard(partitioned), SHARDS), "lm-shards")
 
     shards = build(False)
@@ -285,10 +288,10 @@ def score_documents(documents: DataFrame, filter_bytes: int = FILTER_BYTES, bloc
     model = {"n": sums.n or 0, "v": sums.v or 0, "b": float(heaps[1] / heaps[0]) if heaps[0] else 1.0, "k": max(0.05, (sums.once or 0) / again)}
     shared = None
     if not partitioned:
-        parts = dict.fromkeys(range(blocks), b"\0")
+        bits = dict.fromkeys(range(parts), b"\0")
         for batch in shards.filter("kind = 'f'").select("shard", "data").toArrow().to_batches():
-            parts.update(zip(batch.column("shard").to_pylist(), batch.column("data").to_pylist(), strict=True))
-        shared = spark.sparkContext.broadcast(Filter([parts[s] for s in range(blocks)]))
-        del parts
+            bits.update(zip(batch.column("shard").to_pylist(), batch.column("data").to_pylist(), strict=True))
+        shared = spark.sparkContext.broadcast(Filter([bits[s] for s in range(parts)]))
+        del bits
     answers = shards.filter("block is not null and kind <> 's'").select("block", "kind", "shard", "data")
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score_block(blocks, shared, model), result)
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score_block(parts, shared, model), result)

@@ -39,6 +39,40 @@ def test_lm_base_scores_and_both_ways(spark):
     assert sum(s for s, _ in gain) > sum(b for _, b in gain)
 
 
+def test_lm_scores_are_those_of_the_formula(spark, monkeypatch):
+    monkeypatch.setattr(bloomlm, "BITS", 60)  # so that no probe is a false positive
+    monkeypatch.setattr(bloomlm, "HASHES", 24)
+    table, rows = corpus(spark, 120)
+    held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in rows}
+    single, both = Counter(), Counter()
+    for d, t in rows:
+        tokens = [*words_of(t), None]
+        if not held[d]:
+            single.update(tokens)
+            both.update(zip([None, *tokens[:-1]], tokens, strict=True))
+    total, kinds = sum(single.values()), len(single)
+    starts, follow = Counter(), Counter()
+    for (v, _), n in both.items():
+        starts[v] += n
+        follow[v] += 1
+    x, y = np.array([(math.log(n), math.log(follow[v])) for v, n in starts.items()]).T
+    once = sum(n == 1 for n in both.values())
+    slope, odds = float(x @ y / (x @ x)), max(0.05, once / max(1, sum(both.values()) - once))
+    value = lambda n: float(bloomlm.VALUES[bloomlm.level(np.array([n]))[0]]) if n else 0.0
+
+    def score(tokens):
+        out = 0.0
+        for v, w in zip([None, *tokens[:-1]], tokens, strict=True):
+            chance, context = (value(single[w]) + 1) / (total + kinds + 1), value(single[v])
+            mass = odds * context**slope
+            out += min(0.0, math.log10((min(value(both[v, w]), context) + mass * chance) / (context + mass) if context else chance))
+        return out
+
+    for way in (bloomlm.FILTER_BYTES, 0):
+        for r in bloomlm.score_documents(table, filter_bytes=way).collect():
+            assert math.isclose(r.score, score([*words_of(dict(rows)[r.doc_id]), None]), rel_tol=1e-9)
+
+
 def test_filter_never_understates():
     rng = np.random.default_rng(3)
     keys = rng.integers(0, 1 << 62, 4000).astype(np.uint64)
@@ -64,6 +98,35 @@ def test_lm_odd_documents(spark, odd):
     assert {(r.base_score, r.score, r.train_tokens) for r in bloomlm.score_documents(held).collect()} == {(0.0, 0.0, 0)}
 
 
+def test_matching_is_that_of_every_term_at_every_word():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("ab") for _ in range(rng.randint(1, 5)))
+    for _ in range(300):
+        terms = {f" {word()} " if rng.random() < 0.5 else f" {word()}": rng.random() + 0.1 for _ in range(6)}
+        fits = lambda term, w: w == term.strip() if term.endswith(" ") else w.startswith(term.strip())
+        exceptions = {}
+        for _ in range(3):
+            x, y = word(), word()
+            term = next((t for t in terms if fits(t, x) or fits(t, y)), None)
+            if term:
+                exceptions[f" {x} {y} "] = term
+        words = [word() for _ in range(rng.randint(0, 30))]
+        spared = set()
+        for k in range(len(words) - 1):
+            if term := exceptions.get(f" {words[k]} {words[k + 1]} "):
+                spared.add(k if fits(term, words[k]) else k + 1)
+        want = sum(max((w for t, w in terms.items() if fits(t, x)), default=0.0) for k, x in enumerate(words) if k not in spared)
+        found, n = toxicity.Matcher(toxicity.Model(terms, exceptions)).weigh(f" {' '.join(words)} " if words else " ")
+        assert math.isclose(found, want, abs_tol=1e-9) and n == len(words)
+
+
+def test_training_text_is_bounded(spark, monkeypatch):
+    rows = toxic_rows()
+    documents, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(d, y) for d, _, y in rows], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 5000)
+    assert 3000 < sum(len(t) for t, _ in toxicity.training_rows(documents, labels)) <= 5000
+
+
 def test_folding():
     assert toxicity.fold("1D10T!! ѕсum, tr@$h 12 345 ａBc Ünïcode") == " idiot scum trash 12 345 abc unicode "
     assert toxicity.fold(None) == toxicity.fold(" .,! ") == " "
