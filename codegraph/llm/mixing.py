@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import forget, materialise, widened
+from .common import clear_names, forget, materialise, widened
 
 BLOCK = 16
 SHARES = 2048
@@ -179,12 +179,12 @@ def parts_of(documents: DataFrame) -> int:
     return max(found.n // ROWS_A_PART, (found.size or 0) // BYTES_A_PART) + 1
 
 
-def number_within(documents: DataFrame, keys: list[str], partitions: int) -> tuple[DataFrame, dict]:
+def number_within(documents: DataFrame, doc_id: str, partitions: int) -> tuple[DataFrame, dict]:
     """Rows with `__at`, their place among those of their source by doc_id, and the number of rows of each source.
 
     Range partitions split a hot source; only a count for each source and partition is gathered.
     """
-    sorted_rows = documents.repartitionByRange(partitions, "__source", "doc_id").sortWithinPartitions("__source", "doc_id")
+    sorted_rows = documents.repartitionByRange(partitions, "__source", doc_id).sortWithinPartitions("__source", doc_id)
     names = [*documents.columns, "__part", "__local"]
     source_at = documents.columns.index("__source")
 
@@ -211,16 +211,19 @@ def number_within(documents: DataFrame, keys: list[str], partitions: int) -> tup
 def scheduled(documents: DataFrame, weights: dict | None = None, alpha: float = ALPHA, block: int = BLOCK) -> DataFrame:
     """All columns of documents with __block, __release, __deadline, __slot and __position.
 
-    `weights`: target weight of each source; those it doesn't name, or all without it, weigh their rows to the power
-    `alpha`, scaled so that both kinds have the share of their rows.
+    `weights`: target weight of each source, above 0; those it doesn't name, or all without it, weigh their rows to the
+    power `alpha`, scaled so that both kinds have the share of their rows. Names without rows have no part.
     """
     spark = documents.sparkSession
-    rows = documents.withColumn("__source", F.col("source").cast("string"))
-    numbered, counts = number_within(rows, ["__source"], parts_of(documents))
+    plain, known = clear_names(documents)
+    if any(not w > 0 for w in (weights or {}).values()):
+        raise ValueError("target weights must be above 0")
+    rows = plain.withColumn("__source", F.col(known["source"]).cast("string"))
+    numbered, counts = number_within(rows, known["doc_id"], parts_of(documents))
     total = counts["total"]
     target = {s: float(n) ** alpha for s, n in total.items()}
     if weights:
-        named = {s: w for s, w in weights.items() if s in total and w > 0}
+        named = {s: w for s, w in weights.items() if s in total}
         rest = {s: w for s, w in target.items() if s not in named}
         share = sum(total[s] for s in named) / max(1, sum(total.values()))
         target = {s: w / sum(named.values()) * share for s, w in named.items()} | {s: w / sum(rest.values()) * (1 - share) for s, w in rest.items()}
@@ -242,7 +245,7 @@ def scheduled(documents: DataFrame, weights: dict | None = None, alpha: float =
                 out[:, a:b] = (i // block, release, deadline, slot, slot * block + i % block)
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(o, pa.int64()) for o in out)], [*names, *extra])
 
-    return numbered.mapInArrow(run, widened(numbered.schema, T.LongType(), *extra))
+    return numbered.mapInArrow(run, widened(numbered.schema, T.LongType(), *extra)).select(*plain.columns, *extra).toDF(*documents.columns, *extra)
 
 
 def schedule(documents: DataFrame, weights: dict | None = None) -> DataFrame:
@@ -254,4 +257,7 @@ def schedule(documents: DataFrame, weights: dict | None = None) -> DataFrame:
 def mix(documents: DataFrame, weights: dict | None = None) -> DataFrame:
     """The documents, all columns, in the order of the mix: partitions are ranges of positions, rows in them sorted."""
     rows = scheduled(documents, weights)
-    return rows.repartitionByRange(parts_of(documents), "__position").sortWithinPartitions("__position").select(*documents.columns)
+    rows = rows.toDF(*(f"c{k}" for k in range(len(rows.columns))))
+    position = rows.columns[-1]
+    kept = rows.columns[: len(documents.columns)]
+    return rows.repartitionByRange(parts_of(documents), position).sortWithinPartitions(position).select(*kept).toDF(*documents.columns)
