@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, hashed_words, materialise, mix64, release, signed, small_batches, text_rounds
+from .common import clear_names, forget, hashed_words, materialise, mix64, release, signed, small_batches, text_rounds
 
 WORDS = 5
 SIMILARITY = (75, 100)
@@ -505,5 +505,7 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """The documents, all columns, that have the smallest id of their component, or no id."""
-    kept = jaccard_components(documents).filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept")).distinct()
-    return documents.join(kept, F.col("doc_id").cast("long") == F.col("__kept"), "left").filter(F.col("__kept").isNotNull() | F.col("doc_id").isNull()).drop("__kept")
+    plain, names = clear_names(documents)
+    doc_id = F.col(names["doc_id"])
+    kept = jaccard_components(plain.select(doc_id.alias("doc_id"), F.col(names["text"]).alias("text"))).filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept")).distinct()
+    return plain.join(kept, doc_id.cast("long") == F.col("kept"), "left").filter(F.col("kept").isNotNull() | doc_id.isNull()).select(*plain.columns).toDF(*documents.columns)
