@@ -6,7 +6,7 @@ intersection reaches T = ceil(J/(1+J) * (a+b)), so the search for one set is a T
 1. Equal sets are one class, named by a 64-bit hash of the set; only classes go on.
 2. Short lists: under an order of shingles that is random (their hashes), each class posts its first PREFIX shingles.
    Of the first 32 of a linked pair's union each is in both with chance J, so fewer than COMMON = 8 common ones have
-   a chance below 3e-9 at J = 0.75, less above. A class leaves out its 7 most frequent posted shingles, the long lists,
+   a chance below 3e-9 at J = 0.75, less above; up to 96 shingles it is none, and `exact` posts as many as make it none. A class leaves out its 7 most frequent posted shingles, the long lists,
    and with fewer than 8 that another class posts too it has no partner. Each class is held against one class of each
    of its lists, that with the most shared shingles, exactly, over both whole sets; the links make provisional components.
 3. Lists that still hold classes of several components are searched in blocks: DivideSkip over the posted shingles finds,
@@ -130,8 +130,15 @@ def divide_skip(lists: list[list[int]], least: int, mu: float = 0.02) -> list[tu
 SKETCHES = "doc_id long, n_shingles long, c1 long, sketch array<long>, short binary"
 
 
-def shingle_sketches(documents: DataFrame, words: int = WORDS, prefix: int = PREFIX) -> DataFrame:
-    """Size, class hash and posted shingles of every whole text, and the upper halves of these as bytes."""
+def posted_count(n: int, exact: bool, prefix: int = PREFIX) -> int:
+    """How many of a set's first shingles are posted: `prefix`, or as many as make linked sets have COMMON of them in
+    common whatever their order, since n less the least overlap can be missing."""
+    up, down = SIMILARITY
+    return n - -(-up * n // down) + COMMON if exact else prefix
+
+
+def shingle_sketches(documents: DataFrame, words: int = WORDS, prefix: int = PREFIX, exact: bool = False) -> DataFrame:
+    """Size, class hash and posted shingles of every whole text, and these as bytes."""
 
     def run(batches):
         for batch in batches:
@@ -139,8 +146,9 @@ def shingle_sketches(documents: DataFrame, words: int = WORDS, prefix: int = PRE
             for s in shingle_sets(batch.column("text"), words):
                 sizes.append(len(s))
                 ones.append(class_hash(s))
-                posted.append(signed(s[:prefix]))
-                shorts.append((s[:prefix] >> np.uint64(32)).astype("<u4").tobytes())
+                s = s[: posted_count(len(s), exact, prefix)]
+                posted.append(signed(s))
+                shorts.append(s.astype("<u8").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(ones, pa.int64()), pa.array(posted, pa.list_(pa.int64())), pa.array(shorts, pa.binary())], ["doc_id", "n_shingles", "c1", "sketch", "short"])
 
     return documents.select("doc_id", "text").mapInArrow(run, SKETCHES)
@@ -269,6 +277,7 @@ def _flag_blocks(batches):
     forget()
     for table, at in runs(batches, BLOCK_KEYS):
         cols = {c: table.column(c).to_pylist() for c in ("key", "band", "i", "j", "id", "n", "component", "mask", "side", "low", "short")}
+        cols["mask"] = [int(m[::-1], 2) for m in cols["mask"]]
         found: dict[int, set[int]] = {}
         pairs = 0
 
@@ -281,9 +290,9 @@ def _flag_blocks(batches):
             often, times = Counter(comps).most_common(1)[0]
             if times == b - a:
                 continue
-            sets = [np.frombuffer(x, "<u4") for x in cols["short"][a:b]]
+            sets = [np.frombuffer(x, "<u8") for x in cols["short"][a:b]]
             search = _dense_pairs if b - a > DENSE else _sparse_pairs
-            for k, others in search(sets, [cols[c][a:b] for c in ("n", "component", "mask", "low", "side")], cols["i"][a] != cols["j"][a], (cols["key"][a] % (1 << 64)) >> 32, None if times == 1 else often):
+            for k, others in search(sets, [cols[c][a:b] for c in ("n", "component", "mask", "low", "side")], cols["i"][a] != cols["j"][a], cols["key"][a] % (1 << 64), None if times == 1 else often):
                 found.setdefault(a + k, set()).update(cols["id"][a + m] for m in others)
                 for m in others:
                     found.setdefault(a + m, set())
@@ -336,13 +345,13 @@ def _lists(inverted, keys: np.ndarray) -> list[np.ndarray]:
 def _dense_pairs(sets, columns, across, first, often):
     """The same in a long block: short lists are merged by counting, long ones probed by binary search, all entries at once."""
     up, down = SIMILARITY
-    sizes, comps, masks, low, side = (np.array(c) for c in columns)
+    sizes, comps, _, low, side = (np.array(c) for c in columns)
     lengths = np.array([len(s) for s in sets])
     keys, rows = np.concatenate(sets), np.repeat(np.arange(len(sets)), lengths)
-    place = np.arange(len(keys)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     everything = _inverted(rows, keys)
     # Lists of kept shingles before the block's own: a pair that meets in one of them belongs to another block.
-    earlier = (masks[rows] >> place & 1).astype(bool) & (keys < first)
+    kept = np.concatenate([np.frombuffer(f"{m:0{n}b}"[::-1].encode(), np.uint8)[:n] == 49 for m, n in zip(columns[2], lengths.tolist(), strict=True)])
+    earlier = kept & (keys < np.uint64(first))
     before = _inverted(rows[earlier], keys[earlier])
     bounds = np.cumsum(lengths) - lengths
     for k in range(len(sets)):
@@ -442,7 +451,7 @@ def posted_lists(classes: DataFrame) -> DataFrame:
     least = F.least(F.lit(COMMON), F.ceil(F.col("n") * up / down)).cast("int")
     shared = posted.join(counts, "key").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("size", "key")), asc=False).alias("keys"))
     kept = shared.filter(F.size("keys") >= least).select("id", F.size("keys").alias("shared"), F.slice(F.col("keys.key"), least, F.size("keys")).alias("kept"))
-    mask = F.expr("aggregate(transform(sketch, (x, i) -> if(array_contains(kept, x), shiftleft(1L, i), 0L)), 0L, (a, x) -> a | x)")
+    mask = F.expr("array_join(transform(sketch, x -> if(array_contains(kept, x), '1', '0')), '')")
     return classes.join(kept, "id").select("id", "doc_id", "n", "sketch", "short", "shared", "kept", mask.alias("mask"))
 
 
@@ -487,10 +496,11 @@ def class_components(documents: DataFrame, classes: DataFrame) -> DataFrame:
     return components(classes, first.union(more))
 
 
-def jaccard_components(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+def jaccard_components(documents: DataFrame, exact: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row. `exact`: whole prefixes are posted, a quarter of each set, so that
+    no linked pair can be missed."""
     spark = documents.sparkSession
-    rows = materialise(shingle_sketches(documents), "sketches")
+    rows = materialise(shingle_sketches(documents, exact=exact), "sketches")
     classes = rows.filter("doc_id is not null and n_shingles > 0").groupBy("c1").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("short").alias("short")).withColumnRenamed("c1", "id")
     classes = materialise(classes, "classes")
     release(spark)

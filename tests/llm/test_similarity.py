@@ -53,11 +53,11 @@ def families(seed, n=60):
     return rows
 
 
-@pytest.mark.parametrize("block", [1024, 8])
-def test_components_are_those_of_all_pairs(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, exact", [(1024, False), (8, False), (8, True)])
+def test_components_are_those_of_all_pairs(spark, monkeypatch, block, exact):
     monkeypatch.setattr(jaccardjoin, "BLOCK", block)
     rows = families(block)
-    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccardjoin.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccardjoin.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), exact=exact).collect()}
     want = {i: v for (i, _), v in brute_components(rows).items()}
     assert found == want
 
@@ -70,6 +70,21 @@ def test_odd_documents(spark, odd):
     assert jaccardjoin.jaccard_components(odd.limit(0)).count() == 0
 
 
+def test_whole_prefixes_find_pairs_that_sketches_miss(spark, monkeypatch):
+    """Texts made so that what differs comes first in the order of hashes."""
+    rng = random.Random(3)
+    words = [f"w{rng.randint(0, 10**9)}" for _ in range(1200)]
+    hashed = lambda w: list(jaccardjoin.shingle_sets(pa.array([" ".join(w)])))[0]
+    a = [words[k : k + 5] for k in range(0, 1200, 5)]
+    low = sorted(range(240), key=lambda k: int(hashed(a[k])[0]))
+    parts = [[w for k in range(240) if k not in drop for w in (*a[k], "|", "|", "|", "|")] for drop in (set(low[:8]), set(low[8:16]))]
+    table = spark.createDataFrame([(1, " ".join(parts[0])), (2, " ".join(parts[1]))], "doc_id long, text string")
+    sets = [shingles(" ".join(p)) for p in parts]
+    assert 100 * len(sets[0] & sets[1]) >= 75 * len(sets[0] | sets[1])
+    monkeypatch.setattr(jaccardjoin, "PREFIX", 2)
+    assert {r.component_id for r in jaccardjoin.jaccard_components(table, exact=True).collect()} == {1}
+
+
 def test_divide_skip():
     rng = random.Random(4)
     for _ in range(200):
@@ -83,8 +98,8 @@ def test_long_and_short_blocks_agree():
     rng = random.Random(1)
     for _ in range(60):
         first, base = rng.getrandbits(32), [rng.getrandbits(32) for _ in range(50)]
-        sets = [np.array(sorted({x for x in base if rng.random() < 0.7} | {rng.getrandbits(32) for _ in range(rng.randint(0, 9))})[:31], "<u4") for _ in range(rng.randint(2, 60))]
-        sets = [np.unique(np.append(x, np.uint32(first))) for x in sets]
+        sets = [np.array(sorted({x for x in base if rng.random() < 0.7} | {rng.getrandbits(32) for _ in range(rng.randint(0, 9))})[:31], "<u8") for _ in range(rng.randint(2, 60))]
+        sets = [np.unique(np.append(x, np.uint64(first))) for x in sets]
         sizes = [len(x) + rng.randint(0, 8) for x in sets]
         comps = [rng.choice([1, 1, 2, 3, k + 10]) for k in range(len(sets))]
         masks = [rng.getrandbits(32) & ((1 << len(x)) - 1) | 1 << x.tolist().index(first) for x in sets]
