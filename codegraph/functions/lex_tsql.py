@@ -31,10 +31,6 @@ class Token:
     at: int
     end: int
 
-    @property
-    def word(self) -> str:
-        return self.text.upper() if self.kind == "word" else ""
-
 
 @dataclass
 class Batch:
@@ -95,9 +91,10 @@ class Recogniser:
 
     def __init__(self, batch: Batch):
         self.batch, self.t = batch, tokens_of(batch.text)
+        self.words = [t.text.upper() if t.kind == "word" else "" for t in self.t]
 
     def word(self, i: int) -> str:
-        return self.t[i].word if 0 <= i < len(self.t) else ""
+        return self.words[i] if 0 <= i < len(self.words) else ""
 
     def mark(self, i: int) -> str:
         return self.t[i].text if 0 <= i < len(self.t) and self.t[i].kind == "mark" else ""
