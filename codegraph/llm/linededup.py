@@ -28,6 +28,8 @@ a document may end up with no lines and an empty text; other columns are carried
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -306,9 +308,7 @@ def _checked_rows(batches, near_words, share):
         for k, (x, y) in enumerate(zip(batch.column("line").to_pylist(), batch.column("w_line").to_pylist(), strict=True)):
             x, y = line_words(x), line_words(y)
             limit = int(bounds(min(len(x), len(y)), near_words, share))
-            a, b = set(x), set(y)
-            # An edit changes one word of each line's set at most.
-            if len(a - b) <= limit and len(b - a) <= limit and within(x, y, limit):
+            if few_other_words(Counter(x), Counter(y), limit) and within(x, y, limit):
                 kept.append(k)
         yield batch.select(PLACE).take(pa.array(kept, pa.int64()))
 
@@ -418,18 +418,24 @@ def _near_rows(batches, near_words, share):
     """Open lines within the bound of an earlier one of their block, from rows sorted by block and place."""
     for table in whole_runs(batches, "key"):
         words = [line_words(x) for x in table.column("line").to_pylist()]
-        sets = [set(w) for w in words]
+        counts = [Counter(w) for w in words]
         limit = bounds(table.column("at").to_numpy() & 0x7FFFFFFF, near_words, share)
         still, gone = table.column("open").to_numpy(zero_copy_only=False), set()
         for rows, other, _ in near_bits(table, near_words, share):
             for k, m in zip(rows.tolist(), other.tolist(), strict=True):
                 least = int(min(limit[k], limit[m]))
-                # An edit changes one word of each line's set at most.
-                if still[k] and k not in gone and len(sets[k] - sets[m]) <= least and len(sets[m] - sets[k]) <= least and within(words[k], words[m], least):
+                if still[k] and k not in gone and few_other_words(counts[k], counts[m], least) and within(words[k], words[m], least):
                     gone.add(k)
         yield from table.select(PLACE).take(pa.array(sorted(gone), pa.int64())).to_batches()
 
 
+def few_other_words(x: Counter, y: Counter, limit: int) -> bool:
+    """Whether each line has at most `limit` words, counted as often as they occur, that the other hasn't: an edit
+    changes one word of each."""
+    common = sum(min(n, y[w]) for w, n in x.items() if w in y)
+    return max(x.total(), y.total()) - common <= limit
+
+
 def line_words(line: str) -> list[bytes]:
     """Words between ASCII white space, as bytes."""
     return utf8(line).split()
@@ -465,7 +471,7 @@ def near_lines(documents: DataFrame, distinct: DataFrame, near_words: int, share
     rows = found.filter("sides = 0").withColumn("line_no", line_no).join(wide, PLACE, "left").select(*order, "bits", "long_bits")
     paired = materialise(rows.repartition("key").sortWithinPartitions(*order).mapInArrow(lambda batches: _paired_rows(batches, near_words, share), PAIRED), "paired-lines")
     nearest = paired.filter("w_t is not null").select(*PLACE, *WITNESS).distinct()
-    lines = found.filter("sides > 0").select("doc_id", line_no.alias("line_no"), "t", "sides").union(nearest.select(*PLACE, F.lit(0))).union(nearest.select(*WITNESS, F.lit(0)))
+    lines = found.filter("sides > 0").select("doc_id", line_no.alias("line_no"), "t", "sides").union(paired.select(*PLACE, F.lit(0)))
     texts = fetched(documents, lines)
     release(spark)
     variants = materialise(texts.filter("sides > 0").mapInArrow(lambda batches: _variant_rows(batches, near_words), VARIANTS), "variants")
@@ -480,7 +486,6 @@ def near_lines(documents: DataFrame, distinct: DataFrame, near_words: int, share
     blocks = paired.drop(*WITNESS, "more").join(left.select("key").distinct(), "key", "left_semi").join(left, ["key", *PLACE], "left").withColumn("open", F.coalesce("open", F.lit(False)))
     blocks = materialise(blocks.repartition("key").sortWithinPartitions(*order).mapInArrow(lambda batches: _left_rows(batches, near_words, share), blocks.schema), "open-blocks")
     release(spark)
-    held = fetched(documents, blocks.select(*PLACE, F.lit(0).alias("sides"))).select(*PLACE, "line")
     rows = blocks.join(held, PLACE).repartition("key").sortWithinPartitions(*order)
     more = materialise(gone.union(rows.mapInArrow(lambda batches: _near_rows(batches, near_words, share), PLACES)).distinct(), "more-near-lines")
     release(spark)
@@ -488,9 +493,10 @@ def near_lines(documents: DataFrame, distinct: DataFrame, near_words: int, share
 
 
 def fetched(documents: DataFrame, lines: DataFrame) -> DataFrame:
-    """(doc_id, line_no, t, sides, line) of the lines (doc_id, line_no, t, sides), which may repeat."""
+    """(doc_id, line_no, t, sides, line) of the lines (doc_id, line_no, t, sides), which may repeat. They grow with the
+    documents, so they are never broadcast; texts needn't be sorted to meet them."""
     asked = lines.groupBy(*PLACE).agg(F.bit_or("sides").alias("sides")).groupBy("doc_id", "t").agg(F.collect_list(F.struct("line_no", "sides")).alias("asked"))
-    texts = documents.join(asked, ["doc_id", "t"]).select("doc_id", "t", "text", "asked").mapInArrow(_asked_lines, f"{PLACES}, sides int, line string")
+    texts = documents.join(asked.hint("shuffle_hash"), ["doc_id", "t"]).select("doc_id", "t", "text", "asked").mapInArrow(_asked_lines, f"{PLACES}, sides int, line string")
     return materialise(texts, "texts-of-lines").dropDuplicates(PLACE)  # a document may be there twice
 
 
@@ -517,7 +523,7 @@ def _without_lines(plain: DataFrame, names: dict[str, str], near_words: int, sha
     lists = kept_lines(plain.select(F.col(id_name).alias("doc_id"), F.col(text_name).alias("text")), near_words, share).withColumnsRenamed({"doc_id": "kept_doc", "t": "kept_t", "lines": "kept_lines"})
     columns = plain.columns
     at = columns.index(text_name)
-    joined = plain.join(lists, (F.col(id_name).cast("long") == F.col("kept_doc")) & (F.xxhash64(text_name) == F.col("kept_t")), "left").select(*columns, F.col(id_name).isNull().alias("kept_whole"), "kept_lines")
+    joined = plain.join(lists.hint("shuffle_hash"), (F.col(id_name).cast("long") == F.col("kept_doc")) & (F.xxhash64(text_name) == F.col("kept_t")), "left").select(*columns, F.col(id_name).isNull().alias("kept_whole"), "kept_lines")
 
     def run(batches):
         for batch in batches:
