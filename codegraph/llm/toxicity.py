@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_hash, forget
+from .common import clear_names, fold_hash, forget
 
 SAMPLE = 8000
 SAMPLE_BYTES = 64 << 20
@@ -253,13 +253,14 @@ def keep_clean(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents, all columns, that the lexicon doesn't reject."""
     model = learn(training_rows(documents, labels))
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    names = documents.columns
+    plain, names = clear_names(documents)
+    text = names["text"]
 
     def run(batches):
         forget()
         matcher = Matcher(shared.value)
         for batch in batches:
-            keep = [matcher.score(t) < THRESHOLD for t in batch.column(names.index("text")).to_pylist()]
+            keep = [matcher.score(t) < THRESHOLD for t in batch.column(text).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return documents.mapInArrow(run, documents.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*documents.columns)
