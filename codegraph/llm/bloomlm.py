@@ -102,7 +102,8 @@ VALUES = level_values()
 class Filter:
     """Bit arrays of the shards, end to end."""
 
-    def __init__(self, parts: list[bytes]):
+    def __init__(self, parts: list[bytes], hashes: int = HASHES):
+        self.hashes = hashes
         sizes = np.array([len(p) for p in parts], np.uint64)
         self.bits = np.frombuffer(b"".join(parts), np.uint8)
         self.size = sizes * np.uint64(8)
@@ -116,13 +117,13 @@ class Filter:
             return one, mix64(one ^ np.uint64(0xE7037ED1A0B428DB)) | np.uint64(1)
 
     @classmethod
-    def build(cls, keys: np.ndarray, levels: np.ndarray) -> bytes:
+    def build(cls, keys: np.ndarray, levels: np.ndarray, bits_each: int = BITS, hashes: int = HASHES) -> bytes:
         entries = int(levels.sum())
-        size = -(-max(1, entries) * BITS // 8)
+        size = -(-max(1, entries) * bits_each // 8)
         bits = np.zeros(size * 8, bool)
         for q in range(1, int(levels.max(initial=0)) + 1):
             one, two = cls.starts(keys[levels >= q], q)
-            for _ in range(HASHES):
+            for _ in range(hashes):
                 bits[one % np.uint64(size * 8)] = True
                 one = one + two
         return np.packbits(bits, bitorder="little").tobytes()
@@ -135,7 +136,7 @@ class Filter:
             names, size, start = keys[left], self.size[shards[left]], self.start[shards[left]]
             with np.errstate(over="ignore"):
                 one, two = self.starts(names, q)
-                for _ in range(HASHES):  # a key that misses one bit needs no other
+                for _ in range(self.hashes):  # a key that misses one bit needs no other
                     at = start + one % size
                     there = (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).view(bool)
                     left, size, start, two = left[there], size[there], start[there], two[there]
@@ -183,7 +184,7 @@ def _count_block(shards: int, all_pairs: bool):
     return run
 
 
-def _build_shard(answer_levels: bool):
+def _build_shard(answer_levels: bool, bits_each: int, hashes: int):
     def run(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         kinds, blocks = table.column("kind").to_pylist(), table.column("block").to_pylist()
@@ -203,10 +204,10 @@ def _build_shard(answer_levels: bool):
             else:
                 stats["once"], stats["pairs"] = int((sums == 1).sum()), int(sums.sum())
             filtered.append((names[known], level(sums[known])))
-        bits = Filter.build(np.concatenate([f[0] for f in filtered]), np.concatenate([f[1] for f in filtered]))
+        bits = Filter.build(np.concatenate([f[0] for f in filtered]), np.concatenate([f[1] for f in filtered]), bits_each, hashes)
         rows.append(("f", shard, None, bits))
         if answer_levels:
-            own = Filter([bits])
+            own = Filter([bits], hashes)
             for kind in "ub":
                 names = totals[kind][0]
                 found = own.levels(names, np.zeros(len(names), np.int64)).astype(np.uint8)
@@ -259,8 +260,9 @@ def _score_block(shards: int, shared, model: dict):
     return run
 
 
-def score_documents(documents: DataFrame, filter_bytes: int = FILTER_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
+def score_documents(documents: DataFrame, filter_bytes: int = FILTER_BYTES, block_bytes: int = BLOCK_BYTES, bits_each: int = BITS, hashes: int = HASHES) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row. `bits_each`: bits of the
+    filter an entry; `hashes`: probes an entry."""
     spark = documents.sparkSession
     result = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     total = documents.agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))).cast("long") + 1).alias("n")).first().n
@@ -272,7 +274,7 @@ def score_documents(documents: DataFrame, filter_bytes: int = FILTER_BYTES, bloc
 
     def build(partitioned: bool) -> DataFrame:
         packed = dealt.groupBy("block").applyInArrow(_count_block(parts, partitioned), PACKED)
-        return materialise(packed.groupBy("shard").applyInArrow(_build_shard(partitioned), SHARDS), "lm-shards")
+        return materialise(packed.groupBy("shard").applyInArrow(_build_shard(partitioned, bits_each, hashes), SHARDS), "lm-shards")
 
     shards = build(False)
     size = shards.filter("kind = 'f'").agg(F.sum(F.length("data")).alias("n")).first().n or 0
@@ -291,7 +293,7 @@ def score_documents(documents: DataFrame, filter_bytes: int = FILTER_BYTES, bloc
         bits = dict.fromkeys(range(parts), b"\0")
         for batch in shards.filter("kind = 'f'").select("shard", "data").toArrow().to_batches():
             bits.update(zip(batch.column("shard").to_pylist(), batch.column("data").to_pylist(), strict=True))
-        shared = spark.sparkContext.broadcast(Filter([bits[s] for s in range(parts)]))
+        shared = spark.sparkContext.broadcast(Filter([bits[s] for s in range(parts)], hashes))
         del bits
     answers = shards.filter("block is not null and kind <> 's'").select("block", "kind", "shard", "data")
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score_block(parts, shared, model), result)
