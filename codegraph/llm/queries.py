@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bloomlm, chunkstore, jaccardjoin, linededup, lshforest, media, mixing, packing, tokencounts, toxicity
+from . import bloomlm, chunkstore, jaccardjoin, linededup, lshforest, media, mixing, packing, periodicruns, tokencounts, toxicity
 from .common import table
 
 
@@ -47,13 +47,17 @@ def op10_mixing(spark, sf_dir):
     return mixing.schedule(table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark, sf_dir):
+    return periodicruns.run_digest(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-OPERATORS = (op1_media_columns, op2_chunk_store, op3_token_counts, op4_packing, op5_lm_scoring, op6_jaccard_join, op7_toxicity, op8_line_dedup, op9_hash_prefix_forest, op10_mixing)
+OPERATORS = (op1_media_columns, op2_chunk_store, op3_token_counts, op4_packing, op5_lm_scoring, op6_jaccard_join, op7_toxicity, op8_line_dedup, op9_hash_prefix_forest, op10_mixing, op12_periodic_runs)
 QUERIES = {f.__name__: f for f in (*OPERATORS, pipeline)}
 
 #: Exact where SQL can say it: components by links between distinct shingle sets.
