@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bloomlm, chunkstore, jaccardjoin, linededup, lshforest, media, mixing, packing, periodicruns, tokencounts, toxicity
+from . import bloomlm, chunkstore, decontamination, jaccardjoin, linededup, lshforest, media, mixing, packing, periodicruns, tokencounts, toxicity
 from .common import table
 
 
@@ -47,6 +47,10 @@ def op10_mixing(spark, sf_dir):
     return mixing.schedule(table(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark, sf_dir):
+    return decontamination.contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_periodic_runs(spark, sf_dir):
     return periodicruns.run_digest(table(spark, sf_dir, "documents"))
 
@@ -57,7 +61,7 @@ def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
-OPERATORS = (op1_media_columns, op2_chunk_store, op3_token_counts, op4_packing, op5_lm_scoring, op6_jaccard_join, op7_toxicity, op8_line_dedup, op9_hash_prefix_forest, op10_mixing, op12_periodic_runs)
+OPERATORS = (op1_media_columns, op2_chunk_store, op3_token_counts, op4_packing, op5_lm_scoring, op6_jaccard_join, op7_toxicity, op8_line_dedup, op9_hash_prefix_forest, op10_mixing, op11_decontamination, op12_periodic_runs)
 QUERIES = {f.__name__: f for f in (*OPERATORS, pipeline)}
 
 #: Exact where SQL can say it: components by links between distinct shingle sets.
@@ -77,4 +81,18 @@ sym AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach AS (SELECT a AS x, b AS y FROM sym UNION SELECT r.x, t.b FROM reach r JOIN sym t ON r.y = t.a)
 SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, least(s.doc_id, coalesce(min(r.y), s.doc_id)) AS component_id
 FROM s LEFT JOIN reach r ON r.x = s.doc_id GROUP BY s.doc_id, len(s.shingles)""",
+    "op11_decontamination": r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+  FROM documents),
+i AS (
+  SELECT item_id::VARCHAR AS item, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+  FROM benchmark),
+w AS (SELECT DISTINCT item, size, array_to_string(words[k:k + size - 1], ' ') AS win FROM (SELECT item, words, least(len(words), 10) AS size, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS k FROM i WHERE len(words) > 0)),
+p AS (SELECT doc_id, size, k, array_to_string(words[k:k + size - 1], ' ') AS win FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS k FROM d, (SELECT DISTINCT size FROM w))),
+o AS (SELECT p.doc_id, p.k, p.size, w.item FROM p JOIN w USING (size, win)),
+h AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + size)) AS pos FROM o) GROUP BY doc_id),
+n AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM o GROUP BY doc_id)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)""",
 }
