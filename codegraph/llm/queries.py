@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bloomlm, chunkstore, decontamination, jaccardjoin, linededup, lshforest, media, mixing, packing, periodicruns, tokencounts, toxicity
+from . import bloomlm, chunkstore, decontamination, jaccardjoin, linededup, lshforest, media, mixing, packing, periodicruns, prefixtrie, tokencounts, toxicity
 from .common import table
 
 
@@ -55,13 +55,17 @@ def op12_periodic_runs(spark, sf_dir):
     return periodicruns.run_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark, sf_dir):
+    return prefixtrie.shared_head_nodes(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-OPERATORS = (op1_media_columns, op2_chunk_store, op3_token_counts, op4_packing, op5_lm_scoring, op6_jaccard_join, op7_toxicity, op8_line_dedup, op9_hash_prefix_forest, op10_mixing, op11_decontamination, op12_periodic_runs)
+OPERATORS = (op1_media_columns, op2_chunk_store, op3_token_counts, op4_packing, op5_lm_scoring, op6_jaccard_join, op7_toxicity, op8_line_dedup, op9_hash_prefix_forest, op10_mixing, op11_decontamination, op12_periodic_runs, op13_prefix_trie)
 QUERIES = {f.__name__: f for f in (*OPERATORS, pipeline)}
 
 #: Exact where SQL can say it: components by links between distinct shingle sets.
@@ -95,4 +99,14 @@ h AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(ra
 n AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM o GROUP BY doc_id)
 SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)""",
+    "op13_prefix_trie": r"""
+WITH c AS (SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda z, i: xor(z >> 1, 3988292384 * (z & 1)))), 4294967295) % 4 AS h FROM c),
+r AS (SELECT h.conv_id, coalesce(d.turns, [])[1:h.h] || h.turns[h.h + 1:] AS turns FROM h LEFT JOIN c d ON d.conv_id = h.conv_id - h.conv_id % 20),
+m AS (SELECT conv_id, d, turns[1:d] AS path, len(turns) = d AS ends, CASE WHEN d > 0 THEN len(regexp_extract_all(turns[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM r)),
+n AS (SELECT path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ends FROM m GROUP BY path, d),
+k AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+s AS (SELECT path[1:up] AS path, up AS depth, count(*) FILTER (leaf) AS n_leaves, sum((n_convs - 1) * words) AS saved FROM (SELECT n.*, k.path IS NULL AS leaf, unnest(range(0, n.depth + 1)) AS up FROM n LEFT JOIN k ON k.path = n.path) GROUP BY 1, 2)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0)::BIGINT AS n_children, s.n_leaves, s.saved::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n JOIN s ON s.path = n.path AND s.depth = n.depth LEFT JOIN k ON k.path = n.path LEFT JOIN n p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]""",
 }
