@@ -152,6 +152,84 @@ def repository_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _files(customer, F.concat(F.lit("Data/Repo_"), "k", F.lit(".cs")), text_of(REPO_CS, k=k, s=F.regexp_replace("s", r"\W", "_"), more=more))
 
 
+SHARED_CS = """using System;
+namespace Shop.Contracts
+{
+    public interface IRoot { }
+    public abstract class Root : IRoot { }
+    public class Item { }
+}
+namespace Shop.Contracts.Rows { public interface IRow { } }
+namespace Shop { public static class Tool { public static int Twice(int n) => n + n; } }
+"""
+CORE_CS = """using System;
+using Rows = Shop.Contracts.Rows;
+namespace Shop.Core.S{{k}}
+{
+    public interface IStore<T> : IDisposable
+    {
+        void Put(T item, int n);
+    }
+    public abstract partial class Base : Shop.Contracts.Root, IStore<Shop.Contracts.Item>, Rows.IRow
+    {
+        /// <summary>Saves {{k}}.</summary>
+        public void Save(string text) { Log("saved", 1); }
+        public void Save(int number, bool twice = false) { Log("number", 2); }
+        protected void Log(string what, int level) { Generated(level); }
+        public void Put(Shop.Contracts.Item item, int n) { }
+        public void Dispose() { }
+    }
+    public class P : IOne { public int A { get; set; } }
+    public static class Other { public static void Only{{k}}() { } }
+}
+"""
+IMPL_CS = """using Shop.Core.S{{k}};
+using Shop.Contracts;
+namespace Shop.Impl.S{{k}}
+{
+    public class Impl : Base, IHandler<Shop.Contracts.Item>, System.IEquatable<Impl>
+    {
+        private readonly Helper _helper;
+        public Impl(Helper helper) { _helper = helper; Log("made", 0); }
+        public void Run(IStore<Item> store)
+        {
+            Save("text");
+            Save(7);
+            base.Dispose();
+            _helper.Make(1, 2, 3);
+            store.Put(null, 1);
+            Tool.Twice(2);
+            Only{{k}}();
+            Console.WriteLine("done");
+        }
+        public int Size { get { return _helper.Count(); } }
+        public int Fast => _helper.Count();
+    }
+    public class P { public int A { get; set; } }
+    public class Helper
+    {
+        public void Make(params int[] all) { }
+        public int Count() { return 1; }
+    }
+}
+"""
+GENERATED_CS = """namespace Shop.Core.S{{k}}
+{
+    public partial class Base : System.IFormattable { void Generated(int level) { } }
+}
+"""
+
+
+def hierarchy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file that all share, and for each supplier a base class with overloads and interfaces, a class derived from it in
+    another namespace, classes of one name in both, and a generated part. Member names are the same everywhere."""
+    supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"))
+    folder = F.concat(F.lit("Lib/"), F.lpad("k", 8, "0"))
+    made = [_files(supplier, F.concat(folder, F.lit(f"/{name}")), text_of(text, k=F.col("k"))) for name, text in (("A.cs", CORE_CS), ("B.cs", IMPL_CS), ("C.g.cs", GENERATED_CS))]
+    shared = _files(supplier.agg(F.min("k").alias("k")), F.lit("Lib/0.cs"), F.lit(SHARED_CS))
+    return shared.unionByName(made[0]).unionByName(made[1]).unionByName(made[2])
+
+
 MIGRATION_CS = """namespace Shop.Migrations
 {
     [DbContext(typeof(Ctx))]

@@ -17,12 +17,14 @@ MEMBER = "struct<ord:int,kind:string,name:string,class_ord:int,class:string,clas
 ARG = "struct<name:string,text:string,literal:string,ident:string,line:int>"
 INVOCATION = f"struct<ord:int,call_text:string,name:string,targ:string,chain:array<string>,raw:string,line:int,member_ord:int,class_ord:int,at:int,first_at:int,end_at:int,args:array<{ARG}>>"
 LITERAL = "struct<ord:int,value:string,line:int,decl_name:string,member_ord:int>"
-SYNTAX = f"path string, rel_path string, classes array<{CLASS}>, members array<{MEMBER}>, invocations array<{INVOCATION}>, literals array<{LITERAL}>, error string"
+SYNTAX = f"path string, rel_path string, classes array<{CLASS}>, members array<{MEMBER}>, invocations array<{INVOCATION}>, literals array<{LITERAL}>, error string, usings array<string>"
 DEFINE = "struct<ord:int,db:string,schema:string,name:string,kind:string,text:string>"
 REF = "struct<ord:int,db:string,schema:string,name:string,kind:string,relation:string>"
 NAME = "struct<db:string,schema:string,name:string,kind:string>"
 SQL_BATCHES = f"path string, rel_path string, domain string, is_prepost boolean, batch int, text string, defines array<{DEFINE}>, alters array<{NAME}>, refs array<{REF}>, fk_children array<{NAME}>, error string"
 FILES_A_CHUNK = 64
+#: Namespaces and aliases that a file imports.
+USING = r"(?m)(?:^|(?<=[;{]))[ \t]*(?:global[ \t]+)?using[ \t]+(?!static\b)((?:\w+[ \t]*=[ \t]*)?[\w.]+)[ \t]*;"
 
 
 def arrow(ddl: str) -> pa.Schema:
@@ -68,10 +70,11 @@ def parse_csharp(files: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("path", "rel_path", "text")]
-            yield from _batches(({"path": p, "rel_path": r} | csharp_row(t) for p, r, t in zip(*cols, strict=True)), schema)
+            cols = [batch.column(c).to_pylist() for c in ("path", "rel_path", "text", "usings")]
+            yield from _batches(({"path": p, "rel_path": r, "usings": u} | csharp_row(t) for p, r, t, u in zip(*cols, strict=True)), schema)
 
-    return files.select("path", "rel_path", "text").mapInArrow(run, SYNTAX)
+    usings = F.coalesce(F.regexp_extract_all("text", F.lit(USING), 1), F.array().cast("array<string>"))
+    return files.select("path", "rel_path", "text", usings.alias("usings")).mapInArrow(run, SYNTAX)
 
 
 def parse_tsql(files: DataFrame) -> DataFrame:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs
-from ..operators import graph
+from ..operators import graph, numbering
+from . import binding, calls
 
 #: What kinds of members are called in a chunk.
 CHUNK_KINDS = {"method": "Method", "ctor": "Constructor", "property": "Property", "operator": "Operator"}
-CALLER_KINDS = ("method", "ctor", "operator")
 
 
 def with_projects(syntax: DataFrame, projects: DataFrame) -> DataFrame:
@@ -21,38 +23,13 @@ def with_projects(syntax: DataFrame, projects: DataFrame) -> DataFrame:
     return syntax.join(near, "path")
 
 
-def interfaces(syntax: DataFrame) -> DataFrame:
-    """(class, interfaces): all interfaces through bases of bases, by name. A base is one if it is declared as such or,
-    undeclared, if it is named like one. Rounds join the bases found so far with themselves until none is new, so depth
-    has no bound, costs its logarithm in rounds, and cycles end."""
-    types = syntax.select(F.inline("classes")).select("name", "kind", F.transform("bases", lambda b: F.regexp_extract(F.substring_index(b, ".", -1), r"^(\w+)", 1)).alias("bases"))
-    reach = graph.cut(types.select(F.col("name").alias("class"), F.explode("bases").alias("base")).distinct())
-    known, found = -1, reach.count()
-    while found > known:
-        up = reach.select(F.col("class").alias("base"), F.col("base").alias("next"))
-        reach = graph.cut(reach.union(reach.join(up, "base").select("class", F.col("next").alias("base"))).distinct())
-        known, found = found, reach.count()
-    declared = types.groupBy(F.col("name").alias("base")).agg(F.bool_or(F.col("kind") == "interface").alias("is"))
-    is_interface = F.coalesce("is", F.col("base").rlike("^I[A-Z]"))
-    return reach.join(declared, "base", "left").filter(is_interface).groupBy("class").agg(F.sort_array(F.collect_set("base")).alias("implemented_interfaces"))
-
-
-def chunks(syntax: DataFrame, branch: str = "", head_sha: str = "", project: str = "") -> DataFrame:
-    """One row a method, constructor, property or operator; ids follow folder, path and place from 1.
-
-    Ids are counted by ranges: a count for each folder, a place of each file in its folder and of each member in its file,
-    so that only one number a folder goes through one task.
-    """
+def members_of(syntax: DataFrame, types: binding.Types, branch: str = "", head_sha: str = "", project: str = "") -> DataFrame:
+    """One row a method, constructor, property or operator, but for its id: all columns of a chunk, and path and member_ord."""
     source = syntax if "project_name" in syntax.columns else syntax.withColumn("project_name", F.lit(project))
     members = source.filter(~exprs.is_generated(F.col("path"))).select("path", "rel_path", "project_name", F.inline("members")).filter(F.col("kind").isin(*CHUNK_KINDS))
-    place = members.withColumn("__at", F.row_number().over(Window.partitionBy("path").orderBy("ord")))
-    sizes = place.groupBy("rel_path", "path").agg(F.count("*").alias("n"))
-    sizes = sizes.withColumn("__folder", F.regexp_extract(exprs.slashes(F.col("rel_path")), "^(.*)/", 1))
-    before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    folders = sizes.groupBy("__folder").agg(F.sum("n").alias("n")).select("__folder", before(Window.orderBy("__folder")).alias("__start"))
-    starts = sizes.withColumn("__in", before(Window.partitionBy("__folder").orderBy("rel_path", "path"))).join(folders, "__folder").select("path", (F.col("__start") + F.col("__in")).alias("__before"))
-    owners = source.select("path", F.inline("classes")).select("path", F.col("ord").alias("class_ord"), F.when(F.size("bases") > 0, F.get("bases", F.lit(0))).otherwise("object").alias("base_type"))
-    rows = place.join(starts, "path").join(owners, ["path", "class_ord"], "left").join(interfaces(source), "class", "left")
+    owners = types.parts.select("path", "class_ord", F.col("key").alias("owner"))
+    about = binding.base_types(types).join(binding.interfaces(types), "class", "full").withColumnRenamed("class", "owner")
+    rows = members.join(owners, ["path", "class_ord"], "left").join(about, "owner", "left")
     owner = F.when((F.col("class_kind") == "class") & (F.col("class") != ""), F.col("class")).otherwise("NoClass")
     space = F.when(F.col("ns_block") != "", F.col("ns_block")).otherwise("NoNamespace")
     kind = F.element_at(F.create_map(*[F.lit(x) for pair in CHUNK_KINDS.items() for x in pair]), F.col("kind"))
@@ -60,22 +37,36 @@ def chunks(syntax: DataFrame, branch: str = "", head_sha: str = "", project: str
     returned = F.when(F.col("kind") == "ctor", "").otherwise(F.concat(F.regexp_replace(F.regexp_replace("type_text", r"^((public|private|protected|internal|static|virtual|override|abstract|sealed|async|new|partial|extern|unsafe|readonly|required)\s+)+", ""), r"\s+", " "), F.lit(" ")))
     shown = F.concat(returned, "class", F.lit("."), "name", F.when(F.col("kind") == "property", "").otherwise(F.concat(F.lit("("), F.regexp_replace("param_text", r"\s+", " "), F.lit(")"))))
     text = F.concat(F.lit("// Namespace: "), space, F.lit(" // Class: "), owner, F.lit(" // Type: "), kind, F.lit(" "), F.col("doc"), F.lit(" "), F.col("full_text"))
-    return rows.select((F.col("__before") + F.col("__at")).cast("int").alias("id"), exprs.base_name(F.col("path")).alias("file"), owner.alias("class"), F.col("name").alias("member"), kind.alias("type"), F.concat_ws(".", space, owner, shown).alias("signature"), text.alias("text"), "project_name", F.when(owner == "NoClass", F.lit("")).otherwise(F.coalesce("base_type", F.lit("object"))).alias("base_type"), F.coalesce("implemented_interfaces", F.array().cast("array<string>")).alias("implemented_interfaces"), F.lit(branch).alias("branch"), F.lit(head_sha).alias("head_sha"), F.col("rel_path").alias("repo_relative_path"), F.col("ord").alias("member_ord"), "params", "path")
-
-
-def dependencies(syntax: DataFrame, found: DataFrame) -> DataFrame:
-    """(src, dst) of chunks: a call is resolved to members of its name and argument count, of its own class first, else of
-    the class its receiver names, else where only one class has such a member. Expression-bodied properties don't call."""
-    calls = syntax.select("path", F.inline("invocations")).select("path", "member_ord", "ord", "name", F.size("args").alias("n"), F.size("chain").alias("parts"), F.get("chain", F.size("chain") - 2).alias("receiver"))
-    accessor = syntax.select("path", F.inline("members")).filter(F.col("kind").isin(*CALLER_KINDS) | F.col("accessors")).select("path", F.col("ord").alias("member_ord"))
-    src = found.select("path", "member_ord", F.col("id").alias("src"), F.col("class").alias("own"))
-    made = calls.join(accessor, ["path", "member_ord"]).join(src, ["path", "member_ord"])
-    dst = found.filter("type = 'Method'").select(F.col("member").alias("name"), F.col("params").alias("n"), F.col("id").alias("dst"), F.col("class").alias("owner"))
-    only = dst.groupBy("name", "n").agg(F.count_distinct("owner").alias("owners"))
-    pairs = made.join(dst, ["name", "n"]).join(only, ["name", "n"])
-    rank = F.when((F.col("parts") == 1) & (F.col("owner") == F.col("own")) | F.col("receiver").isin("this", "base") & (F.col("owner") == F.col("own")), 1).when(F.col("receiver") == F.col("owner"), 2).when(F.col("owners") == 1, 3)
-    best = pairs.withColumn("rank", rank).filter("rank is not null").groupBy("path", "src", "ord").agg(F.min_by("dst", F.struct("rank", "dst")).alias("dst"))
-    return best.groupBy("src", "dst").agg(F.min("ord").alias("first")).select("src", "dst", "first")
+    in_class = owner != "NoClass"
+    none = F.array().cast("array<string>")
+    return rows.select(exprs.base_name(F.col("path")).alias("file"), owner.alias("class"), F.col("name").alias("member"), kind.alias("type"), F.concat_ws(".", space, owner, shown).alias("signature"), text.alias("text"), "project_name", F.when(in_class, F.coalesce("base_type", F.lit("object"))).otherwise("").alias("base_type"), F.when(in_class, F.coalesce("implemented_interfaces", none)).otherwise(none).alias("implemented_interfaces"), F.lit(branch).alias("branch"), F.lit(head_sha).alias("head_sha"), F.col("rel_path").alias("repo_relative_path"), F.col("ord").alias("member_ord"), "params", "path")
+
+
+@dataclass
+class CodeGraph:
+    chunks: DataFrame
+    links: DataFrame  # src, dst, first
+    symbols: DataFrame  # path, member_ord, id: also of methods that are called and have no chunk
+
+
+def code_graph(syntax: DataFrame, branch: str = "", head_sha: str = "", project: str = "") -> CodeGraph:
+    """Chunks with ids, and the calls between them. Ids go from 1 by first sight: members in the order of folder, path and
+    place, each before the methods that it calls. A called method without a chunk, as in a generated file, has an id too."""
+    types = binding.types_of(syntax)
+    members = members_of(syntax, types, branch, head_sha, project)
+    called = graph.cut(calls.resolve(syntax.filter(~exprs.is_generated(F.col("path"))), types, syntax))
+    folder = F.regexp_extract(exprs.slashes(F.col("repo_relative_path")), "^(.*)/", 1)
+    seen = graph.cut(members.select(folder.alias("folder"), "repo_relative_path", "path", "member_ord"))
+    order = ["folder", "repo_relative_path", "path", "member_ord", "call"]
+    declared = seen.select(*order[:4], F.lit(-1).alias("call"), F.col("path").alias("to_path"), F.col("member_ord").alias("to_ord"))
+    named = called.join(seen, ["path", "member_ord"]).select(*order, "to_path", "to_ord")
+    sights = declared.unionByName(named).groupBy("to_path", "to_ord").agg(F.min(F.struct(*order)).alias("at")).select("to_path", "to_ord", "at.*")
+    ids = graph.cut(numbering.dense_ids(sights, order).select(F.col("to_path").alias("path"), F.col("to_ord").alias("member_ord"), F.col("id").cast("int").alias("id")))
+    found = members.join(ids, ["path", "member_ord"]).select("id", *members.columns)
+    src = ids.withColumnRenamed("id", "src")
+    dst = ids.select(F.col("path").alias("to_path"), F.col("member_ord").alias("to_ord"), F.col("id").alias("dst"))
+    links = called.join(src, ["path", "member_ord"]).join(dst, ["to_path", "to_ord"]).groupBy("src", "dst").agg(F.min("call").alias("first"))
+    return CodeGraph(found, links, ids)
 
 
 def adjacency(links: DataFrame) -> DataFrame:

@@ -95,13 +95,13 @@ def run(spark: SparkSession, config: IndexerConfig, progress=None) -> str | None
         projects = solution.read_solution(spark, config.solution)
         folders = [os.path.dirname(r.project_path) for r in projects.collect()]
         syntax = code.with_projects(parse.parse_csharp(repo.model_files(spark, folders)), projects)
-    found = code.chunks(syntax, state["branch"], state["head_sha"]).persist()
-    links = code.adjacency(code.dependencies(syntax, found))
-    bundle.write_code(found, links, state, os.path.join(out, "code_bundle"))
+    syntax = syntax.persist()
+    linked = code.code_graph(syntax, state["branch"], state["head_sha"])
+    bundle.write_code(linked.chunks, code.adjacency(linked.links), state, os.path.join(out, "code_bundle"))
     bundle.write_json(state, os.path.join(out, "repo_meta.json"))
     say("archive", 4, 4)
     path = bundle.archive(out, state["branch"], config.out_root or None)
-    for held in (batches, models, moved, inlined, found, *built.held):
+    for held in (batches, models, moved, inlined, syntax, *built.held):
         held.unpersist()
     return path
 

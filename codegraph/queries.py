@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import corpus
 from .functions import exprs, parse
 from .operators import graph
+from .plans import binding
 from .plans import chunks as code
 from .plans import ef, index, inline, migrations, sql
 from .sources import bundle, repo, solution
@@ -476,12 +477,21 @@ def migration_fallback(spark, sf_dir):
 # Chunks
 
 
+def _members(syntax) -> DataFrame:
+    return code.members_of(syntax, binding.types_of(syntax))
+
+
+def hierarchy(spark, sf_dir) -> DataFrame:
+    return once(parse.parse_csharp(corpus.hierarchy_files(spark, sf_dir)))
+
+
+
 MEMBERS = "(VALUES ('BaseEntity', 'Id', 'Property'), ('Ctx_', 'Custs', 'Property'), ('Ctx_', 'Ords', 'Property'), ('Ctx_', 'OnModelCreating', 'Method'), ('Ctx_', 'Prepare', 'Method'), ('Ctx_', 'Check', 'Method'), ('Cust_', 'Name', 'Property'), ('Ord_', 'CustId', 'Property')) v(c, m, t)"
 
 
 @query(f"""SELECT 'Ctx_' || n_nationkey || '.cs' AS file, c || CASE WHEN c = 'BaseEntity' THEN '' ELSE n_nationkey::VARCHAR END AS class, m AS member, t AS type, CASE c WHEN 'Ctx_' THEN 'DbContext' WHEN 'Cust_' THEN 'BaseEntity' ELSE 'object' END AS base_type FROM nation, {MEMBERS}""")
 def code_chunks(spark, sf_dir):
-    return code.chunks(models(spark, sf_dir)).select("file", "class", "member", "type", "base_type")
+    return _members(models(spark, sf_dir)).select("file", "class", "member", "type", "base_type")
 
 
 @query("""SELECT signature, '// Namespace: Shop.Model // Class: ' || class || ' // Type: ' || type || '  ' || body AS text, interfaces FROM (
@@ -489,17 +499,57 @@ def code_chunks(spark, sf_dir):
  SELECT 'Shop.Model.Ord_' || n_nationkey || '.int Ord_' || n_nationkey || '.CustId', 'Ord_' || n_nationkey, 'Property', 'public int CustId { get; set; } ', '' FROM nation UNION ALL
  SELECT 'Shop.Model.Ctx_' || n_nationkey || '.void Ctx_' || n_nationkey || '.Check(string what)', 'Ctx_' || n_nationkey, 'Method', '        private void Check(string what) => Console.WriteLine(what);' || chr(10), '' FROM nation)""")
 def chunk_texts(spark, sf_dir):
-    rows = code.chunks(models(spark, sf_dir)).filter("member in ('Prepare', 'CustId', 'Check')")
+    rows = _members(models(spark, sf_dir)).filter("member in ('Prepare', 'CustId', 'Check')")
     return rows.select("signature", "text", F.array_join("implemented_interfaces", ",").alias("interfaces"))
 
 
 @query("""SELECT 'Ctx_' || n_nationkey AS class, 'OnModelCreating' AS caller, 'Prepare' AS callee FROM nation UNION ALL SELECT 'Ctx_' || n_nationkey, 'Prepare', 'Check' FROM nation""")
 def chunk_dependencies(spark, sf_dir):
-    m = models(spark, sf_dir)
-    found = code.chunks(m)
-    links = code.dependencies(m, found)
-    a, b = found.select(F.col("id").alias("src"), "class", F.col("member").alias("caller")), found.select(F.col("id").alias("dst"), F.col("member").alias("callee"))
-    return links.join(a, "src").join(b, "dst").select("class", "caller", "callee")
+    linked = code.code_graph(models(spark, sf_dir))
+    a, b = linked.chunks.select(F.col("id").alias("src"), "class", F.col("member").alias("caller")), linked.chunks.select(F.col("id").alias("dst"), F.col("member").alias("callee"))
+    return linked.links.join(a, "src").join(b, "dst").select("class", "caller", "callee")
+
+
+HIERARCHY = """
+t AS (SELECT s_suppkey AS k, replace(v.class, '#', s_suppkey::VARCHAR) AS class, v.base_type, v.interfaces FROM supplier, (VALUES
+ ('Shop.Core.S#.Base', 'Root', 'IDisposable,IFormattable,IRoot,IRow,IStore<Item>'), ('Shop.Core.S#.P', 'object', 'IOne'), ('Shop.Core.S#.Other', 'object', ''),
+ ('Shop.Impl.S#.Impl', 'Base', 'IDisposable,IEquatable<Impl>,IFormattable,IHandler<Item>,IRoot,IRow,IStore<Item>'), ('Shop.Impl.S#.P', 'object', ''), ('Shop.Impl.S#.Helper', 'object', '')) v(class, base_type, interfaces)),
+m AS (SELECT s_suppkey AS k, dense_rank() OVER (ORDER BY lpad(s_suppkey::VARCHAR, 8, '0')) AS nth, v.pos, v.file, v.space, v.class, replace(v.member, '#', s_suppkey::VARCHAR) AS member, v.params FROM supplier, (VALUES
+ (1, 'A', 'Core', 'NoClass', 'Put', 2), (2, 'A', 'Core', 'Base', 'Save', 1), (3, 'A', 'Core', 'Base', 'Log', 2), (4, 'A', 'Core', 'Base', 'Save', 2), (6, 'A', 'Core', 'Base', 'Put', 2), (7, 'A', 'Core', 'Base', 'Dispose', 0), (8, 'A', 'Core', 'P', 'A', 0), (9, 'A', 'Core', 'Other', 'Only#', 0),
+ (10, 'B', 'Impl', 'Impl', 'Impl', 1), (11, 'B', 'Impl', 'Impl', 'Run', 1), (12, 'B', 'Impl', 'Helper', 'Make', 1), (13, 'B', 'Impl', 'Impl', 'Size', 0), (14, 'B', 'Impl', 'Helper', 'Count', 0), (15, 'B', 'Impl', 'Impl', 'Fast', 0), (16, 'B', 'Impl', 'P', 'A', 0)) v(pos, file, space, class, member, params)),
+c AS (SELECT 'Lib/' || lpad(k::VARCHAR, 8, '0') || '/' || file || '.cs' AS path, k, nth, 1 + 16 * (nth - 1) + pos AS id, space, class, member, params FROM m UNION ALL SELECT 'Lib/0.cs', 0, 0, 1, '', 'Tool', 'Twice', 1),
+l AS (SELECT k, nth, 1 + 16 * (nth - 1) + v.src AS src, CASE WHEN v.dst = 0 THEN 1 ELSE 1 + 16 * (nth - 1) + v.dst END AS dst FROM (SELECT DISTINCT k, nth FROM m), (VALUES (2, 3), (4, 3), (3, 5), (10, 3), (11, 2), (11, 4), (11, 7), (11, 12), (11, 1), (11, 0), (11, 9), (13, 14)) v(src, dst))"""
+
+
+@query(f"WITH {HIERARCHY} SELECT t.class, m.member, m.params, t.base_type, t.interfaces FROM m JOIN t ON t.class = 'Shop.' || m.space || '.S' || m.k || '.' || m.class UNION ALL SELECT 'Shop.Tool', 'Twice', 1, 'object', '' FROM (SELECT min(k) FROM m)")
+def types_of_members(spark, sf_dir):
+    rows = _members(hierarchy(spark, sf_dir)).filter("class <> 'NoClass'")
+    return rows.select(F.concat_ws(".", F.regexp_extract("text", r"^// Namespace: (\S+) ", 1), "class").alias("class"), "member", "params", "base_type", F.array_join("implemented_interfaces", ",").alias("interfaces"))
+
+
+@query(f"WITH {HIERARCHY} SELECT a.path AS caller_file, a.class AS caller_class, a.member AS caller, a.params AS caller_params, b.path AS callee_file, b.class AS callee_class, b.member AS callee, b.params AS callee_params FROM l JOIN c a ON a.id = l.src JOIN c b ON b.id = l.dst")
+def calls_through_hierarchy(spark, sf_dir):
+    linked = code.code_graph(hierarchy(spark, sf_dir))
+    side = lambda key, name: linked.chunks.select(F.col("id").alias(key), F.col("repo_relative_path").alias(f"{name}_file"), F.col("class").alias(f"{name}_class"), F.col("member").alias(name), F.col("params").alias(f"{name}_params"))
+    return linked.links.join(side("src", "caller"), "src").join(side("dst", "callee"), "dst").drop("src", "dst", "first")
+
+
+@query(f"WITH {HIERARCHY} SELECT id::INT AS id, path, class, member, params FROM c")
+def chunk_ids(spark, sf_dir):
+    return code.code_graph(hierarchy(spark, sf_dir)).chunks.select("id", F.col("repo_relative_path").alias("path"), "class", "member", "params")
+
+
+@query(f"WITH {HIERARCHY} SELECT src::INT AS src, string_agg(dst, ',' ORDER BY dst) AS callees, count(*) FILTER (dst NOT IN (SELECT id FROM c)) AS dangling FROM l GROUP BY src")
+def callee_ids(spark, sf_dir):
+    linked = code.code_graph(hierarchy(spark, sf_dir))
+    named = linked.links.join(linked.chunks.select(F.col("id").alias("dst"), F.lit(0).alias("known")), "dst", "left")
+    return named.groupBy("src").agg(F.array_join(F.sort_array(F.collect_list("dst")), ",").alias("callees"), F.count_if(F.col("known").isNull()).alias("dangling"))
+
+
+@query("SELECT s_suppkey AS k, '// Namespace: Shop.Core.S' || s_suppkey || ' // Class: Base // Type: Method /// <summary>Saves ' || s_suppkey || '.</summary>         /// <summary>Saves ' || s_suppkey || '.</summary>' || chr(10) || '        public void Save(string text) { Log(\"saved\", 1); }' || chr(10) AS text FROM supplier")
+def documented_chunks(spark, sf_dir):
+    rows = _members(hierarchy(spark, sf_dir)).filter("member = 'Save' and params = 1")
+    return rows.select(F.regexp_extract("text", r"Saves (\d+)", 1).cast("long").alias("k"), "text")
 
 
 @query("""SELECT 1 AS project_count, count(*)::INT AS document_count, (6 * count(*))::INT AS class_count, (3 * count(*))::INT AS method_count, 'Shop=' || count(*) AS per_project FROM nation""")

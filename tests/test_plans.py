@@ -3,8 +3,8 @@
 import pytest
 
 from codegraph.functions import exprs, parse
-from codegraph.operators import graph
-from codegraph.plans import chunks, ef, index, inline, migrations, sql
+from codegraph.operators import graph, numbering
+from codegraph.plans import binding, chunks, ef, index, inline, migrations, sql
 from pyspark.sql import functions as F
 
 FILES = "path string, rel_path string, text string"
@@ -137,10 +137,58 @@ def test_whole_build_closes_tables(spark):
 def test_interfaces_of_any_depth_and_cycles(spark):
     chain = " ".join(f"class C{k} : C{k + 1} {{ public int P{k} {{ get; set; }} }}" for k in range(12))
     s = code(spark, f"{chain} class C12 : IDeep, Odd {{ }} interface Odd : ILast {{ }} class X : Y {{ }} class Y : X, IKnot {{ }} class IClass {{ }} class Z : IClass {{ }}")
-    found = {r["class"]: r.implemented_interfaces for r in chunks.interfaces(s).collect()}
+    found = {r["class"]: r.implemented_interfaces for r in binding.interfaces(binding.types_of(s)).collect()}
     assert found["C0"] == found["C12"] == ["IDeep", "ILast", "Odd"] and found["X"] == ["IKnot"] and "Z" not in found
 
 
+def test_interfaces_and_base_types_are_bound_by_namespace(spark):
+    s = code(spark, "class A : IHandler<My.Ns.Command>, System.IDisposable { int F() { } } namespace X { class P : IOne { int F() { } } } namespace Y { class P { int F() { } } class P<T> : ITwo<T, Ns.U[]> { } }",
+             "using Al = X; using Y;\nnamespace Z.Q { class B : P { } class C : Al.P, IThree { } partial class D : IFour { } partial class D : B { } class E : P<int> { } class F : Unknown.Thing { } }", "namespace Z { class P { } }")
+    types = binding.types_of(s)
+    found = {r["class"]: r.implemented_interfaces for r in binding.interfaces(types).collect()}
+    assert found == {"A": ["IDisposable", "IHandler<Command>"], "X.P": ["IOne"], "Y.P`1": ["ITwo<T, U[]>"], "Z.Q.C": ["IOne", "IThree"], "Z.Q.D": ["IFour"], "Z.Q.E": ["ITwo<T, U[]>"]}
+    assert {r["class"]: r.base_type for r in binding.base_types(types).collect()} == {"Z.Q.B": "P", "Z.Q.C": "P", "Z.Q.D": "B", "Z.Q.E": "P<int>", "Z.Q.F": "Thing"}
+    # The enclosing namespace comes before the file's usings.
+    assert {(r.key, r.base) for r in types.bases.filter("base is not null").collect()} == {("Z.Q.B", "Z.P"), ("Z.Q.C", "X.P"), ("Z.Q.D", "Z.Q.B"), ("Z.Q.E", "Y.P`1")}
+    assert {r.member: (r.base_type, r.implemented_interfaces) for r in chunks.members_of(s, types).filter("class = 'A'").collect()} == {"F": ("object", ["IDisposable", "IHandler<Command>"])}
+
+
+def links_of(s):
+    linked = chunks.code_graph(s)
+    names = {r.id: f"{r['class']}.{r.member}/{r.params}" for r in linked.chunks.collect()}
+    return {(names[r.src], names.get(r.dst, "?")) for r in linked.links.collect()}
+
+
+def test_calls_are_resolved_by_class_receiver_and_sole_owner(spark):
+    s = code(spark, """class Top { protected virtual void Do(int a) { } public void Up() { } }
+class Mid : Top { protected override void Do(int a) { base.Do(a); } void Go(string s) { } void Go(int n) { } void Go(string s, params int[] more) { } void Go(object a, int b, int c) { } }
+class Low : Mid { Mid other; public Top Prop { get; set; }
+  void Run(Elsewhere x, System.Collections.Generic.Dictionary<string, Top> d, Low low = null) { Do(1); this.Up(); other.Do(2); Prop.Up(); this.Prop.Up(); x.Up(); Go("a"); Go(3); Go("a", 1, 2, 3); Go("a", 1, 2); low.Run(null, d); Elsewhere.Up(); Nobody(); One(1); "s".Ext(4); Make().Up(); Low.One(2); } }
+class Elsewhere { public static void Up() { } static void One(int a) { } static void Ext(this string s, int b) { } }""")
+    assert links_of(s) == {("Mid.Do/1", "Top.Do/1"), ("Low.Run/3", "Mid.Do/1"), ("Low.Run/3", "Top.Up/0"), ("Low.Run/3", "Elsewhere.Up/0"), ("Low.Run/3", "Mid.Go/1"), ("Low.Run/3", "Mid.Go/2"), ("Low.Run/3", "Mid.Go/3"), ("Low.Run/3", "Low.Run/3"), ("Low.Run/3", "Elsewhere.One/1"), ("Low.Run/3", "Elsewhere.Ext/2")}
+    assert {r.dst for r in chunks.code_graph(code(spark, "class A { void M() { N(); } }", "class A { void M() { N(); } }")).links.collect()} == set()
+
+
+def test_no_join_on_names_alone(spark):
+    s = code(spark, "class A { void M() { N(); } void N() { } }")
+    plan = chunks.code_graph(s).links._jdf.queryExecution().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_ids_follow_first_sight(spark):
+    s = parse.parse_csharp(files(spark, **{"b/x.cs": "class X { void A() { Late(); Gen(); Early(); } void Early() { } void Late() { } }", "a/y.cs": "class Y { int P => 1; }", "b/z.g.cs": "class G { static void Gen() { } void Unused() { } }"}))
+    linked = chunks.code_graph(s)
+    assert {r.member: r.id for r in linked.chunks.collect()} == {"P": 1, "A": 2, "Late": 3, "Early": 5}
+    assert {(r.src, tuple(r.callees)) for r in chunks.adjacency(linked.links).collect()} == {(2, (3, 4, 5))}
+
+
+def test_dense_numbers_over_ranges(spark):
+    rows = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("a"), F.lit("x").alias("b"))
+    found = numbering.dense_ids(rows.repartition(9), ["a"]).collect()
+    assert all(r.id == r.a + 1 for r in found) and len(found) == 5000
+    assert numbering.dense_ids(rows.filter("a < 0"), ["a"]).count() == 0
+
+
 def test_files_belong_to_the_deepest_project(spark):
     s = parse.parse_csharp(files(spark, **{"/r/a/b/x.cs": "class X { }", "/r/a/y.cs": "class Y { }", "/r/z.cs": "class Z { }"}))
     projects = spark.createDataFrame([("/r/a/A.csproj",), ("/r/a/b/B.csproj",)], "project_path string")
@@ -149,7 +197,7 @@ def test_files_belong_to_the_deepest_project(spark):
 
 def test_chunk_text_has_what_stands_before_and_after(spark):
     s = code(spark, "class A {\n  int f;\n\n  /// <summary>x</summary>\n  public static int M(int a,\n    int b) => a; // end\n  A() { } }")
-    found = {r.member: r for r in chunks.chunks(s).collect()}
+    found = {r.member: r for r in chunks.code_graph(s).chunks.collect()}
     assert found["M"].signature == "NoNamespace.A.int A.M(int a, int b)" and found["A"].signature == "NoNamespace.A.A.A()"
     assert found["M"].text == "// Namespace: NoNamespace // Class: A // Type: Method /// <summary>x</summary> \n  /// <summary>x</summary>\n  public static int M(int a,\n    int b) => a; // end\n"
 
