@@ -15,6 +15,8 @@ from ..functions import exprs
 
 NODE = ["key", "kind", "name", "schema", "file", "batch", "domain", "body_path"]
 EDGE = ["from", "to", "relation", "to_kind", "file", "batch"]
+#: Lines in a bucket of the interval index, and in a block of a sweep, as powers of two.
+BUCKET_BITS, BLOCK_BITS = 6, 12
 
 
 def seq(stage: int, path: Column, batch: Column | None = None, ord_: Column | None = None) -> Column:
@@ -85,23 +87,61 @@ def missing_tables(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return absent.select(F.col("t.to").alias("key"), F.lit("TABLE").alias("kind"), name.alias("name"), schema.alias("schema"), F.col("t.file").alias("file"), F.lit(None).cast("int").alias("batch"), F.lit("db").alias("domain"), F.lit(None).cast("string").alias("body_path"), "seq")
 
 
+def _line_bucket(line: Column) -> Column:
+    return F.shiftright(line, BUCKET_BITS)
+
+
+def held_lines(lines: DataFrame, spans: DataFrame) -> DataFrame:
+    """(path, line, m): the first span that holds each distinct line of a path, if any does.
+
+    Spans are cut at buckets of lines and joined by path and bucket. Of equal pieces in a bucket only the first is kept,
+    so a bucket has a bounded number of them however many methods a file or a line has.
+    """
+    covered = spans.select("path", "start_line", "end_line", F.struct("ord", "ns", "type", "method").alias("m"), F.explode(F.sequence(_line_bucket(F.col("start_line")), _line_bucket(F.col("end_line")))).alias("bucket"))
+    low, high = F.shiftleft("bucket", BUCKET_BITS), F.shiftleft(F.col("bucket") + 1, BUCKET_BITS) - 1
+    pieces = covered.groupBy("path", "bucket", F.greatest("start_line", low).alias("low"), F.least("end_line", high).alias("high")).agg(F.min("m").alias("m"))
+    asked = lines.select("path", "line").filter("line is not null").distinct().withColumn("bucket", _line_bucket(F.col("line")))
+    return asked.join(pieces, ["path", "bucket"]).filter(F.col("line").between(F.col("low"), F.col("high"))).groupBy("path", "line").agg(F.min("m").alias("m"))
+
+
+def near_lines(lines: DataFrame, spans: DataFrame) -> DataFrame:
+    """(path, line, m): for each distinct line that no span holds, the span with the least distance, the first of equals.
+
+    That is the last to end before the line or the first to begin after it: both by a sweep over ends, begins and lines in
+    order. Sweeps run in blocks of lines, and what the blocks before and after bring is carried from block to block.
+    """
+    m = F.struct("ord", "ns", "type", "method")
+    block = lambda at: F.shiftright(at, BLOCK_BITS).alias("block")
+    at = lambda c: spans.groupBy("path", F.col(c).alias("at")).agg(F.min(m).alias("m"))
+    asked = lines.select("path", F.col("line").alias("at")).filter("at is not null").distinct().withColumn("asked", F.lit(True))
+    events = asked.unionByName(at("end_line").select("path", "at", F.struct("at", "m").alias("left")), allowMissingColumns=True).unionByName(at("start_line").select("path", "at", F.struct("at", "m").alias("right")), allowMissingColumns=True).withColumn("block", block(F.col("at")))
+    blocks = events.groupBy("path", "block").agg(F.max_by("left", F.when(F.col("left").isNotNull(), F.col("at"))).alias("l"), F.min_by("right", F.when(F.col("right").isNotNull(), F.col("at"))).alias("r"))
+    # Downwards too the frame ends at the row itself: one that runs on to the end is gone through anew for each row.
+    sweep = lambda keys, order, end: Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, end)
+    latest = lambda c, keys, order, end: F.last(c, True).over(sweep(keys, order, end)).alias(c)
+    carried = blocks.select("path", "block", latest("l", ["path"], F.asc("block"), -1), latest("r", ["path"], F.desc("block"), -1))
+    inside = ["path", "block"]
+    swept = events.select("path", "block", "at", "asked", latest("left", inside, F.asc("at"), 0), latest("right", inside, F.desc("at"), 0)).filter("asked")
+    ends = swept.join(carried, ["path", "block"]).select("path", "at", F.coalesce("left", "l").alias("left"), F.coalesce("right", "r").alias("right"))
+    far = lambda c, d: F.when(F.col(c).isNotNull(), F.struct(d.alias("d"), F.col(f"{c}.m").alias("m")))
+    return ends.select("path", F.col("at").alias("line"), F.least(far("left", F.col("at") - F.col("left.at")), far("right", F.col("right.at") - F.col("at")))["m"].alias("m"))
+
+
+def _with_method(rows: DataFrame, m: Column, keep: list[str]) -> DataFrame:
+    return rows.select(*(F.col(f"`{c}`") for c in keep), *(m[c].alias(c) for c in ("ns", "type", "method")))
+
+
 def method_at_line(lines: DataFrame, spans: DataFrame) -> DataFrame:
-    """Range join of (path, line, ...) with method spans of the same path: the first that holds the line, null if none."""
-    keep = lines.columns
-    row = lines.withColumn("__id", F.struct(*keep))
-    s = spans.select(F.col("path").alias("__p"), "start_line", "end_line", F.struct("ord", "ns", "type", "method").alias("m"))
-    hit = (F.col("path") == F.col("__p")) & F.col("line").between(F.col("start_line"), F.col("end_line"))
-    return row.join(s, hit, "left").groupBy("__id").agg(F.min("m").alias("m")).select(*(F.col(f"__id.`{c}`").alias(c) for c in keep), F.col("m.ns").alias("ns"), F.col("m.type").alias("type"), F.col("m.method").alias("method"))
+    """Rows of (path, line, ...) with the first method span of the path that holds the line, null if none does."""
+    return _with_method(lines.join(held_lines(lines, spans), ["path", "line"], "left"), F.col("m"), lines.columns)
 
 
 def nearest_method(lines: DataFrame, spans: DataFrame) -> DataFrame:
-    """The method of the path with the least distance to the line, the first of equals; without a line, the first."""
-    keep = lines.columns
-    row = lines.withColumn("__id", F.struct(*keep))
-    s = spans.select(F.col("path").alias("__p"), "start_line", "end_line", F.col("ord").alias("__ord"), "ns", "type", "method")
-    far = F.when(F.col("line").isNull() | F.col("line").between(F.col("start_line"), F.col("end_line")), 0).otherwise(F.least(F.abs(F.col("line") - F.col("start_line")), F.abs(F.col("line") - F.col("end_line"))))
-    best = F.min_by(F.struct("ns", "type", "method"), F.struct(far, F.col("__ord"))).alias("m")
-    return row.join(s, F.col("path") == F.col("__p"), "left").groupBy("__id").agg(best).select(*(F.col(f"__id.`{c}`").alias(c) for c in keep), F.col("m.ns").alias("ns"), F.col("m.type").alias("type"), F.col("m.method").alias("method"))
+    """Rows with the method of the path with the least distance to the line, the first of equals; without a line, the first."""
+    held = held_lines(lines, spans).withColumnRenamed("m", "held")
+    first = spans.groupBy("path").agg(F.min(F.struct("ord", "ns", "type", "method")).alias("first"))
+    rows = lines.join(held, ["path", "line"], "left").join(near_lines(lines, spans), ["path", "line"], "left").join(first, "path", "left")
+    return _with_method(rows, F.when(F.col("line").isNull(), F.col("first")).otherwise(F.coalesce("held", "m")), lines.columns)
 
 
 def first_per_group(rows: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
