@@ -1,6 +1,6 @@
 """Graph algebra: first-wins, kind resolution, edge de-duplication, closure. Keys compare without case, edges with it.
 
-Nodes: key, kind, name, schema, file, batch, domain, body_path and `seq`, a struct that orders rows (stage, path, batch, ord).
+Nodes: key, kind, name, schema, file, batch, domain, body_path and `seq`, a struct that orders rows (stage, path, batch, ord, nth).
 Edges: from, to, relation, to_kind, file, batch, seq.
 """
 
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs
+from . import skew
 
 NODE = ["key", "kind", "name", "schema", "file", "batch", "domain", "body_path"]
 EDGE = ["from", "to", "relation", "to_kind", "file", "batch"]
@@ -19,9 +20,9 @@ EDGE = ["from", "to", "relation", "to_kind", "file", "batch"]
 BUCKET_BITS, BLOCK_BITS = 6, 12
 
 
-def seq(stage: int, path: Column, batch: Column | None = None, ord_: Column | None = None) -> Column:
+def seq(stage: int, path: Column, batch: Column | None = None, ord_: Column | None = None, nth: Column | None = None) -> Column:
     whole = lambda c: F.lit(0) if c is None else F.coalesce(c, F.lit(0)).cast("int")
-    return F.struct(F.lit(stage).alias("stage"), path.alias("path"), whole(batch).alias("batch"), whole(ord_).alias("ord"))
+    return F.struct(F.lit(stage).alias("stage"), path.alias("path"), whole(batch).alias("batch"), whole(ord_).alias("ord"), whole(nth).alias("nth"))
 
 
 def cut(rows: DataFrame) -> DataFrame:
@@ -61,12 +62,19 @@ def defined_kinds(defines: DataFrame) -> DataFrame:
     return base.groupBy("base").agg(F.min_by("kind", "seq").alias("kind"))
 
 
-def resolve_kinds(edges: DataFrame, kinds: DataFrame) -> DataFrame:
-    """Targets whose name is defined take the defined kind. The join strategy is Catalyst's, by the sides' sizes."""
-    e = edges.withColumn("__base", F.lower(exprs.key_name(F.col("to"))))
+def target_base(to: Column) -> Column:
+    return F.lower(exprs.key_name(to))
+
+
+def resolve_kinds(edges: DataFrame, kinds: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Targets whose name is defined take the defined kind. Targets that many edges name are dealt out by their sources.
+    `counts`: (base, n) edges of each `target_base`, if they are known without making the edges."""
+    e = edges.withColumn("__base", target_base(F.col("to")))
+    counts = counts and counts.withColumnRenamed("base", "__base")
     k = kinds.select(F.col("base").alias("__base"), F.col("kind").alias("__kind"))
     to = F.when(F.col("__kind").isNotNull(), F.concat(exprs.key_name(F.col("to")), F.lit("|"), F.col("__kind"))).otherwise(F.col("to"))
-    return e.join(k, "__base", "left").withColumn("to", to).withColumn("to_kind", F.coalesce("__kind", "to_kind")).select(*edges.columns)
+    spread = F.struct(*(F.col(f"`{c}`") for c in ("from", "relation", "file") if c in edges.columns))
+    return skew.salted_join(e, k, "__base", spread, counts=counts).withColumn("to", to).withColumn("to_kind", F.coalesce("__kind", "to_kind")).select(*edges.columns)
 
 
 def missing_nodes(edges: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -11,6 +11,9 @@ from ..functions import exprs
 from ..operators import graph
 
 
+DEFINES_A_BLOCK = 512
+
+
 @dataclass
 class Knowledge:
     nodes: DataFrame
@@ -31,17 +34,26 @@ def defines(batches: DataFrame) -> DataFrame:
 
 
 def references(batches: DataFrame) -> DataFrame:
-    refs = batches.select("path", "rel_path", "batch", F.inline("refs").alias("ord", "db", "schema", "name", "kind", "relation"))
+    number = F.greatest(F.size("defines"), F.lit(1)).alias("n_defs")  # a batch without any has a pseudo-definition
+    refs = batches.select("path", "rel_path", "batch", number, F.inline("refs").alias("ord", "db", "schema", "name", "kind", "relation"))
     kind = F.coalesce("kind", F.lit("UNKNOWN"))
     key = exprs.object_key(F.col("schema"), F.col("name"), kind, F.col("db"))
-    return refs.filter(~F.col("name").rlike("^[#@]")).select("path", "rel_path", "batch", F.col("ord").alias("ref_ord"), key.alias("to"), kind.alias("to_kind"), F.coalesce("relation", F.lit("Uses")).alias("relation"))
+    return refs.filter(~F.col("name").rlike("^[#@]")).select("path", "rel_path", "batch", "n_defs", F.col("ord").alias("ref_ord"), key.alias("to"), kind.alias("to_kind"), F.coalesce("relation", F.lit("Uses")).alias("relation"))
 
 
 def define_ref_edges(found: DataFrame, refs: DataFrame) -> DataFrame:
-    """Every definition of a batch linked to every reference of it."""
-    d = found.select("path", "batch", F.col("key").alias("from"), F.col("ord").alias("def_ord"))
-    pairs = d.join(refs, ["path", "batch"])
-    return pairs.select("from", "to", "relation", "to_kind", exprs.slashes(F.col("rel_path")).alias("file"), "batch", graph.seq(0, F.col("path"), F.col("batch"), F.col("def_ord") * 100_000 + F.col("ref_ord")).alias("seq"))
+    """Every definition of a batch linked to every reference of it. The definitions of a large batch come in blocks, each
+    joined to a copy of the references, so that no task makes a whole product of thousands by thousands.
+
+    `found` numbers the definitions of a batch from 0 (`ord`); `refs` tells their number (`n_defs`), or has it counted."""
+    if "n_defs" not in refs.columns:
+        refs = refs.join(found.groupBy("path", "batch").agg((F.max("ord") + 1).alias("n_defs")), ["path", "batch"])
+    block = lambda ord_: F.floor(ord_ / DEFINES_A_BLOCK).cast("int")
+    d = found.select("path", "batch", block(F.col("ord")).alias("block"), F.col("key").alias("from"), F.col("ord").alias("def_ord"))
+    r = refs.withColumn("block", F.explode(F.sequence(F.lit(0), F.greatest(block(F.col("n_defs") - 1), F.lit(0)))))
+    pairs = d.join(r, ["path", "batch", "block"])
+    order = graph.seq(0, F.col("path"), F.col("batch"), F.col("def_ord"), F.col("ref_ord"))
+    return pairs.select("from", "to", "relation", "to_kind", exprs.slashes(F.col("rel_path")).alias("file"), "batch", order.alias("seq"))
 
 
 def script_nodes(found: DataFrame) -> DataFrame:
@@ -62,7 +74,8 @@ def knowledge(batches: DataFrame) -> Knowledge:
     found, refs = defines(batches), references(batches)
     nodes = script_nodes(found)
     kinds = graph.defined_kinds(nodes)
-    edges = graph.dedupe_edges(graph.resolve_kinds(define_ref_edges(found, refs), kinds))
+    targets = refs.groupBy(graph.target_base(F.col("to")).alias("base")).agg(F.sum("n_defs").alias("n"))  # an edge for each definition
+    edges = graph.dedupe_edges(graph.resolve_kinds(define_ref_edges(found, refs), kinds, targets))
     upserted = graph.upsert_nodes(nodes)
     whole = graph.upsert_nodes(upserted, graph.missing_nodes(edges, upserted))
     return Knowledge(whole, edges, script_bodies(found, upserted), kinds)

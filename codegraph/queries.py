@@ -393,6 +393,26 @@ def batch_define_ref_product(spark, sf_dir):
     return sql.define_ref_edges(d, r).select("from", "to")
 
 
+@query("""WITH d AS (SELECT p_partkey % 3 AS m, p_partkey // 3 AS k FROM part), r AS (SELECT s_suppkey % 3 AS m, 't' || (s_suppkey // 3) AS t FROM supplier), n AS (SELECT m, count(*) AS n FROM r GROUP BY m)
+SELECT 'd' || m || '_' || k AS "from", n, m + k * 100003 AS checksum FROM d JOIN n USING (m)""")
+def huge_batches(spark, sf_dir):
+    """Three batches that hold all definitions and references: what each definition is linked to, and its place kept in `seq`."""
+    k, s = F.col("p_partkey"), F.col("s_suppkey")
+    d = corpus.table(spark, sf_dir, "part").select((k % 3).cast("string").alias("path"), F.lit(0).alias("batch"), F.concat(F.lit("d"), k % 3, F.lit("_"), F.floor(k / 3)).alias("key"), F.floor(k / 3).cast("int").alias("ord"))
+    r = corpus.table(spark, sf_dir, "supplier").select((s % 3).cast("string").alias("path"), F.lit("x").alias("rel_path"), F.lit(0).alias("batch"), F.floor(s / 3).cast("int").alias("ref_ord"), F.concat(F.lit("t"), F.floor(s / 3)).alias("to"), F.lit("TABLE").alias("to_kind"), F.lit("ReadsFrom").alias("relation"))
+    edges = sql.define_ref_edges(d, r)
+    return edges.groupBy("from").agg(F.count("*").alias("n"), F.max(F.col("seq.path").cast("long") + F.col("seq.ord").cast("long") * 100_003).alias("checksum"))
+
+
+@query(f"""WITH g AS (SELECT CASE WHEN l_orderkey % 2 = 0 THEN 'dbo.t0' ELSE 'dbo.t' || (l_partkey % 300) END AS base FROM lineitem), {KNOWN}
+SELECT base || '|' || coalesce(kind, 'TABLE_OR_VIEW') AS "to", count(*) AS n FROM g LEFT JOIN k ON base = 'dbo.t' || k.m GROUP BY 1""")
+def resolve_hot_target(spark, sf_dir):
+    """Half of all edges name one target."""
+    edges = _edges(spark, sf_dir)
+    hot = edges.withColumn("to", F.when(F.regexp_extract("file", r"f(\d+)_", 1).cast("long") % 2 == 0, F.lit("dbo.t0|TABLE_OR_VIEW")).otherwise(F.col("to")))
+    return graph.resolve_kinds(hot, graph.defined_kinds(_nodes(spark, sf_dir))).groupBy("to").agg(F.count("*").alias("n"))
+
+
 # Models
 
 

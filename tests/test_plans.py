@@ -3,7 +3,7 @@
 import pytest
 
 from codegraph.functions import exprs, parse
-from codegraph.operators import graph, numbering
+from codegraph.operators import graph, numbering, skew
 from codegraph.plans import binding, chunks, ef, index, inline, migrations, sql
 from pyspark.sql import functions as F
 
@@ -40,6 +40,33 @@ def test_views_and_procedures_resolve_kinds_and_close(spark):
     assert {r.key for r in k.bodies.collect()} == {"dbo.Order|TABLE", "dbo.V|VIEW", "dbo.P|PROC"}
 
 
+def test_a_batch_of_30000_definitions(spark):
+    d = spark.range(30_000).select(F.lit("a").alias("path"), F.lit(0).alias("batch"), F.concat(F.lit("d"), "id").alias("key"), F.col("id").cast("int").alias("ord"))
+    r = spark.range(20).select(F.lit("a").alias("path"), F.lit("a").alias("rel_path"), F.lit(0).alias("batch"), (F.col("id") * 10_000).cast("int").alias("ref_ord"), F.concat(F.lit("t"), "id").alias("to"), F.lit("TABLE").alias("to_kind"), F.lit("ReadsFrom").alias("relation"))
+    edges = sql.define_ref_edges(d, r)
+    last = edges.orderBy(F.desc("seq")).first()
+    assert edges.count() == 600_000 and (last["from"], last.to, last.seq.ord, last.seq.nth) == ("d29999", "t19", 29_999, 190_000)
+
+
+def test_hot_keys_are_dealt_out(spark):
+    rows = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("key"), F.col("id").alias("v")).unionByName(spark.createDataFrame([(None, -1)], "key string, v long"))
+    lookup = spark.createDataFrame([("hot", "H"), ("k1", "One"), ("unused", "U")], "key string, found string")
+    found = skew.salted_join(rows, lookup, "key", F.col("v"))
+    expected = rows.join(lookup, "key", "left")
+    assert found.columns == ["key", "v", "found"] and found.count() == 40_001 and found.exceptAll(expected).count() == 0
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        sizes = sorted(r["count"] for r in skew.salted_join(rows, lookup, "key", F.col("v")).groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sizes[-1] < 3 * sizes[len(sizes) // 2] and sum(sizes) == 40_001
+
+
 def test_deployment_scripts_without_definitions(spark):
     k = scripts(spark, **{"x/PostDeployment.sql": "INSERT INTO dbo.T (a) VALUES ($(V))\n:r other.sql"})
     assert {r.kind for r in k.nodes.collect()} == {"DEPLOY", "TABLE_OR_VIEW", "TABLE"}
@@ -51,7 +78,7 @@ class Ctx : DbContext { public DbSet<Customer> Customers { get; set; } public ID
 
 def test_entities_come_from_sets_and_bases(spark):
     s = code(spark, CONTEXT)
-    none = spark.createDataFrame([], "name string, schema string, seq struct<stage:int,path:string,batch:int,ord:int>")
+    none = spark.createDataFrame([], "name string, schema string, seq struct<stage:int,path:string,batch:int,ord:int,nth:int>")
     nodes, edges, bodies = ef.entity_graph(s, ef.entity_map(s), none, ["Other.TrackedEntity"])
     assert {r.key for r in nodes.filter("kind = 'ENTITY'").collect()} == {"csharp:Customer|ENTITY", "csharp:B|ENTITY", "csharp:C|ENTITY"}
     assert edges_of(edges) == {("csharp:Customer|ENTITY", "dbo.Customer|TABLE", "MapsTo"), ("csharp:B|ENTITY", "dbo.B|TABLE", "MapsTo")}
