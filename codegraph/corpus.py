@@ -275,3 +275,14 @@ def literals(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
     value = F.when(k % 4 == 0, text_of("SELECT *\n FROM dbo.Customer_{{c}} x JOIN [sales].[Order_{{s}}] y ON x.Id = y.Id", c=F.col("c"), s=F.col("s"))).when(k % 4 == 1, text_of("insert into Audit_{{s}} values ({{k}})", s=F.col("s"), k=k)).when(k % 4 == 2, text_of("UPDATE crm.Customer_{{c}} SET a = 1 WHERE Id = {{k}}", c=F.col("c"), k=k)).otherwise(text_of("please select order {{k}} at once", k=k))
     return o.select(F.concat(F.lit("Data/F"), k % 1000, F.lit(".cs")).alias("path"), (k % 311).cast("int").alias("line"), F.concat(F.lit("Shop.Data.F.M"), k).alias("method"), value.alias("value"), k.alias("k"))
+
+
+def tree_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, content) of a folder tree: a file for each supplier, in folders that scans skip and others, of kinds that they
+    take and others, with dots and spaces in names, every fourth not UTF-8, every ninth empty."""
+    k = F.col("s_suppkey")
+    folder = F.element_at(F.array(*map(F.lit, ("src/A", "src/bin", "db/Change Scripts", "db/Snapshots/x", ".git", "src/.hidden/deep", "packages/p", "db"))), (k % 8 + 1).cast("int"))
+    name = F.element_at(F.array(*map(F.lit, ("F #.cs", "t#.SQL", "#.editorconfig", "_n#.md", "i#.png"))), (k % 5 + 1).cast("int"))
+    path = F.concat_ws("/", folder, F.when(k % 3 == 0, F.concat(F.lit("n"), k % 10)), F.replace(name, F.lit("#"), k.cast("string")))
+    content = F.when(k % 9 == 0, F.lit("").cast("binary")).when(k % 4 == 0, F.concat(F.unhex(F.lit("FFFE80C3")), k.cast("string").cast("binary"))).otherwise(F.concat(F.lit("// é "), k).cast("binary"))
+    return table(spark, sf_dir, "supplier").select(path.alias("path"), content.alias("content"))

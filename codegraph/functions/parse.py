@@ -31,8 +31,8 @@ def arrow(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
-def _batches(rows, schema: pa.Schema):
-    """Record batches of a few files, so that a worker never holds many parsed ones."""
+def record_batches(rows, schema: pa.Schema):
+    """Record batches of a few rows, so that a worker never holds many parsed files."""
     held = []
     for row in rows:
         held.append(row)
@@ -71,7 +71,7 @@ def parse_csharp(files: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             cols = [batch.column(c).to_pylist() for c in ("path", "rel_path", "text", "usings")]
-            yield from _batches(({"path": p, "rel_path": r, "usings": u} | csharp_row(t) for p, r, t, u in zip(*cols, strict=True)), schema)
+            yield from record_batches(({"path": p, "rel_path": r, "usings": u} | csharp_row(t) for p, r, t, u in zip(*cols, strict=True)), schema)
 
     usings = F.coalesce(F.regexp_extract_all("text", F.lit(USING), 1), F.array().cast("array<string>"))
     return files.select("path", "rel_path", "text", usings.alias("usings")).mapInArrow(run, SYNTAX)
@@ -86,7 +86,7 @@ def parse_tsql(files: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             cols = [batch.column(c).to_pylist() for c in ("path", "rel_path", "domain", "is_prepost", "text")]
-            yield from _batches(({"path": p, "rel_path": r, "domain": d, "is_prepost": x} | b for p, r, d, x, t in zip(*cols, strict=True) for b in tsql_rows(t)), schema)
+            yield from record_batches(({"path": p, "rel_path": r, "domain": d, "is_prepost": x} | b for p, r, d, x, t in zip(*cols, strict=True) for b in tsql_rows(t)), schema)
 
     return ready.mapInArrow(run, SQL_BATCHES)
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs
@@ -25,14 +25,23 @@ def seq(stage: int, path: Column, batch: Column | None = None, ord_: Column | No
     return F.struct(F.lit(stage).alias("stage"), path.alias("path"), whole(batch).alias("batch"), whole(ord_).alias("ord"), whole(nth).alias("nth"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, of spark.checkpoint.dir; a session on one machine may have a temporary one."""
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="codegraph-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root
+
+
 def cut(rows: DataFrame) -> DataFrame:
-    """The rows from a copy in the folder of spark.checkpoint.dir; a session on one machine may have a temporary one."""
+    """The rows from a copy in the shared folder."""
     context = rows.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        root = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not root and not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="codegraph-"))
+        context.setCheckpointDir(shared_folder(rows.sparkSession))
     return rows.checkpoint()
 
 

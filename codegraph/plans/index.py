@@ -79,15 +79,15 @@ def run(spark: SparkSession, config: IndexerConfig, progress=None) -> str | None
     built = build(batches, models, moved, inlined, config.entity_base_types, config.extra_hot_methods, repo.model_files(spark, [*model_roots, *other]))
     out = os.path.join(config.temp_root or config.out_root, "bundle")
     data = os.path.join(out, "sql_code_bundle")
-    for folder in ("graph", "docs/bodies"):
+    for folder in ("graph", "docs"):
         os.makedirs(os.path.join(data, folder), exist_ok=True)
     say("write", 3, 4)
     bundle.write_csv(graph.ordered_nodes(built.closed), bundle.NODE_HEADER, os.path.join(data, "graph", "nodes.csv"))
     bundle.write_csv(graph.ordered_edges(built.edges), bundle.EDGE_HEADER, os.path.join(data, "graph", "edges.csv"))
     bundle.write_graph_json(built.closed, built.edges, os.path.join(data, "graph", "graph.json"))
     bundle.write_bodies_jsonl([built.script_bodies.drop("body_path"), built.entity_bodies, built.migration_bodies, built.inline_bodies], os.path.join(data, "docs", "sql_bodies.jsonl"))
-    for rows, column in ((built.script_bodies, "body_path"), (built.entity_bodies, "bodyPath"), (built.migration_bodies, "bodyPath"), (built.inline_bodies, "bodyPath")):
-        bundle.write_body_files(rows, data, column)
+    bundle.write_body_files([built.script_bodies, built.entity_bodies, built.migration_bodies, built.inline_bodies], data)
+    os.makedirs(os.path.join(data, "docs/bodies"), exist_ok=True)
     bundle.write_json(bundle.manifest(built.nodes, built.edges, built.script_bodies, sql_root, model_roots), os.path.join(data, "manifest.json"))
     state = solution.git_state(config.solution or model_roots[0] if model_roots else sql_root)
     syntax = models

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from .operators import graph
 from .plans import binding
 from .plans import chunks as code
 from .plans import ef, index, inline, migrations, sql
-from .sources import bundle, repo, solution
+from .sources import bodies, bundle, repo, solution
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -95,6 +96,40 @@ def exact_duplicate_files(spark, sf_dir):
     return rows.groupBy("sha256").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")).filter("n > 1")
 
 
+TREE = """
+f AS (SELECT s_suppkey AS k, concat_ws('/', ['src/A', 'src/bin', 'db/Change Scripts', 'db/Snapshots/x', '.git', 'src/.hidden/deep', 'packages/p', 'db'][s_suppkey % 8 + 1], CASE WHEN s_suppkey % 3 = 0 THEN 'n' || (s_suppkey % 10) END,
+  replace(['F #.cs', 't#.SQL', '#.editorconfig', '_n#.md', 'i#.png'][s_suppkey % 5 + 1], '#', s_suppkey::VARCHAR)) AS path, ['CS', 'SQL', 'EDITORCONFIG', 'MD', 'PNG'][s_suppkey % 5 + 1] AS kind,
+  CASE WHEN s_suppkey % 9 = 0 THEN ''::BLOB WHEN s_suppkey % 4 = 0 THEN unhex('FFFE80C3') || encode(s_suppkey::VARCHAR) ELSE encode('// é ' || s_suppkey) END AS content FROM supplier)"""
+
+
+def tree(spark, sf_dir) -> str:
+    """A folder with the files of the tree, written anew."""
+    folder = f"{graph.shared_folder(spark).removeprefix('file://')}/tree-{uuid.uuid4().hex}"
+    bodies.write(corpus.tree_files(spark, sf_dir), folder)
+    return folder
+
+
+@query(f"WITH {TREE} SELECT path, kind, octet_length(content) AS size_bytes, sha256(content) AS sha256 FROM f WHERE kind <> 'PNG'")
+def scanned_files(spark, sf_dir):
+    rows = repo.files(spark, tree(spark, sf_dir), content=False, hashes=True)
+    return rows.select(F.col("rel_path").alias("path"), "kind", "size_bytes", "sha256")
+
+
+@query(f"""WITH {TREE} SELECT s.scan, path, decode(content) AS text FROM f JOIN (VALUES ('sql', 'SQL', ['Change Scripts', 'Snapshots', 'bin', '.git']), ('model', 'CS', []), ('inline', 'CS', ['bin', '.git', 'packages'])) s(scan, kind, skip) USING (kind)
+WHERE NOT list_has_any(string_split(path, '/')[:-2], s.skip) AND NOT (k % 4 = 0 AND k % 9 <> 0)""")
+def scanned_texts(spark, sf_dir):
+    folder = tree(spark, sf_dir)
+    scans = (("sql", repo.sql_files(spark, folder)), ("model", repo.model_files(spark, [folder])), ("inline", repo.inline_files(spark, [folder])))
+    rows = functools.reduce(DataFrame.unionByName, (rows.withColumn("scan", F.lit(name)) for name, rows in scans))
+    return rows.filter(~F.contains("text", F.lit("\ufffd"))).select("scan", F.col("rel_path").alias("path"), "text")
+
+
+@query(f"WITH {TREE} SELECT path, kind FROM f WHERE kind = 'MD' AND path LIKE 'src/%' AND octet_length(content) > 0")
+def scanned_by_condition(spark, sf_dir):
+    rows = repo.files(spark, tree(spark, sf_dir), where=(F.col("kind") == "MD") & F.col("rel_path").startswith("src/") & (F.col("size_bytes") > 0))
+    return rows.select(F.col("rel_path").alias("path"), "kind")
+
+
 KEYS = "CASE WHEN o_orderkey % 3 = 0 THEN 'srv.sales.T' || o_orderkey || '|TABLE' WHEN o_orderkey % 3 = 1 THEN 'crm.V' || o_orderkey || '|VIEW' ELSE 'P' || o_orderkey END"
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import csv
 import datetime
+import functools
 import json
 import os
 import re
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs
 from ..operators import graph
+from . import bodies
 
 NODE_HEADER = ["key", "kind", "name", "schema", "file", "batch", "domain", "body_path"]
 EDGE_HEADER = ["from", "to", "relation", "to_kind", "file", "batch"]
@@ -60,19 +62,10 @@ def write_bodies_jsonl(parts: Iterable[DataFrame], path: str) -> None:
                 f.write(r.value + "\n")
 
 
-def write_body_files(bodies: DataFrame, folder: str, path_column: str = "body_path") -> None:
-    """A file a row, written by the tasks below a folder they all see."""
-
-    def write(rows):
-        for r in rows:
-            target = os.path.join(folder, r[path_column])
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            part = f"{target}.{os.getpid()}.part"
-            with open(part, "w", encoding="utf-8") as f:
-                f.write(r["body"] or "")
-            os.replace(part, target)
-
-    bodies.filter(F.col(path_column).isNotNull()).select(path_column, "body").foreachPartition(write)
+def write_body_files(parts: Iterable[DataFrame], folder: str) -> None:
+    """A file for each row with a path (`body_path` or `bodyPath`) and its body, committed together."""
+    named = [p.select(F.col("body_path" if "body_path" in p.columns else "bodyPath").alias("path"), F.coalesce("body", F.lit("")).alias("content")) for p in parts]
+    bodies.write(functools.reduce(DataFrame.unionByName, named), folder)
 
 
 def write_graph_json(nodes: DataFrame, edges: DataFrame, path: str) -> None:

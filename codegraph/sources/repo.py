@@ -1,7 +1,8 @@
-"""Repository files as a DataFrame, through a data source that also sees names beginning with a dot or underscore.
+"""Repository files as a DataFrame: folders are listed by tasks, conditions apply to the listing, contents are read last.
 
-Spark's own file readers leave such names out. The driver lists paths, tasks read contents. Roots must be mounted where
-executors run, as source checkouts on a shared file system are.
+Spark's own file readers leave names out that begin with a dot or underscore. Roots must be mounted where executors run,
+as source checkouts on a shared file system are. Nothing is listed on the driver: a task walks the folders it is given
+until it has seen `FOLDERS_A_TURN`, and hands the rest back to be dealt out in the next round.
 """
 
 from __future__ import annotations
@@ -11,81 +12,105 @@ import hashlib
 import os
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ..functions import exprs
+from ..functions import exprs, parse
+from ..operators import graph
 
-SCHEMA = "path string, rel_path string, kind string, size_bytes bigint, last_write_utc timestamp, sha256 string, text string"
+LISTED = "root string, path string, rel_path string, kind string, size_bytes bigint, last_write_utc timestamp, folder boolean"
+CONTENTS = "path string, rel_path string, kind string, size_bytes bigint, last_write_utc timestamp, sha256 string, text string"
+FOLDERS_A_TURN = 512
 FILES_A_PART = 256
+ROWS_A_BATCH = 64
+BATCH_BYTES = 16 << 20
 HASH_BUFFER = 1 << 20
 
 
-class FilePart(InputPartition):
-    def __init__(self, files: list[tuple[str, str]]):
-        self.files = files
-
-
-def walk(root: str) -> Iterator[tuple[str, str]]:
-    """(path, path below the root), folders in order, subfolders before files, unreadable ones left out."""
-    for folder, below, names in os.walk(root, topdown=False, onerror=lambda e: None):
-        below.sort()
-        for name in sorted(names):
-            path = os.path.join(folder, name)
-            yield path, os.path.relpath(path, root).replace(os.sep, "/")
-
-
 def dot_suffix(name: str) -> str:
     """From the last dot, which may be the first character."""
     at = name.rfind(".")
     return name[at:].lower() if at >= 0 else ""
 
 
-class RepoReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.roots = [r for r in options.get("roots", "").split("\n") if r]
-        self.suffixes = set(filter(None, options.get("extensions", "").split(",")))
-        self.skip = set(filter(None, options.get("skip", "").split("\n")))
-        self.content = options.get("content", "true") == "true"
-        self.hashes = options.get("hashes", "false") == "true"
-
-    def partitions(self):
-        found = []
-        for root in self.roots:
-            os.makedirs(root, exist_ok=True)
-            for path, rel in walk(root):
-                folders = rel.lower().split("/")[:-1]
-                if dot_suffix(os.path.basename(path)) in self.suffixes and not self.skip.intersection(folders):
-                    found.append((path, rel))
-        return [FilePart(found[k : k + FILES_A_PART]) for k in range(0, len(found), FILES_A_PART)] or [FilePart([])]
-
-    def read(self, partition):
-        for path, rel in partition.files:
+def walk(root: str, start: str, suffixes: frozenset[str], skip: frozenset[str], most: int) -> Iterator[dict]:
+    """Files with one of the suffixes below `start`, and the folders that are left after `most`. Skipped names of folders
+    are compared without case; folders that can't be read are left out, links to folders are not followed."""
+    left, seen = [start], 0
+    while left:
+        folder = left.pop()
+        if seen >= most:
+            yield {"root": root, "path": folder, "folder": True}
+            continue
+        seen += 1
+        try:
+            entries = sorted(os.scandir(folder), key=lambda e: e.name)
+        except OSError:
+            continue
+        for e in entries:
             try:
-                stat = os.stat(path)
-                text = digest = None
-                if self.content:
-                    with open(path, encoding="utf-8-sig", errors="replace", newline="") as f:
-                        text = f.read()
-                if self.hashes:
-                    digest = file_sha256(path)
+                if e.is_dir():
+                    if not e.is_symlink() and e.name.lower() not in skip:
+                        left.append(e.path)
+                elif (suffix := dot_suffix(e.name)) in suffixes:
+                    stat = e.stat()
+                    when = datetime.datetime.fromtimestamp(stat.st_mtime, datetime.UTC)
+                    yield {"root": root, "path": e.path, "rel_path": os.path.relpath(e.path, root).replace(os.sep, "/"), "kind": suffix[1:].upper(), "size_bytes": stat.st_size, "last_write_utc": when, "folder": False}
             except OSError:
                 continue
-            when = datetime.datetime.fromtimestamp(stat.st_mtime, datetime.UTC)
-            yield path, rel, dot_suffix(os.path.basename(path))[1:].upper(), stat.st_size, when, digest, text
 
 
-class RepoFiles(DataSource):
-    @classmethod
-    def name(cls):
-        return "repofiles"
-
-    def schema(self):
-        return SCHEMA
-
-    def reader(self, schema):
-        return RepoReader(self.options)
+def listing(spark: SparkSession, roots: Sequence[str] | str, extensions: Sequence[str] = exprs.EXTENSIONS, skip: Sequence[str] = (), folders_a_turn: int = FOLDERS_A_TURN) -> DataFrame:
+    """root, path, rel_path, kind, size_bytes, last_write_utc of the files below roots; a missing root is made and has none."""
+    roots = [roots] if isinstance(roots, str) else list(roots)
+    for root in roots:
+        os.makedirs(root, exist_ok=True)
+    suffixes, without, schema = frozenset(extensions), frozenset(skip), parse.arrow(LISTED)
+
+    def turn(batches):
+        for batch in batches:
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            yield from parse.record_batches((x for root, folder in rows for x in walk(root, folder, suffixes, without, folders_a_turn)), schema)
+
+    left = spark.createDataFrame([(r, r) for r in roots], "root string, path string")
+    found = None
+    while found is None or not left.isEmpty():
+        listed = graph.cut(left.repartition("path").mapInArrow(turn, LISTED))
+        files = listed.filter("not folder").drop("folder")
+        found = files if found is None else found.unionByName(files)
+        left = listed.filter("folder").select("root", "path")
+    return found
+
+
+def contents(found: DataFrame, text: bool = True, hashes: bool = False) -> DataFrame:
+    """Listed files with their text (null if not asked for) and the SHA-256 of their bytes, read by tasks of a few files
+    each. What is filtered from the listing is never opened; files that are gone meanwhile are left out."""
+    schema = parse.arrow(CONTENTS)
+
+    def read(batches):
+        rows, held = [], 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                try:
+                    if text:
+                        with open(row["path"], encoding="utf-8-sig", errors="replace", newline="") as f:
+                            row["text"] = f.read()
+                    if hashes:
+                        row["sha256"] = file_sha256(row["path"])
+                except OSError:
+                    continue
+                rows.append(row)
+                held += row["size_bytes"]
+                if len(rows) >= ROWS_A_BATCH or held >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    parts = max(1, -(-found.count() // FILES_A_PART))
+    asked = found.select("path", "rel_path", "kind", "size_bytes", "last_write_utc")
+    return asked.repartition(parts, "path").mapInArrow(read, CONTENTS)
 
 
 def file_sha256(path: str) -> str:
@@ -97,11 +122,11 @@ def file_sha256(path: str) -> str:
     return digest.hexdigest()
 
 
-def files(spark: SparkSession, roots: Sequence[str] | str, extensions: Sequence[str] = exprs.EXTENSIONS, skip: Sequence[str] = (), content: bool = True, hashes: bool = False) -> DataFrame:
-    """path, rel_path, kind, size_bytes, last_write_utc, sha256, text of the files below roots; a missing root is made and has none."""
-    spark.dataSource.register(RepoFiles)
-    roots = [roots] if isinstance(roots, str) else list(roots)
-    return spark.read.format("repofiles").option("roots", "\n".join(roots)).option("extensions", ",".join(extensions)).option("skip", "\n".join(skip)).option("content", str(content).lower()).option("hashes", str(hashes).lower()).load()
+def files(spark: SparkSession, roots: Sequence[str] | str, extensions: Sequence[str] = exprs.EXTENSIONS, skip: Sequence[str] = (), content: bool = True, hashes: bool = False, where: Column | None = None) -> DataFrame:
+    """path, rel_path, kind, size_bytes, last_write_utc, sha256, text of the files below roots that meet a condition on
+    the first five; a missing root is made and has none."""
+    found = listing(spark, roots, extensions, skip)
+    return contents(found if where is None else found.filter(where), content, hashes)
 
 
 def sql_files(spark: SparkSession, root: str) -> DataFrame:

@@ -9,8 +9,9 @@ import pytest
 from codegraph import __main__ as command
 from codegraph import config
 from codegraph.plans import index
-from codegraph.sources import bundle, repo, solution
+from codegraph.sources import bodies, bundle, repo, solution
 from codegraph.streaming import incremental
+from pyspark.sql import functions as F
 
 
 def put(root, **texts):
@@ -33,6 +34,56 @@ def test_a_missing_root_is_made(spark, tmp_path):
     assert repo.files(spark, str(tmp_path / "new")).count() == 0 and (tmp_path / "new").is_dir()
 
 
+def test_folders_are_listed_in_turns(spark, tmp_path):
+    names = {f"a{i}/b{j}/c{k}.cs" for i in range(4) for j in range(5) for k in range(2)}
+    put(tmp_path, **dict.fromkeys(names, "x"), **{"a1/Bin/z.cs": "x", "a2/q.txt": ""})
+    os.symlink(str(tmp_path / "a0"), str(tmp_path / "loop"))
+    for most in (1, 3, 512):
+        assert {r.rel_path for r in repo.listing(spark, str(tmp_path), skip=("bin",), folders_a_turn=most).collect()} == names
+    (tmp_path / "a0" / "b0" / "c0.cs").unlink()
+    assert repo.files(spark, str(tmp_path), where=F.col("rel_path").startswith("a0/b0/")).count() == 1
+
+
+def test_files_that_are_gone_are_left_out(spark, tmp_path):
+    put(tmp_path, **{"a.cs": "x", "b.cs": "y"})
+    found = repo.listing(spark, str(tmp_path))
+    (tmp_path / "a.cs").unlink()
+    assert [r.rel_path for r in repo.contents(found).collect()] == ["b.cs"]
+
+
+def tree_of(folder):
+    return {os.path.relpath(os.path.join(top, n), folder): open(os.path.join(top, n), "rb").read() for top, _, names in os.walk(folder) for n in names}
+
+
+def test_body_files_are_written_whole_or_not_at_all(spark, tmp_path):
+    rows = spark.createDataFrame([(f"docs/{k % 3}/{k}.sql", f"é {k}") for k in range(40)] + [(None, "x"), ("empty", None)], "path string, content string")
+    bodies.write(rows.repartition(5), str(tmp_path))
+    whole = {f"docs/{k % 3}/{k}.sql": f"é {k}".encode() for k in range(40)} | {"empty": b""}
+    assert tree_of(tmp_path) == whole
+    bodies.write(spark.createDataFrame([("docs/0/0.sql", b"\xff"), ("docs/new/n", b"")], "path string, content binary"), str(tmp_path))
+    assert tree_of(tmp_path) == whole | {"docs/0/0.sql": b"\xff", "docs/new/n": b""}
+    with pytest.raises(Exception, match="not a path below"):
+        bodies.write(rows.unionByName(spark.createDataFrame([("../out", "x")], "path string, content string")).repartition(4), str(tmp_path / "new"))
+    assert not (tmp_path / "out").exists() and tree_of(tmp_path / "new") == {} and not list((tmp_path / "new").glob(".*"))
+
+
+def test_a_killed_task_leaves_no_partial_file(tmp_path):
+    writer = bodies.BodyWriter(str(tmp_path))
+
+    def killed():
+        yield "a/1.sql", "one"
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        writer.write(killed())
+    own = next(tmp_path.glob(".staging-*/.attempt-*"))
+    (own / "part").write_text("half of a fi")  # what a task that is killed in the middle leaves
+    assert [p for p in tmp_path.iterdir() if not p.name.startswith(".staging-")] == []
+    done = [writer.write(iter([("a/1.sql", "one"), ("a/2.sql", "two")])), writer.write(iter([("a/1.sql", "one")]))]
+    writer.commit(done)
+    assert tree_of(tmp_path) == {"a/1.sql": b"one", "a/2.sql": b"two"}
+
+
 def test_hash_of_streams(tmp_path):
     put(tmp_path, abc="abc", big="x" * 3_500_000)
     assert repo.file_sha256(str(tmp_path / "abc")) == "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad"
