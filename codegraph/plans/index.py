@@ -39,21 +39,22 @@ def build(batches: DataFrame, models: DataFrame, migration_syntax: DataFrame, in
     `migration_files`: texts for the pattern fallback, used if no migration is recognised.
     """
     known = sql.knowledge(batches)
-    mapping = ef.entity_map(models)
+    mapping = graph.cut(ef.entity_map(models))
     sets, set_edges = ef.dbset_graph(models, mapping)
     tables = known.nodes.filter("kind = 'TABLE'").select("name", "schema", "seq")
     entities, entity_edges, entity_bodies = ef.entity_graph(models, mapping, tables, base_types)
     fluent, fluent_edges = ef.fluent_graph(models, mapping)
-    found = migrations.analysed(migration_syntax)
+    found = graph.cut(migrations.analysed(migration_syntax))
     moves, move_edges = migrations.migration_graph(found)
     if migration_files is not None and not migrations.migration_classes(migration_syntax).take(1):
         moves, move_edges = migrations.fallback(migration_files)
     facts = inline.artifacts(inline_syntax, extra_hot).persist()
-    nodes = graph.upsert_nodes(known.nodes, sets, entities, fluent, moves, inline.method_nodes(facts))
+    nodes = graph.cut(graph.upsert_nodes(known.nodes, sets, entities, fluent, moves, inline.method_nodes(facts)))
     edges = known.edges
     for part in (set_edges, entity_edges, fluent_edges, move_edges, inline.method_edges(facts), inline.foreign_key_edges(facts)):
         edges = edges.unionByName(part)
-    closed = nodes.unionByName(graph.missing_tables(edges, nodes))
+    edges = graph.cut(edges)
+    closed = graph.cut(nodes.unionByName(graph.missing_tables(edges, nodes)))
     return Graph(nodes, edges, known.bodies, entity_bodies, migrations.summaries(found), inline.bodies(facts), closed, (facts,))
 
 

@@ -49,10 +49,10 @@ def snippet_targets(found: DataFrame) -> DataFrame:
 
 def artifacts(syntax: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """SQL facts with their namespace, type and method; where no method holds the line, the nearest one's."""
-    hot = hot_calls(syntax, extra)
-    found = snippet_targets(hot.unionByName(sql_literals(syntax, hot)))
-    s = spans(syntax)
-    held = graph.nearest_method(found, s)  # a method that holds the line is at no distance from it
+    hot = graph.cut(hot_calls(syntax, extra))
+    snippets = graph.cut(hot.unionByName(sql_literals(syntax, hot)))
+    places = graph.nearest_method(snippets.select("path", "line").distinct(), spans(syntax))  # a method that holds the line is at no distance from it
+    held = snippet_targets(snippets).join(places, ["path", "line"], "left")
     return held.select(F.col("path").alias("source_path"), F.lit("InlineSQL").alias("artifact_kind"), "identifier", "ns", F.col("type").alias("type_full_name"), F.col("method").alias("method_full_name"), F.col("line").alias("line_number"), F.col("rel_path").alias("relative_path"), "body", F.col("origin").alias("body_origin"), "ord", "n")
 
 

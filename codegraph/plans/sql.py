@@ -71,14 +71,14 @@ def script_bodies(found: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def knowledge(batches: DataFrame) -> Knowledge:
-    found, refs = defines(batches), references(batches)
+    found, refs = graph.cut(defines(batches)), graph.cut(references(batches))
     nodes = script_nodes(found)
     kinds = graph.defined_kinds(nodes)
     targets = refs.groupBy(graph.target_base(F.col("to")).alias("base")).agg(F.sum("n_defs").alias("n"))  # an edge for each definition
-    edges = graph.dedupe_edges(graph.resolve_kinds(define_ref_edges(found, refs), kinds, targets))
+    edges = graph.cut(graph.dedupe_edges(graph.resolve_kinds(define_ref_edges(found, refs), kinds, targets)))
     upserted = graph.upsert_nodes(nodes)
     whole = graph.upsert_nodes(upserted, graph.missing_nodes(edges, upserted))
-    return Knowledge(whole, edges, script_bodies(found, upserted), kinds)
+    return Knowledge(graph.cut(whole), edges, script_bodies(found, upserted), kinds)
 
 
 def definition_artifacts(batches: DataFrame) -> DataFrame:
