@@ -45,6 +45,16 @@ def cut(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
+def case_free(key: Column | str) -> Column:
+    """A key that compares character by character without case; for grouping and joining, not for output."""
+    return F.collate(key, "UTF8_LCASE")
+
+
+def alphabetical(*columns: str) -> list[Column]:
+    """The order of a language's readers: letters by alphabet, then accents, then case; equals in binary order."""
+    return [*(F.collate(c, "UNICODE") for c in columns), *map(F.col, columns)]
+
+
 def first_by(rows: DataFrame, keys: list[Column], order: str = "seq") -> DataFrame:
     """One row a key, the first by an order. An aggregation, so hot keys are cut down before the shuffle."""
     names = rows.columns
@@ -58,7 +68,7 @@ def upsert_nodes(*parts: DataFrame) -> DataFrame:
     whole = parts[0]
     for p in parts[1:]:
         whole = whole.unionByName(p)
-    return first_by(whole, [F.lower("key")])
+    return first_by(whole, [case_free("key")])
 
 
 def dedupe_edges(edges: DataFrame) -> DataFrame:
@@ -67,12 +77,12 @@ def dedupe_edges(edges: DataFrame) -> DataFrame:
 
 def defined_kinds(defines: DataFrame) -> DataFrame:
     """(base, kind): the first kind of each name; `defines` has key and seq."""
-    base = defines.select(F.lower(exprs.key_name(F.col("key"))).alias("base"), exprs.key_kind(F.col("key")).alias("kind"), "seq")
+    base = defines.select(target_base(F.col("key")).alias("base"), exprs.key_kind(F.col("key")).alias("kind"), "seq")
     return base.groupBy("base").agg(F.min_by("kind", "seq").alias("kind"))
 
 
 def target_base(to: Column) -> Column:
-    return F.lower(exprs.key_name(to))
+    return case_free(exprs.key_name(to))
 
 
 def resolve_kinds(edges: DataFrame, kinds: DataFrame, counts: DataFrame | None = None) -> DataFrame:
@@ -88,8 +98,8 @@ def resolve_kinds(edges: DataFrame, kinds: DataFrame, counts: DataFrame | None =
 
 def missing_nodes(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(external) nodes for targets that none describes."""
-    targets = edges.groupBy(F.lower("to").alias("__key")).agg(F.min_by(F.struct("to", "to_kind"), F.struct("from", "relation", "to")).alias("t"), F.min("seq").alias("seq"))
-    absent = targets.join(nodes.select(F.lower("key").alias("__key")), "__key", "left_anti")
+    targets = edges.groupBy(case_free("to").alias("__key")).agg(F.min_by(F.struct("to", "to_kind"), F.struct("from", "relation", "to")).alias("t"), F.min("seq").alias("seq"))
+    absent = targets.join(nodes.select(case_free("key").alias("__key")), "__key", "left_anti")
     schema, name = exprs.schema_and_name(exprs.key_name(F.col("t.to")))
     kind = F.coalesce("t.to_kind", exprs.key_kind(F.col("t.to")))
     return absent.select(F.col("t.to").alias("key"), kind.alias("kind"), name.alias("name"), schema.alias("schema"), F.lit("").alias("file"), F.lit(None).cast("int").alias("batch"), F.lit("(external)").alias("domain"), F.lit(None).cast("string").alias("body_path"), "seq")
@@ -98,8 +108,8 @@ def missing_nodes(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 def missing_tables(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Nodes of domain db for TABLE targets without one, with the file of the first such edge in (from, to) order."""
     tables = edges.filter(F.upper("to_kind") == "TABLE")
-    first = tables.groupBy(F.lower("to").alias("__key")).agg(F.min_by(F.struct("to", "file"), F.struct("from", "to", "relation", "file")).alias("t"), F.min("seq").alias("seq"))
-    absent = first.join(nodes.select(F.lower("key").alias("__key")), "__key", "left_anti")
+    first = tables.groupBy(case_free("to").alias("__key")).agg(F.min_by(F.struct("to", "file"), F.struct("from", "to", "relation", "file")).alias("t"), F.min("seq").alias("seq"))
+    absent = first.join(nodes.select(case_free("key").alias("__key")), "__key", "left_anti")
     schema, name = exprs.table_key_parts(F.col("t.to"))
     return absent.select(F.col("t.to").alias("key"), F.lit("TABLE").alias("kind"), name.alias("name"), schema.alias("schema"), F.col("t.file").alias("file"), F.lit(None).cast("int").alias("batch"), F.lit("db").alias("domain"), F.lit(None).cast("string").alias("body_path"), "seq")
 
@@ -167,9 +177,13 @@ def first_per_group(rows: DataFrame, keys: list[str], order: list[str], n: int)
     return rows.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= n).drop("__n")
 
 
+#: Nodes and edges of files are in this order.
+NODE_ORDER, EDGE_ORDER = ("key",), ("from", "to", "relation", "file")
+
+
 def ordered_nodes(nodes: DataFrame) -> DataFrame:
-    return nodes.select(*NODE).orderBy("key")
+    return nodes.select(*NODE).orderBy(*alphabetical(*NODE_ORDER))
 
 
 def ordered_edges(edges: DataFrame) -> DataFrame:
-    return edges.select(*EDGE).orderBy("from", "to", "relation", "file")
+    return edges.select(*EDGE).orderBy(*alphabetical(*EDGE_ORDER))
