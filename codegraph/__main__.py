@@ -6,6 +6,7 @@ import os
 import sys
 
 from .config import IndexerConfig, load_jsonc, parse_args
+from .progress import Heartbeat
 
 
 def settings(argv: list[str]) -> IndexerConfig:
@@ -31,7 +32,8 @@ def main(argv: list[str]) -> int:
     spark = SparkSession.builder.appName("codegraph").getOrCreate()
     for name, value in index.core_counts(spark, config).items():
         print(f"{name}: {value}")
-    path = index.run(spark, config, lambda phase, n, total: print(f"[{n}/{total}] {phase}", flush=True))
+    with Heartbeat(lambda line: print(line, flush=True)) as beat:
+        path = index.run(spark, config, beat.report)
     print(path or "no root of scripts or code is set")
     return 0
 

@@ -286,3 +286,53 @@ def tree_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat_ws("/", folder, F.when(k % 3 == 0, F.concat(F.lit("n"), k % 10)), F.replace(name, F.lit("#"), k.cast("string")))
     content = F.when(k % 9 == 0, F.lit("").cast("binary")).when(k % 4 == 0, F.concat(F.unhex(F.lit("FFFE80C3")), k.cast("string").cast("binary"))).otherwise(F.concat(F.lit("// é "), k).cast("binary"))
     return table(spark, sf_dir, "supplier").select(path.alias("path"), content.alias("content"))
+
+
+def colliding_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A script for each supplier, in pairs that define one view in different case; each third also alters a procedure and
+    a function."""
+    k = F.col("k")
+    pair = F.floor(k / 2)
+    view = F.when(k % 2 == 0, text_of("CREATE VIEW dbo.Same_{{p}} AS SELECT {{k}} AS n FROM sales.T_{{k}}", p=pair, k=k)).otherwise(text_of("CREATE VIEW DBO.SAME_{{p}} AS SELECT {{k}} AS n FROM sales.T_{{k}}", p=pair, k=k))
+    more = F.when(k % 3 == 0, text_of("\nGO\nALTER PROC dbo.A_{{k}} AS SELECT 1 AS one\nGO\nALTER FUNCTION dbo.B_{{k}} (@x INT) RETURNS INT AS BEGIN RETURN 1 END\n", k=k)).otherwise("")
+    return _files(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k")), F.concat(F.lit("Same/"), F.lpad("k", 8, "0"), F.lit(".sql")), F.concat(view, more))
+
+
+def mapped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two files for each nation that map one entity by attributes, in different case; for even ones a third by a call."""
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"))
+    one = _files(nation, F.concat(F.lit("Map/a_"), "k", F.lit(".cs")), text_of('namespace M { [Table("First_{{k}}")] public class E_{{k}} { } }', k=F.col("k")))
+    two = _files(nation, F.concat(F.lit("Map/b_"), "k", F.lit(".cs")), text_of('namespace M { [Table("Second_{{k}}", Schema = "s")] public class e_{{k}} { } }', k=F.col("k")))
+    call = _files(nation.filter("k % 2 = 0"), F.concat(F.lit("Map/a0_"), "k", F.lit(".cs")), text_of('class C { void M(B b) { b.Entity("M.E_{{k}}").ToTable("Third_{{k}}", "t"); } }', k=F.col("k")))
+    return one.unionByName(two).unionByName(call)
+
+
+HOT_CS = """namespace Hot.N
+{
+    class R_{{k}}
+    {
+        void One() { RunAdHoc("do {{k}} things"); RunOther("do other things"); }
+        void Two() { db.Database.ExecuteSqlRaw("refresh {{k}}"); var s = "SELECT a FROM dbo.Hidden_{{k}} WHERE b = 1"; }
+        void Three() { var s = "SELECT a FROM dbo.Seen_{{k}} WHERE b = 1"; }
+    }
+}
+"""
+
+
+def hot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A class for each supplier with a hot name that only a setting knows, and a literal on the line of a hot call."""
+    return _files(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k")), F.concat(F.lit("Hot/R_"), "k", F.lit(".cs")), text_of(HOT_CS, k=F.col("k")))
+
+
+FLUENT_CS = (
+    "b.Entity<Child_{{k}}>().HasOne(c => c.Parent_{{k}}).WithMany(p => p.Children).HasForeignKey(c => c.ParentId);",
+    "b.Entity<Child_{{k}}>().HasOne<Parent_{{k}}>().WithMany().HasForeignKey(c => c.ParentId);",
+    "b.Entity<Parent_{{k}}>().HasMany(p => p.Children_{{k}}).WithOne(c => c.Parent).HasForeignKey(c => c.ParentId);",
+)
+
+
+def fluent_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A context for each supplier with a foreign key in one of three forms."""
+    k = F.col("k")
+    chain = F.when(k % 3 == 0, text_of(FLUENT_CS[0], k=k)).when(k % 3 == 1, text_of(FLUENT_CS[1], k=k)).otherwise(text_of(FLUENT_CS[2], k=k))
+    return _files(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k")), F.concat(F.lit("Fluent/X_"), k, F.lit(".cs")), F.concat(F.lit("class X_"), k, F.lit(" { void M(ModelBuilder b) { "), chain, F.lit(" } }")))

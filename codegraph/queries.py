@@ -366,6 +366,18 @@ def statement_artifacts(spark, sf_dir):
     return sql.definition_artifacts(kinds(spark, sf_dir)).select("identifier", "artifact_kind")
 
 
+@query("""SELECT 'dbo.Same_' || p || '|VIEW' AS key, 'CREATE VIEW ' || CASE WHEN k % 2 = 0 THEN 'dbo.Same_' ELSE 'DBO.SAME_' END || p || ' AS SELECT ' || k || ' AS n FROM sales.T_' || k AS body FROM (SELECT min(s_suppkey) AS k, s_suppkey // 2 AS p FROM supplier GROUP BY 2)""")
+def colliding_bodies(spark, sf_dir):
+    """Of definitions whose files would have one name but for case, the first has the body."""
+    found = sql.knowledge(once(parse.parse_tsql(corpus.colliding_scripts(spark, sf_dir)))).bodies
+    return found.select(F.regexp_replace("key", r"(?i)^dbo\.same", "dbo.Same").alias("key"), "body")
+
+
+@query("""SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'dbo.Same_' ELSE 'DBO.SAME_' END || (s_suppkey // 2) || '|VIEW' AS identifier, 'VIEW' AS artifact_kind FROM supplier UNION ALL SELECT 'dbo.A_' || s_suppkey || '|PROC', 'PROC' FROM supplier WHERE s_suppkey % 3 = 0 UNION ALL SELECT 'dbo.B_' || s_suppkey || '|FUNC', 'FUNC' FROM supplier WHERE s_suppkey % 3 = 0""")
+def altered_artifacts(spark, sf_dir):
+    return sql.definition_artifacts(parse.parse_tsql(corpus.colliding_scripts(spark, sf_dir))).select("identifier", "artifact_kind")
+
+
 # Graph algebra on plain relations
 
 
@@ -521,6 +533,24 @@ def fluent_fk_edges(spark, sf_dir):
     return ef.fluent_graph(m, mapping)[1].select("from", "to", "relation")
 
 
+@query("""SELECT CASE WHEN n_nationkey % 2 = 0 THEN 'M.E_' ELSE 'M.e_' END || n_nationkey AS entity, CASE WHEN n_nationkey % 2 = 0 THEN 't' ELSE 's' END AS schema, CASE WHEN n_nationkey % 2 = 0 THEN 'Third_' ELSE 'Second_' END || n_nationkey AS "table" FROM nation""")
+def last_mapping_wins(spark, sf_dir):
+    return ef.entity_map(parse.parse_csharp(corpus.mapped_files(spark, sf_dir))).select("entity", "schema", "table")
+
+
+@query("""SELECT 'dbo.' || CASE WHEN s_suppkey % 3 = 2 THEN 'Children_' ELSE 'Child_' END || s_suppkey || '|TABLE' AS "from", 'dbo.Parent_' || s_suppkey || '|TABLE' AS "to" FROM supplier""")
+def fluent_forms(spark, sf_dir):
+    m = once(parse.parse_csharp(corpus.fluent_files(spark, sf_dir)))
+    return ef.fluent_graph(m, ef.entity_map(m))[1].select("from", "to")
+
+
+@query("""SELECT 'Hot.N.R_' || s_suppkey || '.' || m AS method, line, origin, replace(body, '#', s_suppkey::VARCHAR) AS body FROM supplier, (VALUES ('One', 5, 'ExtraHotMethod', 'do # things'), ('Two', 6, 'HotMethod', 'refresh #'), ('Three', 7, 'HeuristicRoslyn', 'SELECT a FROM dbo.Seen_# WHERE b = 1')) v(m, line, origin, body)""")
+def hot_lines(spark, sf_dir):
+    """Extra hot names, and literals that are left out because a hot call has taken their line."""
+    found = inline.artifacts(once(parse.parse_csharp(corpus.hot_files(spark, sf_dir))), EXTRA_HOT)
+    return found.select(F.col("method_full_name").alias("method"), F.col("line_number").alias("line"), F.col("body_origin").alias("origin"), "body")
+
+
 # Migrations
 
 
@@ -617,6 +647,15 @@ def calls_through_hierarchy(spark, sf_dir):
     return linked.links.join(side("src", "caller"), "src").join(side("dst", "callee"), "dst").drop("src", "dst", "first")
 
 
+@query(f"WITH {HIERARCHY} SELECT a.path AS caller_file, a.member AS caller, b.path AS callee_file, b.member AS callee, 'P' AS project FROM l JOIN c a ON a.id = l.src JOIN c b ON b.id = l.dst WHERE b.k > 0 OR b.path <> 'Lib/0.cs'")
+def calls_within_solution(spark, sf_dir):
+    """Files outside the projects' folders have no chunks, and calls of their methods lead nowhere."""
+    projects = corpus.table(spark, sf_dir, "supplier").select(F.concat(F.lit("/w/Lib/"), F.lpad("s_suppkey", 8, "0"), F.lit("/P.csproj")).alias("project_path"))
+    linked = code.code_graph(once(code.with_projects(hierarchy(spark, sf_dir), projects)))
+    side = lambda key, name: linked.chunks.select(F.col("id").alias(key), F.col("repo_relative_path").alias(f"{name}_file"), F.col("member").alias(name), F.col("project_name").alias(f"{key}_project"))
+    return linked.links.join(side("src", "caller"), "src").join(side("dst", "callee"), "dst").select("caller_file", "caller", "callee_file", "callee", F.col("dst_project").alias("project"))
+
+
 @query(f"WITH {HIERARCHY} SELECT id::INT AS id, path, class, member, params FROM c")
 def chunk_ids(spark, sf_dir):
     return code.code_graph(hierarchy(spark, sf_dir)).chunks.select("id", F.col("repo_relative_path").alias("path"), "class", "member", "params")

@@ -2,12 +2,14 @@
 
 import json
 import os
+import re
+import time
 import zipfile
 
 import pytest
 
 from codegraph import __main__ as command
-from codegraph import config
+from codegraph import config, progress
 from codegraph.plans import index
 from codegraph.sources import bodies, bundle, repo, solution
 from codegraph.streaming import incremental
@@ -84,6 +86,23 @@ def test_a_killed_task_leaves_no_partial_file(tmp_path):
     assert tree_of(tmp_path) == {"a/1.sql": b"one", "a/2.sql": b"two"}
 
 
+def test_heartbeat():
+    lines = []
+    with progress.Heartbeat(lines.append, " ", 0.01) as beat:
+        assert beat.period == 0.25 and progress.Heartbeat(print, "x", 99).period == 10
+        assert re.fullmatch(r"\[HB \d\d:\d\d:\d\d\] Starting \(   -\), elapsed 00:00:0\d", beat.line())
+        beat.report("graph", 1, 4)
+        assert beat.line().endswith("graph [1/4] ( 25%), elapsed 00:00:00")
+        beat.since -= 3700
+        beat.report("", 4, 4)
+        assert beat.line().endswith("graph [4/4] (100%), elapsed 01:01:40")
+        time.sleep(0.4)
+    n = len(lines)
+    assert n >= 2
+    time.sleep(0.4)
+    assert len(lines) == n
+
+
 def test_hash_of_streams(tmp_path):
     put(tmp_path, abc="abc", big="x" * 3_500_000)
     assert repo.file_sha256(str(tmp_path / "abc")) == "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad"
