@@ -19,6 +19,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import materialise, utf8
 
@@ -198,7 +199,8 @@ def encode_texts(documents: DataFrame) -> DataFrame:
 
 
 def store_texts(documents: DataFrame) -> DataFrame:
-    """One row for each document: the media column is read back, its samples and its features are digested."""
+    """One row for each document: the media column is written and read back, its samples are digested, and the NPY tiles
+    are written and read back too. `feature`: difference hash and checksum of the stored tile."""
 
     def run(batches):
         for batch in batches:
@@ -206,14 +208,15 @@ def store_texts(documents: DataFrame) -> DataFrame:
             for media in batch.column("media").to_pylist():
                 image = decode(media)
                 payload, gray = image.tobytes(), luma(image)
-                tile = npy_tile(gray)
-                for k, v in enumerate((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), f"{difference_hash(gray):016x}-{zlib.crc32(tile):08x}", tile)):
+                for k, v in enumerate((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), f"{difference_hash(gray):016x}", npy_tile(gray))):
                     out[k].append(v)
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *(pa.array(v, t) for v, t in zip(out, kinds, strict=True))], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tile"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *(pa.array(v, t) for v, t in zip(out, kinds, strict=True))], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "dhash", "tile"])
 
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile binary"
-    return materialise(encode_texts(documents), "media").mapInArrow(run, schema)
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, dhash string, tile binary"
+    tiles = materialise(materialise(encode_texts(documents), "media").mapInArrow(run, schema), "tiles")
+    checksum = F.lpad(F.lower(F.hex(F.crc32("tile"))), 8, "0")
+    return tiles.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.concat_ws("-", "dhash", checksum).alias("feature"), "tile")
 
 
 def write_tiles(rows: DataFrame, path: str, id_column: str = "doc_id", hash_column: str = "feature") -> None:

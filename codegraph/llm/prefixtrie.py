@@ -347,7 +347,7 @@ def prefix_nodes(paths: DataFrame, most_turns: int = MOST_TURNS) -> DataFrame:
     smallest = nodes.groupBy("conv_id").agg(F.min("depth").alias("first"), F.max((F.col("longest") == F.col("depth")).cast("long")).alias("leaf"))
     led = paths.join(smallest, "conv_id", "left").withColumn("first", F.coalesce("first", F.col("whole") + 1)).withColumn("leaf", F.coalesce("leaf", F.lit(0)))
     here = F.aggregate(F.slice("turns", F.lit(1), F.greatest(F.lit(0).cast("long"), F.least(F.size("turns").cast("long"), F.col("first") - 1 - F.col("start"))).cast("int")), F.lit(0).cast("long"), lambda a, t: a + t["words"])
-    later = Window.partitionBy("conv_id").orderBy("start", F.size("turns")).rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy("conv_id").orderBy(F.desc("start"), F.desc(F.size("turns"))).rowsBetween(Window.unboundedPreceding, -1)
     led = led.withColumn("after", F.coalesce(F.sum(here).over(later), F.lit(0)))
     sums = led.select("conv_id", "start", "turns", "x", "y", "first", "leaf", "after").mapInArrow(_tries(True, most_turns), SUMS)
     children = nodes.filter("depth > 0").select(F.col("px").alias("x"), F.col("py").alias("y"), (F.col("depth") - 1).alias("depth"), F.lit(1).cast("long").alias("n_children"))

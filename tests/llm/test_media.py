@@ -75,6 +75,18 @@ def test_texts(spark, odd):
     assert media.store_texts(odd.limit(0)).count() == 0
 
 
+def test_features_by_brute_force(spark):
+    rng = np.random.default_rng(4)
+    texts = ["short", "", None, *("".join(map(chr, rng.integers(32, 500, n))) for n in (300, 700, 900, 1500))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in media.store_texts(rows).collect():
+        gray = media.luma(media.decode(media.pack_payload(media.payload_of(texts[r.doc_id])[1]))).astype(float)
+        cells, tile = np.rint(resized(gray, 8, 9) * 256), np.load(io.BytesIO(r.tile))
+        bits = "".join("1" if b > a else "0" for row in cells for a, b in zip(row[:-1], row[1:], strict=True))
+        assert r.feature == f"{int(bits, 2):016x}-{zlib.crc32(r.tile):08x}"
+        assert np.abs(tile - resized(gray, 32, 32)).max() <= 0.5 + 1e-6
+
+
 @pytest.mark.parametrize("data", [b"P2 1 1 255 70000", b"P2 1 1 255 300", b"P3 1 1 255 1 2 300", b"P2 99999999999999999999 99999999999999999999 255 1", b"P5 0 0 255 ", b"P5 0 5 255 ", b"P5 1 1 0 A", b"P5 1 1 70000 AB", b"P5 4000000000 4000000000 255 A", b"P2 1 1 255 x", b"BM", b"P7 1 1", b"", b"BM" + bytes(60)])
 def test_broken_images_have_nulls(spark, data):
     row = media.decode_images(spark.createDataFrame([(1, bytearray(data))], "n int, data binary"), "n", "data").first()
