@@ -180,10 +180,3 @@ def first_per_group(rows: DataFrame, keys: list[str], order: list[str], n: int)
 #: Nodes and edges of files are in this order.
 NODE_ORDER, EDGE_ORDER = ("key",), ("from", "to", "relation", "file")
 
-
-def ordered_nodes(nodes: DataFrame) -> DataFrame:
-    return nodes.select(*NODE).orderBy(*alphabetical(*NODE_ORDER))
-
-
-def ordered_edges(edges: DataFrame) -> DataFrame:
-    return edges.select(*EDGE).orderBy(*alphabetical(*EDGE_ORDER))

@@ -83,8 +83,8 @@ def run(spark: SparkSession, config: IndexerConfig, progress=None) -> str | None
     for folder in ("graph", "docs"):
         os.makedirs(os.path.join(data, folder), exist_ok=True)
     say("write", 3, 4)
-    bundle.write_csv(graph.ordered_nodes(built.closed), bundle.NODE_HEADER, os.path.join(data, "graph", "nodes.csv"))
-    bundle.write_csv(graph.ordered_edges(built.edges), bundle.EDGE_HEADER, os.path.join(data, "graph", "edges.csv"))
+    bundle.write_csv(built.closed, bundle.NODE_HEADER, os.path.join(data, "graph", "nodes.csv"), graph.NODE_ORDER)
+    bundle.write_csv(built.edges, bundle.EDGE_HEADER, os.path.join(data, "graph", "edges.csv"), graph.EDGE_ORDER)
     bundle.write_graph_json(built.closed, built.edges, os.path.join(data, "graph", "graph.json"))
     bundle.write_bodies_jsonl([built.script_bodies.drop("body_path"), built.entity_bodies, built.migration_bodies, built.inline_bodies], os.path.join(data, "docs", "sql_bodies.jsonl"))
     bundle.write_body_files([built.script_bodies, built.entity_bodies, built.migration_bodies, built.inline_bodies], data)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import os
 import uuid
 
 from pyspark.sql import DataFrame
@@ -768,6 +769,54 @@ def bundle_manifest(spark, sf_dir):
     return count(k.nodes, "nodes").join(count(k.edges, "edges")).join(count(k.bodies, "docs"))
 
 
+def _folder(spark, name: str) -> str:
+    folder = f"{graph.shared_folder(spark).removeprefix('file://')}/{name}-{uuid.uuid4().hex}"
+    os.makedirs(folder)
+    return folder
+
+
+@query(f"""WITH {DEFINES}, n AS (SELECT *, split_part(key, '|', 2) AS kind, regexp_extract(key, '^[^.]*[.](.*)[|]', 1) AS name FROM d)
+SELECT key, kind, name, 'dbo' AS schema, file, batch::VARCHAR AS batch, split_part(file, '/', 1) AS domain, CASE WHEN kind = 'BATCH' THEN '' ELSE 'docs/bodies/dbo.' || name || '.' || kind || '.sql' END AS body_path FROM n""")
+def nodes_csv_file(spark, sf_dir):
+    """nodes.csv, written and read again."""
+    path = f"{_folder(spark, 'csv')}/nodes.csv"
+    bundle.write_csv(graph.upsert_nodes(sql.script_nodes(sql.defines(batches(spark, sf_dir)))), bundle.NODE_HEADER, path, graph.NODE_ORDER)
+    return bundle.read_csv(spark, path)
+
+
+@query(f"""WITH {KINDS}, n AS (SELECT key, 'node' AS part FROM d UNION ALL SELECT DISTINCT "to", 'node' FROM e UNION ALL SELECT "from" || ' ' || relation || ' ' || "to", 'edge' FROM e) SELECT part, key FROM n""")
+def graph_json_file(spark, sf_dir):
+    """graph.json, written and read again."""
+    known = sql.knowledge(kinds(spark, sf_dir))
+    path = f"{_folder(spark, 'json')}/graph.json"
+    bundle.write_graph_json(known.nodes, known.edges, path)
+    whole = spark.read.json(path, multiLine=True)
+    nodes = whole.select(F.inline("nodes")).select(F.lit("node").alias("part"), "key")
+    return nodes.unionByName(whole.select(F.inline("edges")).select(F.lit("edge").alias("part"), F.concat_ws(" ", "from", "relation", "to").alias("key")))
+
+
+@query(f"""WITH {HIERARCHY} SELECT id, path, class, member, (SELECT string_agg(dst, ',' ORDER BY dst) FROM l WHERE src = id) AS callees FROM c""")
+def code_json_files(spark, sf_dir):
+    """chunks.json and dependencies.json, written and read again."""
+    linked = code.code_graph(hierarchy(spark, sf_dir))
+    folder = _folder(spark, "code")
+    bundle.write_code(linked.chunks, code.adjacency(linked.links), {}, folder)
+    chunks = spark.read.json(f"{folder}/chunks.json", multiLine=True)
+    calls = spark.read.text(f"{folder}/dependencies.json", wholetext=True).select(F.explode(F.from_json("value", "map<string, array<bigint>>")).alias("src", "dst"))
+    rows = chunks.join(calls, chunks["id"].cast("string") == calls["src"], "left")
+    return rows.select("id", F.col("repo_relative_path").alias("path"), "class", "member", F.array_join(F.sort_array("dst"), ",").alias("callees"))
+
+
+@query("""SELECT json_object('key', 'csharp:Shop.Migrations.V' || s_suppkey || '|MIGRATION', 'kind', 'MIGRATION', 'name', 'V' || s_suppkey)::VARCHAR AS line FROM supplier UNION ALL SELECT json_object('k', s_suppkey, 'q', 'a"b\\c' || chr(9))::VARCHAR FROM supplier""")
+def bodies_jsonl_file(spark, sf_dir):
+    """A JSONL file of two shapes, written and read again; with quotes, slashes and tabs to escape."""
+    path = f"{_folder(spark, 'jsonl')}/bodies.jsonl"
+    one = migrations.summaries(moves(spark, sf_dir)).select("key", "kind", "name")
+    two = corpus.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.lit('a"b\\c\t').alias("q"))
+    bundle.write_bodies_jsonl([one, two], path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 @query("SELECT kind, count(*) AS n FROM (SELECT 'DBSET' AS kind FROM nation, range(2) UNION ALL SELECT 'ENTITY' FROM nation, range(3) UNION ALL SELECT 'MIGRATION' FROM supplier UNION ALL SELECT 'METHOD' FROM customer, range(2) UNION ALL SELECT 'METHOD' FROM customer WHERE c_custkey % 5 = 0 UNION ALL SELECT 'METHOD' FROM customer WHERE c_custkey % 7 = 0 AND c_custkey % 5 <> 0 UNION ALL SELECT 'METHOD' FROM customer) GROUP BY 1")
 def whole_graph_code_kinds(spark, sf_dir):
     built = index.build(batches(spark, sf_dir), models(spark, sf_dir), migration_code(spark, sf_dir), data_code(spark, sf_dir), BASE_TYPES, EXTRA_HOT)

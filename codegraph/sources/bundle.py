@@ -1,7 +1,7 @@
 """Writers of a bundle: graph tables, JSON, body files, manifest, archive; and readers of what was written.
 
-The relations themselves belong in Parquet (`write_tables`). The single-file forms stream rows through the driver in
-order, so its memory holds one partition at a time.
+The relations themselves belong in Parquet (`write_tables`). The single-file forms are written by tasks, each its own
+range of bytes; the archive alone is packed on one machine, from files.
 """
 
 from __future__ import annotations
@@ -14,14 +14,14 @@ import os
 import re
 import shutil
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs
 from ..operators import graph
-from . import bodies
+from . import bodies, linefile
 
 NODE_HEADER = ["key", "kind", "name", "schema", "file", "batch", "domain", "body_path"]
 EDGE_HEADER = ["from", "to", "relation", "to_kind", "file", "batch"]
@@ -38,11 +38,11 @@ def csv_lines(rows: DataFrame, header: list[str]) -> DataFrame:
     return ready.select(F.concat_ws(",", *(exprs.csv_quote(F.col(f"`{c}`")) for c in header)).alias("line"))
 
 
-def write_csv(rows: DataFrame, header: list[str], path: str) -> None:
-    with open(path, "w", encoding="utf-8", newline="") as f:
-        f.write(",".join(header) + "\n")
-        for r in csv_lines(rows, header).toLocalIterator(prefetchPartitions=True):
-            f.write(r.line + "\n")
+def write_csv(rows: DataFrame, header: list[str], path: str, order: Sequence[str] = ()) -> None:
+    """A header and a line a row, in alphabetical order of some columns."""
+    columns = [F.col(f"`{c}`") for c in header]
+    ready = rows.withColumn("file", exprs.slashes(F.col("file"))) if "file" in header else rows
+    linefile.write(path, linefile.Part(ready, F.concat_ws(",", *map(exprs.csv_quote, columns)), graph.alphabetical(*order), ",".join(header) + "\n", "\n", "\n"))
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -51,15 +51,16 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def json_lines(rows: DataFrame) -> DataFrame:
-    return rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value"))
+    return rows.select(json_line(rows).alias("value"))
+
+
+def json_line(rows: DataFrame) -> Column:
+    return F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
 
 
 def write_bodies_jsonl(parts: Iterable[DataFrame], path: str) -> None:
     """Shapes one after the other: scripts, entities, migrations, embedded SQL."""
-    with open(path, "w", encoding="utf-8") as f:
-        for rows in parts:
-            for r in json_lines(rows).toLocalIterator(prefetchPartitions=True):
-                f.write(r.value + "\n")
+    linefile.write(path, *(linefile.Part(rows, F.concat(json_line(rows), F.lit("\n")), between="") for rows in parts))
 
 
 def write_body_files(parts: Iterable[DataFrame], folder: str) -> None:
@@ -69,14 +70,10 @@ def write_body_files(parts: Iterable[DataFrame], folder: str) -> None:
 
 
 def write_graph_json(nodes: DataFrame, edges: DataFrame, path: str) -> None:
-    """{"nodes": [...], "edges": [...]} with all values as texts."""
+    """{"nodes": [...], "edges": [...]} with all values as texts, in the files' orders."""
     texts = lambda rows, header: rows.select(*(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in header))
-    with open(path, "w", encoding="utf-8") as f:
-        for name, rows, end in (("nodes", texts(graph.ordered_nodes(nodes), NODE_HEADER), ","), ("edges", texts(graph.ordered_edges(edges), EDGE_HEADER), "}")):
-            f.write(("{" if name == "nodes" else "") + json.dumps(name) + ":[")
-            for k, r in enumerate(json_lines(rows).toLocalIterator(prefetchPartitions=True)):
-                f.write(("," if k else "") + r.value)
-            f.write("]" + end)
+    n, e = texts(nodes, NODE_HEADER), texts(edges, EDGE_HEADER)
+    linefile.write(path, linefile.Part(n, json_line(n), graph.alphabetical(*graph.NODE_ORDER), '{"nodes":[', ",", "],"), linefile.Part(e, json_line(e), graph.alphabetical(*graph.EDGE_ORDER), '"edges":[', ",", "]}"))
 
 
 def manifest(nodes: DataFrame, edges: DataFrame, bodies: DataFrame, sql_root: str, code_roots: list[str]) -> dict:
@@ -92,13 +89,10 @@ def write_json(value, path: str) -> None:
 def write_code(chunks: DataFrame, adjacency: DataFrame, meta: dict, folder: str) -> None:
     """chunks.json, dependencies.json, repo_meta.json and README_WSL.txt."""
     os.makedirs(folder, exist_ok=True)
-    public = chunks.drop("member_ord", "params", "path").orderBy("id")
-    for name, rows, opener, closer in (("chunks.json", json_lines(public), "[", "]"), ("dependencies.json", adjacency.orderBy("src").select(F.concat(F.lit('"'), "src", F.lit('": '), F.to_json("callees")).alias("value")), "{", "}")):
-        with open(os.path.join(folder, name), "w", encoding="utf-8") as f:
-            f.write(opener)
-            for k, r in enumerate(rows.toLocalIterator(prefetchPartitions=True)):
-                f.write((",\n  " if k else "\n  ") + r.value)
-            f.write(f"\n{closer}\n")
+    public = chunks.drop("member_ord", "params", "path")
+    linefile.write(os.path.join(folder, "chunks.json"), linefile.Part(public, json_line(public), [F.col("id")], "[\n  ", ",\n  ", "\n]\n"))
+    entry = F.concat(F.lit('"'), "src", F.lit('": '), F.to_json("callees"))
+    linefile.write(os.path.join(folder, "dependencies.json"), linefile.Part(adjacency, entry, [F.col("src")], "{\n  ", ",\n  ", "\n}\n"))
     write_json(meta, os.path.join(folder, "repo_meta.json"))
     with open(os.path.join(folder, "README_WSL.txt"), "w", encoding="utf-8") as f:
         f.write("Unpack this archive where the retrieval service reads its bundles.\n")

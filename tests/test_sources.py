@@ -11,7 +11,7 @@ import pytest
 from codegraph import __main__ as command
 from codegraph import config, progress
 from codegraph.plans import index
-from codegraph.sources import bodies, bundle, repo, solution
+from codegraph.sources import bodies, bundle, linefile, repo, solution
 from codegraph.streaming import incremental
 from pyspark.sql import functions as F
 
@@ -86,6 +86,19 @@ def test_a_killed_task_leaves_no_partial_file(tmp_path):
     assert tree_of(tmp_path) == {"a/1.sql": b"one", "a/2.sql": b"two"}
 
 
+def test_one_file_written_by_ranges(spark, tmp_path):
+    path = str(tmp_path / "x.txt")
+    put(tmp_path, **{"x.txt": "as it was"})
+    rows = spark.range(3000).select(F.col("id"), F.concat(F.lit("é"), F.col("id") * 7919 % 3000).alias("line")).repartition(7)
+    made = [linefile.Part(rows, F.col("line"), [F.desc("id")], "head\n", ", ", " end\n"), linefile.Part(rows.filter("id < 0"), F.col("line"), [], "<", "|", ">"), linefile.Part(rows.filter("id = 5"), F.col("line"), [], "<", "|", ">")]
+    linefile.write(path, *made)
+    with open(path, encoding="utf-8") as f:
+        assert f.read() == "head\n" + ", ".join(f"é{k * 7919 % 3000}" for k in reversed(range(3000))) + " end\n<><é" + str(5 * 7919 % 3000) + ">"
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        linefile.write(path, made[0], linefile.Part(rows, (F.lit(1) / (F.col("id") - 7)).cast("string")))
+    assert os.listdir(tmp_path) == ["x.txt"] and os.path.getsize(path) > 15_000
+
+
 def test_heartbeat():
     lines = []
     with progress.Heartbeat(lines.append, " ", 0.01) as beat:
