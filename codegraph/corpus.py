@@ -314,13 +314,14 @@ HOT_CS = """namespace Hot.N
         void One() { RunAdHoc("do {{k}} things"); RunOther("do other things"); }
         void Two() { db.Database.ExecuteSqlRaw("refresh {{k}}"); var s = "SELECT a FROM dbo.Hidden_{{k}} WHERE b = 1"; }
         void Three() { var s = "SELECT a FROM dbo.Seen_{{k}} WHERE b = 1"; }
+        void Four() { db.Database.ExecuteSqlRaw("   "); RunAdHoc(""); }
     }
 }
 """
 
 
 def hot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A class for each supplier with a hot name that only a setting knows, and a literal on the line of a hot call."""
+    """A class for each supplier with a hot name that only a setting knows, a literal on the line of a hot call, and blank ones."""
     return _files(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k")), F.concat(F.lit("Hot/R_"), "k", F.lit(".cs")), text_of(HOT_CS, k=F.col("k")))
 
 

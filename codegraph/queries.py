@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import corpus
+from . import config, corpus
 from .functions import exprs, parse
 from .operators import graph, numbering
 from .plans import binding
@@ -103,9 +103,15 @@ f AS (SELECT s_suppkey AS k, concat_ws('/', ['src/A', 'src/bin', 'db/Change Scri
   CASE WHEN s_suppkey % 9 = 0 THEN ''::BLOB WHEN s_suppkey % 4 = 0 THEN unhex('FFFE80C3') || encode(s_suppkey::VARCHAR) ELSE encode('// é ' || s_suppkey) END AS content FROM supplier)"""
 
 
+def _folder(spark, name: str) -> str:
+    folder = f"{graph.shared_folder(spark).removeprefix('file://')}/{name}-{uuid.uuid4().hex}"
+    os.makedirs(folder)
+    return folder
+
+
 def tree(spark, sf_dir) -> str:
     """A folder with the files of the tree, written anew."""
-    folder = f"{graph.shared_folder(spark).removeprefix('file://')}/tree-{uuid.uuid4().hex}"
+    folder = _folder(spark, "tree")
     bodies.write(corpus.tree_files(spark, sf_dir), folder)
     return folder
 
@@ -131,6 +137,40 @@ def scanned_by_condition(spark, sf_dir):
     return rows.select(F.col("rel_path").alias("path"), "kind")
 
 
+@query(f"""WITH {TREE}, c AS (SELECT count(*) FILTER (kind <> 'PNG') AS n FROM f) SELECT s.hashed, n AS files, CASE WHEN s.hashed THEN n ELSE 0 END AS hashes FROM c, (VALUES (true), (false)) s(hashed)""")
+def counted_files(spark, sf_dir):
+    """Files of a root, and their hashes, which a setting leaves out."""
+    folder = tree(spark, sf_dir)
+    counted = [index.core_counts(spark, config.IndexerConfig(model_root=folder, skip_hashes=not hashed)) | {"hashed": hashed} for hashed in (True, False)]
+    return spark.createDataFrame([(c["hashed"], c["files"], c["hashes"]) for c in counted], "hashed boolean, files bigint, hashes bigint")
+
+
+@query("""SELECT 's.sln' AS file, n_name || '/' || n_nationkey || '.csproj' AS path FROM nation UNION ALL SELECT 's.slnx', n_name || '/' || n_nationkey || '.sqlproj' FROM nation""")
+def solution_files(spark, sf_dir):
+    """Both kinds of solution files, written, and read by what their suffix says."""
+    folder, n = _folder(spark, "solutions"), corpus.table(spark, sf_dir, "nation")
+    lines = lambda line: F.array_join(F.sort_array(F.collect_list(line)), "\n")
+    sln = n.agg(lines(F.concat(F.lit('Project("{F}") = "X", "'), "n_name", F.lit("\\"), "n_nationkey", F.lit('.csproj", "{G}"\nEndProject'))).alias("content"))
+    slnx = n.agg(F.concat(F.lit("<Solution>\n"), lines(F.concat(F.lit('  <Project Path="'), "n_name", F.lit("/"), "n_nationkey", F.lit('.sqlproj" />'))), F.lit("\n</Solution>")).alias("content"))
+    bodies.write(sln.withColumn("path", F.lit("s.sln")).unionByName(slnx.withColumn("path", F.lit("s.slnx"))), folder)
+    read = lambda name: solution.read_solution(spark, f"{folder}/{name}").select(F.lit(name).alias("file"), exprs.relative_to(F.col("project_path"), folder).alias("path"))
+    return read("s.sln").unionByName(read("s.slnx"))
+
+
+@query("""SELECT s_suppkey AS k, CASE s_suppkey % 3 WHEN 0 THEN 'a b/' || s_suppkey || '.cs' WHEN 1 THEN '/other/' || s_suppkey || '.cs' ELSE '/w/rootless/' || s_suppkey || '.cs' END AS path FROM supplier""")
+def relative_paths(spark, sf_dir):
+    k = F.col("s_suppkey")
+    whole = F.concat(F.element_at(F.array(F.lit("/w/root/a b/"), F.lit("/other/"), F.lit("/w/rootless/")), (k % 3 + 1).cast("int")), k, F.lit(".cs"))
+    return corpus.table(spark, sf_dir, "supplier").select(k.alias("k"), exprs.relative_to(whole, "/w/root/").alias("path"))
+
+
+@query("SELECT path, min(error) AS error FROM (SELECT 'p' || (o_orderkey % 50) AS path, 'e' || o_orderkey AS error FROM orders WHERE o_orderkey % 7 = 0) GROUP BY path ORDER BY path LIMIT 2")
+def first_parse_errors(spark, sf_dir):
+    k = F.col("o_orderkey")
+    rows = corpus.table(spark, sf_dir, "orders").select(F.concat(F.lit("p"), k % 50).alias("path"), F.when(k % 7 == 0, F.concat(F.lit("e"), k)).alias("error"))
+    return index.parse_errors(rows)
+
+
 KEYS = "CASE WHEN o_orderkey % 3 = 0 THEN 'srv.sales.T' || o_orderkey || '|TABLE' WHEN o_orderkey % 3 = 1 THEN 'crm.V' || o_orderkey || '|VIEW' ELSE 'P' || o_orderkey END"
 
 
@@ -769,12 +809,6 @@ def bundle_manifest(spark, sf_dir):
     return count(k.nodes, "nodes").join(count(k.edges, "edges")).join(count(k.bodies, "docs"))
 
 
-def _folder(spark, name: str) -> str:
-    folder = f"{graph.shared_folder(spark).removeprefix('file://')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(folder)
-    return folder
-
-
 @query(f"""WITH {DEFINES}, n AS (SELECT *, split_part(key, '|', 2) AS kind, regexp_extract(key, '^[^.]*[.](.*)[|]', 1) AS name FROM d)
 SELECT key, kind, name, 'dbo' AS schema, file, batch::VARCHAR AS batch, split_part(file, '/', 1) AS domain, CASE WHEN kind = 'BATCH' THEN '' ELSE 'docs/bodies/dbo.' || name || '.' || kind || '.sql' END AS body_path FROM n""")
 def nodes_csv_file(spark, sf_dir):
