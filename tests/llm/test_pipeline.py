@@ -1,10 +1,15 @@
 import importlib
+import random
+import zlib
+from itertools import combinations
 
+import corpus_pipeline
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
-
-import corpus_pipeline
-from codegraph.llm import common, mixing
+from codegraph.llm import common, linededup, mixing, toxicity
+from test_similarity import brute_components
+from tokenizers import Tokenizer
 
 
 def test_pipeline_on_a_small_corpus(spark, tmp_path):
@@ -31,6 +36,64 @@ def test_pipeline_on_a_small_corpus(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == seen["packing"].count()
 
 
+def toxic_by_definition(model, text):
+    """Weights of the words that a term fits, the heaviest each, without words that an exception phrase spares."""
+    words = toxicity.fold(text).split()
+    fits = lambda term, w: w == term.strip() if term.endswith(" ") else w.startswith(term.strip())
+    spared = set()
+    for k in range(len(words) - 1):
+        if term := model.exceptions.get(f" {words[k]} {words[k + 1]} "):
+            spared.add(k if fits(term, words[k]) else k + 1)
+    weight = sum(max((v for t, v in model.terms.items() if fits(t, w)), default=0.0) for k, w in enumerate(words) if k not in spared)
+    return toxicity.curve_value(model.curve, weight, len(words)) >= 0.3
+
+
+def lines_by_definition(rows):
+    first = {}
+    for place, words in sorted(((d, k), tuple(line.split())) for d, t in rows for k, line in enumerate(t.split("\n")) if line.split()):
+        first.setdefault(words, place)
+    near = {max(x, y) for (a, x), (b, y) in combinations(first.items(), 2) if (least := min(len(a), len(b))) >= 8 and abs(len(a) - len(b)) <= max(1, least // 10) and linededup.word_distance(" ".join(a), " ".join(b)) <= max(1, least // 10)}
+    stays = lambda d, k, line: not line.split() or first[tuple(line.split())] not in near and first[tuple(line.split())] == (d, k)
+    return [(d, "\n".join(line for k, line in enumerate(t.split("\n")) if stays(d, k, line))) for d, t in rows]
+
+
+def test_run_by_brute_force(spark, tmp_path):
+    rng = random.Random(8)
+    pool = [" ".join(rng.choice("abcdefgh") + str(rng.randint(0, 40)) for _ in range(rng.choice([3, 9, 14, 30]))) for _ in range(60)]
+    rows = []
+    for d in range(150):
+        lines = [rng.choice(pool) if rng.random() < 0.3 else " ".join(f"w{rng.randint(0, 900)}" for _ in range(rng.randint(4, 40))) for _ in range(rng.randint(1, 6))]
+        if d % 6 == 0:
+            lines.append(f"what a {rng.choice(['grubble', 'snorfish', 'zonk'])} you are {rng.randint(0, 999)}")
+        if d % 10 == 3 and rows:  # near copies that survive the line stage, cut in other places
+            lines = [" ".join(rows[-1][1].split())]
+        rows.append((d, "\n".join(lines)))
+    columns = {"doc_id": [d for d, _ in rows], "text": [t for _, t in rows], "lang": ["en"] * 150, "source": [f"s{d * d % 4}" for d, _ in rows], "n_chars": [len(t) for _, t in rows]}
+    pq.write_table(pa.table(columns), tmp_path / "documents.parquet")
+    pq.write_table(pa.table({"doc_id": [d for d, _ in rows], "quality": [1] * 150, "toxic": pa.array([int(d % 6 == 0) for d, _ in rows], pa.int32())}), tmp_path / "labels.parquet")
+    documents, labels = (spark.read.parquet(str(tmp_path / f"{n}.parquet")) for n in ("documents", "labels"))
+    model = toxicity.learn(toxicity.training_rows(documents, labels))
+    clean = [(d, t) for d, t in rows if not toxic_by_definition(model, t)]
+    assert 100 < len(clean) < 150
+    unique = lines_by_definition(clean)
+    assert unique != clean
+    groups = brute_components(unique)
+    kept = {d: t for d, t in unique if groups[d, t][1] == d}
+    assert len(kept) < len(unique)
+    tokenizer = Tokenizer.from_file(common.tokenizer_path())
+    tokenizer.encode_special_tokens = True
+    want = {d: [*tokenizer.encode(t, add_special_tokens=False).ids, 1] for d, t in kept.items()}
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    for r in pieces:
+        ids = want[r.doc_id]
+        assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes())
+    covered = {}
+    for r in sorted(pieces, key=lambda r: (r.doc_id, r.start)):
+        assert r.start == covered.get(r.doc_id, 0)
+        covered[r.doc_id] = r.start + r.length
+    assert covered == {d: len(ids) for d, ids in want.items()}
+
+
 def test_stages_on_odd_documents(spark, odd, tmp_path):
     names = ["a.b", "__n_lines", "__gone", "__kept", "__part", "__slot", "__position", "c0", "c1", "kept", "kept_lines"]
     docs = odd.select("doc_id", "text", "lang", "source", "n_chars").selectExpr("*", *(f"CASE WHEN doc_id % 2 = 0 THEN 'x{k}' END AS `{n}`" for k, n in enumerate(names)))
