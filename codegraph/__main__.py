@@ -29,7 +29,7 @@ def main(argv: list[str]) -> int:
 
     from .plans import index
 
-    spark = SparkSession.builder.appName("codegraph").getOrCreate()
+    spark = SparkSession.builder.appName("codegraph").config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate()
     for name, value in index.core_counts(spark, config).items():
         print(f"{name}: {value}")
     with Heartbeat(lambda line: print(line, flush=True)) as beat:

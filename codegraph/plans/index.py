@@ -29,7 +29,6 @@ class Graph:
     migration_bodies: DataFrame
     inline_bodies: DataFrame
     closed: DataFrame  # nodes with the tables that edges name
-    held: tuple = ()  # relations that executors keep for it
 
 
 def build(batches: DataFrame, models: DataFrame, migration_syntax: DataFrame, inline_syntax: DataFrame, base_types: Sequence[str] = (), extra_hot: Sequence[str] = (), migration_files: DataFrame | None = None) -> Graph:
@@ -48,14 +47,14 @@ def build(batches: DataFrame, models: DataFrame, migration_syntax: DataFrame, in
     moves, move_edges = migrations.migration_graph(found)
     if migration_files is not None and not migrations.migration_classes(migration_syntax).take(1):
         moves, move_edges = migrations.fallback(migration_files)
-    facts = inline.artifacts(inline_syntax, extra_hot).persist()
+    facts = graph.cut(inline.artifacts(inline_syntax, extra_hot))
     nodes = graph.cut(graph.upsert_nodes(known.nodes, sets, entities, fluent, moves, inline.method_nodes(facts)))
     edges = known.edges
     for part in (set_edges, entity_edges, fluent_edges, move_edges, inline.method_edges(facts), inline.foreign_key_edges(facts)):
         edges = edges.unionByName(part)
     edges = graph.cut(edges)
     closed = graph.cut(nodes.unionByName(graph.missing_tables(edges, nodes)))
-    return Graph(nodes, edges, known.bodies, entity_bodies, migrations.summaries(found), inline.bodies(facts), closed, (facts,))
+    return Graph(nodes, edges, known.bodies, entity_bodies, migrations.summaries(found), inline.bodies(facts), closed)
 
 
 def run(spark: SparkSession, config: IndexerConfig, progress=None) -> str | None:
@@ -102,7 +101,7 @@ def run(spark: SparkSession, config: IndexerConfig, progress=None) -> str | None
     bundle.write_json(state, os.path.join(out, "repo_meta.json"))
     say("archive", 4, 4)
     path = bundle.archive(out, state["branch"], config.out_root or None)
-    for held in (batches, models, moved, inlined, syntax, *built.held):
+    for held in (batches, models, moved, inlined, syntax):
         held.unpersist()
     return path
 

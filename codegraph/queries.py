@@ -23,24 +23,14 @@ EXTRA_HOT = ("RunAdHoc",)
 BASE_TYPES = ("Shop.Model.BaseEntity",)
 
 
-_held: list[DataFrame] = []
-
-
 def once(rows: DataFrame) -> DataFrame:
-    """Parsed rows that a query starts from several times: kept by the executors until the next query is asked for."""
-    _held.append(rows.persist())
-    return rows
+    """Parsed rows that a query starts from several times, from a copy in the shared folder."""
+    return graph.cut(rows)
 
 
 def query(oracle: str | None = None):
     def add(f):
-        @functools.wraps(f)
-        def run(spark, sf_dir):
-            while _held:
-                _held.pop().unpersist()
-            return f(spark, sf_dir)
-
-        QUERIES[f.__name__] = run
+        QUERIES[f.__name__] = f
         if oracle:
             ORACLE_SQL[f.__name__] = oracle.strip()
         return f
@@ -854,5 +844,4 @@ def bodies_jsonl_file(spark, sf_dir):
 @query("SELECT kind, count(*) AS n FROM (SELECT 'DBSET' AS kind FROM nation, range(2) UNION ALL SELECT 'ENTITY' FROM nation, range(3) UNION ALL SELECT 'MIGRATION' FROM supplier UNION ALL SELECT 'METHOD' FROM customer, range(2) UNION ALL SELECT 'METHOD' FROM customer WHERE c_custkey % 5 = 0 UNION ALL SELECT 'METHOD' FROM customer WHERE c_custkey % 7 = 0 AND c_custkey % 5 <> 0 UNION ALL SELECT 'METHOD' FROM customer) GROUP BY 1")
 def whole_graph_code_kinds(spark, sf_dir):
     built = index.build(batches(spark, sf_dir), models(spark, sf_dir), migration_code(spark, sf_dir), data_code(spark, sf_dir), BASE_TYPES, EXTRA_HOT)
-    _held.extend(built.held)
     return index.counts(built.closed.filter("domain in ('code', 'code-inline-sql')"), "kind")
