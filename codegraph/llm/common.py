@@ -53,10 +53,12 @@ def store_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Write to the shared folder and read again: cuts the lineage with a copy that outlives executors."""
+def materialise(df: DataFrame, name: str, path: str | None = None, hashes: bool = False) -> DataFrame:
+    """Write to the shared folder and read again: cuts the lineage with a copy that outlives executors. `hashes`: most
+    columns are hashes, for which dictionaries and strong compression are work without use."""
     path = path or store_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    kind = {"compression": "snappy", "parquet.enable.dictionary": "false"} if hashes else {"compression": "zstd"}
+    df.write.options(**kind).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

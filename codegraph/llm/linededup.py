@@ -449,10 +449,10 @@ def posted_rows(distinct: DataFrame) -> DataFrame:
     """A row for each posted key and block, blocks side by side and in order of place."""
     posted = distinct.select(F.explode("keys").alias("key"), "first.doc_id", "first.t", (F.shiftleft(F.col("first.line_no").cast("long"), 31) + F.col("n")).alias("at"), "bits")
     hot = posted.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("slices")).filter("slices > 1")
-    hot = materialise(hot, "hot-keys")
+    hot = materialise(hot, "hot-keys", hashes=True)
     release(hot.sparkSession)
     sliced = posted.join(F.broadcast(hot) if hot.count() <= HOT_KEYS else hot, "key", "left")
-    slice_ = F.pmod(F.xxhash64("doc_id", "at", "t"), F.col("slices")).cast("int")
+    slice_ = F.when(F.col("slices").isNotNull(), F.pmod(F.xxhash64("doc_id", "at", "t"), F.col("slices"))).cast("int")
     # Pairs of words: all other slices, since each two lines must meet. Halves: the next one, so that no line is alone.
     others = F.when(F.col("slices").isNull(), F.array(F.lit(-1))).when(F.expr("key & 3 = 0"), F.sequence(F.lit(0), F.col("slices") - 1)).otherwise(F.array(F.col("slice"), (F.col("slice") + 1) % F.col("slices")))
     block = F.when(F.col("other") < 0, F.col("key")).otherwise(F.expr("xxhash64(key, least(slice, other), greatest(slice, other)) & -4L | key & 3L"))
@@ -464,23 +464,23 @@ def near_lines(documents: DataFrame, distinct: DataFrame, near_words: int, share
     """(doc_id, line_no, t) of the distinct lines that are within the bound of an earlier one."""
     spark = documents.sparkSession
     order = ["key", "doc_id", "at", "t"]
-    found = materialise(posted_rows(distinct).mapInArrow(lambda batches: _found_rows(batches, near_words, share), FOUND), "found-lines")
+    found = materialise(posted_rows(distinct).mapInArrow(lambda batches: _found_rows(batches, near_words, share), FOUND), "found-lines", hashes=True)
     release(spark)
     line_no = F.expr("cast(shiftright(at, 31) as int)")
     wide = distinct.filter("long_bits is not null").select(*(F.col(f"first.{c}").alias(c) for c in PLACE), "long_bits")
     rows = found.filter("sides = 0").withColumn("line_no", line_no).join(wide, PLACE, "left").select(*order, "bits", "long_bits")
-    paired = materialise(rows.repartition("key").sortWithinPartitions(*order).mapInArrow(lambda batches: _paired_rows(batches, near_words, share), PAIRED), "paired-lines")
+    paired = materialise(rows.repartition("key").sortWithinPartitions(*order).mapInArrow(lambda batches: _paired_rows(batches, near_words, share), PAIRED), "paired-lines", hashes=True)
     nearest = paired.filter("w_t is not null").select(*PLACE, *WITNESS).distinct()
     lines = found.filter("sides > 0").select("doc_id", line_no.alias("line_no"), "t", "sides").union(paired.select(*PLACE, F.lit(0)))
     texts = fetched(documents, lines)
     release(spark)
-    variants = materialise(texts.filter("sides > 0").mapInArrow(lambda batches: _variant_rows(batches, near_words), VARIANTS), "variants")
+    variants = materialise(texts.filter("sides > 0").mapInArrow(lambda batches: _variant_rows(batches, near_words), VARIANTS), "variants", hashes=True)
     held = texts.select(*PLACE, "line")
     other = held.select(*(F.col(c).alias(f"w_{c}") for c in (*PLACE, "line")))
     pairs = variant_pairs(variants).union(nearest).join(held, PLACE).join(other, WITNESS).select(*PLACE, "line", "w_line")
-    gone = materialise(pairs.mapInArrow(lambda batches: _checked_rows(batches, near_words, share), PLACES).distinct(), "near-lines")
+    gone = materialise(pairs.mapInArrow(lambda batches: _checked_rows(batches, near_words, share), PLACES).distinct(), "near-lines", hashes=True)
     release(spark)
-    left = materialise(paired.filter("more").select("key", *PLACE).join(gone, PLACE, "left_anti").withColumn("open", F.lit(True)), "open-lines")
+    left = materialise(paired.filter("more").select("key", *PLACE).join(gone, PLACE, "left_anti").withColumn("open", F.lit(True)), "open-lines", hashes=True)
     if not left.take(1):
         return gone
     blocks = paired.drop(*WITNESS, "more").join(left.select("key").distinct(), "key", "left_semi").join(left, ["key", *PLACE], "left").withColumn("open", F.coalesce("open", F.lit(False)))
@@ -508,7 +508,7 @@ def kept_lines(documents: DataFrame, near_words: int = NEAR_WORDS, share: float
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("t")).filter(F.col("doc_id").isNotNull())
     lines = documents.select("doc_id", "t", "text").mapInArrow(lambda batches: _line_rows(batches, near_words, share), LINES)
     distinct = lines.groupBy("h1", "h2").agg(F.min(F.struct(*PLACE)).alias("first"), *(F.first(c).alias(c) for c in ("n", "bits", "long_bits", "keys")))
-    distinct = materialise(distinct, "distinct-lines")
+    distinct = materialise(distinct, "distinct-lines", hashes=True)
     release(documents.sparkSession)
     gone = near_lines(documents, distinct, near_words, share).withColumn("near", F.lit(True))
     marked = distinct.select("first.*").join(gone, PLACE, "left").select(*PLACE, F.coalesce("near", F.lit(False)).alias("near"))
