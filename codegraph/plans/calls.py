@@ -99,7 +99,7 @@ def resolve(callers: DataFrame, types: binding.Types, syntax: DataFrame) -> Data
     asked = started.select(*key, "own", "name", "args", "above", "start", F.col("n").alias("given"), F.explode(F.array("n", F.lit(ANY_NUMBER))).alias("n"))
     t = targets.select(F.col("path").alias("to_path"), F.col("ord").alias("to_ord"), "owner", "name", "n", "least", "total", "types", "extension")
     lineage = types.lineage.select(F.col("key").alias("start"), F.col("ancestor").alias("owner"), "depth")
-    near = asked.filter("start is not null").join(lineage, "start").filter(~F.col("above") | (F.col("depth") > 0)).join(t.filter("not extension"), ["owner", "name", "n"]).filter((F.col("n") >= 0) | (F.col("given") >= F.col("least")))
+    near = asked.filter("start is not null").join(lineage, "start").filter(~F.col("above") | (F.col("depth") > 0)).join(t, ["owner", "name", "n"]).filter((F.col("n") >= 0) | (F.col("given") >= F.col("least")))
     order = F.struct("depth", misfits(F.col("args"), F.col("types")).alias("misfits"), (F.col("n") < 0).alias("any"), (F.col("total") - F.col("given")).alias("defaults"), "to_path", "to_ord")
     best = near.groupBy(*key).agg(F.min_by(F.struct("to_path", "to_ord"), order).alias("to"))
     # Whatever has no type here may still mean the only such method there is; called on a value, an extension has one parameter more.

@@ -94,7 +94,11 @@ f AS (SELECT s_suppkey AS k, concat_ws('/', ['src/A', 'src/bin', 'db/Change Scri
 
 
 def _folder(spark, name: str) -> str:
-    folder = f"{graph.shared_folder(spark).removeprefix('file://')}/{name}-{uuid.uuid4().hex}"
+    """A new folder that tasks can open files in."""
+    root = graph.shared_folder(spark).removeprefix("file://")
+    if "://" in root:
+        raise ValueError(f"files can't be opened in {root}")
+    folder = os.path.join(root, f"{name}-{uuid.uuid4().hex}")
     os.makedirs(folder)
     return folder
 

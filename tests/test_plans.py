@@ -190,9 +190,9 @@ def test_calls_are_resolved_by_class_receiver_and_sole_owner(spark):
     s = code(spark, """class Top { protected virtual void Do(int a) { } public void Up() { } }
 class Mid : Top { protected override void Do(int a) { base.Do(a); } void Go(string s) { } void Go(int n) { } void Go(string s, params int[] more) { } void Go(object a, int b, int c) { } }
 class Low : Mid { Mid other; public Top Prop { get; set; }
-  void Run(Elsewhere x, System.Collections.Generic.Dictionary<string, Top> d, Low low = null) { Do(1); this.Up(); other.Do(2); Prop.Up(); this.Prop.Up(); x.Up(); Go("a"); Go(3); Go("a", 1, 2, 3); Go("a", 1, 2); low.Run(null, d); Elsewhere.Up(); Nobody(); One(1); "s".Ext(4); Make().Up(); Low.One(2); } }
-class Elsewhere { public static void Up() { } static void One(int a) { } static void Ext(this string s, int b) { } }""")
-    assert links_of(s) == {("Mid.Do/1", "Top.Do/1"), ("Low.Run/3", "Mid.Do/1"), ("Low.Run/3", "Top.Up/0"), ("Low.Run/3", "Elsewhere.Up/0"), ("Low.Run/3", "Mid.Go/1"), ("Low.Run/3", "Mid.Go/2"), ("Low.Run/3", "Mid.Go/3"), ("Low.Run/3", "Low.Run/3"), ("Low.Run/3", "Elsewhere.One/1"), ("Low.Run/3", "Elsewhere.Ext/2")}
+  void Run(Elsewhere x, System.Collections.Generic.Dictionary<string, Top> d, Low low = null) { Do(1); this.Up(); other.Do(2); Prop.Up(); this.Prop.Up(); x.Up(); Go("a"); Go(3); Go("a", 1, 2, 3); Go("a", 1, 2); low.Run(null, d); Elsewhere.Up(); Nobody(); One(1); "s".Ext(4); Elsewhere.Twice("s", 4); Make().Up(); Low.One(2); } }
+class Elsewhere { public static void Up() { } static void One(int a) { } static void Ext(this string s, int b) { } static void Twice(this string s, int b) { } }""")
+    assert links_of(s) == {("Mid.Do/1", "Top.Do/1"), ("Low.Run/3", "Mid.Do/1"), ("Low.Run/3", "Top.Up/0"), ("Low.Run/3", "Elsewhere.Up/0"), ("Low.Run/3", "Mid.Go/1"), ("Low.Run/3", "Mid.Go/2"), ("Low.Run/3", "Mid.Go/3"), ("Low.Run/3", "Low.Run/3"), ("Low.Run/3", "Elsewhere.One/1"), ("Low.Run/3", "Elsewhere.Ext/2"), ("Low.Run/3", "Elsewhere.Twice/2")}
     assert {r.dst for r in chunks.code_graph(code(spark, "class A { void M() { N(); } }", "class A { void M() { N(); } }")).links.collect()} == set()
 
 
