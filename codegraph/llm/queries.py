@@ -99,6 +99,19 @@ h AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(ra
 n AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM o GROUP BY doc_id)
 SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)""",
+    "op12_periodic_runs": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+h AS (SELECT *, len(words) AS n, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda z, i: xor(z >> 1, 3988292384 * (z & 1)))), 4294967295) AS h FROM d),
+p AS (SELECT *, (h // 10) % greatest(n, 1) AS a, 1 + (n - (h // 10) % greatest(n, 1)) // (3 + (h // 10) % 8) AS p FROM h),
+w AS (SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN words[1:a] || list_transform(range(a, n), lambda i: words[a + (i - a) % p + 1]) ELSE words END AS words FROM p),
+g AS (SELECT r, i, array_to_string(words[i + 1:i + 16], ' ') AS gram FROM (SELECT r, words, unnest(range(0, n - 15)) AS i FROM w WHERE n >= 16)),
+e AS (SELECT x.r, x.i, y.i - x.i AS q FROM g x JOIN g y ON x.r = y.r AND x.gram = y.gram AND x.i < y.i),
+c AS (SELECT r, q, min(i) AS s, max(i) - min(i) + 16 + q AS size FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS stretch FROM e) GROUP BY r, q, stretch),
+u AS (SELECT * FROM c WHERE size >= greatest(24, 3 * q) AND NOT EXISTS (SELECT 1 FROM c b WHERE b.r = c.r AND b.q < c.q AND b.s <= c.s AND b.s + b.size >= c.s + c.size)),
+m AS (SELECT r, count(*) AS n_runs, string_agg(s || ',' || size || ',' || q || chr(10), '' ORDER BY s, q) AS runs, first({'s': s, 'size': size, 'q': q} ORDER BY size::DOUBLE / q DESC, s, q) AS best FROM u GROUP BY r),
+k AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS kept FROM (SELECT r, unnest(words) AS word, unnest(range(0, n)) AS i FROM w) x WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.r = x.r AND x.i >= u.s + u.q AND x.i < u.s + u.size) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.size::BIGINT AS length, best.q::BIGINT AS period, (1000 * best.size // best.q)::BIGINT AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM w LEFT JOIN m USING (r) LEFT JOIN k USING (r)""",
     "op13_prefix_trie": r"""
 WITH c AS (SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
 h AS (SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda z, i: xor(z >> 1, 3988292384 * (z & 1)))), 4294967295) % 4 AS h FROM c),
