@@ -179,11 +179,9 @@ def byte_table(seed: int) -> np.ndarray:
         return mix64(mix64(np.arange(WORD_BYTES << 8, dtype=np.uint64)) + np.uint64(seed + 1) * np.uint64(0x9FB21C651E98DF25))
 
 
-def hashed_words(column: pa.Array, seed: int, lengths: bool = False) -> tuple[np.ndarray, ...]:
-    """Hashes of all words between ASCII white space, each text's number of them and, if asked, the words' lengths in
-    bytes. A word's hash is the mixed sum of its bytes' entries in a table by place, all words at once; longer words
-    than the table has places for are hashed one by one."""
-    forget()
+def word_places(column: pa.Array) -> tuple[np.ndarray, ...]:
+    """All words between ASCII white space as bytes side by side, where each starts and its size, and each text's number
+    of words."""
     lists = pc.ascii_split_whitespace(pc.fill_null(column, ""))
     counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     flat = lists.flatten()
@@ -194,16 +192,48 @@ def hashed_words(column: pa.Array, seed: int, lengths: bool = False) -> tuple[np
     ends = np.cumsum(counts)
     n_words = kept[ends] - kept[ends - counts]
     data = np.frombuffer(flat.buffers()[2], np.uint8, int(offsets[-1] - offsets[0]), int(offsets[0])) if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
-    starts, sizes = (offsets[:-1] - offsets[0])[sizes > 0], sizes[sizes > 0]
+    return data, (offsets[:-1] - offsets[0])[sizes > 0], sizes[sizes > 0], n_words
+
+
+def rehash_long(hashed: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, seed: int) -> None:
+    """Words of more than WORD_BYTES are hashed one by one."""
+    for k in np.flatnonzero(sizes > WORD_BYTES).tolist():
+        hashed[k] = xxhash.xxh3_64_intdigest(data[starts[k] : starts[k] + sizes[k]].tobytes(), seed)
+
+
+def hashed_words(column: pa.Array, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words between ASCII white space, and each text's number of them. A word's hash is the mixed sum of
+    its bytes' entries in a table by place, all words at once; longer words than the table has places for are hashed one
+    by one."""
+    forget()
+    data, starts, sizes, n_words = word_places(column)
     if not len(sizes):
-        return (np.zeros(0, np.uint64), n_words, np.zeros(0, np.int64)) if lengths else (np.zeros(0, np.uint64), n_words)
-    place = np.arange(len(data), dtype=offsets.dtype) - np.repeat(starts, sizes)
+        return np.zeros(0, np.uint64), n_words
+    place = np.arange(len(data), dtype=sizes.dtype) - np.repeat(starts, sizes)
     cell = (np.minimum(place, WORD_BYTES - 1).astype(np.uint16) << np.uint16(8)) | data
     with np.errstate(over="ignore"):
         hashed = mix64(np.add.reduceat(byte_table(seed)[cell], starts) + sizes.astype(np.uint64))
-    for k in np.flatnonzero(sizes > WORD_BYTES).tolist():
-        hashed[k] = xxhash.xxh3_64_intdigest(data[starts[k] : starts[k] + sizes[k]].tobytes(), seed)
-    return (hashed, n_words, sizes.astype(np.int64)) if lengths else (hashed, n_words)
+    rehash_long(hashed, data, starts, sizes, seed)
+    return hashed, n_words
+
+
+def sized_words(column: pa.Array, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Other hashes of all these words, by eight bytes at a time, which is quicker, each text's number of words, and the
+    words' sizes in bytes."""
+    forget()
+    data, starts, sizes, n_words = word_places(column)
+    eights = np.ndarray(len(data), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    masks = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    hashed = mix64((eights[starts] & masks[np.minimum(sizes, 8)]) + np.uint64(seed))
+    at, rest = 8, np.flatnonzero((sizes > 8) & (sizes <= WORD_BYTES))
+    with np.errstate(over="ignore"):
+        while len(rest):
+            hashed[rest] = mix64(hashed[rest] * np.uint64(0x9FB21C651E98DF25) ^ (eights[starts[rest] + at] & masks[np.minimum(sizes[rest] - at, 8)]))
+            at += 8
+            rest = rest[sizes[rest] > at]
+        hashed = mix64(hashed + sizes.astype(np.uint64))
+    rehash_long(hashed, data, starts, sizes, seed)
+    return hashed, n_words, sizes.astype(np.int64)
 
 
 def text_rounds(column: pa.Array, size: int = 8_000_000) -> Iterable[tuple[int, pa.Array]]:

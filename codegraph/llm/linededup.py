@@ -7,9 +7,11 @@ text's earliest occurrence. No line goes as a near copy before its words have be
 
 1. Each line gets a 128-bit hash; equal lines meet in one aggregation, for their earliest, which posts keys:
    - Where one edit is the bound, hashes of its halves: one edit leaves a half as it is.
-   - Where k = 2 edits or more are, the first 2k + 1 of its distinct pairs of neighbouring words, in one order for all:
-     k edits touch 2k pairs at most, so two lines within the bound share a posted one. The order puts pairs of long
-     words first, which are rare; any order gives the same result. All variants of a line within k edits would be
+   - Where k = 2 edits or more are, the first of its distinct pairs of neighbouring words, in one order for all, until k
+     edits can't touch all of them: 2k + 1 at most, since an edit touches two pairs, and as few as k + 1 where no two are
+     next to each other. Two lines within the bound share a posted one: else the line whose pairs end first in that order
+     would have none of its own in the other, and more than k edits behind it. The order puts pairs that begin with a
+     long word first, which are rare; any order gives the same result. All variants of a line within k edits would be
      n over k many, so the neighbourhood is that of single words in step 3 and pairs of words find the other lines.
 2. Rows sorted by key are held against each other as they come: lines that share a half are asked for, and so are those
    with the same pair of words whose parities of words (64 bits, of which an edit turns two at most) are near. These come
@@ -28,7 +30,9 @@ a document may end up with no lines and an empty text; other columns are carried
 
 from __future__ import annotations
 
+import itertools
 from collections import Counter
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import clear_names, hashed_words, materialise, mix64, release, signed, text_rounds, utf8, widened
+from .common import clear_names, materialise, mix64, release, signed, sized_words, text_rounds, widened
 
 NEAR_WORDS = 8
 #: Of a line's words, what may differ in op8 and in the pipeline; more than MOST_SHARE leaves no pair of words in common.
@@ -48,9 +52,13 @@ BLOCK = 2048
 LONG_LIMIT, LONG_BITS = 8, 512
 #: Keys with so many rows that they are dealt into slices are broadcast up to this number, 16 bytes each.
 HOT_KEYS = 1_000_000
+#: So many posted keys are counted at a time for hot ones.
+COUNTED_KEYS = 4_000_000
 SEEDS = (0x1E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 #: A pair's number has so many bits below its order by length.
 PAIR_BITS = 41
+#: Bytes of text whose words' arrays stay in a processor's cache.
+LINE_ROUND = 500_000
 #: What names a line: its document's id, its place there and a hash of the text, for ids that come with several texts.
 PLACE = ["doc_id", "line_no", "t"]
 
@@ -73,7 +81,7 @@ def bounds(n, near_words: int, share: float):
 
 def within(x: list[str], y: list[str], limit: int) -> bool:
     """Whether word_distance is at most `limit`: the furthest place on each diagonal, edit by edit."""
-    if len(x) == len(y) and sum(p != q for p, q in zip(x, y, strict=True)) <= limit:
+    if len(x) == len(y) and sum(map(ne, x, y)) <= limit:
         return True
     n, m = len(x), len(y)
     last: dict[int, int] = {}
@@ -118,7 +126,7 @@ class Lines:
     """Words of lines and their hashes by place."""
 
     def __init__(self, lines: pa.Array):
-        self.words, self.n, self.lengths = hashed_words(lines, 8, lengths=True)
+        self.words, self.n, self.lengths = sized_words(lines, 8)
         some = self.n > 0
         self.some, self.n = some, self.n[some]
         self.begin = np.cumsum(self.n) - self.n
@@ -132,28 +140,37 @@ class Lines:
 
 
 def posted_pairs(lines: Lines, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(line, key): of each line with a limit of 2 or more the first 2 * limit + 1 distinct pairs of neighbouring words."""
+    """(line, key): of each line with a limit of 2 or more its first distinct pairs of neighbouring words, up to the first
+    that `limit` edits can't all touch."""
     many = np.flatnonzero(limit > 1)
     begin, size = lines.begin[many], lines.n[many] - 1
     line = np.repeat(np.arange(len(many)), size)
-    at = np.arange(len(line)) - np.repeat(np.cumsum(size) - size, size) + begin[line]
+    heads = np.cumsum(size) - size
+    at = np.arange(len(line)) - heads[line] + begin[line]
     with np.errstate(over="ignore"):
         pair = mix64(lines.words[at] * np.uint64(SEEDS[1]) + lines.words[at + 1]) >> np.uint64(64 - PAIR_BITS)
-    short = 31 - np.minimum(lines.lengths[at] + lines.lengths[at + 1], 31)
-    pair |= short.astype(np.uint64) << np.uint64(PAIR_BITS)
+    pair |= (31 - np.minimum(lines.lengths[at], 31)).astype(np.uint64) << np.uint64(PAIR_BITS)
     width = np.uint64(PAIR_BITS + 5)
     # A round of text_rounds has fewer such lines than this, but for one text alone: then the order is found in two steps.
-    if len(many) < 1 << (64 - int(width)):
-        both = np.sort(line.astype(np.uint64) << width | pair)
-        line, pair = (both >> width).astype(np.int64), both & np.uint64((1 << int(width)) - 1)
-    else:
-        order = np.lexsort((pair, line))
-        pair, line = pair[order], line[order]
+    order = np.argsort(line.astype(np.uint64) << width | pair) if len(many) < 1 << (64 - int(width)) else np.lexsort((pair, line))
+    pair, line = pair[order], line[order]
     new = np.ones(len(pair), bool)
     new[1:] = (pair[1:] != pair[:-1]) | (line[1:] != line[:-1])
-    pair, line = pair[new], line[new]
+    pair, line, order = pair[new], line[new], order[new]
     counts = np.bincount(line, minlength=len(many))
-    kept = np.arange(len(line)) - np.repeat(np.cumsum(counts) - counts, counts) < 2 * limit[many][line] + 1
+    rank = np.arange(len(line)) - np.repeat(np.cumsum(counts) - counts, counts)
+    early = rank <= 2 * limit[many][line]
+    pair, line, order, rank = pair[early], line[early], order[early], rank[early]
+    # An edit touches a pair, or two next to each other: so many edits touch all as there are pairs less such twos.
+    there = np.full(len(at) + 2, len(at))
+    there[order + 1] = rank
+    start = np.zeros(len(at) + 1, bool)
+    start[heads] = start[-1] = True
+    more = 1 - (~start[order] & (there[order] < rank)).astype(np.int64) - (~start[order + 1] & (there[order + 2] < rank))
+    edits, first = np.cumsum(more), np.flatnonzero(rank == 0)
+    enough = edits - (edits[first] - more[first])[line] > limit[many][line]
+    ends = np.minimum.reduceat(np.where(enough, rank, len(at)), first) if len(many) else rank
+    kept = rank <= ends[line]
     return many[line[kept]], mix64(pair[kept]) & ~np.uint64(3)
 
 
@@ -203,7 +220,7 @@ LINES = "doc_id long, line_no int, t long, h1 long, h2 long, n int, bits long, l
 
 def _line_rows(batches, near_words, share):
     for batch in batches:
-        for first, texts in text_rounds(batch.column("text")):
+        for first, texts in text_rounds(batch.column("text"), LINE_ROUND):
             held, row, number = split_lines(texts)
             lines = Lines(held)
             if not len(lines.n):
@@ -304,12 +321,9 @@ def variant_pairs(variants: DataFrame) -> DataFrame:
 def _checked_rows(batches, near_words, share):
     """Of lines and their partners those whose words are within the bound."""
     for batch in batches:
-        kept = []
-        for k, (x, y) in enumerate(zip(batch.column("line").to_pylist(), batch.column("w_line").to_pylist(), strict=True)):
-            x, y = line_words(x), line_words(y)
-            limit = int(bounds(min(len(x), len(y)), near_words, share))
-            if few_other_words(Counter(x), Counter(y), limit) and within(x, y, limit):
-                kept.append(k)
+        lines, others = words_of(batch.column("line")), words_of(batch.column("w_line"))
+        limit = bounds(np.minimum([len(x) for x in lines], [len(y) for y in others]), near_words, share).tolist()
+        kept = [k for k, (x, y) in enumerate(zip(lines, others, strict=True)) if few_other_words(Counter(x), Counter(y), limit[k]) and within(x, y, limit[k])]
         yield batch.select(PLACE).take(pa.array(kept, pa.int64()))
 
 
@@ -376,7 +390,9 @@ def _found_rows(batches, near_words, share):
         key = table.column("key").to_numpy()
         same = np.zeros(len(key) + 1, bool)
         same[1:-1] = key[1:] == key[:-1]
-        wanted = (key & 3 > 0) & (same[:-1] | same[1:])
+        shared = same[:-1] | same[1:]
+        table, key = table.filter(pa.array(shared)), key[shared]
+        wanted = key & 3 > 0
         for rows, other, _ in near_bits(table, near_words, share):
             wanted[rows] = wanted[other] = True
         kept = table.filter(pa.array(wanted))
@@ -417,7 +433,7 @@ def _left_rows(batches, near_words, share):
 def _near_rows(batches, near_words, share):
     """Open lines within the bound of an earlier one of their block, from rows sorted by block and place."""
     for table in whole_runs(batches, "key"):
-        words = [line_words(x) for x in table.column("line").to_pylist()]
+        words = words_of(table.column("line"))
         counts = [Counter(w) for w in words]
         limit = bounds(table.column("at").to_numpy() & 0x7FFFFFFF, near_words, share)
         still, gone = table.column("open").to_numpy(zero_copy_only=False), set()
@@ -436,20 +452,41 @@ def few_other_words(x: Counter, y: Counter, limit: int) -> bool:
     return max(x.total(), y.total()) - common <= limit
 
 
-def line_words(line: str) -> list[bytes]:
-    """Words between ASCII white space, as bytes."""
-    return utf8(line).split()
+def words_of(lines) -> list[list[bytes]]:
+    """Words between ASCII white space of each line, as bytes."""
+    return [x.split() for x in lines.cast(pa.binary()).to_pylist()]
 
 
 PLACES = "doc_id long, line_no int, t long"
 WITNESS = [f"w_{c}" for c in PLACE]
 
 
+def _repeated_keys(batches, size):
+    """(key, n): keys that are there more than once among `size` or more posted ones of a task, and how often."""
+    held, count = [], 0
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            held.append(batch.column("keys").flatten().to_numpy())
+            count += len(held[-1])
+        if held and (batch is None or count >= size):
+            keys = np.sort(np.concatenate(held))
+            heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+            times = np.diff(np.append(heads, len(keys)))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[heads[times > 1]]), pa.array(times[times > 1].astype(np.int64))], ["key", "n"])
+            held, count = [], 0
+
+
+def hot_keys(distinct: DataFrame) -> DataFrame:
+    """(key, slices) of the keys that more than BLOCK lines post. A key's only row among COUNTED_KEYS isn't counted, so one
+    that isn't found has at most a row more for each so many; slices change no result."""
+    counted = distinct.select("keys").mapInArrow(lambda batches: _repeated_keys(batches, COUNTED_KEYS), "key long, n long")
+    return counted.groupBy("key").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("slices")).filter("slices > 1")
+
+
 def posted_rows(distinct: DataFrame) -> DataFrame:
-    """A row for each posted key and block, blocks side by side and in order of place."""
+    """A row for each posted key and block, blocks side by side."""
     posted = distinct.select(F.explode("keys").alias("key"), "first.doc_id", "first.t", (F.shiftleft(F.col("first.line_no").cast("long"), 31) + F.col("n")).alias("at"), "bits")
-    hot = posted.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("slices")).filter("slices > 1")
-    hot = materialise(hot, "hot-keys", hashes=True)
+    hot = materialise(hot_keys(distinct), "hot-keys", hashes=True)
     release(hot.sparkSession)
     sliced = posted.join(F.broadcast(hot) if hot.count() <= HOT_KEYS else hot, "key", "left")
     slice_ = F.when(F.col("slices").isNotNull(), F.pmod(F.xxhash64("doc_id", "at", "t"), F.col("slices"))).cast("int")
@@ -457,7 +494,7 @@ def posted_rows(distinct: DataFrame) -> DataFrame:
     others = F.when(F.col("slices").isNull(), F.array(F.lit(-1))).when(F.expr("key & 3 = 0"), F.sequence(F.lit(0), F.col("slices") - 1)).otherwise(F.array(F.col("slice"), (F.col("slice") + 1) % F.col("slices")))
     block = F.when(F.col("other") < 0, F.col("key")).otherwise(F.expr("xxhash64(key, least(slice, other), greatest(slice, other)) & -4L | key & 3L"))
     rows = sliced.withColumn("slice", slice_).withColumn("other", F.explode(others)).withColumn("key", block).select(*POSTED)
-    return rows.repartition("key").sortWithinPartitions("key", "doc_id", "at", "t")
+    return rows.repartition("key").sortWithinPartitions("key")
 
 
 def near_lines(documents: DataFrame, distinct: DataFrame, near_words: int, share: float) -> DataFrame:
@@ -512,7 +549,7 @@ def kept_lines(documents: DataFrame, near_words: int = NEAR_WORDS, share: float
     release(documents.sparkSession)
     gone = near_lines(documents, distinct, near_words, share).withColumn("near", F.lit(True))
     marked = distinct.select("first.*").join(gone, PLACE, "left").select(*PLACE, F.coalesce("near", F.lit(False)).alias("near"))
-    lists = materialise(marked.groupBy("doc_id", "t").agg(F.collect_list(F.struct("line_no", "near")).alias("lines")), "kept-lines")
+    lists = materialise(marked.repartition("doc_id", "t").groupBy("doc_id", "t").agg(F.collect_list(F.struct("line_no", "near")).alias("lines")), "kept-lines")
     release(documents.sparkSession)
     return lists
 

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from codegraph.llm import jaccardjoin, linededup, lshforest
+from codegraph.llm import common, jaccardjoin, linededup, lshforest
 from codegraph.llm.queries import ORACLE_SQL
 
 
@@ -207,6 +207,52 @@ def test_ids_with_several_texts_keep_their_own_lines(spark):
     assert sum(n * t.split("\n").count("shared") for (_, t), n in found.items()) in (1, 2)
 
 
+def test_lines_post_no_more_pairs_than_edits_can_miss():
+    rng = random.Random(21)
+    words = [w * k for w in "abcdefghijklmnop" for k in (1, 2, 4, 9, 12)]
+    texts, near = [], []
+    for n in (20, 29, 40, 77, 120, 200):
+        for few in (2, 7, len(words)):
+            for _ in range(12):
+                line = [rng.choice(words[-few:]) for _ in range(n)]
+                other = list(line)
+                for _ in range(rng.randint(1, n // 10)):
+                    k = rng.randrange(len(other))
+                    other[k : k + rng.choice([0, 1, 1])] = rng.choice([[], [rng.choice(words)], ["new"]])
+                near.append(linededup.word_distance(" ".join(line), " ".join(other)) <= min(n, len(other)) // 10)
+                texts += [" ".join(line), " ".join(other)]
+    lines = linededup.Lines(pa.array(texts))
+    limit = linededup.bounds(lines.n, 8, 0.1)
+    posted = defaultdict(set)
+    for line, key in zip(*linededup.posted_pairs(lines, limit), strict=True):
+        posted[int(line)].add(int(key))
+    both = [(2 * k, 2 * k + 1) for k in range(len(near)) if near[k] and limit[2 * k : 2 * k + 2].min() > 1]
+    assert len(both) > 100 and all(posted[x] & posted[y] for x, y in both)
+    assert all(len(posted[k]) <= 2 * limit[k] + 1 for k in posted)
+    apart = linededup.Lines(pa.array([" ".join(f"{'long' * 5 if k % 4 == 0 else 'w'}{k}" for k in range(60))]))
+    assert len(linededup.posted_pairs(apart, np.array([6]))[0]) == 7
+
+
+def test_keys_of_many_lines_are_found(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "BLOCK", 10)
+    rows = [([4, 4 * k + 400, 8 if k < 5 else 4 * k + 800],) for k in range(35)]
+    table = spark.createDataFrame(rows, "keys array<long>").coalesce(1)
+    assert [(r.key, r.slices) for r in linededup.hot_keys(table).collect()] == [(4, 4)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x)], ["keys"]) for x in ([[1, 2], [2, 3]], [[3]], [], [[5, 5, 1], []])]
+    batches[2] = batches[0].slice(0, 0)
+    found = [(k, n) for b in linededup._repeated_keys(batches, 4) for k, n in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    assert found == [(2, 2), (5, 2)]
+
+
+def test_sized_words_are_told_apart():
+    words = ["", *("a" * k for k in range(1, 140)), *("a" * k + "b" for k in range(1, 140)), "a\0", "\0", "é", "ée", "12345678", "123456789", "123456780", "x" * 8 + "y" * 8, "y" * 8 + "x" * 8]
+    hashed, counts, sizes = common.sized_words(pa.array([" ".join(words), None, "é  a\t12345678 "]), 8)
+    assert counts.tolist() == [len(words) - 1, 0, 3] and sizes.tolist()[: len(words) - 1] == [len(w.encode()) for w in words[1:]]
+    of = dict(zip(words[1:], hashed.tolist(), strict=False))
+    assert len(set(of.values())) == len(words) - 1 and hashed[-3:].tolist() == [of["é"], of["a"], of["12345678"]]
+    assert common.hashed_words(pa.array([" ".join(words), None]), 8)[1].tolist() == counts.tolist()[:2]
+
+
 def test_word_distance():
     assert [linededup.word_distance(*x.split("|")) for x in ("a b c|a b c", "a b c|a c", "a b c|a x c", "a b|b a", "|a")] == [0, 1, 1, 2, 1]
 
