@@ -1,9 +1,12 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,6 +42,54 @@ def test_lm_base_scores_and_both_ways(spark):
     assert sum(s for s, _ in gain) > sum(b for _, b in gain)
 
 
+def test_lm_broadcasts_nothing_unless_allowed(spark, monkeypatch):
+    table, rows = corpus(spark, 60)
+    sent, send = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value) or send(self, value))
+    one = {r.doc_id: r for r in bloomlm.score_documents(table, block_bytes=2000).collect()}
+    assert not sent
+    two = {r.doc_id: r for r in bloomlm.score_documents(table, bloomlm.FILTER_BYTES, 2000).collect()}
+    assert len(one) == len(rows) and any(isinstance(x, bloomlm.Filter) for x in sent)
+    assert all(math.isclose(one[d].score, two[d].score, rel_tol=1e-12) for d, _ in rows)
+
+
+def test_lm_steps_hold_little_beside_a_block():  # bytes a token, at the most
+    rng = np.random.default_rng(4)
+    words = np.array([f"word{k}" for k in range(40_000)])
+    text = pa.array([" ".join(words[rng.zipf(1.3, 500) % len(words)]) for _ in range(2200)])
+    block = pa.table({"doc_id": range(len(text)), "text": text, "held_out": [k % 7 == 2 for k in range(len(text))], "block": [0] * len(text)})
+
+    def peak(run, *given):
+        tracemalloc.start()
+        out = run(*given)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, most / n_tokens
+
+    n_tokens = len(bloomlm.tokens_of(text)[0])
+    _, hashing = peak(bloomlm.tokens_of, text)
+    packed, counting = peak(bloomlm._count_block(1, True), block)
+    packed = pa.concat_tables([packed.set_column(1, "block", pa.array([k] * packed.num_rows, pa.int64())) for k in range(4)])
+    answers, shard = peak(bloomlm._build_shard(True, bloomlm.BITS, bloomlm.HASHES), packed)
+    found, scoring = peak(bloomlm._score_block(1, None, {"n": n_tokens, "v": 40_000, "b": 0.7, "k": 0.5}), block, answers.filter(pa.compute.equal(answers["block"], 2)))
+    assert found.num_rows == len(text) and sum(found["n_tokens"].to_pylist()) == n_tokens
+    assert hashing < 40 and counting < 75 and shard < 45 and scoring < 85, (hashing, counting, shard, scoring)
+
+
+def test_lm_merged_keys_of_rows():
+    rng = np.random.default_rng(6)
+    rows = [np.unique(rng.integers(0, 300, n).astype(np.uint64)) for n in (0, 5, 200, 90)]
+    counts = [rng.integers(0, 9, len(x)).astype(np.uint64) for x in rows]
+    names, sums, place, ends = bloomlm._merged([bloomlm.pack(x, 6) for x in rows], [bloomlm.pack(c, 4) for c in counts], 6)
+    want = Counter()
+    for x, c in zip(rows, counts, strict=True):
+        for key, n in zip(x.tolist(), c.tolist(), strict=True):
+            want[key] += n
+    assert names.tolist() == sorted(want) and sums.tolist() == [want[x] for x in sorted(want)]
+    assert (names[place] == np.concatenate(rows)).all() and ends.tolist() == np.cumsum([len(x) for x in rows]).tolist()
+    assert [len(x) for x in bloomlm._merged([], [], 6)] == [0, 0, 0, 0]
+
+
 def test_lm_scores_are_those_of_the_formula(spark):
     table, rows = corpus(spark, 120)
     held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in rows}
