@@ -48,6 +48,16 @@ def test_a_batch_of_30000_definitions(spark):
     assert edges.count() == 600_000 and (last["from"], last.to, last.seq.ord, last.seq.nth) == ("d29999", "t19", 29_999, 190_000)
 
 
+def test_totals_of_a_batch_make_no_product(spark):
+    d = spark.range(200_000).select((F.col("id") % 2).cast("string").alias("path"), F.lit(0).alias("batch"), F.concat(F.lit("d"), "id").alias("key"), F.col("id").cast("int").alias("ord"))
+    r = spark.range(200_000).select(F.lit("0").alias("path"), F.lit("a").alias("rel_path"), F.lit(0).alias("batch"), F.col("id").cast("int").alias("ref_ord"), F.concat(F.lit("t"), "id").alias("to"), F.lit("TABLE").alias("to_kind"), F.lit("ReadsFrom").alias("relation"))
+    totals = sql.define_ref_totals(d, r)  # of 2e10 edges
+    assert totals.groupBy("n", "seq.path").count().collect() == [(200_000, "0", 100_000)]
+    few = lambda rows: rows.filter("cast(substring(key, 2) as int) < 9" if "key" in rows.columns else "ref_ord < 7")
+    expected = sql.define_ref_edges(few(d), few(r)).groupBy("from", F.col("seq.ord").alias("ord")).agg(F.count("*").alias("n"))
+    assert sorted(expected.select("from", "n", "ord").collect()) == sorted(sql.define_ref_totals(few(d), few(r)).select("from", "n", "seq.ord").collect())
+
+
 def test_hot_keys_are_dealt_out(spark):
     rows = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("key"), F.col("id").alias("v")).unionByName(spark.createDataFrame([(None, -1)], "key string, v long"))
     lookup = spark.createDataFrame([("hot", "H"), ("k1", "One"), ("unused", "U")], "key string, found string")
