@@ -23,8 +23,8 @@ def hot_calls(syntax: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     calls = calls.select("path", "rel_path", F.col("ord").alias("call"), "member_ord", "origin", F.get("args", F.lit(0)).alias("a"))
     named = syntax.select("path", F.inline("literals")).filter("decl_name is not null").groupBy("path", F.col("member_ord").alias("m"), "decl_name").agg(F.min_by("value", "ord").alias("value"), F.min("ord").alias("first"))
     anywhere = named.groupBy("path", "decl_name").agg(F.min_by("value", "first").alias("any_value"))
-    joined = calls.join(named.select(F.col("path").alias("p"), "m", "decl_name", "value"), (F.col("path") == F.col("p")) & (F.col("member_ord") == F.col("m")) & (F.col("a.ident") == F.col("decl_name")), "left").drop("p", "m", "decl_name")
-    joined = joined.join(anywhere.select(F.col("path").alias("p"), "decl_name", "any_value"), (F.col("path") == F.col("p")) & (F.col("member_ord") < 0) & (F.col("a.ident") == F.col("decl_name")), "left")
+    joined = calls.join(graph.shuffled(named.select(F.col("path").alias("p"), "m", "decl_name", "value")), (F.col("path") == F.col("p")) & (F.col("member_ord") == F.col("m")) & (F.col("a.ident") == F.col("decl_name")), "left").drop("p", "m", "decl_name")
+    joined = joined.join(graph.shuffled(anywhere.select(F.col("path").alias("p"), "decl_name", "any_value")), (F.col("path") == F.col("p")) & (F.col("member_ord") < 0) & (F.col("a.ident") == F.col("decl_name")), "left")
     body = F.coalesce("a.literal", "value", "any_value")
     return joined.select("path", "rel_path", F.col("a.line").alias("line"), body.alias("body"), "origin", F.col("call").alias("ord")).filter(F.trim("body") != "")
 
@@ -33,7 +33,7 @@ def sql_literals(syntax: DataFrame, hot: DataFrame) -> DataFrame:
     """Literals that look like SQL, on lines that no hot call took."""
     texts = syntax.select("path", "rel_path", F.inline("literals")).filter(exprs.looks_like_sql(F.col("value")))
     rows = texts.select("path", "rel_path", "line", F.col("value").alias("body"), F.lit("HeuristicRoslyn").alias("origin"), F.col("ord"))
-    return rows.join(hot.select("path", "line").distinct(), ["path", "line"], "left_anti").select(*hot.columns)
+    return rows.join(graph.shuffled(hot.select("path", "line").distinct()), ["path", "line"], "left_anti").select(*hot.columns)
 
 
 def snippet_targets(found: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def artifacts(syntax: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     hot = graph.cut(hot_calls(syntax, extra))
     snippets = graph.cut(hot.unionByName(sql_literals(syntax, hot)))
     places = graph.nearest_method(snippets.select("path", "line").distinct(), spans(syntax))  # a method that holds the line is at no distance from it
-    held = snippet_targets(snippets).join(places, ["path", "line"], "left")
+    held = snippet_targets(snippets).join(graph.shuffled(places), ["path", "line"], "left")
     return held.select(F.col("path").alias("source_path"), F.lit("InlineSQL").alias("artifact_kind"), "identifier", "ns", F.col("type").alias("type_full_name"), F.col("method").alias("method_full_name"), F.col("line").alias("line_number"), F.col("rel_path").alias("relative_path"), "body", F.col("origin").alias("body_origin"), "ord", "n")
 
 
@@ -67,7 +67,7 @@ def method_edges(facts: DataFrame) -> DataFrame:
     rows = facts.filter("method_full_name is not null").withColumn("seq", graph.seq(3, F.col("source_path"), F.col("line_number"), F.col("ord")))
     files = rows.groupBy("method_full_name").agg(F.min_by("relative_path", "seq").alias("first_file"))
     schema, name, kind = exprs.inline_identifier(F.col("identifier"))
-    rows = rows.withColumn("s", schema).withColumn("t", name).withColumn("k", kind).filter(F.col("t").isNotNull()).join(files, "method_full_name")
+    rows = rows.withColumn("s", schema).withColumn("t", name).withColumn("k", kind).filter(F.col("t").isNotNull()).join(graph.shuffled(files), "method_full_name")
     return rows.select(F.concat(F.lit("csharp:"), "method_full_name", F.lit("|METHOD")).alias("from"), F.concat("s", F.lit("."), "t", F.lit("|"), "k").alias("to"), F.lit("ReadsFrom").alias("relation"), F.col("k").alias("to_kind"), exprs.slashes(F.col("first_file")).alias("file"), F.lit(None).cast("int").alias("batch"), "seq")
 
 

@@ -2,6 +2,7 @@
 
 import pytest
 
+from codegraph import corpus
 from codegraph.functions import exprs, parse
 from codegraph.operators import graph, numbering, skew
 from codegraph.plans import binding, chunks, ef, index, inline, migrations, sql
@@ -58,6 +59,20 @@ def test_totals_of_a_batch_make_no_product(spark):
     assert sorted(expected.select("from", "n", "ord").collect()) == sorted(sql.define_ref_totals(few(d), few(r)).select("from", "n", "seq.ord").collect())
 
 
+def test_sides_that_grow_with_the_code_are_never_broadcast(spark):
+    syntax = graph.stored(code(spark, 'class A { void M() { var q = "SELECT a FROM dbo.T WHERE b = 1"; db.ExecuteSqlRaw(q); } }'))
+    hot, lines = inline.hot_calls(syntax), syntax.select("path", F.lit(1).alias("line"))
+    for rows in (hot, inline.sql_literals(syntax, hot), graph.nearest_method(lines, inline.spans(syntax)), inline.method_edges(inline.artifacts(syntax))):
+        plan = rows._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_keys_of_a_small_file_are_parsed_by_many_tasks(spark, tmp_path):
+    spark.range(5_000).select(F.col("id").alias("c_custkey"), F.lit("A b").alias("c_mktsegment")).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    rows = corpus.repository_files(spark, str(tmp_path))
+    assert rows.count() == 5_000 and rows.select(F.spark_partition_id()).distinct().count() == 3
+
+
 def test_hot_keys_are_dealt_out(spark):
     rows = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("key"), F.col("id").alias("v")).unionByName(spark.createDataFrame([(None, -1)], "key string, v long"))
     lookup = spark.createDataFrame([("hot", "H"), ("k1", "One"), ("unused", "U")], "key string, found string")
