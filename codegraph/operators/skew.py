@@ -23,4 +23,4 @@ def salted_join(rows: DataFrame, lookup: DataFrame, key: str, spread: Column, ho
     parts = F.broadcast(hot)
     dealt = rows.join(parts, F.col(key) == F.col("__hot"), "left").withColumn("__part", F.when(F.col("__parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(spread), F.col("__parts"))).cast("int")).drop("__hot", "__parts")
     copies = lookup.join(parts, F.col(key) == F.col("__hot"), "left").withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__hot", "__parts")
-    return dealt.join(copies, [key, "__part"], how).drop("__part")
+    return dealt.join(copies.hint("merge"), [key, "__part"], how).drop("__part")

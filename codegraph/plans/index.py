@@ -38,6 +38,7 @@ def build(batches: DataFrame, models: DataFrame, migration_syntax: DataFrame, in
     `migration_files`: texts for the pattern fallback, used if no migration is recognised.
     """
     known = sql.knowledge(batches)
+    edges = known.kept_edges
     mapping = graph.cut(ef.entity_map(models))
     sets, set_edges = ef.dbset_graph(models, mapping)
     tables = known.nodes.filter("kind = 'TABLE'").select("name", "schema", "seq")
@@ -49,7 +50,6 @@ def build(batches: DataFrame, models: DataFrame, migration_syntax: DataFrame, in
         moves, move_edges = migrations.fallback(migration_files)
     facts = graph.cut(inline.artifacts(inline_syntax, extra_hot))
     nodes = graph.cut(graph.upsert_nodes(known.nodes, sets, entities, fluent, moves, inline.method_nodes(facts)))
-    edges = known.edges
     for part in (set_edges, entity_edges, fluent_edges, move_edges, inline.method_edges(facts), inline.foreign_key_edges(facts)):
         edges = edges.unionByName(part)
     edges = graph.cut(edges)

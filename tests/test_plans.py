@@ -73,6 +73,33 @@ def test_keys_of_a_small_file_are_parsed_by_many_tasks(spark, tmp_path):
     assert rows.count() == 5_000 and rows.select(F.spark_partition_id()).distinct().count() == 3
 
 
+def test_case_free_keys_are_those_of_the_collation(spark):
+    points = spark.createDataFrame([(chr(k),) for k in range(1, 0x20000) if not 0xD800 <= k < 0xE000], "c string")
+    pairs = points.select("c", F.explode(F.array(F.lower("c"), F.upper("c"), F.initcap("c"), F.lit("i"), F.lit("s"), F.lit("\u03c3"), F.lit("\u03c2"))).alias("d"))
+    whole = pairs.select(F.explode(F.array(F.struct("c", "d"), F.struct(F.concat(F.lit("Db.A"), "c").alias("c"), F.concat(F.lit("dB.a"), "d").alias("d")))).alias("p")).select("p.*")
+    same = F.collate("c", "UTF8_LCASE") == F.collate("d", "UTF8_LCASE")
+    odd = whole.filter(~(same.eqNullSafe(graph.case_free("c") == graph.case_free("d"))))
+    assert whole.filter(same).count() > 250_000 and odd.limit(5).collect() == []
+    assert spark.sql("select cast(null as string) as k").select(graph.case_free("k").alias("k")).first().k is None
+
+
+def test_edges_of_parsed_batches_are_those_of_the_join(spark):
+    views = "\nCREATE SYNONYM dbo.N{k} FOR dbo.T{k};"
+    texts = {"a.sql": "CREATE VIEW v AS SELECT a FROM t JOIN #w ON 1 = 1\nGO\nINSERT INTO u (a) VALUES (1)\nGO\nSELECT 1", "PostDeployment.sql": "EXEC p", "many.sql": "".join(views.format(k=k) for k in range(600))}
+    b = graph.stored(parse.parse_tsql(files(spark, **texts)))
+    edges, expected = sql.batch_edges(b), sql.define_ref_edges(sql.defines(b), sql.references(b))
+    assert edges.columns == expected.columns and edges.count() == 600 * 600 + 4 and edges.exceptAll(expected).count() == 0
+    assert {r["from"] for r in edges.filter("relation <> 'SynonymFor'").collect()} == {"dbo.v|VIEW", "dbo.__batch__:a.sql:1|BATCH", "dbo.__deploy__:PostDeployment.sql:0|DEPLOY"}
+
+
+def test_what_is_not_asked_for_is_not_worked_out(spark):
+    k = sql.knowledge(graph.stored(parse.parse_tsql(files(spark, a="CREATE VIEW v AS SELECT a FROM t"))))
+    counted = index.counts(graph.dedupe_edges(sql.batch_edges(k.batches)), "relation")
+    assert "min_by" not in counted._jdf.queryExecution().optimizedPlan().toString() and [tuple(r) for r in counted.collect()] == [("ReadsFrom", 1)]
+    assert [r.key for r in k.bodies.collect()] == ["dbo.v|VIEW"] and not {"edges", "kept_edges", "nodes"} & k.__dict__.keys()
+    assert {(r.key, r.kind) for r in k.nodes_with("kind").collect()} == {("dbo.v|VIEW", "VIEW"), ("dbo.t|TABLE_OR_VIEW", "TABLE_OR_VIEW")}
+
+
 def test_hot_keys_are_dealt_out(spark):
     rows = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("key"), F.col("id").alias("v")).unionByName(spark.createDataFrame([(None, -1)], "key string, v long"))
     lookup = spark.createDataFrame([("hot", "H"), ("k1", "One"), ("unused", "U")], "key string, found string")
