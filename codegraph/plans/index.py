@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import logging
 import os
 from collections.abc import Sequence
@@ -23,12 +24,24 @@ log = logging.getLogger(__name__)
 @dataclass
 class Graph:
     nodes: DataFrame
-    edges: DataFrame
+    every_edge: DataFrame
     script_bodies: DataFrame
     entity_bodies: DataFrame
     migration_bodies: DataFrame
     inline_bodies: DataFrame
-    closed: DataFrame  # nodes with the tables that edges name
+
+    @functools.cached_property
+    def edges(self) -> DataFrame:
+        return graph.stored(self.every_edge)
+
+    @functools.cached_property
+    def closed(self) -> DataFrame:
+        """Nodes with the tables that edges name, kept for who starts from them several times."""
+        return graph.stored(self.closing(self.edges))
+
+    def closing(self, edges: DataFrame | None = None) -> DataFrame:
+        """The same as a relation, worked out as far as it is asked for."""
+        return self.nodes.unionByName(graph.missing_tables(self.every_edge if edges is None else edges, self.nodes))
 
 
 def build(batches: DataFrame, models: DataFrame, migration_syntax: DataFrame, inline_syntax: DataFrame, base_types: Sequence[str] = (), extra_hot: Sequence[str] = (), migration_files: DataFrame | None = None) -> Graph:
@@ -49,12 +62,10 @@ def build(batches: DataFrame, models: DataFrame, migration_syntax: DataFrame, in
     if migration_files is not None and not migrations.migration_classes(migration_syntax).take(1):
         moves, move_edges = migrations.fallback(migration_files)
     facts = graph.cut(inline.artifacts(inline_syntax, extra_hot))
-    nodes = graph.cut(graph.upsert_nodes(known.nodes, sets, entities, fluent, moves, inline.method_nodes(facts)))
+    nodes = graph.stored(graph.upsert_nodes(known.nodes, sets, entities, fluent, moves, inline.method_nodes(facts)))
     for part in (set_edges, entity_edges, fluent_edges, move_edges, inline.method_edges(facts), inline.foreign_key_edges(facts)):
         edges = edges.unionByName(part)
-    edges = graph.cut(edges)
-    closed = graph.cut(nodes.unionByName(graph.missing_tables(edges, nodes)))
-    return Graph(nodes, edges, known.bodies, entity_bodies, migrations.summaries(found), inline.bodies(facts), closed)
+    return Graph(nodes, edges, known.bodies, entity_bodies, migrations.summaries(found), inline.bodies(facts))
 
 
 def run(spark: SparkSession, config: IndexerConfig, progress=None) -> str | None:

@@ -100,6 +100,14 @@ def test_what_is_not_asked_for_is_not_worked_out(spark):
     assert {(r.key, r.kind) for r in k.nodes_with("kind").collect()} == {("dbo.v|VIEW", "VIEW"), ("dbo.t|TABLE_OR_VIEW", "TABLE_OR_VIEW")}
 
 
+def test_nodes_of_code_are_counted_without_tables_of_edges(spark):
+    syntax = graph.stored(code(spark, 'class A { void M() { var q = "SELECT a FROM dbo.T WHERE b = 1"; } }'))
+    built = index.build(graph.stored(parse.parse_tsql(files(spark, a="CREATE VIEW v AS SELECT a FROM t"))), syntax, syntax, syntax)
+    counted = index.counts(built.closing().filter("domain in ('code', 'code-inline-sql')"), "kind")
+    assert "Join" not in counted._jdf.queryExecution().optimizedPlan().toString() and [tuple(r) for r in counted.collect()] == [("METHOD", 1)]
+    assert built.closed.exceptAll(built.closing()).count() == 0 and built.closed.count() == built.closing().count() == 3
+
+
 def test_hot_keys_are_dealt_out(spark):
     rows = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("key"), F.col("id").alias("v")).unionByName(spark.createDataFrame([(None, -1)], "key string, v long"))
     lookup = spark.createDataFrame([("hot", "H"), ("k1", "One"), ("unused", "U")], "key string, found string")
